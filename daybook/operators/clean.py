@@ -102,7 +102,8 @@ def per_event(tagged: DataFrame, columns: tuple[str, ...] = _PAYLOAD) -> DataFra
 
     ``first`` is a struct of ``columns`` (null when no copy survived D1/D3);
     ``n_ok``, ``n_ts``, ``n_etype`` count the copies that survived, failed
-    D1 and failed D3.  Only ``columns`` travel through the shuffle.
+    D1 and failed D3, ``n_no_user`` those without a user id.  Only
+    ``columns`` travel through the shuffle.
     """
     survived = F.col(RULE).isNull()
     payload = F.struct(F.col(ORD), *[F.col(c) for c in columns])
@@ -111,6 +112,7 @@ def per_event(tagged: DataFrame, columns: tuple[str, ...] = _PAYLOAD) -> DataFra
         F.count_if(survived).alias("n_ok"),
         F.count_if(F.col(RULE) == RULE_INVALID_TS).alias("n_ts"),
         F.count_if(F.col(RULE) == RULE_INVALID_ETYPE).alias("n_etype"),
+        F.count_if(F.col("user_id").isNull()).alias("n_no_user"),
     )
 
 
@@ -124,8 +126,8 @@ def counts_from_per_event(events: DataFrame) -> DataFrame:
     """The drop accounting as a one-row DataFrame.
 
     raw_rows, valid_rows, dropped_rows = raw − valid, null_id_rows (rows
-    whose event_id is missing — a load error in the reference), and
-    ``breakdown`` with one count per rule.
+    whose event_id or user_id is missing — a load error in the reference),
+    and ``breakdown`` with one count per rule.
     """
     n_copies = F.col("n_ok") + F.col("n_ts") + F.col("n_etype")
     agg = events.agg(
@@ -134,7 +136,8 @@ def counts_from_per_event(events: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n_ts"), F.lit(0)).cast("long").alias(RULE_INVALID_TS),
         F.coalesce(F.sum("n_etype"), F.lit(0)).cast("long").alias(RULE_INVALID_ETYPE),
         F.coalesce(F.sum("n_ok"), F.lit(0)).cast("long").alias("survivors"),
-        F.coalesce(F.sum(F.when(F.col("event_id").isNull(), n_copies)), F.lit(0))
+        F.coalesce(F.sum(F.when(F.col("event_id").isNull(), n_copies)
+                         .otherwise(F.col("n_no_user"))), F.lit(0))
          .cast("long").alias("null_id_rows"),
     )
     return agg.select(

@@ -11,9 +11,8 @@ Shared building blocks keep the number of shuffles small:
   ``(user_id, date)``, which spreads well even when one user or one day is
   hot; the per-day count afterwards is a tiny partial-count exchange.
 
-Every output is day-, country- or cohort-sized.  Scalars (mean, std, max
-date) are single-row aggregates joined back with a broadcast of exactly one
-row.
+Every output is day-, country- or cohort-sized.  Scalars (mean, std, last
+day) are whole-table windows over those small tables, never over events.
 """
 
 from __future__ import annotations
@@ -50,8 +49,11 @@ def daily_facts(clean: DataFrame) -> DataFrame:
 
 
 def user_days(clean: DataFrame) -> DataFrame:
-    """Distinct (user_id, date) activity pairs (any event type)."""
-    return clean.select("user_id", "date").distinct()
+    """Distinct (user_id, date) activity pairs (any event type).
+
+    A missing user id is not a user (pandas ``nunique`` skips it).
+    """
+    return clean.select("user_id", "date").where(F.col("user_id").isNotNull()).distinct()
 
 
 # ---------------------------------------------------------------------------
@@ -99,19 +101,24 @@ def revenue_daily(clean: DataFrame | None = None, facts: DataFrame | None = None
 # M4 — top countries by net revenue
 # ---------------------------------------------------------------------------
 
-def top_countries(clean: DataFrame, n: int = TOP_N) -> DataFrame:
-    """(rank, country, net_revenue) for the n largest net revenues.
+def country_totals(clean: DataFrame) -> DataFrame:
+    """(country, total): unrounded net revenue of countries with revenue rows."""
+    return (clean.where(_is_revenue())
+            .groupBy("country")
+            .agg(F.coalesce(F.sum("amount"), F.lit(0.0)).alias("total")))
 
-    Ties are broken by country name.
 
-    Ranking uses the unrounded sum; the output is rounded to cents.  The
-    country grouping is partially aggregated before its exchange, so a
-    dominant country costs nothing extra; ``orderBy().limit()`` plans as a
-    TakeOrderedAndProject over a country-sized input.
+def top_countries(clean: DataFrame | None = None, n: int = TOP_N,
+                  totals: DataFrame | None = None) -> DataFrame:
+    """(rank, country, net_revenue) for the n largest net revenues.
+
+    Ranking uses the unrounded sum, ties broken by country name; the output
+    is rounded to cents.  The country grouping is partially aggregated
+    before its exchange, so a dominant country costs nothing extra;
+    ``orderBy().limit()`` plans as a TakeOrderedAndProject over a
+    country-sized input.
     """
-    totals = (clean.where(_is_revenue())
-              .groupBy("country")
-              .agg(F.coalesce(F.sum("amount"), F.lit(0.0)).alias("total")))
+    totals = totals if totals is not None else country_totals(clean)
     top = totals.orderBy(F.desc("total"), F.asc("country")).limit(n)
     # `rank` fixes the order even where rounding makes sums look tied; the
     # window runs over the n rows left after the limit.
@@ -129,17 +136,23 @@ def anomalies(revenue: DataFrame, threshold: float = ANOMALY_Z,
     """Days whose population z-score of revenue exceeds ``threshold``.
 
     Fewer than two days or zero spread → empty.  Upper tail only, strict
-    ``>``.  Output (date, net_revenue rounded to cents, z half-even to 4 dp),
-    largest z first (ties by date).
+    ``>``.  Output (date, net_revenue rounded to cents, z half-even to 4 dp);
+    ``order_anomalies`` gives the report order.
+
+    ``revenue`` is day-sized, so the mean and spread are whole-table window
+    aggregates over at most one row per calendar day — one pass, and no
+    self-join (which would also defeat caching of the input).
     """
-    stats = revenue.agg(F.count(F.lit(1)).alias("_n"),
-                        F.avg(value_col).alias("_mu"),
-                        F.stddev_pop(value_col).alias("_sd"))
-    stats = stats.where((F.col("_n") >= 2) & (F.col("_sd") > 0))
-    z = (F.col(value_col) - F.col("_mu")) / F.col("_sd")
-    return (revenue.crossJoin(F.broadcast(stats))       # exactly one row
-            .where(z > F.lit(threshold))
-            .select("date", money(F.col(value_col)).alias("net_revenue"),
+    whole = Window.partitionBy()
+    v = F.col(value_col)
+    with_stats = revenue.select(
+        "date", v.alias("_v"),
+        F.count(F.lit(1)).over(whole).alias("_n"),
+        F.avg(v).over(whole).alias("_mu"),
+        F.stddev_pop(v).over(whole).alias("_sd"))
+    z = (F.col("_v") - F.col("_mu")) / F.col("_sd")
+    return (with_stats.where((F.col("_n") >= 2) & (F.col("_sd") > 0) & (z > F.lit(threshold)))
+            .select("date", money(F.col("_v")).alias(value_col),
                     round_half_even(z, 4).alias("z")))
 
 
@@ -173,9 +186,12 @@ def retention_d1(clean: DataFrame | None = None, pairs: DataFrame | None = None,
         F.count_if(F.col("date") == F.col("cohort_date")).cast("long").alias("users"),
         F.count_if(F.col("date") == F.date_add(F.col("cohort_date"), offset_days))
          .cast("long").alias("retained"),
+        F.max("date").alias("_last_seen"),
     )
-    last_day = pairs.agg(F.max("date").alias("_last"))      # exactly one row
-    return (per_cohort.crossJoin(F.broadcast(last_day))
+    # The data set's last day is the max over cohorts of their last active
+    # day: a window over the cohort-sized table, no second pass over pairs.
+    last_day = F.max("_last_seen").over(Window.partitionBy())
+    return (per_cohort.withColumn("_last", last_day)
             .where(F.col("cohort_date") < F.col("_last"))
             .select("cohort_date", "users", "retained",
                     safe_ratio(F.col("retained"), F.col("users")).alias("rate")))

@@ -27,13 +27,8 @@ from pyspark.sql import functions as F
 
 from daybook.functions.expressions import money
 from daybook.operators import metrics as M
-from daybook.operators.clean import (
-    clean_from_per_event,
-    counts_from_per_event,
-    per_event,
-    tag_rules,
-)
-from daybook.schema import ANOMALY_Z, RETENTION_DAY_OFFSET, TOP_N
+from daybook.operators.clean import per_event, tag_rules
+from daybook.schema import ANOMALY_Z, RETENTION_DAY_OFFSET, REVENUE_EVENT_TYPES, TOP_N
 
 # Columns of the clean table the metrics read; nothing else is shuffled.
 METRIC_COLUMNS = ("user_id", "date", "event_type", "amount", "country")
@@ -71,36 +66,46 @@ class Report:
     def document(self) -> DataFrame:
         """One row, one column ``report``: the report as JSON text.
 
-        Each list section is gathered with ``collect_list`` and sorted in the
-        reference's order; dates become ISO text only here.
+        Each section becomes one JSON fragment — list sections gathered with
+        ``collect_list`` and sorted in the reference's order, dates turned
+        into ISO text only here — and the fragments are unioned and joined
+        in field order.  Sections share the persisted rollup; a union (not a
+        join) keeps every branch reading it.
         """
-        def listed(df: DataFrame, sort_key: list[Column], fields: list[Column], name: str):
+        def one(df: DataFrame, fields: list[Column]) -> DataFrame:
+            return df.select(F.to_json(F.struct(*fields)).alias("j"))
+
+        def listed(df: DataFrame, sort_key: list[Column], fields: list[Column]) -> DataFrame:
             keyed = F.struct(F.struct(*sort_key).alias("k"), F.struct(*fields).alias("v"))
-            return df.agg(F.transform(F.sort_array(F.collect_list(keyed)),
-                                      lambda x: x["v"]).alias(name))
-
-        rng = self.range.select(F.struct(_day("start"), _day("end")).alias("range"))
-        counts = self.counts.select(F.struct(
-            "raw_rows", "valid_rows", "dropped_rows", "breakdown").alias("counts"))
-        dau = listed(self.dau, [F.col("date")], [_day("date"), F.col("dau")], "dau")
-        funnel = listed(self.funnel, [F.col("date")],
-                        [_day("date"), *map(F.col, ("pv", "signup", "purchase",
-                                                    "pv_to_signup", "signup_to_purchase"))],
-                        "funnel")
-        revenue = listed(self.revenue_daily, [F.col("date")],
-                         [_day("date"), money(F.col("net_revenue")).alias("net_revenue")],
-                         "revenue_daily")
-        top = listed(self.top_countries, [F.col("rank")],
-                     [F.col("country"), F.col("net_revenue")], "top_countries")
-        anomalies = listed(self.anomalies, [-F.col("z"), F.col("date")],
-                           [_day("date"), F.col("net_revenue"), F.col("z")], "anomalies")
-        retention = listed(self.retention_d1, [F.col("cohort_date")],
-                           [_day("cohort_date"), *map(F.col, ("users", "retained", "rate"))],
-                           "retention_d1")
-        doc = rng
-        for part in (counts, dau, funnel, revenue, top, anomalies, retention):
-            doc = doc.crossJoin(part)                         # one row each
-        return doc.select(F.to_json(F.struct(*SECTIONS)).alias("report"))
+            rows = F.transform(F.sort_array(F.collect_list(keyed)), lambda x: x["v"])
+            return df.agg(F.to_json(rows).alias("j"))
+
+        c = F.col
+        parts = {
+            "range": one(self.range, [_day("start"), _day("end")]),
+            "counts": one(self.counts, [c("raw_rows"), c("valid_rows"), c("dropped_rows"),
+                                        c("breakdown")]),
+            "dau": listed(self.dau, [c("date")], [_day("date"), c("dau")]),
+            "funnel": listed(self.funnel, [c("date")],
+                             [_day("date"), c("pv"), c("signup"), c("purchase"),
+                              c("pv_to_signup"), c("signup_to_purchase")]),
+            "revenue_daily": listed(self.revenue_daily, [c("date")],
+                                    [_day("date"), money(c("net_revenue")).alias("net_revenue")]),
+            "top_countries": listed(self.top_countries, [c("rank")],
+                                    [c("country"), c("net_revenue")]),
+            "anomalies": listed(self.anomalies, [-c("z"), c("date")],
+                                [_day("date"), c("net_revenue"), c("z")]),
+            "retention_d1": listed(self.retention_d1, [c("cohort_date")],
+                                   [_day("cohort_date"), c("users"), c("retained"), c("rate")]),
+        }
+        fragments = None
+        for i, name in enumerate(SECTIONS):
+            frag = parts[name].select(F.lit(i).alias("i"),
+                                      F.concat(F.lit(f'"{name}":'), c("j")).alias("kv"))
+            fragments = frag if fragments is None else fragments.unionByName(frag)
+        ordered = F.transform(F.sort_array(F.collect_list(F.struct("i", "kv"))), lambda x: x["kv"])
+        return fragments.agg(
+            F.concat(F.lit("{"), F.array_join(ordered, ","), F.lit("}")).alias("report"))
 
     def to_dict(self) -> dict:
         """The report as a Python dict (collects only the document row)."""
@@ -112,37 +117,103 @@ class Report:
         self._persisted.clear()
 
 
+def report_rollup(raw: DataFrame) -> DataFrame:
+    """Everything the report needs from the events, in one pass.
+
+    raw → tag → Exchange(event_id) → per-event first copy → each event fans
+    out into the grouping keys it contributes to — ``all`` (every event, for
+    the drop counts), ``day``, ``country`` (revenue events only) and
+    ``user_day`` — → partial aggregate → ONE exchange → final aggregate.
+    The result holds the counts, one row per day, per revenue country and
+    per active user-day, tagged by ``set``; nothing event-sized is cached or
+    scanned twice.
+
+    The fan-out is written as ``inline`` of an array of key structs rather
+    than ``groupingSets``: Spark 4.1 does not match a cached Expand plan when
+    one query reads it twice, which would silently rescan the events.
+    """
+    events = per_event(tag_rules(raw), METRIC_COLUMNS)
+    first = F.col("first")
+    rows = events.select(
+        "event_id",
+        *[first[c].alias(c) for c in METRIC_COLUMNS],
+        first.isNotNull().alias("valid"), "n_ok", "n_ts", "n_etype", "n_no_user")
+    valid = F.col("valid")
+    etype = F.col("event_type")
+    revenue = valid & etype.isin(*REVENUE_EVENT_TYPES)
+    none_d = F.lit(None).cast("date")
+    none_s = F.lit(None).cast("string")
+    none_l = F.lit(None).cast("long")
+
+    def key(name, date, country, user):
+        return F.struct(F.lit(name).alias("set"), date.alias("k_date"),
+                        country.alias("k_country"), user.alias("k_user"))
+
+    keys = F.filter(F.array(
+        key("all", none_d, none_s, none_l),
+        F.when(valid, key("day", F.col("date"), none_s, none_l)),
+        F.when(revenue, key("country", none_d, F.col("country"), none_l)),
+        F.when(valid & F.col("user_id").isNotNull(),
+               key("user_day", F.col("date"), none_s, F.col("user_id"))),
+    ), lambda k: k.isNotNull())
+    n_copies = F.col("n_ok") + F.col("n_ts") + F.col("n_etype")
+    fanned = rows.select("*", F.inline(keys))
+    return fanned.groupBy("set", "k_date", "k_country", "k_user").agg(
+        F.sum(n_copies).alias("raw_rows"),
+        F.count_if(valid).alias("valid_rows"),
+        F.sum("n_ts").alias("invalid_ts"),
+        F.sum("n_etype").alias("invalid_etype"),
+        F.sum("n_ok").alias("survivors"),
+        F.sum(F.when(F.col("event_id").isNull(), n_copies).otherwise(F.col("n_no_user")))
+         .alias("null_id_rows"),
+        F.count_if(valid & (etype == "page_view")).alias("pv"),
+        F.count_if(valid & (etype == "signup")).alias("signup"),
+        F.count_if(valid & (etype == "purchase")).alias("purchase"),
+        F.count_if(revenue).alias("revenue_events"),
+        F.coalesce(F.sum(F.when(revenue, F.col("amount"))), F.lit(0.0)).alias("net_revenue"),
+    ).withColumnsRenamed({"k_date": "date", "k_country": "country", "k_user": "user_id"})
+
+
 def build_report(raw: DataFrame, top_n: int = TOP_N, threshold: float = ANOMALY_Z,
                  offset_days: int = RETENTION_DAY_OFFSET, check: bool = True) -> Report:
     """Clean ``raw`` and compute every report section.
 
-    With ``check`` (the default) the drop accounting is computed first —
-    a one-row job that also materialises the persisted per-event table —
-    and, as in the reference, a load with missing ids or with no valid row
-    raises ``ValueError``.
+    The small rollup (see ``report_rollup``) is persisted; every section is
+    derived from it.  With ``check`` (the default) the drop accounting is
+    read first — the job that also materialises the rollup — and, as in the
+    reference, missing ids or an empty clean set raise ``ValueError``.
     """
-    persisted: list[DataFrame] = []
-
-    def keep(df: DataFrame) -> DataFrame:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        persisted.append(df)
-        return df
-
-    events = keep(per_event(tag_rules(raw), METRIC_COLUMNS))
-    counts = counts_from_per_event(events)
+    rollup = report_rollup(raw).persist(StorageLevel.MEMORY_AND_DISK)
+    persisted = [rollup]
+    part = lambda set_name: rollup.where(F.col("set") == set_name)
+
+    counts = part("all").select(
+        F.coalesce("raw_rows", F.lit(0)).cast("long").alias("raw_rows"),
+        F.coalesce("valid_rows", F.lit(0)).cast("long").alias("valid_rows"),
+        (F.coalesce("raw_rows", F.lit(0)) - F.coalesce("valid_rows", F.lit(0)))
+         .cast("long").alias("dropped_rows"),
+        F.struct(
+            F.coalesce("invalid_ts", F.lit(0)).cast("long").alias("invalid_ts"),
+            F.coalesce("invalid_etype", F.lit(0)).cast("long").alias("invalid_etype"),
+            (F.coalesce("survivors", F.lit(0)) - F.coalesce("valid_rows", F.lit(0)))
+             .cast("long").alias("duplicate_event_id"),
+        ).alias("breakdown"),
+        F.coalesce("null_id_rows", F.lit(0)).cast("long").alias("null_id_rows"),
+    )
     if check:
         row = counts.first()
-        if row["null_id_rows"]:
-            _release(persisted)
-            raise ValueError(f"{row['null_id_rows']} rows have no event_id")
-        if not row["valid_rows"]:
+        if row is None or not row["valid_rows"]:
             _release(persisted)
             raise ValueError("No valid rows remain after cleaning — cannot build report.")
-        counts = counts.sparkSession.createDataFrame([row], counts.schema)
+        if row["null_id_rows"]:
+            _release(persisted)
+            raise ValueError(f"{row['null_id_rows']} rows have no event_id or user_id")
 
-    clean = clean_from_per_event(events, METRIC_COLUMNS)
-    facts = keep(M.daily_facts(clean))
-    pairs = keep(M.user_days(clean))
+    facts = part("day").select(
+        "date", F.col("valid_rows").alias("events"), "pv", "signup", "purchase",
+        "revenue_events", "net_revenue")
+    totals = part("country").select("country", F.col("net_revenue").alias("total"))
+    pairs = part("user_day").select("user_id", "date")
     revenue = M.revenue_daily(facts=facts)
     return Report(
         range=M.date_range(facts=facts),
@@ -150,7 +221,7 @@ def build_report(raw: DataFrame, top_n: int = TOP_N, threshold: float = ANOMALY_
         dau=M.dau(pairs=pairs),
         funnel=M.funnel_daily(facts=facts),
         revenue_daily=revenue,
-        top_countries=M.top_countries(clean, top_n),
+        top_countries=M.top_countries(n=top_n, totals=totals),
         anomalies=M.anomalies(revenue, threshold),
         retention_d1=M.retention_d1(pairs=pairs, offset_days=offset_days),
         _persisted=persisted,
