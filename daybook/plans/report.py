@@ -19,9 +19,11 @@ small tables with ``collect_list`` + ``to_json`` on the executors.
 from __future__ import annotations
 
 import json
+import os
+import shutil
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,7 @@ from daybook.functions.expressions import money
 from daybook.operators import metrics as M
 from daybook.operators.clean import per_event, tag_rules
 from daybook.schema import ANOMALY_Z, RETENTION_DAY_OFFSET, REVENUE_EVENT_TYPES, TOP_N
+from daybook.session import checkpoint_root, local_path
 
 # Columns of the clean table the metrics read; nothing else is shuffled.
 METRIC_COLUMNS = ("user_id", "date", "event_type", "amount", "country")
@@ -37,6 +40,36 @@ SECTIONS = ("range", "counts", "dau", "funnel", "revenue_daily",
             "top_countries", "anomalies", "retention_d1")
 
 
+def _listed(name: str, table: str, sort_key: str, fields: str) -> str:
+    return (f"""'"{name}":' || (SELECT to_json(transform(sort_array(collect_list(
+      named_struct('k', {sort_key}, 'v', named_struct({fields})))), x -> x.v)) FROM {{{table}}})""")
+
+
+def _iso(c: str) -> str:
+    return f"'{c}', date_format({c}, 'yyyy-MM-dd')"
+
+
+# The report document (braces doubled: the text is a spark.sql template).
+_DOCUMENT_SQL = "SELECT concat('{{', array_join(array(" + ",\n".join([
+    """'"range":' || (SELECT to_json(named_struct('start', date_format(start, 'yyyy-MM-dd'),
+      'end', date_format(`end`, 'yyyy-MM-dd'))) FROM {range})""",
+    """'"counts":' || (SELECT to_json(named_struct('raw_rows', raw_rows, 'valid_rows',
+      valid_rows, 'dropped_rows', dropped_rows, 'breakdown', breakdown)) FROM {counts})""",
+    _listed("dau", "dau", "date", _iso("date") + ", 'dau', dau"),
+    _listed("funnel", "funnel", "date",
+            _iso("date") + ", 'pv', pv, 'signup', signup, 'purchase', purchase, "
+            "'pv_to_signup', pv_to_signup, 'signup_to_purchase', signup_to_purchase"),
+    _listed("revenue_daily", "revenue_daily", "date",
+            _iso("date") + ", 'net_revenue', round(net_revenue, 2)"),
+    _listed("top_countries", "top_countries", "rank",
+            "'country', country, 'net_revenue', net_revenue"),
+    _listed("anomalies", "anomalies", "named_struct('z', -z, 'date', date)",
+            _iso("date") + ", 'net_revenue', net_revenue, 'z', z"),
+    _listed("retention_d1", "retention_d1", "cohort_date",
+            _iso("cohort_date") + ", 'users', users, 'retained', retained, 'rate', rate"),
+]) + "), ','), '}}') AS report"
+
+
 def _day(c: str) -> Column:
     return F.date_format(F.col(c), "yyyy-MM-dd").alias(c)
 
@@ -58,7 +91,7 @@ class Report:
     top_countries: DataFrame
     anomalies: DataFrame
     retention_d1: DataFrame
-    _persisted: list[DataFrame] = field(default_factory=list, repr=False)
+    _scratch: str | None = field(default=None, repr=False)
 
     def sections(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in SECTIONS}
@@ -66,55 +99,29 @@ class Report:
     def document(self) -> DataFrame:
         """One row, one column ``report``: the report as JSON text.
 
-        Each section becomes one JSON fragment — list sections gathered with
-        ``collect_list`` and sorted in the reference's order, dates turned
-        into ISO text only here — and the fragments are unioned and joined
-        in field order.  Sections share the persisted rollup; a union (not a
-        join) keeps every branch reading it.
+        One SQL statement over the section tables: each section is one
+        scalar subquery that gathers its (day-, country- or cohort-sized)
+        rows with ``collect_list``, sorts them in the reference's order and
+        renders JSON; dates become ISO text only here.
         """
-        def one(df: DataFrame, fields: list[Column]) -> DataFrame:
-            return df.select(F.to_json(F.struct(*fields)).alias("j"))
-
-        def listed(df: DataFrame, sort_key: list[Column], fields: list[Column]) -> DataFrame:
-            keyed = F.struct(F.struct(*sort_key).alias("k"), F.struct(*fields).alias("v"))
-            rows = F.transform(F.sort_array(F.collect_list(keyed)), lambda x: x["v"])
-            return df.agg(F.to_json(rows).alias("j"))
-
-        c = F.col
-        parts = {
-            "range": one(self.range, [_day("start"), _day("end")]),
-            "counts": one(self.counts, [c("raw_rows"), c("valid_rows"), c("dropped_rows"),
-                                        c("breakdown")]),
-            "dau": listed(self.dau, [c("date")], [_day("date"), c("dau")]),
-            "funnel": listed(self.funnel, [c("date")],
-                             [_day("date"), c("pv"), c("signup"), c("purchase"),
-                              c("pv_to_signup"), c("signup_to_purchase")]),
-            "revenue_daily": listed(self.revenue_daily, [c("date")],
-                                    [_day("date"), money(c("net_revenue")).alias("net_revenue")]),
-            "top_countries": listed(self.top_countries, [c("rank")],
-                                    [c("country"), c("net_revenue")]),
-            "anomalies": listed(self.anomalies, [-c("z"), c("date")],
-                                [_day("date"), c("net_revenue"), c("z")]),
-            "retention_d1": listed(self.retention_d1, [c("cohort_date")],
-                                   [_day("cohort_date"), c("users"), c("retained"), c("rate")]),
-        }
-        fragments = None
-        for i, name in enumerate(SECTIONS):
-            frag = parts[name].select(F.lit(i).alias("i"),
-                                      F.concat(F.lit(f'"{name}":'), c("j")).alias("kv"))
-            fragments = frag if fragments is None else fragments.unionByName(frag)
-        ordered = F.transform(F.sort_array(F.collect_list(F.struct("i", "kv"))), lambda x: x["kv"])
-        return fragments.agg(
-            F.concat(F.lit("{"), F.array_join(ordered, ","), F.lit("}")).alias("report"))
+        spark = self.counts.sparkSession
+        return spark.sql(_DOCUMENT_SQL, **self.sections())
 
     def to_dict(self) -> dict:
         """The report as a Python dict (collects only the document row)."""
         return json.loads(self.document().first()["report"])
 
+    def counts_row(self):
+        """The drop accounting as a Row (includes ``null_id_rows``)."""
+        return self.counts.first()
+
     def release(self) -> None:
-        for df in self._persisted:
-            df.unpersist()
-        self._persisted.clear()
+        """Remove this report's scratch rollup (local folders only; on an
+        object store, expire ``<checkpoint dir>/daybook/rollups`` instead)."""
+        path = local_path(self._scratch) if self._scratch else None
+        if path and os.path.isdir(path):
+            shutil.rmtree(path, ignore_errors=True)
+        self._scratch = None
 
 
 def report_rollup(raw: DataFrame) -> DataFrame:
@@ -175,40 +182,56 @@ def report_rollup(raw: DataFrame) -> DataFrame:
 
 
 def build_report(raw: DataFrame, top_n: int = TOP_N, threshold: float = ANOMALY_Z,
-                 offset_days: int = RETENTION_DAY_OFFSET, check: bool = True) -> Report:
+                 offset_days: int = RETENTION_DAY_OFFSET, check: bool = True,
+                 store: str | None = None) -> Report:
     """Clean ``raw`` and compute every report section.
 
-    The small rollup (see ``report_rollup``) is persisted; every section is
-    derived from it.  With ``check`` (the default) the drop accounting is
-    read first — the job that also materialises the rollup — and, as in the
-    reference, missing ids or an empty clean set raise ``ValueError``.
+    The rollup (see ``report_rollup``) is the only job that touches the
+    events.  It is written once as a parquet table in the shared checkpoint
+    folder — or at ``store`` — and every section is derived from that table:
+    the lineage is cut (an executor lost later costs a re-read, not a
+    rescan), and later plans stay small.
+
+    With ``check`` (the default) the drop accounting is read first and, as
+    in the reference, missing ids or an empty clean set raise ``ValueError``.
     """
-    rollup = report_rollup(raw).persist(StorageLevel.MEMORY_AND_DISK)
-    persisted = [rollup]
+    spark = raw.sparkSession
+    scratch = None
+    if store is None:
+        store = scratch = f"{checkpoint_root(spark)}/daybook/rollups/{uuid.uuid4().hex}"
+    report_rollup(raw).write.mode("overwrite").parquet(store)
+    report = report_from_rollup(spark.read.parquet(store), top_n, threshold, offset_days)
+    report._scratch = scratch
+    if check:
+        row = report.counts_row()
+        problem = None
+        if row is None or not row["valid_rows"]:
+            problem = "No valid rows remain after cleaning — cannot build report."
+        elif row["null_id_rows"]:
+            problem = f"{row['null_id_rows']} rows have no event_id or user_id"
+        if problem:
+            report.release()
+            raise ValueError(problem)
+    return report
+
+
+def report_from_rollup(rollup: DataFrame, top_n: int = TOP_N, threshold: float = ANOMALY_Z,
+                       offset_days: int = RETENTION_DAY_OFFSET) -> Report:
+    """Every section from a (stored) rollup table."""
     part = lambda set_name: rollup.where(F.col("set") == set_name)
-
+    z = F.lit(0)
     counts = part("all").select(
-        F.coalesce("raw_rows", F.lit(0)).cast("long").alias("raw_rows"),
-        F.coalesce("valid_rows", F.lit(0)).cast("long").alias("valid_rows"),
-        (F.coalesce("raw_rows", F.lit(0)) - F.coalesce("valid_rows", F.lit(0)))
-         .cast("long").alias("dropped_rows"),
+        F.coalesce("raw_rows", z).cast("long").alias("raw_rows"),
+        F.coalesce("valid_rows", z).cast("long").alias("valid_rows"),
+        (F.coalesce("raw_rows", z) - F.coalesce("valid_rows", z)).cast("long").alias("dropped_rows"),
         F.struct(
-            F.coalesce("invalid_ts", F.lit(0)).cast("long").alias("invalid_ts"),
-            F.coalesce("invalid_etype", F.lit(0)).cast("long").alias("invalid_etype"),
-            (F.coalesce("survivors", F.lit(0)) - F.coalesce("valid_rows", F.lit(0)))
+            F.coalesce("invalid_ts", z).cast("long").alias("invalid_ts"),
+            F.coalesce("invalid_etype", z).cast("long").alias("invalid_etype"),
+            (F.coalesce("survivors", z) - F.coalesce("valid_rows", z))
              .cast("long").alias("duplicate_event_id"),
         ).alias("breakdown"),
-        F.coalesce("null_id_rows", F.lit(0)).cast("long").alias("null_id_rows"),
+        F.coalesce("null_id_rows", z).cast("long").alias("null_id_rows"),
     )
-    if check:
-        row = counts.first()
-        if row is None or not row["valid_rows"]:
-            _release(persisted)
-            raise ValueError("No valid rows remain after cleaning — cannot build report.")
-        if row["null_id_rows"]:
-            _release(persisted)
-            raise ValueError(f"{row['null_id_rows']} rows have no event_id or user_id")
-
     facts = part("day").select(
         "date", F.col("valid_rows").alias("events"), "pv", "signup", "purchase",
         "revenue_events", "net_revenue")
@@ -217,17 +240,11 @@ def build_report(raw: DataFrame, top_n: int = TOP_N, threshold: float = ANOMALY_
     revenue = M.revenue_daily(facts=facts)
     return Report(
         range=M.date_range(facts=facts),
-        counts=counts.drop("null_id_rows"),
+        counts=counts,
         dau=M.dau(pairs=pairs),
         funnel=M.funnel_daily(facts=facts),
         revenue_daily=revenue,
         top_countries=M.top_countries(n=top_n, totals=totals),
         anomalies=M.anomalies(revenue, threshold),
         retention_d1=M.retention_d1(pairs=pairs, offset_days=offset_days),
-        _persisted=persisted,
     )
-
-
-def _release(persisted: list[DataFrame]) -> None:
-    for df in persisted:
-        df.unpersist()
