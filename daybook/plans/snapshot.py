@@ -4,10 +4,11 @@ The reference caches a built report per (file, modification time) and
 rebuilds when the file changes (other request parameters do not enter the
 key).  Here the report's rollup table is written as parquet under the
 shared checkpoint folder, in a directory named by a fingerprint of the input
-files (paths, sizes, modification times); the report parameters only shape
-sections derived from that table, so they need not enter the key either.  A later run over unchanged inputs reads the tables
-back instead of rescanning the events; any change to the file set — an
-added, removed, rewritten or touched file — gives a new fingerprint.
+files (paths, sizes, modification times) and of the query over them; the
+report parameters only shape sections derived from that table, so they need
+not enter the key.  A later run over unchanged inputs reads the table back
+instead of rescanning the events; any change to the file set — an added,
+removed, rewritten or touched file — gives a new fingerprint.
 
 The fingerprint is computed on the executors from a ``binaryFile`` listing
 (content never read) with an order-independent hash aggregate, so no file
@@ -30,7 +31,12 @@ MARKER = "COMPLETE"
 
 
 def source_fingerprint(raw: DataFrame) -> str:
-    """Fingerprint of the files behind ``raw``."""
+    """Fingerprint of ``raw``: its files and its plan.
+
+    ``semanticHash`` identifies the query over the files (the same files
+    read through another filter or projection are another source); it is
+    stable across sessions.
+    """
     spark = raw.sparkSession
     files = raw.inputFiles()
     if not files:
@@ -42,7 +48,8 @@ def source_fingerprint(raw: DataFrame) -> str:
         F.sum("length").alias("bytes"),
         F.max("modificationTime").cast("long").alias("mtime"),
     ).first()
-    text = "|".join(str(x) for x in (row["n"], row["h"], row["bytes"], row["mtime"]))
+    text = "|".join(str(x) for x in (raw.semanticHash(), row["n"], row["h"], row["bytes"],
+                                     row["mtime"]))
     return hashlib.sha256(text.encode()).hexdigest()[:32]
 
 

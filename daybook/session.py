@@ -50,9 +50,12 @@ def checkpoint_root(spark: SparkSession, allow_local: bool = True) -> str:
     snapshots and checkpoints have somewhere to go.
     """
     sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    # The configured folder, not sc.getCheckpointDir(): Spark adds a fresh
+    # per-application subfolder there, which a later run could never find.
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+        "spark.checkpoint.dir", None)
     if not root:
-        root = sc.getConf().get("spark.checkpoint.dir", None)
+        root = sc.getCheckpointDir()
     if not root:
         if not allow_local or not sc.master.startswith("local"):
             raise RuntimeError(
@@ -60,8 +63,6 @@ def checkpoint_root(spark: SparkSession, allow_local: bool = True) -> str:
                 "(e.g. an object-store prefix) visible to every executor")
         root = tempfile.mkdtemp(prefix="daybook-ckpt-")
         sc.setCheckpointDir(root)
-    elif not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -1,0 +1,120 @@
+"""Data-quality checks Q1–Q4, including the exact distributed median."""
+
+from __future__ import annotations
+
+import random
+import statistics
+
+import pytest
+
+from conftest import SF001
+from daybook.operators import quality as Q
+from daybook.sources.fixtures import dirty_events, refund_events
+
+
+def test_event_type_distribution_includes_nulls(make_raw):
+    df = make_raw([{"event_type": "page_view"}] * 3 + [{"event_type": None}])
+    got = {r["event_type"]: (r["events"], r["pct"]) for r in Q.event_type_distribution(df).collect()}
+    assert got == {"page_view": (3, 75.0), None: (1, 25.0)}
+
+
+def test_dirty_profile_counts_are_independent(make_raw):
+    df = make_raw([{"ts": "2099-01-01 00:00:00", "event_type": "???", "country": ""},
+                   {"ts": "bad", "event_id": 1},
+                   {"country": None}])
+    r = Q.dirty_profile(df).first()
+    assert (r["rows"], r["sentinel_ts"], r["unparseable_ts"], r["empty_country"],
+            r["unknown_type"], r["duplicate_ids"]) == (3, 1, 1, 2, 1, 1)
+
+
+def test_dirty_profile_on_fixture(spark):
+    r = Q.dirty_profile(dirty_events(spark, SF001)).first()
+    assert r["rows"] == 1000 and r["duplicate_ids"] == 10
+
+
+@pytest.mark.parametrize("values", [
+    [5.0], [1.0, 2.0], [3.0, 1.0, 2.0], [2.0, 2.0, 2.0, 9.0], [0.01, 0.01, 370.0, -4.0],
+])
+def test_exact_median_small(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert Q.exact_median(df, "v") == statistics.median(values)
+
+
+def test_exact_median_multi_pass(spark, monkeypatch):
+    # Force several refinement passes over a skewed sample with heavy ties.
+    monkeypatch.setattr(Q, "_MEDIAN_FINAL_ROWS", 50)
+    monkeypatch.setattr(Q, "_MEDIAN_BUCKETS", 4)
+    rnd = random.Random(7)
+    values = [round(rnd.lognormvariate(3.5, 1.2), 2) for _ in range(2000)] + [42.0] * 700
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert Q.exact_median(df, "v") == statistics.median(values)
+    even = values[:-1]
+    df = spark.createDataFrame([(v,) for v in even], "v double")
+    assert Q.exact_median(df, "v") == statistics.median(even)
+
+
+def test_exact_median_ignores_missing(spark):
+    df = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (3.0,)], "v double")
+    assert Q.exact_median(df, "v") == 2.0
+    assert Q.exact_median(df.where("v > 10"), "v") is None
+
+
+def test_purchase_stats(make_raw):
+    df = make_raw([{"event_type": "purchase", "amount": a} for a in (10.0, 20.0, 40.0)]
+                  + [{"event_type": "page_view", "amount": 999.0}])
+    r = Q.purchase_amount_stats(df).first()
+    assert (r["purchases"], r["min_amount"], r["median_amount"], r["mean_amount"],
+            r["max_amount"]) == (3, 10.0, 20.0, 23.33, 40.0)
+
+
+def _links(spark, rows):
+    df = spark.createDataFrame(rows, "event_id long, user_id long, session_id long, "
+                                     "ts string, event_type string, amount double")
+    return {r["event_id"]: r["status"] for r in Q.refund_links(df).collect()}
+
+
+def test_refund_classes(spark):
+    rows = [
+        (1, 1, 10, "2023-01-01 10:00:00", "purchase", 50.0),
+        (2, 1, 10, "2023-01-02 10:00:00", "refund", -50.0),          # linked
+        (3, 1, 10, "2023-01-01 09:00:00", "refund", -50.0),          # earlier → bad_time
+        (4, 1, 10, "2023-01-03 10:00:00", "refund", -49.0),          # amount_mismatch
+        (5, 1, 11, "2023-01-03 10:00:00", "refund", -50.0),          # no_purchase
+        (6, 1, 10, "2023-01-03 10:00:00", "refund", -50.00004),      # within atol
+        (7, 1, 10, "2099-01-03 10:00:00", "refund", -50.0),          # sentinel: left out
+    ]
+    assert _links(spark, rows) == {2: "linked", 3: "bad_time", 4: "amount_mismatch",
+                                   5: "no_purchase", 6: "linked"}
+
+
+def test_refund_any_candidate_may_match(spark):
+    rows = [(1, 1, 10, "2023-01-05 10:00:00", "purchase", 20.0),
+            (2, 1, 10, "2023-01-01 10:00:00", "purchase", 20.0),
+            (3, 1, 10, "2023-01-01 10:00:00", "purchase", 30.0),
+            (4, 1, 10, "2023-01-02 10:00:00", "refund", -20.0)]
+    assert _links(spark, rows) == {4: "linked"}
+
+
+def test_refund_tolerance_scales_with_amount(spark):
+    # rtol 1e-5 of 10 000 is 0.1: a 0.05 gap still matches, 0.2 does not.
+    rows = [(1, 1, 10, "2023-01-01 10:00:00", "purchase", 10_000.0),
+            (2, 1, 10, "2023-01-02 10:00:00", "refund", -10_000.05),
+            (3, 1, 10, "2023-01-02 10:00:00", "refund", -10_000.2)]
+    assert _links(spark, rows) == {2: "linked", 3: "amount_mismatch"}
+
+
+def test_refund_integrity_on_fixture_against_brute_force(spark):
+    raw = refund_events(spark, SF001)
+    got = {r["status"]: r["refunds"] for r in Q.refund_integrity(raw).collect()}
+    rows = raw.collect()
+    purchases = [r for r in rows if r["event_type"] == "purchase"]
+    want: dict[str, int] = {}
+    for r in (x for x in rows if x["event_type"] == "refund"):
+        cands = [p for p in purchases
+                 if p["user_id"] == r["user_id"] and p["session_id"] == r["session_id"]]
+        close = [p for p in cands
+                 if abs(r["amount"] + p["amount"]) <= 1e-4 + 1e-5 * abs(p["amount"])]
+        status = ("no_purchase" if not cands else "amount_mismatch" if not close
+                  else "linked" if any(p["ts"] < r["ts"] for p in close) else "bad_time")
+        want[status] = want.get(status, 0) + 1
+    assert got == want

@@ -1,0 +1,146 @@
+"""End-to-end: the report document, CSV round trip, snapshots."""
+
+from __future__ import annotations
+
+import json
+import os
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF001, SF01
+from daybook.operators import clean as C
+from daybook.operators import metrics as M
+from daybook.plans.report import build_report
+from daybook.plans.snapshot import snapshot_report
+from daybook.sources.files import read_events_csv
+from daybook.sources.fixtures import dirty_events
+from daybook.sources.sinks import save_report, write_events_csv, write_report_json
+
+SECTIONS = ["range", "counts", "dau", "funnel", "revenue_daily", "top_countries",
+            "anomalies", "retention_d1"]
+
+
+@pytest.fixture(scope="module")
+def f1_report(spark):
+    report = build_report(dirty_events(spark, SF001))
+    doc = report.to_dict()
+    yield report, doc
+    report.release()
+
+
+def test_document_shape(f1_report):
+    _, doc = f1_report
+    assert list(doc) == SECTIONS
+    assert doc["counts"]["raw_rows"] == 1000
+    assert doc["counts"]["raw_rows"] == doc["counts"]["valid_rows"] + doc["counts"]["dropped_rows"]
+    assert sum(doc["counts"]["breakdown"].values()) == doc["counts"]["dropped_rows"]
+    dates = [r["date"] for r in doc["dau"]]
+    assert dates == sorted(dates) and doc["range"]["start"] == dates[0]
+    assert doc["range"]["end"] == dates[-1]
+    tops = [r["net_revenue"] for r in doc["top_countries"]]
+    assert tops == sorted(tops, reverse=True) and len(tops) <= 10
+
+
+def test_document_matches_individual_operators(spark, f1_report):
+    _, doc = f1_report
+    clean = C.clean_events(dirty_events(spark, SF001))
+    counts = C.clean_counts(dirty_events(spark, SF001)).first()
+    assert doc["counts"]["valid_rows"] == counts["valid_rows"]
+    assert doc["counts"]["breakdown"] == counts["breakdown"].asDict()
+    dau = {str(r["date"]): r["dau"] for r in M.dau(clean).collect()}
+    assert {r["date"]: r["dau"] for r in doc["dau"]} == dau
+    funnel = {str(r["date"]): (r["pv"], r["signup"], r["purchase"], r["pv_to_signup"],
+                               r["signup_to_purchase"]) for r in M.funnel_daily(clean).collect()}
+    assert {r["date"]: (r["pv"], r["signup"], r["purchase"], r["pv_to_signup"],
+                        r["signup_to_purchase"]) for r in doc["funnel"]} == funnel
+    rev = {str(r["date"]): round(r["net_revenue"], 2) for r in M.revenue_daily(clean).collect()}
+    assert {r["date"]: r["net_revenue"] for r in doc["revenue_daily"]} == rev
+    top = [(r["country"], r["net_revenue"]) for r in M.top_countries(clean).orderBy("rank").collect()]
+    assert [(r["country"], r["net_revenue"]) for r in doc["top_countries"]] == top
+    ret = {str(r["cohort_date"]): (r["users"], r["retained"], r["rate"])
+           for r in M.retention_d1(clean).collect()}
+    assert {r["cohort_date"]: (r["users"], r["retained"], r["rate"])
+            for r in doc["retention_d1"]} == ret
+
+
+def test_report_sinks(spark, f1_report, tmp_path):
+    report, doc = f1_report
+    save_report(doc, str(tmp_path / "out" / "report.json"))
+    assert json.loads((tmp_path / "out" / "report.json").read_text()) == doc
+    write_report_json(report.document(), str(tmp_path / "doc"))
+    assert json.loads(spark.read.text(str(tmp_path / "doc")).first()[0]) == doc
+
+
+def test_no_valid_rows_raises(make_raw):
+    with pytest.raises(ValueError, match="No valid rows"):
+        build_report(make_raw([{"event_type": "???"}, {"ts": "not-a-date"}]))
+
+
+def test_missing_ids_raise(make_raw):
+    with pytest.raises(ValueError, match="no event_id"):
+        build_report(make_raw([{"event_id": None}, {}]))
+
+
+def test_csv_round_trip_preserves_values_and_first_seen_order(spark, tmp_path):
+    raw = dirty_events(spark, SF01)
+    path = str(tmp_path / "events_csv")
+    write_events_csv(raw.drop("ord").coalesce(1), path)
+    want = C.clean_events(raw)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))   # many splits
+    try:
+        csv = read_events_csv(spark, path)
+        assert csv.rdd.getNumPartitions() > 4
+        got = C.clean_events(csv)
+        counts = C.clean_counts(csv).first()
+        assert (counts["raw_rows"], counts["valid_rows"]) == (10_000, 7_844)
+        assert counts["breakdown"].asDict() == {"invalid_ts": 100, "invalid_etype": 1991,
+                                                "duplicate_event_id": 65}
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_csv_blank_and_quoted_values_survive(spark, make_raw, tmp_path):
+    df = make_raw([{"country": "  us  "}, {"country": "   "}, {"country": ""},
+                   {"country": None}, {"country": "NA"}])
+    path = str(tmp_path / "csv")
+    write_events_csv(df.drop("ord").coalesce(1), path)
+    got = [r["country"] for r in C.clean_events(read_events_csv(spark, path))
+           .orderBy("event_id").collect()]
+    assert got == ["US", "", "UNK", "UNK", "NA"]
+
+
+def test_snapshot_reused_until_inputs_change(spark, make_raw, tmp_path):
+    src = str(tmp_path / "src")
+    write_events_csv(make_raw([{"event_type": "purchase", "amount": 5.0},
+                               {"event_id": 2}]).drop("ord").coalesce(1), src)
+    root = str(tmp_path / "snap")
+    first, reused = snapshot_report(read_events_csv(spark, src), root=root)
+    assert not reused and first.to_dict()["counts"]["raw_rows"] == 2
+    again, reused = snapshot_report(read_events_csv(spark, src), root=root)
+    assert reused and again.to_dict() == first.to_dict()
+    time.sleep(1.1)
+    write_events_csv(make_raw([{"event_type": "purchase", "amount": 7.0}] * 3)
+                     .drop("ord").coalesce(1), src)
+    fresh, reused = snapshot_report(read_events_csv(spark, src), root=root)
+    assert not reused and fresh.to_dict()["counts"]["raw_rows"] == 3
+
+
+def test_snapshot_key_covers_the_plan(spark, make_raw, tmp_path):
+    src = str(tmp_path / "src")
+    write_events_csv(make_raw([{}, {"event_id": 2}]).drop("ord").coalesce(1), src)
+    root = str(tmp_path / "snap")
+    snapshot_report(read_events_csv(spark, src), root=root)
+    other, reused = snapshot_report(read_events_csv(spark, src).where("event_id = 1"), root=root)
+    assert not reused and other.to_dict()["counts"]["raw_rows"] == 1
+
+
+def test_scratch_rollup_is_released(spark, make_raw):
+    report = build_report(make_raw([{}]))
+    path = report._scratch
+    assert path and os.path.isdir(path.removeprefix("file:"))
+    report.release()
+    assert not os.path.exists(path.removeprefix("file:"))
