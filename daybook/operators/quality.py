@@ -166,56 +166,88 @@ BAD_TIME = "bad_time"
 STATUSES = (LINKED, NO_PURCHASE, AMOUNT_MISMATCH, BAD_TIME)
 
 
+# Class id of the "this session has a purchase" marker key; magnitude
+# classes of doubles stay within ±1026.
+_SESSION_MARKER = 4096
+
+
+def _magnitude_class(x: Column) -> Column:
+    """0 for |x| < 1, else ±(1 + floor(log2 |x|)) by sign: one class per octave."""
+    ax = F.abs(x)
+    return (F.when(ax < 1, F.lit(0))
+            .otherwise(F.signum(x).cast("int") * (F.floor(F.log2(ax)).cast("int") + 1)))
+
+
+def _class_width(cls: Column) -> Column:
+    """Bucket width of a class: above the tolerance of any amount in it.
+
+    |p| < 2^|cls| in class ``cls``, so tol(p) = atol + rtol·|p| stays below
+    atol + rtol·2^|cls|; the extra factor 4 absorbs rounding in log2 at
+    octave edges.
+    """
+    return F.lit(AMOUNT_ATOL) + F.lit(AMOUNT_RTOL) * F.pow(F.lit(2.0), F.abs(cls) + 2)
+
+
 def refund_links(raw: DataFrame) -> DataFrame:
     """Classify every refund against the purchases it could belong to.
 
     A refund is ``linked`` when some purchase of the same user and session
-    has amount ≈ −refund (numpy.isclose, atol 1e-4) and an earlier
-    timestamp; ``bad_time`` when amounts match but no such purchase is
-    earlier; ``amount_mismatch`` when the user/session has purchases but
+    has amount ≈ −refund (numpy.isclose, atol 1e-4, rtol 1e-5) and an
+    earlier timestamp; ``bad_time`` when amounts match but no such purchase
+    is earlier; ``amount_mismatch`` when the user/session has purchases but
     none with the amount; ``no_purchase`` otherwise.  Rows whose timestamp
-    is unparseable or in the sentinel year are left out.
-
-    No refund is ever paired with every purchase of its session.  Purchases
-    are first collapsed to distinct (user, session, amount) with their
-    earliest time, and amounts are bucketed with a width no smaller than the
-    tolerance anywhere in the data (computed, one row), so each refund only
-    meets the distinct purchase amounts in its own and the two neighbouring
-    buckets — a range join expressed as an equi-join.
+    is unparseable or in the sentinel year are left out; non-finite amounts
+    count as missing.  Identical refund rows are classified once and carry
+    their multiplicity in ``copies``.
+
+    No refund is paired with every purchase of its session.  Purchases are
+    collapsed to distinct (user, session, amount) with their earliest time
+    and keyed by (magnitude class, bucket) with a bucket wider than the
+    tolerance anywhere in the class; a matching amount is always in a
+    neighbouring class and bucket, so each refund probes 3 × 3 keys — a
+    range join written as one equi-join, with candidates bounded by the
+    amount resolution, and exact after the final isclose test.  One more
+    marker key per session answers "has any purchase" in the same join.
     """
     ts = parse_utc_timestamp(F.col("ts"), raw.schema["ts"].dataType)
+    amount = F.col("amount").cast(T.DoubleType())
+    finite = F.when(~F.isnan(amount) & (F.abs(amount) < F.lit(float("inf"))), amount)
     events = (raw.select("event_id", "user_id", "session_id", "event_type",
-                         F.col("amount").cast(T.DoubleType()).alias("amount"), ts.alias("ts"))
+                         finite.alias("amount"), ts.alias("ts"))
               .where(F.col("ts").isNotNull() & (F.year("ts") < SENTINEL_YEAR)))
-    purchases = events.where(F.col("event_type") == "purchase")
-    # Identical refund rows (e.g. duplicated ids) are classified once and
-    # carry their multiplicity; the key is the whole row, so no row id is
-    # needed and nothing is joined back.
+    marker = F.struct(F.lit(_SESSION_MARKER).alias("cls"), F.lit(0).cast("long").alias("bkt"))
+
+    # Purchases: one amount key and one session marker each, pre-aggregated.
+    p_cls = _magnitude_class(F.col("amount"))
+    p_key = F.when(F.col("amount").isNotNull(), F.struct(
+        p_cls.alias("cls"), F.floor(F.col("amount") / _class_width(p_cls)).alias("bkt")))
+    keyed = (events.where(F.col("event_type") == "purchase")
+             .select("user_id", "session_id", "amount", "ts",
+                     F.inline(F.filter(F.array(p_key, marker), lambda k: k.isNotNull())))
+             .groupBy("user_id", "session_id", "cls", "bkt",
+                      F.when(F.col("cls") != _SESSION_MARKER, F.col("amount")).alias("p_amount"))
+             .agg(F.min("ts").alias("p_first_ts")))
+
+    # Refunds: distinct rows with multiplicity, then 9 amount probes + marker.
     key = ["event_id", "user_id", "session_id", "amount", "ts"]
     refunds = (events.where(F.col("event_type") == "refund")
                .groupBy(*key).agg(F.count(F.lit(1)).alias("copies")))
-
-    keyed = (purchases.where(F.col("amount").isNotNull())
-             .groupBy("user_id", "session_id", F.col("amount").alias("p_amount"))
-             .agg(F.min("ts").alias("p_first_ts")))
-    width = (keyed.agg(F.max(F.abs("p_amount")).alias("_m"))
-             .select((F.lit(AMOUNT_ATOL) + F.lit(AMOUNT_RTOL) * F.coalesce(F.col("_m"), F.lit(0.0)))
-                     .alias("_w")))                                     # exactly one row
-    keyed = (keyed.crossJoin(F.broadcast(width))
-             .withColumn("bucket", F.floor(F.col("p_amount") / F.col("_w")))
-             .drop("_w"))
-    sessions = purchases.select("user_id", "session_id").distinct().withColumn("_has", F.lit(True))
-
-    probes = (refunds.join(sessions, ["user_id", "session_id"], "left")
-              .crossJoin(F.broadcast(width))
-              .withColumn("bucket", F.explode(F.array(*[
-                  F.floor(-F.col("amount") / F.col("_w")) + d for d in (-1, 0, 1)])))
-              .drop("_w"))
-    close = amounts_close(F.col("amount"), -F.col("p_amount"))
-    per_refund = (probes.join(keyed, ["user_id", "session_id", "bucket"], "left")
-                  .groupBy(*key, "copies", "_has")
-                  .agg(F.min(F.when(close, F.col("p_first_ts"))).alias("match_first_ts")))
-    status = (F.when(F.col("_has").isNull(), F.lit(NO_PURCHASE))
+    target = -F.col("amount")
+    r_cls = _magnitude_class(target)
+    probes = [F.struct((r_cls + dc).alias("cls"),
+                       (F.floor(target / _class_width(r_cls + dc)) + db).alias("bkt"))
+              for dc in (-1, 0, 1) for db in (-1, 0, 1)]
+    probed = refunds.select(*key, "copies", F.inline(F.filter(
+        F.array(*[F.when(F.col("amount").isNotNull(), p) for p in probes], marker),
+        lambda k: k.isNotNull())))
+
+    is_marker = F.col("cls") == _SESSION_MARKER
+    close = ~is_marker & amounts_close(F.col("amount"), -F.col("p_amount"))
+    per_refund = (probed.join(keyed, ["user_id", "session_id", "cls", "bkt"], "left")
+                  .groupBy(*key, "copies")
+                  .agg(F.count_if(is_marker & F.col("p_first_ts").isNotNull()).alias("_has"),
+                       F.min(F.when(close, F.col("p_first_ts"))).alias("match_first_ts")))
+    status = (F.when(F.col("_has") == 0, F.lit(NO_PURCHASE))
               .when(F.col("match_first_ts").isNull(), F.lit(AMOUNT_MISMATCH))
               .when(F.col("match_first_ts") < F.col("ts"), F.lit(LINKED))
               .otherwise(F.lit(BAD_TIME)))

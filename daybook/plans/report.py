@@ -1,19 +1,22 @@
 """The analytics report (M7): raw events → clean → six metrics → one document.
 
-Plan shape (one Spark application, a handful of small jobs)::
-
-    raw scan ─ tag (narrow) ─ Exchange(event_id) ─ per-event aggregate ──┐ persisted
-                                                                          │
-      counts  ◄── one-row aggregate ──────────────────────────────────────┤
-      facts   ◄── groupBy(date)       (partial agg → days)   ─────────────┤ persisted (tiny)
-      countries ◄ groupBy(country)    (partial agg → countries) ──────────┤
-      pairs   ◄── distinct(user_id, date)  Exchange(user_id, date) ───────┘ persisted
-                   └─ dau: groupBy(date)   └─ retention: window by user_id
-
-Only the per-event aggregate is as large as the input; it is projected to
-the five columns the metrics read before the shuffle.  Everything after it
-is day-, country- or cohort-sized, and the document is assembled from those
-small tables with ``collect_list`` + ``to_json`` on the executors.
+Plan shape::
+
+    raw scan ─ tag (narrow, codegen) ─ partial agg ─ Exchange(event_id) ─ first copy per event
+      └─ fan-out into keys {all, day, country, user_day} ─ partial agg ─ Exchange ─ final agg
+           = the rollup: 1 counts row + 1 row per day + per revenue country + per user-day
+             written once as parquet under spark.checkpoint.dir (lineage cut here)
+
+    rollup table ─┬─ counts, range, funnel, revenue, anomalies (day-sized, no shuffle of note)
+                  ├─ top countries (country-sized, TakeOrderedAndProject)
+                  └─ user-days ─┬─ dau: groupBy(date) partial count
+                                └─ retention: Exchange(user_id) window min → groupBy(cohort)
+
+Only the first exchange is as large as the input, and it carries just the
+five columns the metrics read.  The second is partially aggregated per task
+(one row per day/country/user-day per task).  Everything after the rollup
+is small, and the document is rendered on the executors by one SQL
+statement.
 """
 
 from __future__ import annotations

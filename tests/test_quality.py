@@ -118,3 +118,32 @@ def test_refund_integrity_on_fixture_against_brute_force(spark):
                   else "linked" if any(p["ts"] < r["ts"] for p in close) else "bad_time")
         want[status] = want.get(status, 0) + 1
     assert got == want
+
+
+def test_refund_buckets_exact_at_octave_and_tolerance_edges(spark):
+    rnd = random.Random(11)
+    bases = [0.0, 0.00005, 0.99999, 1.0, 1.00001, 2.0, 7.99999, 8.0, 1024.0, 65535.99, 10_000.0,
+             123_456.78]
+    rows, eid = [], 0
+    for session in range(40):
+        for _ in range(3):
+            base = rnd.choice(bases) * rnd.choice([1, 1, -1])
+            eid += 1
+            rows.append((eid, 1, session, "2023-01-01 10:00:00", "purchase", base))
+        for _ in range(3):
+            base = rnd.choice(bases)
+            tol = 1e-4 + 1e-5 * abs(base)
+            off = rnd.choice([0.0, 0.5, 0.999, 1.001, 1.5, 3.0]) * tol * rnd.choice([1, -1])
+            eid += 1
+            rows.append((eid, 1, session, rnd.choice(["2023-01-02 10:00:00", "2022-12-31 10:00:00"]),
+                         "refund", -(base + off)))
+    got = _links(spark, rows)
+    purchases = [r for r in rows if r[4] == "purchase"]
+    want = {}
+    for r in (x for x in rows if x[4] == "refund"):
+        cands = [p for p in purchases if p[2] == r[2]]
+        close = [p for p in cands if abs(r[5] + p[5]) <= 1e-4 + 1e-5 * abs(p[5])]
+        want[r[0]] = ("no_purchase" if not cands else "amount_mismatch" if not close
+                      else "linked" if any(p[3] < r[3] for p in close) else "bad_time")
+    assert got == want
+    assert {"linked", "amount_mismatch", "bad_time"} <= set(want.values())
