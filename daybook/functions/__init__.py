@@ -4,18 +4,22 @@ from daybook.functions.expressions import (
     amounts_close,
     money,
     normalise_country,
+    normalise_country_sql,
     parse_utc_timestamp,
+    parse_utc_timestamp_sql,
     round_half_even,
     safe_ratio,
-    utc_date,
+    sql_text,
 )
 
 __all__ = [
     "amounts_close",
     "money",
     "normalise_country",
+    "normalise_country_sql",
     "parse_utc_timestamp",
+    "parse_utc_timestamp_sql",
     "round_half_even",
     "safe_ratio",
-    "utc_date",
+    "sql_text",
 ]

@@ -1,7 +1,9 @@
-"""Scalar column expressions.
+"""Scalar expressions, as Spark SQL text and as ``Column`` objects.
 
-Every helper returns a ``Column`` built from ``pyspark.sql.functions`` so the
-whole cleaning projection stays inside one whole-stage-codegen span.
+The cleaning projection is written as SQL text (``selectExpr``): it is one
+parse instead of hundreds of client round trips, and the expressions still
+compile into one whole-stage-codegen span.  The ``Column`` helpers wrap the
+same text with ``F.expr`` so every rule has one definition.
 """
 
 from __future__ import annotations
@@ -13,7 +15,19 @@ from pyspark.sql import types as T
 from daybook.schema import AMOUNT_ATOL, AMOUNT_RTOL, UNKNOWN_COUNTRY, WHITESPACE
 
 
-def parse_utc_timestamp(col: Column, source_type: T.DataType) -> Column:
+def sql_text(value: str) -> str:
+    """A Spark SQL string literal for any text.
+
+    Printable ASCII is written as is; quotes, backslashes and every other
+    character are ``\\uXXXX`` escapes, so control and Unicode whitespace
+    survive the SQL parser intact.
+    """
+    def esc(c: str) -> str:
+        return c if (" " <= c <= "~" and c not in "'\\") else f"\\u{ord(c):04x}"
+    return "'" + "".join(esc(c) for c in value) + "'"
+
+
+def parse_utc_timestamp_sql(col: str, source_type: T.DataType) -> str:
     """Rule D1a: text → UTC instant; anything unparseable becomes null.
 
     ``try_cast`` never throws under ANSI mode.  Strings with an offset are
@@ -23,24 +37,28 @@ def parse_utc_timestamp(col: Column, source_type: T.DataType) -> Column:
     if isinstance(source_type, T.TimestampType):
         return col
     if isinstance(source_type, T.TimestampNTZType):
-        return col.cast(T.TimestampType())
-    return col.try_cast(T.TimestampType())
+        return f"CAST({col} AS TIMESTAMP)"
+    return f"try_cast({col} AS TIMESTAMP)"
 
 
-def utc_date(ts: Column) -> Column:
-    """Calendar day of a UTC instant (midnight truncation)."""
-    return F.to_date(ts)
+def parse_utc_timestamp(col: str, source_type: T.DataType) -> Column:
+    return F.expr(parse_utc_timestamp_sql(col, source_type))
 
 
-def normalise_country(col: Column) -> Column:
+def normalise_country_sql(col: str) -> str:
     """Rule D2: missing → UNK, then upper-case, then strip all whitespace.
 
     Empty text counts as missing (CSV reads it as null), so parquet and CSV
     inputs agree.  A whitespace-only value becomes '' — the fill happens
-    before the strip, as in the reference.
+    before the strip, as in the reference.  "Whitespace" is every character
+    Python's ``str.strip`` removes.
     """
-    filled = F.coalesce(F.nullif(col, F.lit("")), F.lit(UNKNOWN_COUNTRY))
-    return F.btrim(F.upper(filled), F.lit(WHITESPACE))
+    return (f"btrim(upper(coalesce(nullif({col}, ''), {sql_text(UNKNOWN_COUNTRY)})), "
+            f"{sql_text(WHITESPACE)})")
+
+
+def normalise_country(col: str) -> Column:
+    return F.expr(normalise_country_sql(col))
 
 
 def round_half_even(x: Column, digits: int) -> Column:

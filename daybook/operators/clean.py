@@ -22,14 +22,13 @@ task.)
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from daybook.functions.expressions import (
-    normalise_country,
-    parse_utc_timestamp,
-    utc_date,
+    normalise_country_sql,
+    parse_utc_timestamp_sql,
+    sql_text,
 )
 from daybook.schema import (
     CLEAN_COLUMNS,
@@ -49,7 +48,11 @@ FIRST = "first"
 _PAYLOAD = tuple(c for c in CLEAN_COLUMNS if c != "event_id")
 
 
-def _input_order(raw: DataFrame) -> Column:
+def _in(values) -> str:
+    return ", ".join(sql_text(v) for v in values)
+
+
+def _input_order(raw: DataFrame) -> str:
     """Row order that decides "first seen" for rule D4.
 
     File sources attach ``ord`` at the scan (see ``daybook.sources``).  For a
@@ -57,9 +60,7 @@ def _input_order(raw: DataFrame) -> Column:
     partition order is its row order, which ``monotonically_increasing_id``
     preserves.
     """
-    if ORD in raw.columns:
-        return F.col(ORD)
-    return F.monotonically_increasing_id()
+    return ORD if ORD in raw.columns else "monotonically_increasing_id()"
 
 
 def tag_rules(raw: DataFrame) -> DataFrame:
@@ -68,32 +69,28 @@ def tag_rules(raw: DataFrame) -> DataFrame:
     Output columns: ``ord``, the clean columns, and ``rule`` — null for rows
     that survive D1 and D3, else the first rule that drops the row
     (``invalid_ts`` before ``invalid_etype``; attribution is sequential).
+    NaN amounts become null (pandas' missing value, skipped by sums); a null
+    ``event_type`` is not in the allowlist (``coalesce`` because
+    ``x IN (...)`` is null for a null x).
     """
-    ts_type = raw.schema["ts"].dataType
-    ts = parse_utc_timestamp(F.col("ts"), ts_type)
-    etype = F.col("event_type")
-    # NaN amounts behave like pandas' missing values: skipped by sums.
-    amount = F.nanvl(F.col("amount").cast(T.DoubleType()), F.lit(None).cast(T.DoubleType()))
-
-    bad_ts = ts.isNull() | (F.year(ts) >= SENTINEL_YEAR)
-    # `x IN (...)` is null for a null x; coalesce so null types are dropped.
-    good_type = F.coalesce(etype.isin(*VALID_EVENT_TYPES), F.lit(False))
-    rule = (F.when(bad_ts, F.lit(RULE_INVALID_TS))
-            .when(~good_type, F.lit(RULE_INVALID_ETYPE)))
-
-    return raw.select(
-        _input_order(raw).alias(ORD),
-        F.col("event_id").cast(T.LongType()).alias("event_id"),
-        F.col("user_id").cast(T.LongType()).alias("user_id"),
-        ts.alias("ts"),
-        utc_date(ts).alias("date"),
-        etype.alias("event_type"),
-        F.when(etype.isin(*REVENUE_EVENT_TYPES), amount)
-         .otherwise(F.lit(0.0)).alias("amount"),
-        normalise_country(F.col("country")).alias("country"),
-        F.col("device").cast(T.StringType()).alias("device"),
-        F.col("session_id").cast(T.LongType()).alias("session_id"),
-        rule.alias(RULE),
+    ts = parse_utc_timestamp_sql("ts", raw.schema["ts"].dataType)
+    rule = (f"CASE WHEN {ts} IS NULL OR year({ts}) >= {SENTINEL_YEAR} "
+            f"THEN {sql_text(RULE_INVALID_TS)} "
+            f"WHEN NOT coalesce(event_type IN ({_in(VALID_EVENT_TYPES)}), false) "
+            f"THEN {sql_text(RULE_INVALID_ETYPE)} END")
+    return raw.selectExpr(
+        f"{_input_order(raw)} AS {ORD}",
+        "CAST(event_id AS BIGINT) AS event_id",
+        "CAST(user_id AS BIGINT) AS user_id",
+        f"{ts} AS ts",
+        f"to_date({ts}) AS date",
+        "event_type",
+        f"CASE WHEN event_type IN ({_in(REVENUE_EVENT_TYPES)}) "
+        "THEN nanvl(CAST(amount AS DOUBLE), CAST(NULL AS DOUBLE)) ELSE 0D END AS amount",
+        f"{normalise_country_sql('country')} AS country",
+        "CAST(device AS STRING) AS device",
+        "CAST(session_id AS BIGINT) AS session_id",
+        f"{rule} AS {RULE}",
     )
 
 
@@ -105,14 +102,13 @@ def per_event(tagged: DataFrame, columns: tuple[str, ...] = _PAYLOAD) -> DataFra
     D1 and failed D3, ``n_no_user`` those without a user id.  Only
     ``columns`` travel through the shuffle.
     """
-    survived = F.col(RULE).isNull()
-    payload = F.struct(F.col(ORD), *[F.col(c) for c in columns])
+    payload = ", ".join([ORD, *columns])
     return tagged.groupBy("event_id").agg(
-        F.min(F.when(survived, payload)).alias(FIRST),
-        F.count_if(survived).alias("n_ok"),
-        F.count_if(F.col(RULE) == RULE_INVALID_TS).alias("n_ts"),
-        F.count_if(F.col(RULE) == RULE_INVALID_ETYPE).alias("n_etype"),
-        F.count_if(F.col("user_id").isNull()).alias("n_no_user"),
+        F.expr(f"min(CASE WHEN {RULE} IS NULL THEN struct({payload}) END)").alias(FIRST),
+        F.expr(f"count_if({RULE} IS NULL)").alias("n_ok"),
+        F.expr(f"count_if({RULE} = {sql_text(RULE_INVALID_TS)})").alias("n_ts"),
+        F.expr(f"count_if({RULE} = {sql_text(RULE_INVALID_ETYPE)})").alias("n_etype"),
+        F.expr("count_if(user_id IS NULL)").alias("n_no_user"),
     )
 
 

@@ -1,8 +1,12 @@
 """The six report metrics over clean events.
 
+Each metric is one Spark SQL statement run with ``spark.sql(query,
+**dataframes)``: Catalyst plans it exactly like the DataFrame API would,
+and the plan is parsed and analysed once instead of operator by operator.
+
 Shared building blocks keep the number of shuffles small:
 
-* ``daily_facts`` — one ``groupBy(date)`` with conditional counts and the
+* ``daily_facts`` — one ``GROUP BY date`` with conditional counts and the
   revenue sum; feeds the funnel (M2), daily revenue (M3), the anomaly
   population (M5) and the date range.  Partial aggregation collapses every
   map task to one row per day before the exchange.
@@ -17,10 +21,9 @@ day) are whole-table windows over those small tables, never over events.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions.expressions import money, round_half_even, safe_ratio
 from daybook.schema import (
     ANOMALY_Z,
     FUNNEL_STEPS,
@@ -30,22 +33,35 @@ from daybook.schema import (
 )
 
 
-def _is_revenue():
-    return F.col("event_type").isin(*REVENUE_EVENT_TYPES)
+def _quoted(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+def _ratio(num: str, den: str) -> str:
+    """num/den half-even to 4 dp (numpy.round); 0.0 unless den > 0."""
+    return (f"CASE WHEN {den} > 0 THEN rint(CAST({num} AS DOUBLE) / {den} * 1e4) / 1e4 "
+            f"ELSE 0D END")
+
+
+def _run(query: str, **frames: DataFrame) -> DataFrame:
+    spark = next(iter(frames.values())).sparkSession
+    return spark.sql(query, **frames)
+
+
+_REVENUE = f"event_type IN ({_quoted(REVENUE_EVENT_TYPES)})"
+
+_DAILY_FACTS = (
+    "SELECT date, count(1) AS events, "
+    + "".join(f"count_if(event_type = '{etype}') AS {name}, " for etype, name in FUNNEL_STEPS)
+    + f"count_if({_REVENUE}) AS revenue_events, "
+    # pandas sums an all-missing group to 0.0; Spark would give null.
+    + f"coalesce(sum(CASE WHEN {_REVENUE} THEN amount END), 0D) AS net_revenue "
+    + "FROM {clean} GROUP BY date")
 
 
 def daily_facts(clean: DataFrame) -> DataFrame:
     """Per day: all events, funnel step counts, revenue rows and net revenue."""
-    step_counts = [F.count_if(F.col("event_type") == etype).cast("long").alias(name)
-                   for etype, name in FUNNEL_STEPS]
-    return clean.groupBy("date").agg(
-        F.count(F.lit(1)).alias("events"),
-        *step_counts,
-        F.count_if(_is_revenue()).cast("long").alias("revenue_events"),
-        # pandas sums an all-missing group to 0.0; Spark would give null.
-        F.coalesce(F.sum(F.when(_is_revenue(), F.col("amount"))), F.lit(0.0))
-         .alias("net_revenue"),
-    )
+    return _run(_DAILY_FACTS, clean=clean)
 
 
 def user_days(clean: DataFrame) -> DataFrame:
@@ -53,7 +69,8 @@ def user_days(clean: DataFrame) -> DataFrame:
 
     A missing user id is not a user (pandas ``nunique`` skips it).
     """
-    return clean.select("user_id", "date").where(F.col("user_id").isNotNull()).distinct()
+    return _run("SELECT DISTINCT user_id, date FROM {clean} WHERE user_id IS NOT NULL",
+                clean=clean)
 
 
 # ---------------------------------------------------------------------------
@@ -63,13 +80,20 @@ def user_days(clean: DataFrame) -> DataFrame:
 def dau(clean: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
     """Exact distinct users per day; only days with events; (date, dau)."""
     pairs = pairs if pairs is not None else user_days(clean)
-    return pairs.groupBy("date").agg(F.count(F.lit(1)).alias("dau"))
+    return _run("SELECT date, count(1) AS dau FROM {pairs} GROUP BY date", pairs=pairs)
 
 
 # ---------------------------------------------------------------------------
 # M2 — daily conversion funnel
 # ---------------------------------------------------------------------------
 
+_FUNNEL = (
+    "SELECT date, pv, signup, purchase, "
+    f"{_ratio('signup', 'pv')} AS pv_to_signup, "
+    f"{_ratio('purchase', 'signup')} AS signup_to_purchase "
+    "FROM {facts} WHERE pv + signup + purchase > 0")
+
+
 def funnel_daily(clean: DataFrame | None = None, facts: DataFrame | None = None) -> DataFrame:
     """(date, pv, signup, purchase, pv_to_signup, signup_to_purchase).
 
@@ -77,10 +101,7 @@ def funnel_daily(clean: DataFrame | None = None, facts: DataFrame | None = None)
     not); rates are half-even to 4 dp and 0.0 on a zero denominator.
     """
     facts = facts if facts is not None else daily_facts(clean)
-    return (facts.where((F.col("pv") + F.col("signup") + F.col("purchase")) > 0)
-            .select("date", "pv", "signup", "purchase",
-                    safe_ratio(F.col("signup"), F.col("pv")).alias("pv_to_signup"),
-                    safe_ratio(F.col("purchase"), F.col("signup")).alias("signup_to_purchase")))
+    return _run(_FUNNEL, facts=facts)
 
 
 # ---------------------------------------------------------------------------
@@ -90,11 +111,11 @@ def funnel_daily(clean: DataFrame | None = None, facts: DataFrame | None = None)
 def revenue_daily(clean: DataFrame | None = None, facts: DataFrame | None = None) -> DataFrame:
     """(date, net_revenue) unrounded; days with ≥1 purchase or refund row.
 
-    Unrounded because the anomaly z-scores are computed from it; round with
-    ``money`` at the report edge.
+    Unrounded because the anomaly z-scores are computed from it; round to
+    cents at the report edge.
     """
     facts = facts if facts is not None else daily_facts(clean)
-    return facts.where(F.col("revenue_events") > 0).select("date", "net_revenue")
+    return _run("SELECT date, net_revenue FROM {facts} WHERE revenue_events > 0", facts=facts)
 
 
 # ---------------------------------------------------------------------------
@@ -103,9 +124,8 @@ def revenue_daily(clean: DataFrame | None = None, facts: DataFrame | None = None
 
 def country_totals(clean: DataFrame) -> DataFrame:
     """(country, total): unrounded net revenue of countries with revenue rows."""
-    return (clean.where(_is_revenue())
-            .groupBy("country")
-            .agg(F.coalesce(F.sum("amount"), F.lit(0.0)).alias("total")))
+    return _run("SELECT country, coalesce(sum(amount), 0D) AS total FROM {clean} "
+                f"WHERE {_REVENUE} GROUP BY country", clean=clean)
 
 
 def top_countries(clean: DataFrame | None = None, n: int = TOP_N,
@@ -115,16 +135,16 @@ def top_countries(clean: DataFrame | None = None, n: int = TOP_N,
     Ranking uses the unrounded sum, ties broken by country name; the output
     is rounded to cents.  The country grouping is partially aggregated
     before its exchange, so a dominant country costs nothing extra;
-    ``orderBy().limit()`` plans as a TakeOrderedAndProject over a
-    country-sized input.
+    ``ORDER BY … LIMIT`` plans as a TakeOrderedAndProject over a
+    country-sized input, and ``rank`` (which keeps the order even where
+    rounding makes sums look tied) is a window over the n rows left.
     """
     totals = totals if totals is not None else country_totals(clean)
-    top = totals.orderBy(F.desc("total"), F.asc("country")).limit(n)
-    # `rank` fixes the order even where rounding makes sums look tied; the
-    # window runs over the n rows left after the limit.
-    rank = F.row_number().over(Window.orderBy(F.desc("total"), F.asc("country")))
-    return top.select(rank.alias("rank"), "country",
-                      money(F.col("total")).alias("net_revenue"))
+    return _run(
+        "SELECT row_number() OVER (ORDER BY total DESC, country) AS rank, country, "
+        "round(total, 2) AS net_revenue "
+        f"FROM (SELECT country, total FROM {{totals}} ORDER BY total DESC, country "
+        f"LIMIT {int(n)})", totals=totals)
 
 
 # ---------------------------------------------------------------------------
@@ -143,17 +163,13 @@ def anomalies(revenue: DataFrame, threshold: float = ANOMALY_Z,
     aggregates over at most one row per calendar day — one pass, and no
     self-join (which would also defeat caching of the input).
     """
-    whole = Window.partitionBy()
-    v = F.col(value_col)
-    with_stats = revenue.select(
-        "date", v.alias("_v"),
-        F.count(F.lit(1)).over(whole).alias("_n"),
-        F.avg(v).over(whole).alias("_mu"),
-        F.stddev_pop(v).over(whole).alias("_sd"))
-    z = (F.col("_v") - F.col("_mu")) / F.col("_sd")
-    return (with_stats.where((F.col("_n") >= 2) & (F.col("_sd") > 0) & (z > F.lit(threshold)))
-            .select("date", money(F.col("_v")).alias(value_col),
-                    round_half_even(z, 4).alias("z")))
+    col = f"`{value_col}`"
+    return _run(
+        f"SELECT date, round(v, 2) AS {col}, rint((v - mu) / sd * 1e4) / 1e4 AS z FROM ("
+        f"SELECT date, {col} AS v, count(1) OVER () AS n, avg({col}) OVER () AS mu, "
+        f"stddev_pop({col}) OVER () AS sd FROM {{revenue}}) "
+        f"WHERE n >= 2 AND sd > 0 AND (v - mu) / sd > {float(threshold)!r}D",
+        revenue=revenue)
 
 
 def order_anomalies(df: DataFrame) -> DataFrame:
@@ -177,27 +193,23 @@ def retention_d1(clean: DataFrame | None = None, pairs: DataFrame | None = None,
     The cohort is a window minimum over each user's distinct active days, so
     a partition holds at most one row per day per user — bounded by the
     calendar, however many events a user has.  Pairs are distinct, so plain
-    conditional counts per cohort are exact distinct-user counts.
+    conditional counts per cohort are exact distinct-user counts.  The data
+    set's last day is the max over cohorts of their last active day: a
+    window over the cohort-sized table, no second pass over the pairs.
     """
     pairs = pairs if pairs is not None else user_days(clean)
-    with_cohort = pairs.withColumn(
-        "cohort_date", F.min("date").over(Window.partitionBy("user_id")))
-    per_cohort = with_cohort.groupBy("cohort_date").agg(
-        F.count_if(F.col("date") == F.col("cohort_date")).cast("long").alias("users"),
-        F.count_if(F.col("date") == F.date_add(F.col("cohort_date"), offset_days))
-         .cast("long").alias("retained"),
-        F.max("date").alias("_last_seen"),
-    )
-    # The data set's last day is the max over cohorts of their last active
-    # day: a window over the cohort-sized table, no second pass over pairs.
-    last_day = F.max("_last_seen").over(Window.partitionBy())
-    return (per_cohort.withColumn("_last", last_day)
-            .where(F.col("cohort_date") < F.col("_last"))
-            .select("cohort_date", "users", "retained",
-                    safe_ratio(F.col("retained"), F.col("users")).alias("rate")))
+    return _run(
+        f"SELECT cohort_date, users, retained, {_ratio('retained', 'users')} AS rate FROM ("
+        "SELECT *, max(last_seen) OVER () AS last_day FROM ("
+        "SELECT cohort_date, count_if(date = cohort_date) AS users, "
+        f"count_if(date = date_add(cohort_date, {int(offset_days)})) AS retained, "
+        "max(date) AS last_seen FROM ("
+        "SELECT user_id, date, min(date) OVER (PARTITION BY user_id) AS cohort_date "
+        "FROM {pairs}) GROUP BY cohort_date)) "
+        "WHERE cohort_date < last_day", pairs=pairs)
 
 
 def date_range(clean: DataFrame | None = None, facts: DataFrame | None = None) -> DataFrame:
     """One row (start, end): first and last day with clean events."""
     src = facts if facts is not None else clean
-    return src.agg(F.min("date").alias("start"), F.max("date").alias("end"))
+    return _run("SELECT min(date) AS start, max(date) AS `end` FROM {src}", src=src)

@@ -49,7 +49,7 @@ def dirty_profile(raw: DataFrame) -> DataFrame:
     empty_country: missing or ''; unknown_type: outside the allowlist (or
     missing); duplicate_ids: rows − distinct event ids.
     """
-    ts = parse_utc_timestamp(F.col("ts"), raw.schema["ts"].dataType)
+    ts = parse_utc_timestamp("ts", raw.schema["ts"].dataType)
     good_type = F.coalesce(F.col("event_type").isin(*VALID_EVENT_TYPES), F.lit(False))
     agg = raw.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -209,7 +209,7 @@ def refund_links(raw: DataFrame) -> DataFrame:
     amount resolution, and exact after the final isclose test.  One more
     marker key per session answers "has any purchase" in the same join.
     """
-    ts = parse_utc_timestamp(F.col("ts"), raw.schema["ts"].dataType)
+    ts = parse_utc_timestamp("ts", raw.schema["ts"].dataType)
     amount = F.col("amount").cast(T.DoubleType())
     finite = F.when(~F.isnan(amount) & (F.abs(amount) < F.lit(float("inf"))), amount)
     events = (raw.select("event_id", "user_id", "session_id", "event_type",

@@ -27,13 +27,18 @@ import shutil
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from daybook.functions.expressions import money
+from daybook.functions.expressions import sql_text
 from daybook.operators import metrics as M
 from daybook.operators.clean import per_event, tag_rules
-from daybook.schema import ANOMALY_Z, RETENTION_DAY_OFFSET, REVENUE_EVENT_TYPES, TOP_N
+from daybook.schema import (
+    ANOMALY_Z,
+    FUNNEL_STEPS,
+    RETENTION_DAY_OFFSET,
+    REVENUE_EVENT_TYPES,
+    TOP_N,
+)
 from daybook.session import checkpoint_root, local_path
 
 # Columns of the clean table the metrics read; nothing else is shuffled.
@@ -73,10 +78,6 @@ _DOCUMENT_SQL = "SELECT concat('{{', array_join(array(" + ",\n".join([
 ]) + "), ','), '}}') AS report"
 
 
-def _day(c: str) -> Column:
-    return F.date_format(F.col(c), "yyyy-MM-dd").alias(c)
-
-
 @dataclass
 class Report:
     """The report's sections as small DataFrames (report field order).
@@ -127,6 +128,46 @@ class Report:
         self._scratch = None
 
 
+_NULLS = {"k_date": "CAST(NULL AS DATE)", "k_country": "CAST(NULL AS STRING)",
+          "k_user": "CAST(NULL AS BIGINT)"}
+
+
+def _key(name: str, **given: str) -> str:
+    fields = [f"'set', {sql_text(name)}"] + [f"'{k}', {given.get(k, v)}" for k, v in _NULLS.items()]
+    return f"named_struct({', '.join(fields)})"
+
+
+_REVENUE = f"event_type IN ({', '.join(sql_text(t) for t in REVENUE_EVENT_TYPES)})"
+
+_ROLLUP_SQL = f"""
+SELECT `set`, k_date AS date, k_country AS country, k_user AS user_id,
+  sum(n_ok + n_ts + n_etype) AS raw_rows,
+  count_if(valid) AS valid_rows,
+  sum(n_ts) AS invalid_ts,
+  sum(n_etype) AS invalid_etype,
+  sum(n_ok) AS survivors,
+  sum(CASE WHEN event_id IS NULL THEN n_ok + n_ts + n_etype ELSE n_no_user END) AS null_id_rows,
+  {", ".join(f"count_if(valid AND event_type = {sql_text(t)}) AS {n}" for t, n in FUNNEL_STEPS)},
+  count_if(revenue) AS revenue_events,
+  coalesce(sum(CASE WHEN revenue THEN amount END), 0D) AS net_revenue
+FROM (
+  SELECT event_id, first.user_id AS user_id, first.date AS date,
+         first.event_type AS event_type, first.amount AS amount, first.country AS country,
+         first IS NOT NULL AS valid,
+         coalesce(first.{_REVENUE}, false) AS revenue,
+         n_ok, n_ts, n_etype, n_no_user
+  FROM {{events}}
+) LATERAL VIEW inline(filter(array(
+    {_key("all")},
+    CASE WHEN valid THEN {_key("day", k_date="date")} END,
+    CASE WHEN revenue THEN {_key("country", k_country="country")} END,
+    CASE WHEN valid AND user_id IS NOT NULL
+         THEN {_key("user_day", k_date="date", k_user="user_id")} END
+  ), k -> k IS NOT NULL)) keys AS `set`, k_date, k_country, k_user
+GROUP BY `set`, k_date, k_country, k_user
+"""
+
+
 def report_rollup(raw: DataFrame) -> DataFrame:
     """Everything the report needs from the events, in one pass.
 
@@ -139,49 +180,11 @@ def report_rollup(raw: DataFrame) -> DataFrame:
     scanned twice.
 
     The fan-out is written as ``inline`` of an array of key structs rather
-    than ``groupingSets``: Spark 4.1 does not match a cached Expand plan when
-    one query reads it twice, which would silently rescan the events.
+    than ``GROUPING SETS``: Spark 4.1 does not match a cached Expand plan
+    when one query reads it twice, which would silently rescan the events.
     """
     events = per_event(tag_rules(raw), METRIC_COLUMNS)
-    first = F.col("first")
-    rows = events.select(
-        "event_id",
-        *[first[c].alias(c) for c in METRIC_COLUMNS],
-        first.isNotNull().alias("valid"), "n_ok", "n_ts", "n_etype", "n_no_user")
-    valid = F.col("valid")
-    etype = F.col("event_type")
-    revenue = valid & etype.isin(*REVENUE_EVENT_TYPES)
-    none_d = F.lit(None).cast("date")
-    none_s = F.lit(None).cast("string")
-    none_l = F.lit(None).cast("long")
-
-    def key(name, date, country, user):
-        return F.struct(F.lit(name).alias("set"), date.alias("k_date"),
-                        country.alias("k_country"), user.alias("k_user"))
-
-    keys = F.filter(F.array(
-        key("all", none_d, none_s, none_l),
-        F.when(valid, key("day", F.col("date"), none_s, none_l)),
-        F.when(revenue, key("country", none_d, F.col("country"), none_l)),
-        F.when(valid & F.col("user_id").isNotNull(),
-               key("user_day", F.col("date"), none_s, F.col("user_id"))),
-    ), lambda k: k.isNotNull())
-    n_copies = F.col("n_ok") + F.col("n_ts") + F.col("n_etype")
-    fanned = rows.select("*", F.inline(keys))
-    return fanned.groupBy("set", "k_date", "k_country", "k_user").agg(
-        F.sum(n_copies).alias("raw_rows"),
-        F.count_if(valid).alias("valid_rows"),
-        F.sum("n_ts").alias("invalid_ts"),
-        F.sum("n_etype").alias("invalid_etype"),
-        F.sum("n_ok").alias("survivors"),
-        F.sum(F.when(F.col("event_id").isNull(), n_copies).otherwise(F.col("n_no_user")))
-         .alias("null_id_rows"),
-        F.count_if(valid & (etype == "page_view")).alias("pv"),
-        F.count_if(valid & (etype == "signup")).alias("signup"),
-        F.count_if(valid & (etype == "purchase")).alias("purchase"),
-        F.count_if(revenue).alias("revenue_events"),
-        F.coalesce(F.sum(F.when(revenue, F.col("amount"))), F.lit(0.0)).alias("net_revenue"),
-    ).withColumnsRenamed({"k_date": "date", "k_country": "country", "k_user": "user_id"})
+    return raw.sparkSession.sql(_ROLLUP_SQL, events=events)
 
 
 def build_report(raw: DataFrame, top_n: int = TOP_N, threshold: float = ANOMALY_Z,
@@ -218,28 +221,29 @@ def build_report(raw: DataFrame, top_n: int = TOP_N, threshold: float = ANOMALY_
     return report
 
 
+_COUNTS_SQL = """
+SELECT CAST(coalesce(raw_rows, 0) AS BIGINT) AS raw_rows,
+       CAST(coalesce(valid_rows, 0) AS BIGINT) AS valid_rows,
+       CAST(coalesce(raw_rows, 0) - coalesce(valid_rows, 0) AS BIGINT) AS dropped_rows,
+       named_struct(
+         'invalid_ts', CAST(coalesce(invalid_ts, 0) AS BIGINT),
+         'invalid_etype', CAST(coalesce(invalid_etype, 0) AS BIGINT),
+         'duplicate_event_id', CAST(coalesce(survivors, 0) - coalesce(valid_rows, 0) AS BIGINT)
+       ) AS breakdown,
+       CAST(coalesce(null_id_rows, 0) AS BIGINT) AS null_id_rows
+FROM {rollup} WHERE `set` = 'all'"""
+
+
 def report_from_rollup(rollup: DataFrame, top_n: int = TOP_N, threshold: float = ANOMALY_Z,
                        offset_days: int = RETENTION_DAY_OFFSET) -> Report:
     """Every section from a (stored) rollup table."""
-    part = lambda set_name: rollup.where(F.col("set") == set_name)
-    z = F.lit(0)
-    counts = part("all").select(
-        F.coalesce("raw_rows", z).cast("long").alias("raw_rows"),
-        F.coalesce("valid_rows", z).cast("long").alias("valid_rows"),
-        (F.coalesce("raw_rows", z) - F.coalesce("valid_rows", z)).cast("long").alias("dropped_rows"),
-        F.struct(
-            F.coalesce("invalid_ts", z).cast("long").alias("invalid_ts"),
-            F.coalesce("invalid_etype", z).cast("long").alias("invalid_etype"),
-            (F.coalesce("survivors", z) - F.coalesce("valid_rows", z))
-             .cast("long").alias("duplicate_event_id"),
-        ).alias("breakdown"),
-        F.coalesce("null_id_rows", z).cast("long").alias("null_id_rows"),
-    )
-    facts = part("day").select(
-        "date", F.col("valid_rows").alias("events"), "pv", "signup", "purchase",
-        "revenue_events", "net_revenue")
-    totals = part("country").select("country", F.col("net_revenue").alias("total"))
-    pairs = part("user_day").select("user_id", "date")
+    sql = rollup.sparkSession.sql
+    counts = sql(_COUNTS_SQL, rollup=rollup)
+    facts = sql("SELECT date, valid_rows AS events, pv, signup, purchase, revenue_events, "
+                "net_revenue FROM {rollup} WHERE `set` = 'day'", rollup=rollup)
+    totals = sql("SELECT country, net_revenue AS total FROM {rollup} WHERE `set` = 'country'",
+                 rollup=rollup)
+    pairs = sql("SELECT user_id, date FROM {rollup} WHERE `set` = 'user_day'", rollup=rollup)
     revenue = M.revenue_daily(facts=facts)
     return Report(
         range=M.date_range(facts=facts),

@@ -42,28 +42,21 @@ def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = e.join(n, n.n_nationkey == e.user_id % N_NATIONS)
-    eid = F.col("event_id")
-    et = F.col("event_type")
-    device = (F.when(eid % 3 == 0, F.lit(DEVICES[0]))
-              .when(eid % 3 == 1, F.lit(DEVICES[1]))
-              .otherwise(F.lit(DEVICES[2])))
-    return j.select(
-        eid.alias("ord"),
-        F.when(eid % 100 == 7, eid - 1).otherwise(eid).alias("event_id"),
-        F.col("user_id"),
-        F.when(eid % 200 == 0, F.lit("2099-01-01 00:00:00"))
-         .when(eid % 200 == 50, F.lit("not-a-date"))
-         .otherwise(F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss")).alias("ts"),
-        F.when(et == "view", F.lit("page_view"))
-         .when(et == "error", F.lit("refund"))
-         .otherwise(et).alias("event_type"),
-        F.when(et == "error", -F.col("value")).otherwise(F.col("value")).alias("amount"),
-        F.when(eid % 50 == 1, F.lit(None).cast("string"))
-         .when(eid % 50 == 2, F.lit(""))
-         .when(eid % 50 == 3, F.concat(F.lit("  "), F.lower(F.col("n_name"))))
-         .otherwise(F.col("n_name")).alias("country"),
-        device.alias("device"),
-        (F.col("user_id") * 1000 + eid % 1000).alias("session_id"),
+    return j.selectExpr(
+        "event_id AS ord",
+        "CASE WHEN event_id % 100 = 7 THEN event_id - 1 ELSE event_id END AS event_id",
+        "user_id",
+        "CASE WHEN event_id % 200 = 0 THEN '2099-01-01 00:00:00' "
+        "WHEN event_id % 200 = 50 THEN 'not-a-date' "
+        "ELSE date_format(ts, 'yyyy-MM-dd HH:mm:ss') END AS ts",
+        "CASE WHEN event_type = 'view' THEN 'page_view' "
+        "WHEN event_type = 'error' THEN 'refund' ELSE event_type END AS event_type",
+        "CASE WHEN event_type = 'error' THEN -value ELSE value END AS amount",
+        "CASE WHEN event_id % 50 = 1 THEN CAST(NULL AS STRING) WHEN event_id % 50 = 2 THEN '' "
+        "WHEN event_id % 50 = 3 THEN concat('  ', lower(n_name)) ELSE n_name END AS country",
+        f"CASE event_id % 3 WHEN 0 THEN '{DEVICES[0]}' WHEN 1 THEN '{DEVICES[1]}' "
+        f"ELSE '{DEVICES[2]}' END AS device",
+        "user_id * 1000 + event_id % 1000 AS session_id",
     )
 
 
