@@ -67,8 +67,7 @@ def q_d3_event_type_filter(spark, sf):
 
 def q_d4_dedup_first(spark, sf):
     e = C.per_event(C.tag_rules(_f1(spark, sf)), ())
-    return C.clean_from_per_event(e, ()).join(
-        e.select("event_id", F.col("first.ord").alias("ord")), "event_id")
+    return e.where(F.col("first").isNotNull()).select("event_id", F.col("first.ord").alias("ord"))
 
 
 def q_d5_zero_amount(spark, sf):

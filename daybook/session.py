@@ -31,6 +31,11 @@ def get_session(master: str | None = None, app_name: str = "daybook",
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):
+        # One machine, small inputs: let AQE keep several small partitions
+        # so every core works.  Clusters keep the 64 MB default.
+        builder = (builder.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+                   .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k"))
     spark = builder.getOrCreate()
     use_utc(spark)
     return spark
