@@ -3,7 +3,7 @@
 Plan shape::
 
     raw scan ─ tag (narrow, codegen) ─ partial agg ─ Exchange(event_id) ─ first copy per event
-      └─ fan-out into keys {all, day, country, user_day} ─ partial agg ─ Exchange ─ final agg
+      └─ Expand into grouping sets {(), day, country, user-day} ─ partial agg ─ Exchange ─ final agg
            = the rollup: 1 counts row + 1 row per day + per revenue country + per user-day
              written once as parquet under spark.checkpoint.dir (lineage cut here)
 
@@ -128,19 +128,17 @@ class Report:
         self._scratch = None
 
 
-_NULLS = {"k_date": "CAST(NULL AS DATE)", "k_country": "CAST(NULL AS STRING)",
-          "k_user": "CAST(NULL AS BIGINT)"}
-
-
-def _key(name: str, **given: str) -> str:
-    fields = [f"'set', {sql_text(name)}"] + [f"'{k}', {given.get(k, v)}" for k, v in _NULLS.items()]
-    return f"named_struct({', '.join(fields)})"
-
-
 _REVENUE = f"event_type IN ({', '.join(sql_text(t) for t in REVENUE_EVENT_TYPES)})"
 
+# GROUPING SETS plan as one Expand (codegen'd) under one partial aggregate.
+# Groups that no section reads — invalid events (null date/country),
+# countries without revenue rows — are dropped when the table is read.
 _ROLLUP_SQL = f"""
-SELECT `set`, k_date AS date, k_country AS country, k_user AS user_id,
+SELECT CASE WHEN grouping(country) = 0 THEN 'country'
+            WHEN grouping(user_id) = 0 THEN 'user_day'
+            WHEN grouping(date) = 0 THEN 'day'
+            ELSE 'all' END AS `set`,
+  date, country, user_id,
   sum(n_ok + n_ts + n_etype) AS raw_rows,
   count_if(valid) AS valid_rows,
   sum(n_ts) AS invalid_ts,
@@ -157,31 +155,23 @@ FROM (
          coalesce(first.{_REVENUE}, false) AS revenue,
          n_ok, n_ts, n_etype, n_no_user
   FROM {{events}}
-) LATERAL VIEW inline(filter(array(
-    {_key("all")},
-    CASE WHEN valid THEN {_key("day", k_date="date")} END,
-    CASE WHEN revenue THEN {_key("country", k_country="country")} END,
-    CASE WHEN valid AND user_id IS NOT NULL
-         THEN {_key("user_day", k_date="date", k_user="user_id")} END
-  ), k -> k IS NOT NULL)) keys AS `set`, k_date, k_country, k_user
-GROUP BY `set`, k_date, k_country, k_user
+)
+GROUP BY GROUPING SETS ((), (date), (country), (user_id, date))
 """
 
 
 def report_rollup(raw: DataFrame) -> DataFrame:
     """Everything the report needs from the events, in one pass.
 
-    raw → tag → Exchange(event_id) → per-event first copy → each event fans
-    out into the grouping keys it contributes to — ``all`` (every event, for
-    the drop counts), ``day``, ``country`` (revenue events only) and
-    ``user_day`` — → partial aggregate → ONE exchange → final aggregate.
-    The result holds the counts, one row per day, per revenue country and
-    per active user-day, tagged by ``set``; nothing event-sized is cached or
-    scanned twice.
-
-    The fan-out is written as ``inline`` of an array of key structs rather
-    than ``GROUPING SETS``: Spark 4.1 does not match a cached Expand plan
-    when one query reads it twice, which would silently rescan the events.
+    raw → tag → Exchange(event_id) → per-event first copy → Expand into the
+    grouping sets (), (date), (country), (user_id, date) → partial aggregate
+    → ONE exchange → final aggregate.  The result holds the drop counts and
+    one row per day, per country and per active user-day, tagged by ``set``;
+    nothing event-sized is cached or scanned twice.
+
+    Callers write it out before reading it more than once (``build_report``
+    does): Spark 4.1 does not match a *cached* Expand plan when one query
+    reads it twice, which would silently rescan the events.
     """
     events = per_event(tag_rules(raw), METRIC_COLUMNS)
     return raw.sparkSession.sql(_ROLLUP_SQL, events=events)
@@ -240,10 +230,14 @@ def report_from_rollup(rollup: DataFrame, top_n: int = TOP_N, threshold: float =
     sql = rollup.sparkSession.sql
     counts = sql(_COUNTS_SQL, rollup=rollup)
     facts = sql("SELECT date, valid_rows AS events, pv, signup, purchase, revenue_events, "
-                "net_revenue FROM {rollup} WHERE `set` = 'day'", rollup=rollup)
-    totals = sql("SELECT country, net_revenue AS total FROM {rollup} WHERE `set` = 'country'",
+                "net_revenue FROM {rollup} WHERE `set` = 'day' AND date IS NOT NULL",
+                rollup=rollup)
+    totals = sql("SELECT country, net_revenue AS total FROM {rollup} "
+                 "WHERE `set` = 'country' AND country IS NOT NULL AND revenue_events > 0",
                  rollup=rollup)
-    pairs = sql("SELECT user_id, date FROM {rollup} WHERE `set` = 'user_day'", rollup=rollup)
+    pairs = sql("SELECT user_id, date FROM {rollup} "
+                "WHERE `set` = 'user_day' AND user_id IS NOT NULL AND date IS NOT NULL",
+                rollup=rollup)
     revenue = M.revenue_daily(facts=facts)
     return Report(
         range=M.date_range(facts=facts),
