@@ -9,6 +9,9 @@ from pyspark.sql import SparkSession
 
 UTC = "UTC"
 
+# Scratch folders chosen for local applications without spark.checkpoint.dir.
+_LOCAL_ROOTS: dict[str, str] = {}
+
 
 def get_session(master: str | None = None, app_name: str = "daybook",
                 shuffle_partitions: int | None = None) -> SparkSession:
@@ -54,19 +57,22 @@ def checkpoint_root(spark: SparkSession, allow_local: bool = True) -> str:
     tests) is a private scratch folder created and registered, so that
     snapshots and checkpoints have somewhere to go.
     """
-    sc = spark.sparkContext
     # The configured folder, not sc.getCheckpointDir(): Spark adds a fresh
     # per-application subfolder there, which a later run could never find.
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if not root:
-        root = sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception as exc:                     # e.g. a Spark Connect session
+        raise RuntimeError("spark.checkpoint.dir is not set") from exc
+    root = sc.getConf().get("spark.checkpoint.dir", None) or _LOCAL_ROOTS.get(sc.applicationId)
     if not root:
         if not allow_local or not sc.master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(e.g. an object-store prefix) visible to every executor")
-        root = tempfile.mkdtemp(prefix="daybook-ckpt-")
+        root = _LOCAL_ROOTS[sc.applicationId] = tempfile.mkdtemp(prefix="daybook-ckpt-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
