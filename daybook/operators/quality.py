@@ -98,7 +98,10 @@ def exact_median(df: DataFrame, col: str) -> float | None:
     if not n:
         return None
     ranks = sorted({(n - 1) // 2, n // 2})
-    picked = [_select_rank(values, k, stats["lo"], stats["hi"], 0) for k in ranks]
+    if n <= _MEDIAN_FINAL_ROWS:
+        picked = _rank_directly(values, ranks)
+    else:
+        picked = [_select_rank(values, k, stats["lo"], stats["hi"], 0) for k in ranks]
     return sum(picked) / len(picked)
 
 
@@ -117,24 +120,33 @@ def _select_rank(values: DataFrame, k: int, lo: float, hi: float, below: int) ->
                 .orderBy("b").collect())
         total = sum(r["c"] for r in hist)
         if total <= _MEDIAN_FINAL_ROWS:
-            return _rank_directly(in_range, k - below)
+            return _rank_directly(in_range, [k - below])[0]
         seen = below
         for r in hist:
             if seen + r["c"] > k:
                 if (r["mn"], r["mx"]) == (lo, hi):     # no progress possible
-                    return _rank_directly(in_range, k - below)
+                    return _rank_directly(in_range, [k - below])[0]
                 lo, hi, below = r["mn"], r["mx"], seen
                 break
             seen += r["c"]
 
 
-def _rank_directly(in_range: DataFrame, k: int) -> float:
-    """Rank a small candidate range: distinct values with cumulative counts."""
+def _rank_directly(in_range: DataFrame, ks: list[int]) -> list[float]:
+    """Values at 0-based ranks ``ks`` of a small candidate range, in one job.
+
+    Distinct values with cumulative counts: ties collapse before the
+    (single-partition) window, which therefore sees at most
+    ``_MEDIAN_FINAL_ROWS`` rows.
+    """
     vc = in_range.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
     upto = F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    row = (vc.select("v", (upto - F.col("c")).alias("start"), upto.alias("end"))
-           .where((F.col("start") <= k) & (F.col("end") > k)).first())
-    return row["v"]
+    ranked = vc.select("v", (upto - F.col("c")).alias("start"), upto.alias("end"))
+    hit = None
+    for k in ks:
+        cond = (F.col("start") <= k) & (F.col("end") > k)
+        hit = cond if hit is None else hit | cond
+    rows = ranked.where(hit).collect()
+    return [next(r["v"] for r in rows if r["start"] <= k < r["end"]) for k in ks]
 
 
 def purchase_amount_stats(raw: DataFrame, amount_col: str = "amount",
