@@ -7,7 +7,6 @@ except where a limit is the feature (top-N countries).
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +16,12 @@ from daybook.operators import clean as C
 from daybook.operators import metrics as M
 from daybook.operators import quality as Q
 from daybook.plans.report import build_report
-from daybook.plans.snapshot import snapshot_report
+from daybook.plans.snapshot import (
+    marker_present,
+    snapshot_report,
+    source_fingerprint,
+    write_marker,
+)
 from daybook.session import checkpoint_root, use_utc
 from daybook.sources.files import read_events_csv
 from daybook.sources.fixtures import (
@@ -173,11 +177,17 @@ def q_report_snapshot(spark, sf):
 
 
 def _f1_csv(spark, sf) -> str:
-    """F1 written once per input as header CSV (S6) in the shared folder."""
-    key = hashlib.sha256(sf.encode()).hexdigest()[:16]
-    path = f"{checkpoint_root(spark)}/daybook/fixtures/f1_csv_{key}"
-    write_events_csv(_f1(spark, sf).drop("ord"), path)
-    return path
+    """F1 as header CSV (S6) in the shared folder, written once per input.
+
+    The folder is named by the input fingerprint (files and plan); a marker
+    written last makes a half-written copy invisible.
+    """
+    f1 = _f1(spark, sf)
+    base = f"{checkpoint_root(spark)}/daybook/fixtures/f1_csv_{source_fingerprint(f1)}"
+    if not marker_present(spark, base):
+        write_events_csv(f1.drop("ord"), f"{base}/data")
+        write_marker(spark, base)
+    return f"{base}/data"
 
 
 def q_csv_clean_counts(spark, sf):

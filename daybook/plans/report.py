@@ -83,8 +83,9 @@ class Report:
     """The report's sections as small DataFrames (report field order).
 
     ``range`` and ``counts`` have one row; the other sections one row per
-    day, country or cohort, with the reference's field names.  ``revenue``
-    keeps unrounded daily revenue (the anomaly input).
+    day, country or cohort, with the reference's field names.
+    ``revenue_daily`` keeps unrounded revenue (the anomaly input); the
+    document rounds it to cents.
     """
 
     range: DataFrame

@@ -53,13 +53,20 @@ def source_fingerprint(raw: DataFrame) -> str:
     return hashlib.sha256(text.encode()).hexdigest()[:32]
 
 
-def _complete(spark, base: str) -> bool:
+def marker_present(spark, base: str) -> bool:
+    """True once ``write_marker`` has completed for ``base``."""
     try:
         return spark.read.text(f"{base}/{MARKER}").limit(1).count() == 1
     except AnalysisException:
         return False
 
 
+def write_marker(spark, base: str) -> None:
+    """Mark ``base`` complete; written last, after the data it vouches for."""
+    spark.createDataFrame([(base,)], "base string").write.mode("overwrite").text(
+        f"{base}/{MARKER}")
+
+
 def snapshot_report(raw: DataFrame, root: str | None = None, top_n: int = TOP_N,
                     threshold: float = ANOMALY_Z,
                     offset_days: int = RETENTION_DAY_OFFSET) -> tuple[Report, bool]:
@@ -75,12 +82,11 @@ def snapshot_report(raw: DataFrame, root: str | None = None, top_n: int = TOP_N,
     root = (root or f"{checkpoint_root(spark)}/daybook/report_snapshots").rstrip("/")
     key = source_fingerprint(raw)
     base = f"{root}/{key}"
-    reused = _complete(spark, base)
+    reused = marker_present(spark, base)
     if not reused:
         build_report(raw, top_n=top_n, threshold=threshold, offset_days=offset_days,
                      store=f"{base}/rollup")
-        spark.createDataFrame([(key,)], "key string").write.mode("overwrite").text(
-            f"{base}/{MARKER}")
+        write_marker(spark, base)
     report = report_from_rollup(spark.read.parquet(f"{base}/rollup"), top_n, threshold,
                                 offset_days)
     return report, reused
