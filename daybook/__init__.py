@@ -1,11 +1,10 @@
 """daybook — a Spark-first engine for cleaning event logs and reporting daily metrics.
 
-Everything is a DataFrame transform; Catalyst plans the work, and only
-day-, country- or cohort-sized results ever reach the driver.
+Every operator is a DataFrame/SQL transform that Catalyst plans; only day-,
+country- or cohort-sized results ever leave the executors.
 """
 
-from daybook.session import checkpoint_root, get_session, use_utc
-from daybook.operators.clean import clean_events, clean_with_counts, tag_rules
+from daybook.operators.clean import clean_counts, clean_events, clean_with_counts, tag_rules
 from daybook.operators.metrics import (
     anomalies,
     daily_facts,
@@ -16,19 +15,43 @@ from daybook.operators.metrics import (
     top_countries,
     user_days,
 )
-
+from daybook.operators.quality import (
+    dirty_profile,
+    event_type_distribution,
+    exact_median,
+    purchase_amount_stats,
+    refund_integrity,
+    refund_links,
+)
+from daybook.plans.report import Report, build_report
+from daybook.plans.snapshot import snapshot_report
+from daybook.session import checkpoint_root, get_session, use_utc
+from daybook.sources.files import read_events, read_events_csv, read_events_parquet
 
 __all__ = [
+    "Report",
     "anomalies",
+    "build_report",
     "checkpoint_root",
+    "clean_counts",
     "clean_events",
     "clean_with_counts",
     "daily_facts",
     "dau",
+    "dirty_profile",
+    "event_type_distribution",
+    "exact_median",
     "funnel_daily",
     "get_session",
+    "purchase_amount_stats",
+    "read_events",
+    "read_events_csv",
+    "read_events_parquet",
+    "refund_integrity",
+    "refund_links",
     "retention_d1",
     "revenue_daily",
+    "snapshot_report",
     "tag_rules",
     "top_countries",
     "use_utc",

@@ -1,0 +1 @@
+"""Operators: cleaning rules, metrics and data-quality checks."""
