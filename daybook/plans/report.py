@@ -196,8 +196,11 @@ def build_report(raw: DataFrame, top_n: int = TOP_N, threshold: float = ANOMALY_
     scratch = None
     if store is None:
         store = scratch = f"{checkpoint_root(spark)}/daybook/rollups/{uuid.uuid4().hex}"
-    report_rollup(raw).write.mode("overwrite").parquet(store)
-    report = report_from_rollup(spark.read.parquet(store), top_n, threshold, offset_days)
+    rollup = report_rollup(raw)
+    rollup.write.mode("overwrite").parquet(store)
+    # The schema is known: no footer-reading job to infer it again.
+    stored = spark.read.schema(rollup.schema).parquet(store)
+    report = report_from_rollup(stored, top_n, threshold, offset_days)
     report._scratch = scratch
     if check:
         row = report.counts_row()
