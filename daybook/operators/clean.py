@@ -112,6 +112,28 @@ def per_event(tagged: DataFrame, columns: tuple[str, ...] = _PAYLOAD) -> DataFra
     )
 
 
+def spread_small_input(raw: DataFrame) -> DataFrame:
+    """Hash-partition by event_id an input that has fewer splits than cores.
+
+    A small file (one parquet row group, one CSV split) would otherwise run
+    the whole cleaning projection in one task.  Partitioning by the dedup key
+    adds no exchange — the event_id aggregate's distribution is then already
+    satisfied — it only moves that exchange before the projection.  Inputs
+    with at least as many splits as cores (every large input) keep the
+    map-side partial aggregation before their single shuffle.
+    """
+    try:
+        cores = raw.sparkSession.sparkContext.defaultParallelism
+        splits = raw.rdd.getNumPartitions()
+    except Exception:                 # no RDD access (e.g. Spark Connect)
+        return raw
+    if splits >= cores:
+        return raw
+    if ORD not in raw.columns:        # number rows in input order, before the shuffle
+        raw = raw.withColumn(ORD, F.monotonically_increasing_id())
+    return raw.repartition(cores, "event_id")
+
+
 def clean_from_per_event(events: DataFrame, columns: tuple[str, ...] = _PAYLOAD) -> DataFrame:
     """Rule D4's survivors, flattened back to clean-event columns."""
     return (events.where(F.col(FIRST).isNotNull())
@@ -158,7 +180,7 @@ def clean_with_counts(raw: DataFrame, columns: tuple[str, ...] = _PAYLOAD,
     (memory, spilling to disk) so that the two outputs — and every metric
     computed from ``clean`` — reuse one shuffle; the caller unpersists it.
     """
-    events = per_event(tag_rules(raw), columns)
+    events = per_event(tag_rules(spread_small_input(raw)), columns)
     if persist:
         events = events.persist()
     return clean_from_per_event(events, columns), counts_from_per_event(events), events
@@ -166,9 +188,9 @@ def clean_with_counts(raw: DataFrame, columns: tuple[str, ...] = _PAYLOAD,
 
 def clean_events(raw: DataFrame) -> DataFrame:
     """Rules D1–D5: the clean event table (event_id unique)."""
-    return clean_from_per_event(per_event(tag_rules(raw)))
+    return clean_from_per_event(per_event(tag_rules(spread_small_input(raw))))
 
 
 def clean_counts(raw: DataFrame) -> DataFrame:
     """Rule accounting only (one row)."""
-    return counts_from_per_event(per_event(tag_rules(raw), ()))
+    return counts_from_per_event(per_event(tag_rules(spread_small_input(raw)), ()))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 
 from daybook.functions.expressions import sql_text
 from daybook.operators import metrics as M
-from daybook.operators.clean import per_event, tag_rules
+from daybook.operators.clean import per_event, spread_small_input, tag_rules
 from daybook.schema import (
     ANOMALY_Z,
     FUNNEL_STEPS,
@@ -174,10 +174,11 @@ def report_rollup(raw: DataFrame) -> DataFrame:
     does): Spark 4.1 does not match a *cached* Expand plan when one query
     reads it twice, which would silently rescan the events.
     """
-    events = per_event(tag_rules(raw), METRIC_COLUMNS)
+    events = per_event(tag_rules(spread_small_input(raw)), METRIC_COLUMNS)
     return raw.sparkSession.sql(_ROLLUP_SQL, events=events)
 
 
+
 def build_report(raw: DataFrame, top_n: int = TOP_N, threshold: float = ANOMALY_Z,
                  offset_days: int = RETENTION_DAY_OFFSET, check: bool = True,
                  store: str | None = None) -> Report:

@@ -194,3 +194,12 @@ def test_clean_and_counts_share_one_aggregate(make_raw):
 def test_missing_ids_are_reported(make_raw):
     df = make_raw([{"event_id": None}, {"user_id": None}, {}])
     assert clean_counts(df).first()["null_id_rows"] == 2
+
+
+def test_first_seen_without_ord_column(spark):
+    # No ord: the input's own row order decides, even when the small input
+    # is spread over the cores before cleaning.
+    rows = [(9, 30 + i, "2023-01-01 00:00:00", "page_view", 0.0, "US", "web", 1) for i in range(50)]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, ts string, event_type string, "
+                                     "amount double, country string, device string, session_id long")
+    assert clean_events(df.coalesce(1)).first()["user_id"] == 30
