@@ -8,7 +8,8 @@ from daybook.functions.expressions import (
     parse_utc_timestamp,
     parse_utc_timestamp_sql,
     round_half_even,
-    safe_ratio,
+    round_half_even_sql,
+    safe_ratio_sql,
     sql_text,
 )
 
@@ -20,6 +21,7 @@ __all__ = [
     "parse_utc_timestamp",
     "parse_utc_timestamp_sql",
     "round_half_even",
-    "safe_ratio",
+    "round_half_even_sql",
+    "safe_ratio_sql",
     "sql_text",
 ]

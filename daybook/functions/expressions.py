@@ -67,10 +67,15 @@ def round_half_even(x: Column, digits: int) -> Column:
     return F.rint(x * F.lit(scale)) / F.lit(scale)
 
 
-def safe_ratio(num: Column, den: Column, digits: int = 4) -> Column:
-    """num/den rounded half-even, 0.0 when the denominator is not positive."""
-    ratio = num.cast("double") / den.cast("double")
-    return F.when(den > 0, round_half_even(ratio, digits)).otherwise(F.lit(0.0))
+def round_half_even_sql(x: str, digits: int) -> str:
+    """numpy.round semantics in SQL text (the double literal keeps it double)."""
+    return f"rint({x} * 1e{digits}) / 1e{digits}"
+
+
+def safe_ratio_sql(num: str, den: str, digits: int = 4) -> str:
+    """num/den rounded half-even; 0.0 unless the denominator is positive."""
+    ratio = round_half_even_sql(f"CAST({num} AS DOUBLE) / {den}", digits)
+    return f"CASE WHEN {den} > 0 THEN {ratio} ELSE 0D END"
 
 
 def money(x: Column) -> Column:

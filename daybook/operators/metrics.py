@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions.expressions import round_half_even_sql, safe_ratio_sql
 from daybook.schema import (
     ANOMALY_Z,
     FUNNEL_STEPS,
@@ -37,12 +38,6 @@ def _quoted(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
-def _ratio(num: str, den: str) -> str:
-    """num/den half-even to 4 dp (numpy.round); 0.0 unless den > 0."""
-    return (f"CASE WHEN {den} > 0 THEN rint(CAST({num} AS DOUBLE) / {den} * 1e4) / 1e4 "
-            f"ELSE 0D END")
-
-
 def _run(query: str, **frames: DataFrame) -> DataFrame:
     spark = next(iter(frames.values())).sparkSession
     return spark.sql(query, **frames)
@@ -89,8 +84,8 @@ def dau(clean: DataFrame | None = None, pairs: DataFrame | None = None) -> DataF
 
 _FUNNEL = (
     "SELECT date, pv, signup, purchase, "
-    f"{_ratio('signup', 'pv')} AS pv_to_signup, "
-    f"{_ratio('purchase', 'signup')} AS signup_to_purchase "
+    f"{safe_ratio_sql('signup', 'pv')} AS pv_to_signup, "
+    f"{safe_ratio_sql('purchase', 'signup')} AS signup_to_purchase "
     "FROM {facts} WHERE pv + signup + purchase > 0")
 
 
@@ -164,8 +159,9 @@ def anomalies(revenue: DataFrame, threshold: float = ANOMALY_Z,
     self-join (which would also defeat caching of the input).
     """
     col = f"`{value_col}`"
+    z = round_half_even_sql("(v - mu) / sd", 4)
     return _run(
-        f"SELECT date, round(v, 2) AS {col}, rint((v - mu) / sd * 1e4) / 1e4 AS z FROM ("
+        f"SELECT date, round(v, 2) AS {col}, {z} AS z FROM ("
         f"SELECT date, {col} AS v, count(1) OVER () AS n, avg({col}) OVER () AS mu, "
         f"stddev_pop({col}) OVER () AS sd FROM {{revenue}}) "
         f"WHERE n >= 2 AND sd > 0 AND (v - mu) / sd > {float(threshold)!r}D",
@@ -199,7 +195,7 @@ def retention_d1(clean: DataFrame | None = None, pairs: DataFrame | None = None,
     """
     pairs = pairs if pairs is not None else user_days(clean)
     return _run(
-        f"SELECT cohort_date, users, retained, {_ratio('retained', 'users')} AS rate FROM ("
+        f"SELECT cohort_date, users, retained, {safe_ratio_sql('retained', 'users')} AS rate FROM ("
         "SELECT *, max(last_seen) OVER () AS last_day FROM ("
         "SELECT cohort_date, count_if(date = cohort_date) AS users, "
         f"count_if(date = date_add(cohort_date, {int(offset_days)})) AS retained, "
