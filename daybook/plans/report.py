@@ -198,7 +198,9 @@ def build_report(raw: DataFrame, top_n: int = TOP_N, threshold: float = ANOMALY_
     if store is None:
         store = scratch = f"{checkpoint_root(spark)}/daybook/rollups/{uuid.uuid4().hex}"
     rollup = report_rollup(raw)
-    rollup.write.mode("overwrite").parquet(store)
+    # Partitioned by `set`: each section then reads only its own folder —
+    # the day, country and counts sections never touch the user-day rows.
+    rollup.write.mode("overwrite").partitionBy("set").parquet(store)
     # The schema is known: no footer-reading job to infer it again.
     stored = spark.read.schema(rollup.schema).parquet(store)
     report = report_from_rollup(stored, top_n, threshold, offset_days)
