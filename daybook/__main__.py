@@ -3,6 +3,7 @@
     python -m daybook events.csv                  # → report.json
     python -m daybook events/ --out my.json
     python -m daybook events.parquet --format parquet
+    python -m daybook events.csv --tables s3a://bucket/report_tables/
 
 Exit code 1 when the input does not exist or no valid row remains, as the
 reference's command line does.  ``--chunksize`` is accepted for
@@ -29,6 +30,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--format", choices=["csv", "parquet"], default=None,
                    help="input format (default: from the suffix, else csv)")
     p.add_argument("--chunksize", type=int, default=None, help="ignored (splits are automatic)")
+    p.add_argument("--tables", default=None,
+                   help="also write every section as a parquet table under this folder")
     p.add_argument("--master", default=None, help="Spark master (default: spark-submit's)")
     return p
 
@@ -45,6 +48,8 @@ def main(argv: list[str] | None = None) -> int:
     try:
         report = build_report(read_events(spark, args.events, args.format))
         doc = report.to_dict()
+        if args.tables:
+            report.write_tables(args.tables)
         report.release()
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc):

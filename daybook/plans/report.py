@@ -40,6 +40,7 @@ from daybook.schema import (
     TOP_N,
 )
 from daybook.session import checkpoint_root, local_path
+from daybook.sources.sinks import write_tables
 
 # Columns of the clean table the metrics read; nothing else is shuffled.
 METRIC_COLUMNS = ("user_id", "date", "event_type", "amount", "country")
@@ -112,6 +113,10 @@ class Report:
         spark = self.counts.sparkSession
         return spark.sql(_DOCUMENT_SQL, **self.sections())
 
+    def write_tables(self, root: str) -> None:
+        """Each section as a parquet table under ``root`` (dates stay dates)."""
+        write_tables(self.sections(), root)
+
     def to_dict(self) -> dict:
         """The report as a Python dict (collects only the document row)."""
         return json.loads(self.document().first()["report"])

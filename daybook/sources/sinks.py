@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 from pathlib import Path
 
 from pyspark.sql import DataFrame
@@ -52,7 +51,6 @@ def write_events_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite") -> None:
-    """Persist named metric tables as parquet under ``root``."""
+    """Persist named (small) tables as parquet folders under ``root``."""
     for name, df in tables.items():
-        df.write.mode(mode).parquet(os.path.join(root, name) if "://" not in root
-                                    else f"{root.rstrip('/')}/{name}")
+        df.write.mode(mode).parquet(f"{root.rstrip('/')}/{name}")

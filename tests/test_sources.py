@@ -66,9 +66,11 @@ def test_cli_writes_report(spark, make_raw, tmp_path):
     src = str(tmp_path / "events")
     write_events_csv(make_raw([{"event_type": "purchase", "amount": 9.5}, {}]).drop("ord"), src)
     out = tmp_path / "out" / "report.json"
-    assert main([src, "--out", str(out)]) == 0
+    tables = str(tmp_path / "tables")
+    assert main([src, "--out", str(out), "--tables", tables]) == 0
     doc = json.loads(out.read_text())
     assert doc["counts"]["raw_rows"] == 2 and doc["revenue_daily"][0]["net_revenue"] == 9.5
+    assert spark.read.parquet(f"{tables}/dau").first()["dau"] == 1
 
 
 def test_cli_exit_codes(spark, make_raw, tmp_path):
