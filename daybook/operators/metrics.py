@@ -45,18 +45,81 @@ def _run(query: str, **frames: DataFrame) -> DataFrame:
 
 _REVENUE = f"event_type IN ({_quoted(REVENUE_EVENT_TYPES)})"
 
-_DAILY_FACTS = (
-    "SELECT date, count(1) AS events, "
-    + "".join(f"count_if(event_type = '{etype}') AS {name}, " for etype, name in FUNNEL_STEPS)
-    + f"count_if({_REVENUE}) AS revenue_events, "
+# Each metric is a SQL template over named inputs.  The DataFrame functions
+# below run a template with ``spark.sql(template, name=df)`` (the default
+# arguments are ``{name}`` placeholders); the report composes the same
+# templates as CTEs of one statement by passing CTE names instead.
+
+
+def daily_facts_sql(clean: str = "{clean}") -> str:
+    steps = "".join(f"count_if(event_type = '{etype}') AS {name}, "
+                    for etype, name in FUNNEL_STEPS)
     # pandas sums an all-missing group to 0.0; Spark would give null.
-    + f"coalesce(sum(CASE WHEN {_REVENUE} THEN amount END), 0D) AS net_revenue "
-    + "FROM {clean} GROUP BY date")
+    return (f"SELECT date, count(1) AS events, {steps}"
+            f"count_if({_REVENUE}) AS revenue_events, "
+            f"coalesce(sum(CASE WHEN {_REVENUE} THEN amount END), 0D) AS net_revenue "
+            f"FROM {clean} GROUP BY date")
+
+
+def user_days_sql(clean: str = "{clean}") -> str:
+    return f"SELECT DISTINCT user_id, date FROM {clean} WHERE user_id IS NOT NULL"
+
+
+def dau_sql(pairs: str = "{pairs}") -> str:
+    return f"SELECT date, count(1) AS dau FROM {pairs} GROUP BY date"
+
+
+def funnel_sql(facts: str = "{facts}") -> str:
+    return (f"SELECT date, pv, signup, purchase, "
+            f"{safe_ratio_sql('signup', 'pv')} AS pv_to_signup, "
+            f"{safe_ratio_sql('purchase', 'signup')} AS signup_to_purchase "
+            f"FROM {facts} WHERE pv + signup + purchase > 0")
+
+
+def revenue_sql(facts: str = "{facts}") -> str:
+    return f"SELECT date, net_revenue FROM {facts} WHERE revenue_events > 0"
+
+
+def country_totals_sql(clean: str = "{clean}") -> str:
+    return (f"SELECT country, coalesce(sum(amount), 0D) AS total FROM {clean} "
+            f"WHERE {_REVENUE} GROUP BY country")
+
+
+def top_countries_sql(n: int = TOP_N, totals: str = "{totals}") -> str:
+    return ("SELECT row_number() OVER (ORDER BY total DESC, country) AS rank, country, "
+            "round(total, 2) AS net_revenue "
+            f"FROM (SELECT country, total FROM {totals} ORDER BY total DESC, country "
+            f"LIMIT {int(n)})")
+
+
+def anomalies_sql(threshold: float = ANOMALY_Z, value_col: str = "net_revenue",
+                  revenue: str = "{revenue}") -> str:
+    col = f"`{value_col}`"
+    z = round_half_even_sql("(v - mu) / sd", 4)
+    return (f"SELECT date, round(v, 2) AS {col}, {z} AS z FROM ("
+            f"SELECT date, {col} AS v, count(1) OVER () AS n, avg({col}) OVER () AS mu, "
+            f"stddev_pop({col}) OVER () AS sd FROM {revenue}) "
+            f"WHERE n >= 2 AND sd > 0 AND (v - mu) / sd > {float(threshold)!r}D")
+
+
+def retention_sql(offset_days: int = RETENTION_DAY_OFFSET, pairs: str = "{pairs}") -> str:
+    return (f"SELECT cohort_date, users, retained, {safe_ratio_sql('retained', 'users')} AS rate "
+            "FROM (SELECT *, max(last_seen) OVER () AS last_day FROM ("
+            "SELECT cohort_date, count_if(date = cohort_date) AS users, "
+            f"count_if(date = date_add(cohort_date, {int(offset_days)})) AS retained, "
+            "max(date) AS last_seen FROM ("
+            "SELECT user_id, date, min(date) OVER (PARTITION BY user_id) AS cohort_date "
+            f"FROM {pairs}) GROUP BY cohort_date)) "
+            "WHERE cohort_date < last_day")
+
+
+def date_range_sql(src: str = "{src}") -> str:
+    return f"SELECT min(date) AS start, max(date) AS `end` FROM {src}"
 
 
 def daily_facts(clean: DataFrame) -> DataFrame:
     """Per day: all events, funnel step counts, revenue rows and net revenue."""
-    return _run(_DAILY_FACTS, clean=clean)
+    return _run(daily_facts_sql(), clean=clean)
 
 
 def user_days(clean: DataFrame) -> DataFrame:
@@ -64,8 +127,7 @@ def user_days(clean: DataFrame) -> DataFrame:
 
     A missing user id is not a user (pandas ``nunique`` skips it).
     """
-    return _run("SELECT DISTINCT user_id, date FROM {clean} WHERE user_id IS NOT NULL",
-                clean=clean)
+    return _run(user_days_sql(), clean=clean)
 
 
 # ---------------------------------------------------------------------------
@@ -75,20 +137,13 @@ def user_days(clean: DataFrame) -> DataFrame:
 def dau(clean: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
     """Exact distinct users per day; only days with events; (date, dau)."""
     pairs = pairs if pairs is not None else user_days(clean)
-    return _run("SELECT date, count(1) AS dau FROM {pairs} GROUP BY date", pairs=pairs)
+    return _run(dau_sql(), pairs=pairs)
 
 
 # ---------------------------------------------------------------------------
 # M2 — daily conversion funnel
 # ---------------------------------------------------------------------------
 
-_FUNNEL = (
-    "SELECT date, pv, signup, purchase, "
-    f"{safe_ratio_sql('signup', 'pv')} AS pv_to_signup, "
-    f"{safe_ratio_sql('purchase', 'signup')} AS signup_to_purchase "
-    "FROM {facts} WHERE pv + signup + purchase > 0")
-
-
 def funnel_daily(clean: DataFrame | None = None, facts: DataFrame | None = None) -> DataFrame:
     """(date, pv, signup, purchase, pv_to_signup, signup_to_purchase).
 
@@ -96,7 +151,7 @@ def funnel_daily(clean: DataFrame | None = None, facts: DataFrame | None = None)
     not); rates are half-even to 4 dp and 0.0 on a zero denominator.
     """
     facts = facts if facts is not None else daily_facts(clean)
-    return _run(_FUNNEL, facts=facts)
+    return _run(funnel_sql(), facts=facts)
 
 
 # ---------------------------------------------------------------------------
@@ -110,7 +165,7 @@ def revenue_daily(clean: DataFrame | None = None, facts: DataFrame | None = None
     cents at the report edge.
     """
     facts = facts if facts is not None else daily_facts(clean)
-    return _run("SELECT date, net_revenue FROM {facts} WHERE revenue_events > 0", facts=facts)
+    return _run(revenue_sql(), facts=facts)
 
 
 # ---------------------------------------------------------------------------
@@ -119,8 +174,7 @@ def revenue_daily(clean: DataFrame | None = None, facts: DataFrame | None = None
 
 def country_totals(clean: DataFrame) -> DataFrame:
     """(country, total): unrounded net revenue of countries with revenue rows."""
-    return _run("SELECT country, coalesce(sum(amount), 0D) AS total FROM {clean} "
-                f"WHERE {_REVENUE} GROUP BY country", clean=clean)
+    return _run(country_totals_sql(), clean=clean)
 
 
 def top_countries(clean: DataFrame | None = None, n: int = TOP_N,
@@ -135,11 +189,7 @@ def top_countries(clean: DataFrame | None = None, n: int = TOP_N,
     rounding makes sums look tied) is a window over the n rows left.
     """
     totals = totals if totals is not None else country_totals(clean)
-    return _run(
-        "SELECT row_number() OVER (ORDER BY total DESC, country) AS rank, country, "
-        "round(total, 2) AS net_revenue "
-        f"FROM (SELECT country, total FROM {{totals}} ORDER BY total DESC, country "
-        f"LIMIT {int(n)})", totals=totals)
+    return _run(top_countries_sql(n), totals=totals)
 
 
 # ---------------------------------------------------------------------------
@@ -158,14 +208,7 @@ def anomalies(revenue: DataFrame, threshold: float = ANOMALY_Z,
     aggregates over at most one row per calendar day — one pass, and no
     self-join (which would also defeat caching of the input).
     """
-    col = f"`{value_col}`"
-    z = round_half_even_sql("(v - mu) / sd", 4)
-    return _run(
-        f"SELECT date, round(v, 2) AS {col}, {z} AS z FROM ("
-        f"SELECT date, {col} AS v, count(1) OVER () AS n, avg({col}) OVER () AS mu, "
-        f"stddev_pop({col}) OVER () AS sd FROM {{revenue}}) "
-        f"WHERE n >= 2 AND sd > 0 AND (v - mu) / sd > {float(threshold)!r}D",
-        revenue=revenue)
+    return _run(anomalies_sql(threshold, value_col), revenue=revenue)
 
 
 def order_anomalies(df: DataFrame) -> DataFrame:
@@ -194,18 +237,10 @@ def retention_d1(clean: DataFrame | None = None, pairs: DataFrame | None = None,
     window over the cohort-sized table, no second pass over the pairs.
     """
     pairs = pairs if pairs is not None else user_days(clean)
-    return _run(
-        f"SELECT cohort_date, users, retained, {safe_ratio_sql('retained', 'users')} AS rate FROM ("
-        "SELECT *, max(last_seen) OVER () AS last_day FROM ("
-        "SELECT cohort_date, count_if(date = cohort_date) AS users, "
-        f"count_if(date = date_add(cohort_date, {int(offset_days)})) AS retained, "
-        "max(date) AS last_seen FROM ("
-        "SELECT user_id, date, min(date) OVER (PARTITION BY user_id) AS cohort_date "
-        "FROM {pairs}) GROUP BY cohort_date)) "
-        "WHERE cohort_date < last_day", pairs=pairs)
+    return _run(retention_sql(offset_days), pairs=pairs)
 
 
 def date_range(clean: DataFrame | None = None, facts: DataFrame | None = None) -> DataFrame:
     """One row (start, end): first and last day with clean events."""
     src = facts if facts is not None else clean
-    return _run("SELECT min(date) AS start, max(date) AS `end` FROM {src}", src=src)
+    return _run(date_range_sql(), src=src)

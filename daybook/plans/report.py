@@ -49,69 +49,125 @@ SECTIONS = ("range", "counts", "dau", "funnel", "revenue_daily",
             "top_countries", "anomalies", "retention_d1")
 
 
-def _listed(name: str, table: str, sort_key: str, fields: str) -> str:
+# Parts of the stored rollup table that the sections read.  Groups no
+# section needs — invalid events (null date/country), countries without
+# revenue rows — are dropped here; `set` is the partition column, so each
+# part reads only its own folder.
+def _rollup_parts(rollup: str) -> list[tuple[str, str]]:
+    return [
+        ("r_counts", f"""
+SELECT CAST(coalesce(raw_rows, 0) AS BIGINT) AS raw_rows,
+       CAST(coalesce(valid_rows, 0) AS BIGINT) AS valid_rows,
+       CAST(coalesce(raw_rows, 0) - coalesce(valid_rows, 0) AS BIGINT) AS dropped_rows,
+       named_struct(
+         'invalid_ts', CAST(coalesce(invalid_ts, 0) AS BIGINT),
+         'invalid_etype', CAST(coalesce(invalid_etype, 0) AS BIGINT),
+         'duplicate_event_id', CAST(coalesce(survivors, 0) - coalesce(valid_rows, 0) AS BIGINT)
+       ) AS breakdown,
+       CAST(coalesce(null_id_rows, 0) AS BIGINT) AS null_id_rows
+FROM {rollup} WHERE `set` = 'all'"""),
+        ("r_facts", "SELECT date, valid_rows AS events, pv, signup, purchase, revenue_events, "
+                    f"net_revenue FROM {rollup} WHERE `set` = 'day' AND date IS NOT NULL"),
+        ("r_totals", f"SELECT country, net_revenue AS total FROM {rollup} "
+                     "WHERE `set` = 'country' AND country IS NOT NULL AND revenue_events > 0"),
+        ("r_pairs", f"SELECT user_id, date FROM {rollup} "
+                    "WHERE `set` = 'user_day' AND user_id IS NOT NULL AND date IS NOT NULL"),
+    ]
+
+
+def _section_ctes(top_n: int, threshold: float, offset_days: int) -> list[tuple[str, str]]:
+    """Every section as a CTE: the metric templates applied to rollup parts."""
+    return _rollup_parts("{rollup}") + [
+        ("s_range", M.date_range_sql("r_facts")),
+        ("s_counts", "SELECT * FROM r_counts"),
+        ("s_dau", M.dau_sql("r_pairs")),
+        ("s_funnel", M.funnel_sql("r_facts")),
+        ("s_revenue_daily", M.revenue_sql("r_facts")),
+        ("s_top_countries", M.top_countries_sql(top_n, "r_totals")),
+        ("s_anomalies", M.anomalies_sql(threshold, "net_revenue", "s_revenue_daily")),
+        ("s_retention_d1", M.retention_sql(offset_days, "r_pairs")),
+    ]
+
+
+def _with(ctes: list[tuple[str, str]]) -> str:
+    return "WITH " + ",\n".join(f"{name} AS ({query})" for name, query in ctes) + "\n"
+
+
+def _listed(name: str, sort_key: str, fields: str) -> str:
     return (f"""'"{name}":' || (SELECT to_json(transform(sort_array(collect_list(
-      named_struct('k', {sort_key}, 'v', named_struct({fields})))), x -> x.v)) FROM {{{table}}})""")
+      named_struct('k', {sort_key}, 'v', named_struct({fields})))), x -> x.v)) FROM s_{name})""")
 
 
 def _iso(c: str) -> str:
     return f"'{c}', date_format({c}, 'yyyy-MM-dd')"
 
 
-# The report document (braces doubled: the text is a spark.sql template).
-_DOCUMENT_SQL = "SELECT concat('{{', array_join(array(" + ",\n".join([
+# The report document over the section CTEs (braces doubled: the text is a
+# spark.sql template whose only input is {rollup}).
+_DOCUMENT_SELECT = "SELECT concat('{{', array_join(array(" + ",\n".join([
     """'"range":' || (SELECT to_json(named_struct('start', date_format(start, 'yyyy-MM-dd'),
-      'end', date_format(`end`, 'yyyy-MM-dd'))) FROM {range})""",
+      'end', date_format(`end`, 'yyyy-MM-dd'))) FROM s_range)""",
     """'"counts":' || (SELECT to_json(named_struct('raw_rows', raw_rows, 'valid_rows',
-      valid_rows, 'dropped_rows', dropped_rows, 'breakdown', breakdown)) FROM {counts})""",
-    _listed("dau", "dau", "date", _iso("date") + ", 'dau', dau"),
-    _listed("funnel", "funnel", "date",
+      valid_rows, 'dropped_rows', dropped_rows, 'breakdown', breakdown)) FROM s_counts)""",
+    _listed("dau", "date", _iso("date") + ", 'dau', dau"),
+    _listed("funnel", "date",
             _iso("date") + ", 'pv', pv, 'signup', signup, 'purchase', purchase, "
             "'pv_to_signup', pv_to_signup, 'signup_to_purchase', signup_to_purchase"),
-    _listed("revenue_daily", "revenue_daily", "date",
-            _iso("date") + ", 'net_revenue', round(net_revenue, 2)"),
-    _listed("top_countries", "top_countries", "rank",
-            "'country', country, 'net_revenue', net_revenue"),
-    _listed("anomalies", "anomalies", "named_struct('z', -z, 'date', date)",
+    _listed("revenue_daily", "date", _iso("date") + ", 'net_revenue', round(net_revenue, 2)"),
+    _listed("top_countries", "rank", "'country', country, 'net_revenue', net_revenue"),
+    _listed("anomalies", "named_struct('z', -z, 'date', date)",
             _iso("date") + ", 'net_revenue', net_revenue, 'z', z"),
-    _listed("retention_d1", "retention_d1", "cohort_date",
+    _listed("retention_d1", "cohort_date",
             _iso("cohort_date") + ", 'users', users, 'retained', retained, 'rate', rate"),
 ]) + "), ','), '}}') AS report"
 
 
 @dataclass
 class Report:
-    """The report's sections as small DataFrames (report field order).
+    """The report over its stored rollup table.
 
-    ``range`` and ``counts`` have one row; the other sections one row per
-    day, country or cohort, with the reference's field names.
+    Sections are properties — small DataFrames with the reference's field
+    names (``range`` and ``counts`` one row; the others one row per day,
+    country or cohort), each built from the rollup on first use.
     ``revenue_daily`` keeps unrounded revenue (the anomaly input); the
-    document rounds it to cents.
+    document rounds it to cents.  ``document()`` renders everything in one
+    SQL statement without building the section DataFrames at all.
     """
 
-    range: DataFrame
-    counts: DataFrame
-    dau: DataFrame
-    funnel: DataFrame
-    revenue_daily: DataFrame
-    top_countries: DataFrame
-    anomalies: DataFrame
-    retention_d1: DataFrame
+    rollup: DataFrame
+    top_n: int = TOP_N
+    threshold: float = ANOMALY_Z
+    offset_days: int = RETENTION_DAY_OFFSET
     _scratch: str | None = field(default=None, repr=False)
 
+    def _ctes(self) -> list[tuple[str, str]]:
+        return _section_ctes(self.top_n, self.threshold, self.offset_days)
+
+    def _section(self, name: str) -> DataFrame:
+        return self.rollup.sparkSession.sql(
+            _with(self._ctes()) + f"SELECT * FROM s_{name}", rollup=self.rollup)
+
+    range = property(lambda self: self._section("range"))
+    counts = property(lambda self: self._section("counts"))
+    dau = property(lambda self: self._section("dau"))
+    funnel = property(lambda self: self._section("funnel"))
+    revenue_daily = property(lambda self: self._section("revenue_daily"))
+    top_countries = property(lambda self: self._section("top_countries"))
+    anomalies = property(lambda self: self._section("anomalies"))
+    retention_d1 = property(lambda self: self._section("retention_d1"))
+
     def sections(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in SECTIONS}
 
     def document(self) -> DataFrame:
         """One row, one column ``report``: the report as JSON text.
 
-        One SQL statement over the section tables: each section is one
-        scalar subquery that gathers its (day-, country- or cohort-sized)
-        rows with ``collect_list``, sorts them in the reference's order and
-        renders JSON; dates become ISO text only here.
+        Each section is one scalar subquery that gathers its (day-, country-
+        or cohort-sized) rows with ``collect_list``, sorts them in the
+        reference's order and renders JSON; dates become ISO text only here.
         """
-        spark = self.counts.sparkSession
-        return spark.sql(_DOCUMENT_SQL, **self.sections())
+        return self.rollup.sparkSession.sql(_with(self._ctes()) + _DOCUMENT_SELECT,
+                                            rollup=self.rollup)
 
     def write_tables(self, root: str) -> None:
         """Each section as a parquet table under ``root`` (dates stay dates)."""
@@ -133,7 +189,6 @@ class Report:
             shutil.rmtree(path, ignore_errors=True)
         self._scratch = None
 
-
 _REVENUE = f"event_type IN ({', '.join(sql_text(t) for t in REVENUE_EVENT_TYPES)})"
 
 # GROUPING SETS plan as one Expand (codegen'd) under one partial aggregate.
@@ -183,7 +238,6 @@ def report_rollup(raw: DataFrame) -> DataFrame:
     return raw.sparkSession.sql(_ROLLUP_SQL, events=events)
 
 
-
 def build_report(raw: DataFrame, top_n: int = TOP_N, threshold: float = ANOMALY_Z,
                  offset_days: int = RETENTION_DAY_OFFSET, check: bool = True,
                  store: str | None = None) -> Report:
@@ -223,41 +277,7 @@ def build_report(raw: DataFrame, top_n: int = TOP_N, threshold: float = ANOMALY_
     return report
 
 
-_COUNTS_SQL = """
-SELECT CAST(coalesce(raw_rows, 0) AS BIGINT) AS raw_rows,
-       CAST(coalesce(valid_rows, 0) AS BIGINT) AS valid_rows,
-       CAST(coalesce(raw_rows, 0) - coalesce(valid_rows, 0) AS BIGINT) AS dropped_rows,
-       named_struct(
-         'invalid_ts', CAST(coalesce(invalid_ts, 0) AS BIGINT),
-         'invalid_etype', CAST(coalesce(invalid_etype, 0) AS BIGINT),
-         'duplicate_event_id', CAST(coalesce(survivors, 0) - coalesce(valid_rows, 0) AS BIGINT)
-       ) AS breakdown,
-       CAST(coalesce(null_id_rows, 0) AS BIGINT) AS null_id_rows
-FROM {rollup} WHERE `set` = 'all'"""
-
-
 def report_from_rollup(rollup: DataFrame, top_n: int = TOP_N, threshold: float = ANOMALY_Z,
                        offset_days: int = RETENTION_DAY_OFFSET) -> Report:
-    """Every section from a (stored) rollup table."""
-    sql = rollup.sparkSession.sql
-    counts = sql(_COUNTS_SQL, rollup=rollup)
-    facts = sql("SELECT date, valid_rows AS events, pv, signup, purchase, revenue_events, "
-                "net_revenue FROM {rollup} WHERE `set` = 'day' AND date IS NOT NULL",
-                rollup=rollup)
-    totals = sql("SELECT country, net_revenue AS total FROM {rollup} "
-                 "WHERE `set` = 'country' AND country IS NOT NULL AND revenue_events > 0",
-                 rollup=rollup)
-    pairs = sql("SELECT user_id, date FROM {rollup} "
-                "WHERE `set` = 'user_day' AND user_id IS NOT NULL AND date IS NOT NULL",
-                rollup=rollup)
-    revenue = M.revenue_daily(facts=facts)
-    return Report(
-        range=M.date_range(facts=facts),
-        counts=counts,
-        dau=M.dau(pairs=pairs),
-        funnel=M.funnel_daily(facts=facts),
-        revenue_daily=revenue,
-        top_countries=M.top_countries(n=top_n, totals=totals),
-        anomalies=M.anomalies(revenue, threshold),
-        retention_d1=M.retention_d1(pairs=pairs, offset_days=offset_days),
-    )
+    """The report over a (stored) rollup table."""
+    return Report(rollup, top_n, threshold, offset_days)
