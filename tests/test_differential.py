@@ -35,7 +35,9 @@ def _ts(rnd):
     return f"{day} {rnd.randrange(24):02d}:{rnd.randrange(60):02d}:00"
 
 
-def _rows(seed, n):
+def _rows(seed, n, hot=False):
+    """Random dirty rows; with ``hot``, one user, one day and one event id
+    each hold about a third of them."""
     rnd = random.Random(seed)
     rows = []
     for i in range(n):
@@ -45,9 +47,17 @@ def _rows(seed, n):
             amount = -amount
         if rnd.random() < 0.03:
             amount = math.nan
-        rows.append({"event_id": rnd.randrange(n) if rnd.random() < 0.15 else n + i,
-                     "user_id": rnd.randrange(25), "ts": _ts(rnd), "event_type": etype,
-                     "amount": amount, "country": rnd.choice(COUNTRIES)})
+        row = {"event_id": rnd.randrange(n) if rnd.random() < 0.15 else n + i,
+               "user_id": rnd.randrange(25), "ts": _ts(rnd), "event_type": etype,
+               "amount": amount, "country": rnd.choice(COUNTRIES)}
+        if hot:
+            if rnd.random() < 1 / 3:
+                row["user_id"] = 0
+            if rnd.random() < 1 / 3:
+                row["ts"] = "2023-01-05 12:00:00"
+            if rnd.random() < 1 / 3:
+                row["event_id"] = 7
+        rows.append(row)
     return rows
 
 
@@ -152,6 +162,17 @@ def test_report_matches_model(make_raw, seed):
         assert _close(got[section], want[section]), section
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_report_matches_model_with_hot_keys(make_raw, seed):
+    rows = _rows(seed, 600, hot=True)
+    report = build_report(make_raw(rows).repartition(8))
+    got = report.to_dict()
+    report.release()
+    want = model(rows)
+    for section in want:
+        assert _close(got[section], want[section]), section
+
+
 def test_spike_detected_end_to_end(make_raw):
     rows = [{"event_id": i, "user_id": i % 7, "ts": f"2023-02-{1 + i % 28:02d} 10:00:00",
              "event_type": "purchase", "amount": 10.0, "country": "US"} for i in range(280)]
