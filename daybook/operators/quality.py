@@ -233,9 +233,11 @@ def refund_links(raw: DataFrame) -> DataFrame:
     p_cls = _magnitude_class(F.col("amount"))
     p_key = F.when(F.col("amount").isNotNull(), F.struct(
         p_cls.alias("cls"), F.floor(F.col("amount") / _class_width(p_cls)).alias("bkt")))
+    # (`inline` turns a null key into a null row, dropped by the filter; a
+    # lambda `filter` on the array would leave generated code.)
     keyed = (events.where(F.col("event_type") == "purchase")
-             .select("user_id", "session_id", "amount", "ts",
-                     F.inline(F.filter(F.array(p_key, marker), lambda k: k.isNotNull())))
+             .select("user_id", "session_id", "amount", "ts", F.inline(F.array(p_key, marker)))
+             .where(F.col("cls").isNotNull())
              .groupBy("user_id", "session_id", "cls", "bkt",
                       F.when(F.col("cls") != _SESSION_MARKER, F.col("amount")).alias("p_amount"))
              .agg(F.min("ts").alias("p_first_ts")))
@@ -249,9 +251,9 @@ def refund_links(raw: DataFrame) -> DataFrame:
     probes = [F.struct((r_cls + dc).alias("cls"),
                        (F.floor(target / _class_width(r_cls + dc)) + db).alias("bkt"))
               for dc in (-1, 0, 1) for db in (-1, 0, 1)]
-    probed = refunds.select(*key, "copies", F.inline(F.filter(
-        F.array(*[F.when(F.col("amount").isNotNull(), p) for p in probes], marker),
-        lambda k: k.isNotNull())))
+    probed = (refunds.select(*key, "copies", F.inline(F.array(
+                  *[F.when(F.col("amount").isNotNull(), p) for p in probes], marker)))
+              .where(F.col("cls").isNotNull()))
 
     is_marker = F.col("cls") == _SESSION_MARKER
     close = ~is_marker & amounts_close(F.col("amount"), -F.col("p_amount"))
