@@ -41,10 +41,14 @@ def read_events_csv(spark: SparkSession, path: str | list[str],
     Large inputs are read as many splits (``spark.sql.files.maxPartitionBytes``),
     which replaces the reference's chunked reader.  Empty fields are null;
     text such as ``NA`` is kept literally (it is a country code).  Leading
-    and trailing blanks are kept, as the country rule depends on them.
+    and trailing blanks are kept, as the country rule depends on them.  A
+    header that does not name the expected columns in order is an error.
     """
     reader = (spark.read.schema(RAW_EVENT_SCHEMA)
               .option("header", True)
+              # check the header against the schema instead of silently
+              # assigning columns by position
+              .option("enforceSchema", False)
               .option("mode", "FAILFAST" if failfast else "PERMISSIVE")
               .option("ignoreLeadingWhiteSpace", False)
               .option("ignoreTrailingWhiteSpace", False))

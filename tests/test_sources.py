@@ -78,3 +78,11 @@ def test_cli_exit_codes(spark, make_raw, tmp_path):
     src = str(tmp_path / "bad_only")
     write_events_csv(make_raw([{"event_type": "???"}]).drop("ord"), src)
     assert main([src, "--out", str(tmp_path / "r.json")]) == 1
+
+
+def test_csv_header_must_match_the_schema(spark, tmp_path):
+    path = tmp_path / "reordered.csv"
+    path.write_text("user_id,event_id,ts,event_type,amount,country,device,session_id\n"
+                    "5,1,2023-01-01 00:00:00,page_view,0.0,US,web,1\n")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        read_events_csv(spark, str(path)).collect()
