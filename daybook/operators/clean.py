@@ -17,7 +17,9 @@ It is a declarative aggregate, so Spark combines copies map-side before the
 exchange: an ``event_id`` repeated across a third of the input still
 reaches the reducer as one partial row per map task, never as one huge
 group.  (A ``row_number()`` window would sort the whole hot group in one
-task.)
+task.)  An input with fewer splits than cores is hash-partitioned by
+``event_id`` first (``spread_small_input``): the aggregate's exchange moves
+before the projection, so small files use every core at no extra shuffle.
 """
 
 from __future__ import annotations
