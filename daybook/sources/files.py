@@ -63,9 +63,13 @@ def read_events_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame
     return with_file_order(df, row_index=True)
 
 
-def read_events(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """Dispatch on format (inferred from a ``.csv``/``.parquet`` suffix)."""
-    fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
+def read_events(spark: SparkSession, path: str | list[str], fmt: str | None = None) -> DataFrame:
+    """Dispatch on format (inferred from a ``.parquet`` suffix, else CSV).
+
+    Several paths are read as one input (one scan, file order by path).
+    """
+    first = path if isinstance(path, str) else path[0]
+    fmt = fmt or ("parquet" if first.rstrip("/").endswith(".parquet") else "csv")
     if fmt == "csv":
         return read_events_csv(spark, path)
     if fmt == "parquet":

@@ -60,6 +60,9 @@ def test_read_events_dispatch(spark, make_raw, tmp_path):
     assert read_events(spark, pq).count() == 2
     with pytest.raises(ValueError):
         read_events(spark, pq, "json")
+    csv2 = str(tmp_path / "e2_csv")
+    write_events_csv(make_raw([{"event_id": 5}, {"event_id": 6}]).drop("ord"), csv2)
+    assert read_events(spark, [csv, csv2]).count() == 3
 
 
 def test_cli_writes_report(spark, make_raw, tmp_path):
