@@ -68,3 +68,16 @@ def test_event_type_filters_reach_the_scan(spark):
     plan = _plan(Q.refund_links(refund_events(spark, SF001)))
     pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", plan)
     assert pushed and all("EqualTo(event_type,purchase)" in p for p in pushed)
+
+
+def test_small_sections_read_only_their_rollup_partition(spark):
+    from daybook.plans.report import build_report
+    report = build_report(dirty_events(spark, SF001))
+    try:
+        for name, part in [("funnel", "day"), ("top_countries", "country"), ("counts", "all"),
+                           ("retention_d1", "user_day")]:
+            plan = _plan(getattr(report, name))
+            filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+            assert filters and all(f"= {part})" in f for f in filters), (name, filters)
+    finally:
+        report.release()
