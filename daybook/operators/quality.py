@@ -98,19 +98,24 @@ def exact_median(df: DataFrame, col: str) -> float | None:
     if not n:
         return None
     ranks = sorted({(n - 1) // 2, n // 2})
-    if n <= _MEDIAN_FINAL_ROWS:
-        picked = _rank_directly(values, ranks)
-    else:
-        picked = [_select_rank(values, k, stats["lo"], stats["hi"], 0) for k in ranks]
+    picked = _select_ranks(values, ranks, stats["lo"], stats["hi"], 0, n)
     return sum(picked) / len(picked)
 
 
-def _select_rank(values: DataFrame, k: int, lo: float, hi: float, below: int) -> float:
-    """Value of 0-based rank ``k``; [lo, hi] holds it, ``below`` rows are < lo."""
+def _select_ranks(values: DataFrame, ks: list[int], lo: float, hi: float, below: int,
+                  count: int) -> list[float]:
+    """Values at the adjacent 0-based ranks ``ks``.
+
+    [lo, hi] holds ``count`` rows including both ranks; ``below`` rows are
+    smaller than ``lo``.  Each pass keeps the (at most two neighbouring)
+    buckets that hold the ranks.
+    """
     while True:
         if lo == hi:
-            return lo
+            return [lo for _ in ks]
         in_range = values.where((F.col("v") >= lo) & (F.col("v") <= hi))
+        if count <= _MEDIAN_FINAL_ROWS:
+            return _rank_directly(in_range, [k - below for k in ks])
         width = (hi - lo) / _MEDIAN_BUCKETS
         bucket = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)),
                          F.lit(_MEDIAN_BUCKETS - 1)).cast("int")
@@ -118,17 +123,16 @@ def _select_rank(values: DataFrame, k: int, lo: float, hi: float, below: int) ->
                 .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("mn"),
                      F.max("v").alias("mx"))
                 .orderBy("b").collect())
-        total = sum(r["c"] for r in hist)
-        if total <= _MEDIAN_FINAL_ROWS:
-            return _rank_directly(in_range, [k - below])[0]
-        seen = below
+        seen, keep = below, []
         for r in hist:
-            if seen + r["c"] > k:
-                if (r["mn"], r["mx"]) == (lo, hi):     # no progress possible
-                    return _rank_directly(in_range, [k - below])[0]
-                lo, hi, below = r["mn"], r["mx"], seen
-                break
+            if seen + r["c"] > ks[0] and seen <= ks[-1]:
+                keep.append((r, seen))
             seen += r["c"]
+        new_lo, new_hi = keep[0][0]["mn"], keep[-1][0]["mx"]
+        if (new_lo, new_hi) == (lo, hi):          # no progress possible
+            return _rank_directly(in_range, [k - below for k in ks])
+        lo, hi, below = new_lo, new_hi, keep[0][1]
+        count = sum(r["c"] for r, _ in keep)
 
 
 def _rank_directly(in_range: DataFrame, ks: list[int]) -> list[float]:

@@ -147,3 +147,15 @@ def test_refund_buckets_exact_at_octave_and_tolerance_edges(spark):
                       else "linked" if any(p[3] < r[3] for p in close) else "bad_time")
     assert got == want
     assert {"linked", "amount_mismatch", "bad_time"} <= set(want.values())
+
+
+@pytest.mark.parametrize("values", [
+    [1.0] * 500 + [2.0] * 500,                       # middle ranks in different buckets
+    [float(i) for i in range(999)] + [1e9],         # far outlier stretches the range
+    [-5.0] * 300 + [0.0] + [5.0] * 300,
+])
+def test_exact_median_straddling_buckets(spark, monkeypatch, values):
+    monkeypatch.setattr(Q, "_MEDIAN_FINAL_ROWS", 10)
+    monkeypatch.setattr(Q, "_MEDIAN_BUCKETS", 3)
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert Q.exact_median(df, "v") == statistics.median(values)
