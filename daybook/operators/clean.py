@@ -17,9 +17,8 @@ It is a declarative aggregate, so Spark combines copies map-side before the
 exchange: an ``event_id`` repeated across a third of the input still
 reaches the reducer as one partial row per map task, never as one huge
 group.  (A ``row_number()`` window would sort the whole hot group in one
-task.)  An input with fewer splits than cores is hash-partitioned by
-``event_id`` first (``spread_small_input``): the aggregate's exchange moves
-before the projection, so small files use every core at no extra shuffle.
+task.)  An input with fewer splits than cores is first spread round-robin
+over all cores (``spread_small_input``), keeping that map-side combine.
 """
 
 from __future__ import annotations
@@ -115,14 +114,15 @@ def per_event(tagged: DataFrame, columns: tuple[str, ...] = _PAYLOAD) -> DataFra
 
 
 def spread_small_input(raw: DataFrame) -> DataFrame:
-    """Hash-partition by event_id an input that has fewer splits than cores.
-
-    A small file (one parquet row group, one CSV split) would otherwise run
-    the whole cleaning projection in one task.  Partitioning by the dedup key
-    adds no exchange — the event_id aggregate's distribution is then already
-    satisfied — it only moves that exchange before the projection.  Inputs
-    with at least as many splits as cores (every large input) keep the
-    map-side partial aggregation before their single shuffle.
+    """Spread an input that has fewer splits than cores over all of them.
+
+    A small file (one parquet row group, one CSV split) — or a few large
+    unsplittable ones — would otherwise run the whole cleaning projection in
+    a handful of tasks.  The spread is round-robin, not by event_id, so the
+    dedup aggregate still combines copies map-side before its own exchange:
+    a hot id stays safe whatever the input's size.  (Spark sorts before a
+    round-robin repartition, so a retried task sees the same rows.)  Inputs
+    with at least as many splits as cores are left alone.
     """
     try:
         cores = raw.sparkSession.sparkContext.defaultParallelism
@@ -133,7 +133,7 @@ def spread_small_input(raw: DataFrame) -> DataFrame:
         return raw
     if ORD not in raw.columns:        # number rows in input order, before the shuffle
         raw = raw.withColumn(ORD, F.monotonically_increasing_id())
-    return raw.repartition(cores, "event_id")
+    return raw.repartition(cores)
 
 
 def clean_from_per_event(events: DataFrame, columns: tuple[str, ...] = _PAYLOAD) -> DataFrame:

@@ -51,11 +51,13 @@ def test_large_input_combines_map_side_before_one_event_shuffle(spark, many_spli
     assert plan.count("Expand") == 1
 
 
-def test_small_input_spread_adds_no_exchange(spark):
+def test_small_input_is_spread_but_keeps_the_map_side_combine(spark):
     raw = dirty_events(spark, SF001)
     assert raw.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
-    exchanges = re.findall(r"Exchange hashpartitioning", _plan(report_rollup(raw)))
-    assert len(exchanges) == 2
+    plan = _plan(report_rollup(raw))
+    assert plan.count("RoundRobinPartitioning") == 1
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
+    assert "partial_min" in plan
 
 
 def test_scans_read_only_needed_columns(spark):
