@@ -3,7 +3,5 @@
 The reference is a bounded batch job: it has no watermark, time window,
 state or late-data rule, and its "chunked" load is a bounded read of one
 file.  Nothing is built here on purpose — inventing streaming semantics
-would not be a reference capability.  The batch operators are plain
-DataFrame transforms, so they already run unchanged on a bounded
-``readStream`` micro-batch inside ``foreachBatch`` should that be wanted.
+would not be a reference capability.
 """
