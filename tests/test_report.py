@@ -144,3 +144,13 @@ def test_scratch_rollup_is_released(spark, make_raw):
     assert path and os.path.isdir(path.removeprefix("file:"))
     report.release()
     assert not os.path.exists(path.removeprefix("file:"))
+
+
+def test_snapshot_with_unusual_path_characters(spark, make_raw, tmp_path):
+    src = str(tmp_path / "my events 100%")
+    write_events_csv(make_raw([{}, {"event_id": 2}]).drop("ord").coalesce(1), src)
+    root = str(tmp_path / "snap")
+    first, reused = snapshot_report(read_events_csv(spark, src), root=root)
+    again, reused_again = snapshot_report(read_events_csv(spark, src), root=root)
+    assert (reused, reused_again) == (False, True)
+    assert again.to_dict()["counts"]["raw_rows"] == 2
