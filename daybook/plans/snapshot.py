@@ -18,7 +18,6 @@ list is gathered into one task.
 from __future__ import annotations
 
 import hashlib
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
@@ -27,6 +26,7 @@ from pyspark.sql import functions as F
 from daybook.plans.report import Report, build_report, report_from_rollup
 from daybook.schema import ANOMALY_Z, RETENTION_DAY_OFFSET, TOP_N
 from daybook.session import checkpoint_root
+from daybook.sources.files import literal_path
 
 MARKER = "COMPLETE"
 
@@ -42,7 +42,7 @@ def source_fingerprint(raw: DataFrame) -> str:
     files = raw.inputFiles()
     if not files:
         raise ValueError("the events DataFrame does not read any files")
-    listing = spark.read.format("binaryFile").load([_literal_path(f) for f in files])
+    listing = spark.read.format("binaryFile").load([literal_path(f) for f in files])
     row = listing.agg(
         F.count(F.lit(1)).alias("n"),
         F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("h"),
@@ -54,12 +54,6 @@ def source_fingerprint(raw: DataFrame) -> str:
     return hashlib.sha256(text.encode()).hexdigest()[:32]
 
 
-def _literal_path(uri: str) -> str:
-    """``inputFiles()`` gives URL-encoded paths; ``load()`` takes glob patterns."""
-    path = unquote(uri)
-    return "".join("\\" + c if c in "[]{}*?" else c for c in path)
-
-
 def marker_present(spark, base: str) -> bool:
     """True once ``write_marker`` has completed for ``base``."""
     try:

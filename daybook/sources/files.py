@@ -3,13 +3,16 @@
 Rule D4 keeps the *first-seen* copy of an event, so the scan must carry the
 input order.  Spark has no row order of its own: files are split and the
 splits packed into tasks largest-first.  The order is therefore attached at
-the scan as ``ord = struct(file path, split start, position)``, which sorts
-exactly like "file by file, top to bottom" however the files are split.
+the scan as ``ord = struct(file, split start, position)``, where ``file``
+sorts like the path; it sorts exactly like "file by file, top to bottom"
+however the files are split.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daybook.schema import RAW_EVENT_SCHEMA
@@ -17,21 +20,55 @@ from daybook.schema import RAW_EVENT_SCHEMA
 ORD = "ord"
 
 
+# Inputs with more files than this keep each row's file path in the order
+# key; up to it, a path-ordered file rank is broadcast instead.  The rank
+# table holds one short row per file, so this bounds the broadcast (~12 MB).
+MAX_RANKED_FILES = 100_000
+
+
+def literal_path(uri: str) -> str:
+    """A path from ``inputFiles()`` (URL-encoded) as ``load()`` accepts it
+    (a glob pattern): decoded, with glob characters escaped."""
+    path = unquote(uri)
+    return "".join("\\" + c if c in "[]{}*?" else c for c in path)
+
+
 def with_file_order(df: DataFrame, row_index: bool = False) -> DataFrame:
-    """Attach ``ord`` from the hidden ``_metadata`` column of a file scan.
+    """Attach ``ord`` = struct(file, block, row) from the scan's ``_metadata``.
 
     Parquet exposes a per-file ``row_index``.  Text formats do not; there the
     split start plus ``monotonically_increasing_id`` (increasing within each
     task, and a split is read by one task top to bottom) orders the rows.
+
+    ``file`` sorts like the file path.  It is a constant for one file and a
+    broadcast rank for up to ``MAX_RANKED_FILES`` files (listed on the
+    executors, ranked by path), so the key that travels through the dedup
+    shuffle is three longs; beyond that bound it is the path itself.
     """
-    if row_index:
-        order = F.struct(F.col("_metadata.file_path").alias("file"),
-                         F.col("_metadata.row_index").alias("row"))
+    block = F.lit(0).cast("long") if row_index else F.col("_metadata.file_block_start")
+    row = F.col("_metadata.row_index") if row_index else F.monotonically_increasing_id()
+    columns = df.columns
+    files = df.inputFiles()
+    if len(files) <= 1:
+        key = F.lit(0).cast("long")
+    elif len(files) > MAX_RANKED_FILES:
+        key = F.col("_metadata.file_path")
     else:
-        order = F.struct(F.col("_metadata.file_path").alias("file"),
-                         F.col("_metadata.file_block_start").alias("block"),
-                         F.monotonically_increasing_id().alias("row"))
-    return df.select(order.alias(ORD), *df.columns)
+        key = None
+    scan = df.select("*", F.col("_metadata.file_path").alias("_file"),
+                     block.alias("_block"), row.alias("_row"))
+    if key is None:
+        listing = (df.sparkSession.read.format("binaryFile")
+                   .load([literal_path(f) for f in files])
+                   .select(F.col("_metadata.file_path").alias("_file")))
+        ranks = listing.select(
+            "_file", F.row_number().over(Window.orderBy("_file")).cast("long").alias("_rank"))
+        # Left join: a row is never lost, whatever the listing returns.
+        scan = scan.join(F.broadcast(ranks), "_file", "left")
+        key = F.col("_rank")
+    order = F.struct(key.alias("file"), F.col("_block").alias("block"),
+                     F.col("_row").alias("row"))
+    return scan.select(order.alias(ORD), *columns)
 
 
 def read_events_csv(spark: SparkSession, path: str | list[str],

@@ -19,7 +19,7 @@ def test_parquet_source_orders_by_file_and_row(spark, tmp_path):
     path = str(tmp_path / "events_parquet")
     raw.drop("ord").repartition(4).write.parquet(path)
     df = read_events_parquet(spark, path)
-    assert "ord" in df.columns and set(df.schema["ord"].dataType.names) == {"file", "row"}
+    assert "ord" in df.columns and set(df.schema["ord"].dataType.names) == {"file", "block", "row"}
     counts = C.clean_counts(df).first()
     assert (counts["raw_rows"], counts["valid_rows"]) == (10_000, 7_844)
     # first-seen follows (file, row): compare with a sequential reading
@@ -89,3 +89,25 @@ def test_csv_header_must_match_the_schema(spark, tmp_path):
                     "5,1,2023-01-01 00:00:00,page_view,0.0,US,web,1\n")
     with pytest.raises(Exception, match="(?i)header|schema"):
         read_events_csv(spark, str(path)).collect()
+
+
+def test_multi_file_order_follows_paths_then_rows(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    raw = dirty_events(spark, SF01)
+    path = str(tmp_path / "multi")
+    raw.drop("ord").repartition(5).write.parquet(path)
+    got = {r["event_id"]: r["user_id"] for r in C.clean_events(read_events_parquet(spark, path)).collect()}
+    valid_types = {"page_view", "signup", "purchase", "refund"}
+    want = {}
+    for f in sorted(glob.glob(f"{path}/*.parquet")):            # path order, then row order
+        for r in pq.read_table(f).to_pylist():
+            if r["ts"] in ("2099-01-01 00:00:00", "not-a-date") or r["event_type"] not in valid_types:
+                continue
+            want.setdefault(r["event_id"], r["user_id"])
+    assert got == want
+    # the order key is three longs: no path travels through the shuffle
+    assert dict(read_events_parquet(spark, path).select("ord.*").dtypes) == \
+        {"file": "bigint", "block": "bigint", "row": "bigint"}
