@@ -4,19 +4,22 @@ Plan shape::
 
     raw scan ─ tag (narrow, codegen) ─ partial agg ─ Exchange(event_id) ─ first copy per event
       └─ Expand into grouping sets {(), day, country, user-day} ─ partial agg ─ Exchange ─ final agg
-           = the rollup: 1 counts row + 1 row per day + per revenue country + per user-day
-             written once as parquet under spark.checkpoint.dir (lineage cut here)
+           = the rollup: 1 counts row + 1 row per day + per country + per user-day,
+             written once as parquet under spark.checkpoint.dir, partitioned by
+             set (lineage cut here)
 
-    rollup table ─┬─ counts, range, funnel, revenue, anomalies (day-sized, no shuffle of note)
-                  ├─ top countries (country-sized, TakeOrderedAndProject)
-                  └─ user-days ─┬─ dau: groupBy(date) partial count
-                                └─ retention: Exchange(user_id) window min → groupBy(cohort)
+    rollup table ─┬─ set=all:      counts
+                  ├─ set=day:      range, funnel, revenue, anomalies (day-sized)
+                  ├─ set=country:  top countries (TakeOrderedAndProject)
+                  └─ set=user_day ─┬─ dau: groupBy(date) partial count
+                                   └─ retention: Exchange(user_id) window min → groupBy(cohort)
 
 Only the first exchange is as large as the input, and it carries just the
-five columns the metrics read.  The second is partially aggregated per task
+five columns the metrics read (an input with fewer splits than cores is
+spread round-robin before it).  The second is partially aggregated per task
 (one row per day/country/user-day per task).  Everything after the rollup
-is small, and the document is rendered on the executors by one SQL
-statement.
+is small; each section reads only its own partition, and the document is
+one SQL statement — the metric templates as CTEs — run on the executors.
 """
 
 from __future__ import annotations
