@@ -57,7 +57,7 @@ def main(argv: list[str] | None = None) -> int:
             return 1
         raise
     except ValueError as exc:
-        log.error("pipeline error: %s", exc)
+        log.error("report error: %s", exc)
         return 1
     save_report(doc, args.out)
     log.info("report written to %s", args.out)
