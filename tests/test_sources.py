@@ -111,3 +111,28 @@ def test_multi_file_order_follows_paths_then_rows(spark, tmp_path):
     # the order key is three longs: no path travels through the shuffle
     assert dict(read_events_parquet(spark, path).select("ord.*").dtypes) == \
         {"file": "bigint", "block": "bigint", "row": "bigint"}
+
+
+def test_multi_file_csv_order_follows_paths_then_lines(spark, tmp_path):
+    import csv
+    import glob
+
+    raw = dirty_events(spark, SF01)
+    path = str(tmp_path / "multi_csv")
+    write_events_csv(raw.drop("ord").repartition(3), path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(96 * 1024))     # several splits per file
+    try:
+        df = read_events_csv(spark, path)
+        got = {r["event_id"]: r["user_id"] for r in C.clean_events(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    valid_types = {"page_view", "signup", "purchase", "refund"}
+    want = {}
+    for f in sorted(glob.glob(f"{path}/*.csv")):                 # path order, then line order
+        with open(f, newline="") as fh:
+            for r in csv.DictReader(fh):
+                if r["ts"] in ("2099-01-01 00:00:00", "not-a-date") or r["event_type"] not in valid_types:
+                    continue
+                want.setdefault(int(r["event_id"]), int(r["user_id"]))
+    assert got == want
