@@ -33,7 +33,8 @@ def literal_path(uri: str) -> str:
     return "".join("\\" + c if c in "[]{}*?" else c for c in path)
 
 
-def with_file_order(df: DataFrame, row_index: bool = False) -> DataFrame:
+def with_file_order(df: DataFrame, row_index: bool = False,
+                    paths: str | list[str] | None = None) -> DataFrame:
     """Attach ``ord`` = struct(file, block, row) from the scan's ``_metadata``.
 
     Parquet exposes a per-file ``row_index``.  Text formats do not; there the
@@ -41,26 +42,29 @@ def with_file_order(df: DataFrame, row_index: bool = False) -> DataFrame:
     task, and a split is read by one task top to bottom) orders the rows.
 
     ``file`` sorts like the file path.  It is a constant for one file and a
-    broadcast rank for up to ``MAX_RANKED_FILES`` files (listed on the
-    executors, ranked by path), so the key that travels through the dedup
-    shuffle is three longs; beyond that bound it is the path itself.
+    broadcast rank for up to ``MAX_RANKED_FILES`` files, so the key that
+    travels through the dedup shuffle is three longs; beyond that bound it
+    is the path itself.  The files are listed from ``paths`` (the reader's
+    own arguments) with ``binaryFile``, which lists exactly as the scan
+    does and never reads file contents; only a one-row count reaches the
+    driver.
     """
     block = F.lit(0).cast("long") if row_index else F.col("_metadata.file_block_start")
     row = F.col("_metadata.row_index") if row_index else F.monotonically_increasing_id()
     columns = df.columns
-    files = df.inputFiles()
-    if len(files) <= 1:
-        key = F.lit(0).cast("long")
-    elif len(files) > MAX_RANKED_FILES:
-        key = F.col("_metadata.file_path")
-    else:
-        key = None
+    spark = df.sparkSession
+    if paths is None:                   # any file-based DataFrame: its own file list
+        paths = [literal_path(f) for f in df.inputFiles()]
+    listing = (spark.read.format("binaryFile").load(paths)
+               .select(F.col("_metadata.file_path").alias("_file")))
+    n_files = listing.count()
     scan = df.select("*", F.col("_metadata.file_path").alias("_file"),
                      block.alias("_block"), row.alias("_row"))
-    if key is None:
-        listing = (df.sparkSession.read.format("binaryFile")
-                   .load([literal_path(f) for f in files])
-                   .select(F.col("_metadata.file_path").alias("_file")))
+    if n_files <= 1:
+        key = F.lit(0).cast("long")
+    elif n_files > MAX_RANKED_FILES:
+        key = F.col("_file")
+    else:
         ranks = listing.select(
             "_file", F.row_number().over(Window.orderBy("_file")).cast("long").alias("_rank"))
         # Left join: a row is never lost, whatever the listing returns.
@@ -89,7 +93,7 @@ def read_events_csv(spark: SparkSession, path: str | list[str],
               .option("mode", "FAILFAST" if failfast else "PERMISSIVE")
               .option("ignoreLeadingWhiteSpace", False)
               .option("ignoreTrailingWhiteSpace", False))
-    return with_file_order(reader.csv(path))
+    return with_file_order(reader.csv(path), paths=path)
 
 
 def read_events_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -97,7 +101,7 @@ def read_events_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame
     df = spark.read.parquet(*([path] if isinstance(path, str) else path))
     if ORD in df.columns:
         return df
-    return with_file_order(df, row_index=True)
+    return with_file_order(df, row_index=True, paths=path)
 
 
 def read_events(spark: SparkSession, path: str | list[str], fmt: str | None = None) -> DataFrame:
