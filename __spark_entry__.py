@@ -172,7 +172,8 @@ def q_report_document(spark, sf):
 
 
 def q_report_snapshot(spark, sf):
-    report, _ = snapshot_report(_f1(spark, sf))
+    tables = [f"{sf.rstrip('/')}/{t}.parquet" for t in ("events", "nation")]
+    report, _ = snapshot_report(_f1(spark, sf), paths=tables)
     return report.document()
 
 

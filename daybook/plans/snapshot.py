@@ -31,18 +31,22 @@ from daybook.sources.files import literal_path
 MARKER = "COMPLETE"
 
 
-def source_fingerprint(raw: DataFrame) -> str:
+def source_fingerprint(raw: DataFrame, paths: str | list[str] | None = None) -> str:
     """Fingerprint of ``raw``: its files and its plan.
 
+    The files are listed with ``binaryFile`` from ``paths`` — the paths
+    ``raw`` was read from — or, without them, from ``raw.inputFiles()``; a
+    one-row order-independent hash aggregate is all that reaches the driver.
     ``semanticHash`` identifies the query over the files (the same files
     read through another filter or projection are another source); it is
     stable across sessions.
     """
     spark = raw.sparkSession
-    files = raw.inputFiles()
-    if not files:
-        raise ValueError("the events DataFrame does not read any files")
-    listing = spark.read.format("binaryFile").load([literal_path(f) for f in files])
+    if paths is None:
+        paths = [literal_path(f) for f in raw.inputFiles()]
+        if not paths:
+            raise ValueError("the events DataFrame does not read any files")
+    listing = spark.read.format("binaryFile").load(paths)
     row = listing.agg(
         F.count(F.lit(1)).alias("n"),
         F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("h"),
@@ -69,11 +73,12 @@ def write_marker(spark, base: str) -> None:
 
 
 def snapshot_report(raw: DataFrame, root: str | None = None, top_n: int = TOP_N,
-                    threshold: float = ANOMALY_Z,
-                    offset_days: int = RETENTION_DAY_OFFSET) -> tuple[Report, bool]:
+                    threshold: float = ANOMALY_Z, offset_days: int = RETENTION_DAY_OFFSET,
+                    paths: str | list[str] | None = None) -> tuple[Report, bool]:
     """The report for ``raw``, reusing a stored snapshot when inputs match.
 
-    Returns ``(report, reused)``.  ``root`` defaults to
+    Returns ``(report, reused)``.  ``paths`` are the paths ``raw`` was read
+    from (see ``source_fingerprint``).  ``root`` defaults to
     ``<spark.checkpoint.dir>/daybook/report_snapshots``.  What is stored is
     the report's rollup table (counts, days, countries, user-days); the
     sections are re-derived from it, which costs no event scan.  The marker
@@ -81,7 +86,7 @@ def snapshot_report(raw: DataFrame, root: str | None = None, top_n: int = TOP_N,
     """
     spark = raw.sparkSession
     root = (root or f"{checkpoint_root(spark)}/daybook/report_snapshots").rstrip("/")
-    key = source_fingerprint(raw)
+    key = source_fingerprint(raw, paths)
     base = f"{root}/{key}"
     reused = marker_present(spark, base)
     if not reused:

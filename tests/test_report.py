@@ -154,3 +154,11 @@ def test_snapshot_with_unusual_path_characters(spark, make_raw, tmp_path):
     again, reused_again = snapshot_report(read_events_csv(spark, src), root=root)
     assert (reused, reused_again) == (False, True)
     assert again.to_dict()["counts"]["raw_rows"] == 2
+
+
+def test_snapshot_fingerprint_from_paths_matches_input_files(spark, make_raw, tmp_path):
+    from daybook.plans.snapshot import source_fingerprint
+    src = str(tmp_path / "src")
+    write_events_csv(make_raw([{}, {"event_id": 2}]).drop("ord").repartition(2), src)
+    raw = read_events_csv(spark, src)
+    assert source_fingerprint(raw, src) == source_fingerprint(raw)
