@@ -136,3 +136,26 @@ def test_multi_file_csv_order_follows_paths_then_lines(spark, tmp_path):
                     continue
                 want.setdefault(int(r["event_id"]), int(r["user_id"]))
     assert got == want
+
+
+def test_path_key_beyond_the_rank_bound(spark, tmp_path, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    import daybook.sources.files as files_mod
+
+    monkeypatch.setattr(files_mod, "MAX_RANKED_FILES", 2)
+    path = str(tmp_path / "many")
+    dirty_events(spark, SF01).drop("ord").repartition(4).write.parquet(path)
+    df = read_events_parquet(spark, path)
+    assert dict(df.select("ord.*").dtypes)["file"] == "string"     # no broadcast beyond the bound
+    got = {r["event_id"]: r["user_id"] for r in C.clean_events(df).collect()}
+    want = {}
+    for f in sorted(glob.glob(f"{path}/*.parquet")):
+        for r in pq.read_table(f).to_pylist():
+            if r["ts"] in ("2099-01-01 00:00:00", "not-a-date") or \
+                    r["event_type"] not in {"page_view", "signup", "purchase", "refund"}:
+                continue
+            want.setdefault(r["event_id"], r["user_id"])
+    assert got == want
