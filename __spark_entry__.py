@@ -41,6 +41,11 @@ def _ntz(col: str) -> F.Column:
     return F.col(col).cast("timestamp_ntz").alias(col)
 
 
+def _f1_tables(sf: str) -> list[str]:
+    """The files behind the F1 view."""
+    return [f"{sf.rstrip('/')}/{t}.parquet" for t in ("events", "nation")]
+
+
 def _f1(spark: SparkSession, sf: str) -> DataFrame:
     use_utc(spark)
     return dirty_events(spark, sf)
@@ -172,8 +177,7 @@ def q_report_document(spark, sf):
 
 
 def q_report_snapshot(spark, sf):
-    tables = [f"{sf.rstrip('/')}/{t}.parquet" for t in ("events", "nation")]
-    report, _ = snapshot_report(_f1(spark, sf), paths=tables)
+    report, _ = snapshot_report(_f1(spark, sf), paths=_f1_tables(sf))
     return report.document()
 
 
@@ -184,7 +188,8 @@ def _f1_csv(spark, sf) -> str:
     written last makes a half-written copy invisible.
     """
     f1 = _f1(spark, sf)
-    base = f"{checkpoint_root(spark)}/daybook/fixtures/f1_csv_{source_fingerprint(f1)}"
+    key = source_fingerprint(f1, _f1_tables(sf))
+    base = f"{checkpoint_root(spark)}/daybook/fixtures/f1_csv_{key}"
     if not marker_present(spark, base):
         write_events_csv(f1.drop("ord"), f"{base}/data")
         write_marker(spark, base)
