@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import math
 
+import pytest
+
 from daybook.operators.clean import clean_counts, clean_events, clean_with_counts
 
 
@@ -203,3 +205,8 @@ def test_first_seen_without_ord_column(spark):
     df = spark.createDataFrame(rows, "event_id long, user_id long, ts string, event_type string, "
                                      "amount double, country string, device string, session_id long")
     assert clean_events(df.coalesce(1)).first()["user_id"] == 30
+
+
+@pytest.mark.parametrize("value", ["  ñ ", "é", "straße", " us　", " de ", "ﬁ"])
+def test_country_rule_matches_python_strip_upper_on_unicode(make_raw, value):
+    assert _country(make_raw, value) == value.upper().strip()
