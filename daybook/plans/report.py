@@ -43,7 +43,7 @@ from daybook.schema import (
     TOP_N,
 )
 from daybook.session import checkpoint_root, local_path
-from daybook.sources.sinks import write_tables
+from daybook.sources.sinks import write_report_json, write_tables
 
 # Columns of the clean table the metrics read; nothing else is shuffled.
 METRIC_COLUMNS = ("user_id", "date", "event_type", "amount", "country")
@@ -172,6 +172,10 @@ class Report:
         return self.rollup.sparkSession.sql(_with(self._ctes()) + _DOCUMENT_SELECT,
                                             rollup=self.rollup)
 
+    def write_json(self, path: str) -> None:
+        """The document as one JSON text file under ``path`` (any Hadoop path)."""
+        write_report_json(self.document(), path)
+
     def write_tables(self, root: str) -> None:
         """Each section as a parquet table under ``root`` (dates stay dates)."""
         write_tables(self.sections(), root)

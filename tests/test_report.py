@@ -71,6 +71,8 @@ def test_report_sinks(spark, f1_report, tmp_path):
     assert json.loads((tmp_path / "out" / "report.json").read_text()) == doc
     write_report_json(report.document(), str(tmp_path / "doc"))
     assert json.loads(spark.read.text(str(tmp_path / "doc")).first()[0]) == doc
+    report.write_json(str(tmp_path / "doc2"))
+    assert json.loads(spark.read.text(str(tmp_path / "doc2")).first()[0]) == doc
 
 
 def test_no_valid_rows_raises(make_raw):
