@@ -28,14 +28,15 @@ def _pct(part: Column, whole: Column) -> Column:
 # ---------------------------------------------------------------------------
 
 def event_type_distribution(raw: DataFrame) -> DataFrame:
-    """(event_type, events, pct): value counts including nulls, with share.
+    """(event_type, events, pct): value counts including nulls, largest first.
 
     The per-type counts are partially aggregated map-side; the share uses a
     grand total over the handful of resulting rows.
     """
     counts = raw.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
     total = F.sum("events").over(Window.partitionBy())
-    return counts.select("event_type", "events", _pct(F.col("events"), total).alias("pct"))
+    return (counts.select("event_type", "events", _pct(F.col("events"), total).alias("pct"))
+            .orderBy(F.desc("events"), F.asc_nulls_last("event_type")))
 
 
 # ---------------------------------------------------------------------------
