@@ -92,6 +92,12 @@ def _section_ctes(top_n: int, threshold: float, offset_days: int) -> list[tuple[
     ]
 
 
+# The reference's order of each list section (sorting day-sized tables).
+_SECTION_ORDER = {"dau": "date", "funnel": "date", "revenue_daily": "date",
+                  "top_countries": "rank", "anomalies": "z DESC, date",
+                  "retention_d1": "cohort_date"}
+
+
 def _with(ctes: list[tuple[str, str]]) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({query})" for name, query in ctes) + "\n"
 
@@ -147,8 +153,10 @@ class Report:
         return _section_ctes(self.top_n, self.threshold, self.offset_days)
 
     def _section(self, name: str) -> DataFrame:
+        order = _SECTION_ORDER.get(name)
         return self.rollup.sparkSession.sql(
-            _with(self._ctes()) + f"SELECT * FROM s_{name}", rollup=self.rollup)
+            _with(self._ctes()) + f"SELECT * FROM s_{name}" + (f" ORDER BY {order}" if order else ""),
+            rollup=self.rollup)
 
     range = property(lambda self: self._section("range"))
     counts = property(lambda self: self._section("counts"))

@@ -164,3 +164,12 @@ def test_snapshot_fingerprint_from_paths_matches_input_files(spark, make_raw, tm
     write_events_csv(make_raw([{}, {"event_id": 2}]).drop("ord").repartition(2), src)
     raw = read_events_csv(spark, src)
     assert source_fingerprint(raw, src) == source_fingerprint(raw)
+
+
+def test_sections_come_in_the_reference_order(f1_report):
+    report, doc = f1_report
+    assert [str(r["date"]) for r in report.dau.collect()] == [r["date"] for r in doc["dau"]]
+    assert [r["country"] for r in report.top_countries.collect()] == \
+        [r["country"] for r in doc["top_countries"]]
+    assert [str(r["cohort_date"]) for r in report.retention_d1.collect()] == \
+        [r["cohort_date"] for r in doc["retention_d1"]]
