@@ -228,3 +228,10 @@ def test_iso_timestamps_parse_to_utc(make_raw, text):
     df = clean_events(make_raw([{"ts": text}]))
     assert _utc_text(df) == [want.strftime("%Y-%m-%d %H:%M:%S.%f")]
     assert df.first()["date"] == want.date()
+
+
+def test_clean_schema_is_the_declared_one(make_raw):
+    from daybook.schema import CLEAN_EVENT_SCHEMA
+    df = clean_events(make_raw([{}]))
+    assert [(f.name, f.dataType) for f in df.schema.fields] == \
+        [(f.name, f.dataType) for f in CLEAN_EVENT_SCHEMA.fields]
