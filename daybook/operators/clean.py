@@ -100,8 +100,10 @@ def per_event(tagged: DataFrame, columns: tuple[str, ...] = _PAYLOAD) -> DataFra
 
     ``first`` is a struct of ``columns`` (null when no copy survived D1/D3);
     ``n_ok``, ``n_ts``, ``n_etype`` count the copies that survived, failed
-    D1 and failed D3, ``n_no_user`` those without a user id.  Only
-    ``columns`` travel through the shuffle.
+    D1 and failed D3, ``n_missing_id`` those without a user or session id
+    (integers the reference's loader requires; counting them also makes the
+    CSV reader parse — and FAILFAST-check — ``session_id``, which no metric
+    reads).  Only ``columns`` travel through the shuffle.
     """
     payload = ", ".join([ORD, *columns])
     return tagged.groupBy("event_id").agg(
@@ -109,7 +111,7 @@ def per_event(tagged: DataFrame, columns: tuple[str, ...] = _PAYLOAD) -> DataFra
         F.expr(f"count_if({RULE} IS NULL)").alias("n_ok"),
         F.expr(f"count_if({RULE} = {sql_text(RULE_INVALID_TS)})").alias("n_ts"),
         F.expr(f"count_if({RULE} = {sql_text(RULE_INVALID_ETYPE)})").alias("n_etype"),
-        F.expr("count_if(user_id IS NULL)").alias("n_no_user"),
+        F.expr("count_if(user_id IS NULL OR session_id IS NULL)").alias("n_missing_id"),
     )
 
 
@@ -146,7 +148,8 @@ def counts_from_per_event(events: DataFrame) -> DataFrame:
     """The drop accounting as a one-row DataFrame.
 
     raw_rows, valid_rows, dropped_rows = raw − valid, null_id_rows (rows
-    whose event_id or user_id is missing — a load error in the reference),
+    whose event_id, user_id or session_id is missing — a load error in the
+    reference),
     and ``breakdown`` with one count per rule.
     """
     n_copies = F.col("n_ok") + F.col("n_ts") + F.col("n_etype")
@@ -157,7 +160,7 @@ def counts_from_per_event(events: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n_etype"), F.lit(0)).cast("long").alias(RULE_INVALID_ETYPE),
         F.coalesce(F.sum("n_ok"), F.lit(0)).cast("long").alias("survivors"),
         F.coalesce(F.sum(F.when(F.col("event_id").isNull(), n_copies)
-                         .otherwise(F.col("n_no_user"))), F.lit(0))
+                         .otherwise(F.col("n_missing_id"))), F.lit(0))
          .cast("long").alias("null_id_rows"),
     )
     return agg.select(

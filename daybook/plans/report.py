@@ -220,7 +220,7 @@ SELECT CASE WHEN grouping(country) = 0 THEN 'country'
   sum(n_ts) AS invalid_ts,
   sum(n_etype) AS invalid_etype,
   sum(n_ok) AS survivors,
-  sum(CASE WHEN event_id IS NULL THEN n_ok + n_ts + n_etype ELSE n_no_user END) AS null_id_rows,
+  sum(CASE WHEN event_id IS NULL THEN n_ok + n_ts + n_etype ELSE n_missing_id END) AS null_id_rows,
   {", ".join(f"count_if(valid AND event_type = {sql_text(t)}) AS {n}" for t, n in FUNNEL_STEPS)},
   count_if(revenue) AS revenue_events,
   coalesce(sum(CASE WHEN revenue THEN amount END), 0D) AS net_revenue
@@ -229,7 +229,7 @@ FROM (
          first.event_type AS event_type, first.amount AS amount, first.country AS country,
          first IS NOT NULL AS valid,
          coalesce(first.{_REVENUE}, false) AS revenue,
-         n_ok, n_ts, n_etype, n_no_user
+         n_ok, n_ts, n_etype, n_missing_id
   FROM {{events}}
 )
 GROUP BY GROUPING SETS ((), (date), (country), (user_id, date))
@@ -285,7 +285,7 @@ def build_report(raw: DataFrame, top_n: int = TOP_N, threshold: float = ANOMALY_
         if row is None or not row["valid_rows"]:
             problem = "No valid rows remain after cleaning — cannot build report."
         elif row["null_id_rows"]:
-            problem = f"{row['null_id_rows']} rows have no event_id or user_id"
+            problem = f"{row['null_id_rows']} rows miss an event_id, user_id or session_id"
         if problem:
             report.release()
             raise ValueError(problem)

@@ -199,8 +199,8 @@ def test_clean_and_counts_share_one_aggregate(make_raw):
 
 
 def test_missing_ids_are_reported(make_raw):
-    df = make_raw([{"event_id": None}, {"user_id": None}, {}])
-    assert clean_counts(df).first()["null_id_rows"] == 2
+    df = make_raw([{"event_id": None}, {"user_id": None}, {"session_id": None}, {}])
+    assert clean_counts(df).first()["null_id_rows"] == 3
 
 
 def test_first_seen_without_ord_column(spark):

@@ -81,7 +81,7 @@ def test_no_valid_rows_raises(make_raw):
 
 
 def test_missing_ids_raise(make_raw):
-    with pytest.raises(ValueError, match="no event_id"):
+    with pytest.raises(ValueError, match="miss an event_id"):
         build_report(make_raw([{"event_id": None}, {}]))
 
 

@@ -159,3 +159,14 @@ def test_path_key_beyond_the_rank_bound(spark, tmp_path, monkeypatch):
                 continue
             want.setdefault(r["event_id"], r["user_id"])
     assert got == want
+
+
+def test_malformed_session_id_fails_the_report(spark, tmp_path):
+    # No metric reads session_id, yet a malformed one is a load error.
+    from daybook.plans.report import build_report
+    path = tmp_path / "bad_session.csv"
+    path.write_text("event_id,user_id,ts,event_type,amount,country,device,session_id\n"
+                    "1,5,2023-01-01 00:00:00,page_view,0.0,US,web,1\n"
+                    "2,5,2023-01-01 00:00:00,page_view,0.0,US,web,oops\n")
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        build_report(read_events_csv(spark, str(path)))
