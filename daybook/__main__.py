@@ -5,8 +5,8 @@
     python -m daybook events.parquet --format parquet
     python -m daybook events.csv --tables s3a://bucket/report_tables/
 
-Exit code 1 when the input does not exist or no valid row remains, as the
-reference's command line does.  ``--chunksize`` is accepted for
+Exit code 1 when the input does not exist, holds a malformed or missing id,
+or leaves no valid row, as the reference's command line does.  ``--chunksize`` is accepted for
 compatibility and ignored: Spark reads large inputs as splits anyway
 (``spark.sql.files.maxPartitionBytes``).
 """
@@ -59,6 +59,11 @@ def main(argv: list[str] | None = None) -> int:
     except ValueError as exc:
         log.error("report error: %s", exc)
         return 1
+    except Exception as exc:            # a FAILFAST parse error: malformed input
+        if "MALFORMED" not in str(exc).upper():
+            raise
+        log.error("malformed input: %s", str(exc).splitlines()[0])
+        return 1
     save_report(doc, args.out)
     log.info("report written to %s", args.out)
     return 0

@@ -78,6 +78,10 @@ def test_cli_writes_report(spark, make_raw, tmp_path):
 
 def test_cli_exit_codes(spark, make_raw, tmp_path):
     assert main([str(tmp_path / "missing.csv"), "--out", str(tmp_path / "r.json")]) == 1
+    bad = tmp_path / "malformed.csv"
+    bad.write_text("event_id,user_id,ts,event_type,amount,country,device,session_id\n"
+                   "1,x,2023-01-01 00:00:00,page_view,0.0,US,web,1\n")
+    assert main([str(bad), "--out", str(tmp_path / "r.json")]) == 1
     src = str(tmp_path / "bad_only")
     write_events_csv(make_raw([{"event_type": "???"}]).drop("ord"), src)
     assert main([src, "--out", str(tmp_path / "r.json")]) == 1
