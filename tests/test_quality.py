@@ -159,3 +159,20 @@ def test_exact_median_straddling_buckets(spark, monkeypatch, values):
     monkeypatch.setattr(Q, "_MEDIAN_BUCKETS", 3)
     df = spark.createDataFrame([(v,) for v in values], "v double")
     assert Q.exact_median(df, "v") == statistics.median(values)
+
+
+def test_exact_median_property(spark, monkeypatch):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    monkeypatch.setattr(Q, "_MEDIAN_FINAL_ROWS", 4)
+    monkeypatch.setattr(Q, "_MEDIAN_BUCKETS", 3)
+
+    @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.one_of(st.integers(-50, 50).map(float),
+                              st.floats(-1e6, 1e6, allow_nan=False)), min_size=1, max_size=40))
+    def check(values):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        assert Q.exact_median(df, "v") == statistics.median(values)
+
+    check()
