@@ -17,8 +17,9 @@ It is a declarative aggregate, so Spark combines copies map-side before the
 exchange: an ``event_id`` repeated across a third of the input still
 reaches the reducer as one partial row per map task, never as one huge
 group.  (A ``row_number()`` window would sort the whole hot group in one
-task.)  An input with fewer splits than cores is first spread round-robin
-over all cores (``spread_small_input``), keeping that map-side combine.
+task.)  An input with fewer splits than cores is first spread over all
+cores on (event_id, ord) (``spread_small_input``), keeping that map-side
+combine.
 """
 
 from __future__ import annotations
@@ -120,11 +121,11 @@ def spread_small_input(raw: DataFrame) -> DataFrame:
 
     A small file (one parquet row group, one CSV split) — or a few large
     unsplittable ones — would otherwise run the whole cleaning projection in
-    a handful of tasks.  The spread is round-robin, not by event_id, so the
-    dedup aggregate still combines copies map-side before its own exchange:
-    a hot id stays safe whatever the input's size.  (Spark sorts before a
-    round-robin repartition, so a retried task sees the same rows.)  Inputs
-    with at least as many splits as cores are left alone.
+    a handful of tasks.  Rows are hash-partitioned on (event_id, ord): ord
+    is unique per row, so even a hot id spreads evenly, the placement is
+    deterministic on retry, and the dedup aggregate still combines copies
+    map-side before its own exchange.  Inputs with at least as many splits
+    as cores are left alone.
     """
     try:
         cores = raw.sparkSession.sparkContext.defaultParallelism
@@ -135,7 +136,7 @@ def spread_small_input(raw: DataFrame) -> DataFrame:
         return raw
     if ORD not in raw.columns:        # number rows in input order, before the shuffle
         raw = raw.withColumn(ORD, F.monotonically_increasing_id())
-    return raw.repartition(cores)
+    return raw.repartition(cores, "event_id", ORD)
 
 
 def clean_from_per_event(events: DataFrame, columns: tuple[str, ...] = _PAYLOAD) -> DataFrame:

@@ -55,8 +55,9 @@ def test_small_input_is_spread_but_keeps_the_map_side_combine(spark):
     raw = dirty_events(spark, SF001)
     assert raw.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
     plan = _plan(report_rollup(raw))
-    assert plan.count("RoundRobinPartitioning") == 1
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)", plan)
+    # the spread (event_id, ord), the dedup (event_id), the rollup groups
+    assert len(exchanges) == 3 and sum(e.startswith("event_id") for e in exchanges) == 2
     assert "partial_min" in plan
 
 
