@@ -33,12 +33,14 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--tables", default=None,
                    help="also write every section as a parquet table under this folder")
     p.add_argument("--master", default=None, help="Spark master (default: spark-submit's)")
+    p.add_argument("--log-level", default="INFO", choices=["DEBUG", "INFO", "WARNING", "ERROR"],
+                   help="logging verbosity [INFO]")
     return p
 
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
+    logging.basicConfig(level=args.log_level, format="%(asctime)s %(levelname)s %(message)s")
     from daybook.plans.report import build_report
     from daybook.session import get_session
     from daybook.sources.files import read_events
