@@ -45,6 +45,10 @@ from daybook.schema import (
 from daybook.session import checkpoint_root, local_path
 from daybook.sources.sinks import write_report_json, write_tables
 
+# Version of the stored rollup's layout and meaning; part of every snapshot
+# key, so a snapshot written by another version is never reused.
+ROLLUP_FORMAT = 3
+
 # Columns of the clean table the metrics read; nothing else is shuffled.
 METRIC_COLUMNS = ("user_id", "date", "event_type", "amount", "country")
 

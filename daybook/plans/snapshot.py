@@ -4,9 +4,9 @@ The reference caches a built report per (file, modification time) and
 rebuilds when the file changes (other request parameters do not enter the
 key).  Here the report's rollup table is written as parquet under the
 shared checkpoint folder, in a directory named by a fingerprint of the input
-files (paths, sizes, modification times) and of the query over them; the
-report parameters only shape sections derived from that table, so they need
-not enter the key.  A later run over unchanged inputs reads the table back
+files (paths, sizes, modification times) and of the query over them, plus
+the rollup format version; the report parameters only shape sections
+derived from that table, so they need not enter the key.  A later run over unchanged inputs reads the table back
 instead of rescanning the events; any change to the file set — an added,
 removed, rewritten or touched file — gives a new fingerprint.
 
@@ -23,7 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.plans.report import Report, build_report, report_from_rollup
+from daybook.plans.report import ROLLUP_FORMAT, Report, build_report, report_from_rollup
 from daybook.schema import ANOMALY_Z, RETENTION_DAY_OFFSET, TOP_N
 from daybook.session import checkpoint_root
 from daybook.sources.files import literal_path
@@ -86,7 +86,7 @@ def snapshot_report(raw: DataFrame, root: str | None = None, top_n: int = TOP_N,
     """
     spark = raw.sparkSession
     root = (root or f"{checkpoint_root(spark)}/daybook/report_snapshots").rstrip("/")
-    key = source_fingerprint(raw, paths)
+    key = f"v{ROLLUP_FORMAT}-{source_fingerprint(raw, paths)}"
     base = f"{root}/{key}"
     reused = marker_present(spark, base)
     if not reused:
