@@ -181,6 +181,10 @@ def q_report_snapshot(spark, sf):
     return report.document()
 
 
+# Version of the CSV fixture's format (write_events_csv); part of its key.
+_CSV_FORMAT = 1
+
+
 def _f1_csv(spark, sf) -> str:
     """F1 as header CSV (S6) in the shared folder, written once per input.
 
@@ -189,7 +193,7 @@ def _f1_csv(spark, sf) -> str:
     """
     f1 = _f1(spark, sf)
     key = source_fingerprint(f1, _f1_tables(sf))
-    base = f"{checkpoint_root(spark)}/daybook/fixtures/f1_csv_{key}"
+    base = f"{checkpoint_root(spark)}/daybook/fixtures/f1_csv_v{_CSV_FORMAT}_{key}"
     if not marker_present(spark, base):
         write_events_csv(f1.drop("ord"), f"{base}/data")
         write_marker(spark, base)
