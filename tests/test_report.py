@@ -180,7 +180,9 @@ def test_report_identical_through_multi_file_csv(spark, tmp_path):
     # line) must reproduce the first-seen choices, hence the whole report.
     raw = dirty_events(spark, SF01)
     path = str(tmp_path / "ordered_csv")
-    write_events_csv(raw.orderBy("ord").drop("ord"), path)
+    write_events_csv(raw.repartitionByRange(4, "ord").sortWithinPartitions("ord").drop("ord"),
+                     path)
+    assert len([f for f in os.listdir(path) if f.endswith(".csv")]) > 1
     direct = build_report(raw)
     via_csv = build_report(read_events_csv(spark, path))
     try:
