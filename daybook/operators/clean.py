@@ -156,7 +156,10 @@ def counts_from_per_event(events: DataFrame) -> DataFrame:
     n_copies = F.col("n_ok") + F.col("n_ts") + F.col("n_etype")
     agg = events.agg(
         F.coalesce(F.sum(n_copies), F.lit(0)).cast("long").alias("raw_rows"),
-        F.count_if(F.col(FIRST).isNotNull()).cast("long").alias("valid_rows"),
+        # an id is valid when a copy survived D1/D3 (n_ok > 0, i.e. `first`
+        # is set); counting it this way lets a counts-only query drop the
+        # struct-valued min and plan a hash aggregate
+        F.count_if(F.col("n_ok") > 0).cast("long").alias("valid_rows"),
         F.coalesce(F.sum("n_ts"), F.lit(0)).cast("long").alias(RULE_INVALID_TS),
         F.coalesce(F.sum("n_etype"), F.lit(0)).cast("long").alias(RULE_INVALID_ETYPE),
         F.coalesce(F.sum("n_ok"), F.lit(0)).cast("long").alias("survivors"),
