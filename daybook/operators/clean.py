@@ -106,14 +106,23 @@ def per_event(tagged: DataFrame, columns: tuple[str, ...] = _PAYLOAD) -> DataFra
     CSV reader parse — and FAILFAST-check — ``session_id``, which no metric
     reads).  Only ``columns`` travel through the shuffle.
     """
-    payload = ", ".join([ORD, *columns])
-    return tagged.groupBy("event_id").agg(
-        F.expr(f"min(CASE WHEN {RULE} IS NULL THEN struct({payload}) END)").alias(FIRST),
+    counts = [
         F.expr(f"count_if({RULE} IS NULL)").alias("n_ok"),
         F.expr(f"count_if({RULE} = {sql_text(RULE_INVALID_TS)})").alias("n_ts"),
         F.expr(f"count_if({RULE} = {sql_text(RULE_INVALID_ETYPE)})").alias("n_etype"),
         F.expr("count_if(user_id IS NULL OR session_id IS NULL)").alias("n_missing_id"),
-    )
+    ]
+    if columns:
+        payload = ", ".join([ORD, *columns])
+        return tagged.groupBy("event_id").agg(
+            F.expr(f"min(CASE WHEN {RULE} IS NULL THEN struct({payload}) END)").alias(FIRST),
+            *counts)
+    # Only the first copy's order is wanted: min(ord) itself, which is a
+    # hash aggregate whenever ord is a plain number; same output shape.
+    agg = tagged.groupBy("event_id").agg(
+        F.expr(f"min(CASE WHEN {RULE} IS NULL THEN {ORD} END)").alias("_first_ord"), *counts)
+    first = F.when(F.col("_first_ord").isNotNull(), F.struct(F.col("_first_ord").alias(ORD)))
+    return agg.select("event_id", first.alias(FIRST), "n_ok", "n_ts", "n_etype", "n_missing_id")
 
 
 def spread_small_input(raw: DataFrame) -> DataFrame:
