@@ -120,8 +120,8 @@ def _iso(c: str) -> str:
 _DOCUMENT_SELECT = "SELECT concat('{{', array_join(array(" + ",\n".join([
     """'"range":' || (SELECT to_json(named_struct('start', date_format(start, 'yyyy-MM-dd'),
       'end', date_format(`end`, 'yyyy-MM-dd'))) FROM s_range)""",
-    """'"counts":' || (SELECT to_json(named_struct('raw_rows', raw_rows, 'valid_rows',
-      valid_rows, 'dropped_rows', dropped_rows, 'breakdown', breakdown)) FROM s_counts)""",
+    """'"counts":' || coalesce((SELECT to_json(named_struct('raw_rows', raw_rows, 'valid_rows',
+      valid_rows, 'dropped_rows', dropped_rows, 'breakdown', breakdown)) FROM s_counts), 'null')""",
     _listed("dau", "date", _iso("date") + ", 'dau', dau"),
     _listed("funnel", "date",
             _iso("date") + ", 'pv', pv, 'signup', signup, 'purchase', purchase, "

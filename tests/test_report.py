@@ -190,3 +190,12 @@ def test_report_identical_through_multi_file_csv(spark, tmp_path):
     finally:
         direct.release()
         via_csv.release()
+
+
+def test_unchecked_report_of_empty_input_keeps_every_key(make_raw):
+    report = build_report(make_raw([{}]).limit(0), check=False)
+    try:
+        doc = report.to_dict()
+    finally:
+        report.release()
+    assert list(doc) == SECTIONS and doc["counts"] is None and doc["dau"] == []
