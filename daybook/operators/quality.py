@@ -158,7 +158,9 @@ def purchase_amount_stats(raw: DataFrame, amount_col: str = "amount",
                           type_col: str = "event_type") -> DataFrame:
     """One row (purchases, min, median, mean, max) over raw purchase rows.
 
-    min/max/median are data values; mean is reported to cents.
+    min/max/median are data values; mean is reported to cents.  The exact
+    median is selected when this is called (a few small jobs, see
+    ``exact_median``); the returned DataFrame computes the rest lazily.
     """
     purchases = raw.where(F.col(type_col) == "purchase").select(
         F.col(amount_col).cast(T.DoubleType()).alias("amount"))
