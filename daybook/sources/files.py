@@ -84,6 +84,8 @@ def read_events_csv(spark: SparkSession, path: str | list[str],
     text such as ``NA`` is kept literally (it is a country code).  Leading
     and trailing blanks are kept, as the country rule depends on them.  A
     header that does not name the expected columns in order is an error.
+    Attaching the order key lists the input files once (a small job at
+    read time, see ``with_file_order``).
     """
     reader = (spark.read.schema(RAW_EVENT_SCHEMA)
               .option("header", True)
