@@ -6,9 +6,10 @@ key).  Here the report's rollup table is written as parquet under the
 shared checkpoint folder, in a directory named by a fingerprint of the input
 files (paths, sizes, modification times) and of the query over them, plus
 the rollup format version; the report parameters only shape sections
-derived from that table, so they need not enter the key.  A later run over unchanged inputs reads the table back
-instead of rescanning the events; any change to the file set — an added,
-removed, rewritten or touched file — gives a new fingerprint.
+derived from that table, so they need not enter the key.  A later run over
+unchanged inputs reads the table back instead of rescanning the events; any
+change to the file set — an added, removed, rewritten or touched file —
+gives a new fingerprint.
 
 The fingerprint is computed on the executors from a ``binaryFile`` listing
 (content never read) with an order-independent hash aggregate, so no file
