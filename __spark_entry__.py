@@ -237,13 +237,31 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+try:                                  # the corpus operators are optional
+    from daybook.llm import registry as _llm
+except ImportError as missing:
+    if missing.name != "daybook.llm":
+        raise
+    _llm = None
+
+try:
+    import corpus_pipeline as _pipeline
+except ImportError as missing:
+    if missing.name not in ("corpus_pipeline", "daybook.llm"):
+        raise
+    _pipeline = None
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the full report over the sf0.001 dirty-event view."""
     return q_report_document(spark, SMOKE_DIR)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    more = dict(_llm.QUERIES) if _llm else {}
+    if _pipeline:
+        more["pipeline"] = _pipeline.run
+    return _QUERIES | more
 
 
 # ---------------------------------------------------------------------------
@@ -446,4 +464,7 @@ _ORACLE: dict[str, str] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLE)
+    more = dict(_llm.ORACLE) if _llm else {}
+    if _pipeline and _pipeline.ORACLE_SQL:
+        more["pipeline"] = _pipeline.ORACLE_SQL
+    return _ORACLE | more
