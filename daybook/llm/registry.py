@@ -13,6 +13,25 @@ def op1_license_scan(spark, sf_dir):
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op4_simhash_near_dedup(spark, sf_dir):
+    from daybook.llm.simhash import simhash_groups
+
+    return simhash_groups(table(spark, sf_dir, "documents"))
+
+
+def op5_suffix_array_dedup(spark, sf_dir):
+    from daybook.llm.repeats import remove_repeats
+
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op8_best_fit_packing(spark, sf_dir):
+    from daybook.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark, sf_dir):
     from daybook.llm.bpe import decode_documents, encode_documents
 
@@ -23,6 +42,9 @@ def op9_byte_bpe(spark, sf_dir):
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
