@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from daybook.llm import lines
 from daybook.llm.common import table
 
 
@@ -13,6 +14,10 @@ def op1_license_scan(spark, sf_dir):
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark, sf_dir):
+    return lines.remove_boilerplate(table(spark, sf_dir, "documents")).drop("carried")
+
+
 def op4_simhash_near_dedup(spark, sf_dir):
     from daybook.llm.simhash import simhash_groups
 
@@ -26,6 +31,12 @@ def op5_suffix_array_dedup(spark, sf_dir):
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_toxicity(spark, sf_dir):
+    from daybook.llm.toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("carried")
+
+
 def op8_best_fit_packing(spark, sf_dir):
     from daybook.llm.packing import pack_documents
 
@@ -42,10 +53,14 @@ def op9_byte_bpe(spark, sf_dir):
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_line_dedup": op2_line_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
+    "op6_toxicity": op6_toxicity,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_line_dedup": lines.ORACLE,
+}
