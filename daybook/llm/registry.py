@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from daybook.llm import lines
+from daybook.llm import embedding_dedup, lines
 from daybook.llm.common import table
 
 
@@ -18,6 +18,12 @@ def op2_line_dedup(spark, sf_dir):
     return lines.remove_boilerplate(table(spark, sf_dir, "documents")).drop("carried")
 
 
+def op3_nearest_neighbours(spark, sf_dir):
+    from daybook.llm.neighbours import nearest_neighbours
+
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op4_simhash_near_dedup(spark, sf_dir):
     from daybook.llm.simhash import simhash_groups
 
@@ -37,6 +43,10 @@ def op6_toxicity(spark, sf_dir):
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("carried")
 
 
+def op7_embedding_near_dedup(spark, sf_dir):
+    return embedding_dedup.embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
 def op8_best_fit_packing(spark, sf_dir):
     from daybook.llm.packing import pack_documents
 
@@ -51,16 +61,26 @@ def op9_byte_bpe(spark, sf_dir):
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_chat_format(spark, sf_dir):
+    from daybook.llm.chat import TOOLS, as_tool_dialogue, format_chats
+
+    return format_chats(as_tool_dialogue(table(spark, sf_dir, "conversations")), TOOLS)
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_line_dedup": op2_line_dedup,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_toxicity": op6_toxicity,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_chat_format": op10_chat_format,
 }
 
 ORACLE: dict[str, str] = {
     "op2_line_dedup": lines.ORACLE,
+    "op7_embedding_near_dedup": embedding_dedup.ORACLE,
 }
