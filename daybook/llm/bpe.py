@@ -72,7 +72,7 @@ class ByteBPE:
     and changes no result.
     """
 
-    def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN, remember: int = 80_000_000):
+    def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN, remember: int = 30_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"       # Spark's tasks are the parallelism
         from tokenizers import Tokenizer, models, pre_tokenizers
 

@@ -53,6 +53,11 @@ def text_column(name: str = "text"):
     return F.coalesce(F.col(name).cast("string"), F.lit("")).alias("text")
 
 
+def text_key(name: str = "text") -> dict:
+    """Two hashes that together know a text by its content."""
+    return {"k1": F.xxhash64(name), "k2": F.xxhash64(F.lit(1), F.col(name))}
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A string or binary column's bytes and its n + 1 offsets into them.
 

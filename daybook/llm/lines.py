@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Scratch, slices, text_column
+from daybook.llm.common import Scratch, slices, text_column, text_key
 
 MIN_SITES = 16
 _UNNAMED = "\x00"
@@ -37,7 +37,7 @@ def _rows(docs: DataFrame, id_col: str, site_col: str, text_col: str, carry: tup
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.coalesce(F.col(site_col).cast("string"), F.lit(_UNNAMED)).alias("site"),
                         text_column(text_col), carried.alias("carried"))
-            .withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit(1), F.col("text"))}))
+            .withColumns(text_key()))
 
 
 def _lines(rows: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Scratch, slices, text_column
+from daybook.llm.common import Scratch, slices, text_column, text_key
 from daybook.llm.components import connected_components
 
 BITS = 64
@@ -66,16 +66,18 @@ def fingerprints(texts: list[bytes], width: int, seed: int) -> np.ndarray:
 
 def fingerprint_documents(docs: DataFrame, width: int = 4, seed: int = 42,
                           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` with fp as a signed 64-bit integer."""
+    """``doc_id, fp`` with fp as a signed 64-bit integer, and the text's 128-bit key ``k1, k2``."""
+    names = ["doc_id", "k1", "k2"]
+
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text", 4 << 20):
                 texts = part.column("text").cast(pa.binary()).to_pylist()
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(fingerprints(texts, width, seed), pa.int64())], ["doc_id", "fp"])
+                    [*map(part.column, names), pa.array(fingerprints(texts, width, seed), pa.int64())], [*names, "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       text_column(text_col)).mapInArrow(run, "doc_id bigint, fp bigint")
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_column(text_col)).withColumns(text_key())
+    return keyed.mapInArrow(run, "doc_id bigint, k1 bigint, k2 bigint, fp bigint")
 
 
 def segments(max_distance: int, n: int) -> list[tuple[int, int, int]]:
@@ -201,15 +203,21 @@ def near_duplicates(fps: DataFrame, scratch: Scratch, max_distance: int = 4, n_s
 
 def simhash_groups(docs: DataFrame, width: int = 4, seed: int = 42, max_distance: int = 4, n_segments: int = 3,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fingerprint, component_id``: the smallest id that links lead to."""
+    """``doc_id, fingerprint, component_id``: the smallest id that links lead to.
+
+    Also ``kept``, true for one document of each group, and the text's key ``k1, k2``.
+    """
     scratch = Scratch(docs.sparkSession, "simhash")
     marked = scratch.table(fingerprint_documents(docs, width, seed, id_col, text_col))
-    distinct = scratch.table(marked.groupBy("fp").agg(F.min("doc_id").alias("doc_id")))
+    # the row that stays: the smallest id, rows without one last
+    place = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "k1", "k2")
+    distinct = scratch.table(marked.groupBy("fp").agg(F.min(place).alias("first")))
     links = near_duplicates(distinct.select("fp"), scratch, max_distance, n_segments)
     component = connected_components(links, scratch)
     named = (distinct.join(component, F.col("fp") == F.col("node"), "left")
-             .select("fp", "doc_id", F.coalesce("label", "fp").alias("label")))
-    smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    by_fp = named.join(smallest, "label").select("fp", "component_id")
-    return marked.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                                           "component_id")
+             .select("fp", "first", F.coalesce("label", "fp").alias("label")))
+    smallest = named.groupBy("label").agg(F.min("first").alias("chosen"))
+    by_fp = named.join(smallest, "label").select("fp", "chosen")
+    return marked.join(by_fp, "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("chosen.doc_id").alias("component_id"),
+        (place == F.col("chosen")).alias("kept"), "k1", "k2")
