@@ -27,18 +27,37 @@ def sql_text(value: str) -> str:
     return "'" + "".join(esc(c) for c in value) + "'"
 
 
+# A calendar month or day, alone or followed by a time of day, and the zones
+# that may end a time.
+_DATE = r"[0-9]{4}-[0-9]{1,2}(-[0-9]{1,2})?"
+_ZONE = r"(Z|UTC|GMT|[+-][0-9]{1,2}(:?[0-9]{2}){0,2})"
+
+
 def parse_utc_timestamp_sql(col: str, source_type: T.DataType) -> str:
     """Rule D1a: text → UTC instant; anything unparseable becomes null.
 
-    ``try_cast`` never throws under ANSI mode.  Strings with an offset are
-    converted to UTC; naive strings are read in the session zone, which the
-    engine pins to UTC.
+    A text must start with a year and month: a time of day alone, which a
+    cast would complete with today's date, and a bare number such as
+    ``2023`` are not timestamps.  Texts without a zone are UTC; the zone is
+    spelled out before the cast, so the session's zone has no part in it.
+    ``try_cast`` never throws under ANSI mode.
     """
     if isinstance(source_type, T.TimestampType):
         return col
-    if isinstance(source_type, T.TimestampNTZType):
-        return f"CAST({col} AS TIMESTAMP)"
-    return f"try_cast({col} AS TIMESTAMP)"
+    text = f"trim(CAST({col} AS STRING))"
+    # a cast takes a zone after seconds only
+    whole = f"regexp_replace({text}, {sql_text(f'([ T][0-9]{{1,2}}:[0-9]{{1,2}})({_ZONE})?$')}, '$1:00$2')"
+    date, timed, zoned = (sql_text(f"^{_DATE}{rest}$") for rest in ("", "[ T].*", f"[ T].*{_ZONE}"))
+    whole = (f"CASE WHEN {text} RLIKE {date} THEN "
+             f"{text} || CASE WHEN length({text}) < 8 THEN '-01' ELSE '' END || ' 00:00:00Z' "
+             f"WHEN {text} RLIKE {zoned} THEN {whole} "
+             f"WHEN {text} RLIKE {timed} THEN {whole} || 'Z' END")
+    return f"try_cast({whole} AS TIMESTAMP)"
+
+
+def utc_date_sql(ts: str) -> str:
+    """The UTC calendar day of an instant, whatever the session's zone."""
+    return f"date_from_unix_date(CAST(floor(unix_micros({ts}) / 86400000000) AS INT))"
 
 
 def parse_utc_timestamp(col: str, source_type: T.DataType) -> Column:

@@ -17,9 +17,8 @@ It is a declarative aggregate, so Spark combines copies map-side before the
 exchange: an ``event_id`` repeated across a third of the input still
 reaches the reducer as one partial row per map task, never as one huge
 group.  (A ``row_number()`` window would sort the whole hot group in one
-task.)  An input with fewer splits than cores is first spread over all
-cores on (event_id, ord) (``spread_small_input``), keeping that map-side
-combine.
+task.)  Column pruning can't see into that struct, so callers name the
+columns they read and only those travel.
 """
 
 from __future__ import annotations
@@ -31,6 +30,7 @@ from daybook.functions.expressions import (
     normalise_country_sql,
     parse_utc_timestamp_sql,
     sql_text,
+    utc_date_sql,
 )
 from daybook.schema import (
     CLEAN_COLUMNS,
@@ -76,16 +76,17 @@ def tag_rules(raw: DataFrame) -> DataFrame:
     ``x IN (...)`` is null for a null x).
     """
     ts = parse_utc_timestamp_sql("ts", raw.schema["ts"].dataType)
-    rule = (f"CASE WHEN {ts} IS NULL OR year({ts}) >= {SENTINEL_YEAR} "
+    day = utc_date_sql("_ts")
+    rule = (f"CASE WHEN _ts IS NULL OR year({day}) >= {SENTINEL_YEAR} "
             f"THEN {sql_text(RULE_INVALID_TS)} "
             f"WHEN NOT coalesce(event_type IN ({_in(VALID_EVENT_TYPES)}), false) "
             f"THEN {sql_text(RULE_INVALID_ETYPE)} END")
-    return raw.selectExpr(
+    return raw.selectExpr("*", f"{ts} AS _ts").selectExpr(
         f"{_input_order(raw)} AS {ORD}",
         "CAST(event_id AS BIGINT) AS event_id",
         "CAST(user_id AS BIGINT) AS user_id",
-        f"{ts} AS ts",
-        f"to_date({ts}) AS date",
+        "_ts AS ts",
+        f"{day} AS date",
         "event_type",
         f"CASE WHEN event_type IN ({_in(REVENUE_EVENT_TYPES)}) "
         "THEN nanvl(CAST(amount AS DOUBLE), CAST(NULL AS DOUBLE)) ELSE 0D END AS amount",
@@ -125,29 +126,6 @@ def per_event(tagged: DataFrame, columns: tuple[str, ...] = _PAYLOAD) -> DataFra
     return agg.select("event_id", first.alias(FIRST), "n_ok", "n_ts", "n_etype", "n_missing_id")
 
 
-def spread_small_input(raw: DataFrame) -> DataFrame:
-    """Spread an input that has fewer splits than cores over all of them.
-
-    A small file (one parquet row group, one CSV split) — or a few large
-    unsplittable ones — would otherwise run the whole cleaning projection in
-    a handful of tasks.  Rows are hash-partitioned on (event_id, ord): ord
-    is unique per row, so even a hot id spreads evenly, the placement is
-    deterministic on retry, and the dedup aggregate still combines copies
-    map-side before its own exchange.  Inputs with at least as many splits
-    as cores are left alone.
-    """
-    try:
-        cores = raw.sparkSession.sparkContext.defaultParallelism
-        splits = raw.rdd.getNumPartitions()
-    except Exception:                 # no RDD access (e.g. Spark Connect)
-        return raw
-    if splits >= cores:
-        return raw
-    if ORD not in raw.columns:        # number rows in input order, before the shuffle
-        raw = raw.withColumn(ORD, F.monotonically_increasing_id())
-    return raw.repartition(cores, "event_id", ORD)
-
-
 def clean_from_per_event(events: DataFrame, columns: tuple[str, ...] = _PAYLOAD) -> DataFrame:
     """Rule D4's survivors, flattened back to clean-event columns."""
     return (events.where(F.col(FIRST).isNotNull())
@@ -189,26 +167,29 @@ def counts_from_per_event(events: DataFrame) -> DataFrame:
     )
 
 
-def clean_with_counts(raw: DataFrame, columns: tuple[str, ...] = _PAYLOAD,
-                      persist: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Clean events and their counts from one scan and one shuffle.
+def clean_with_counts(raw: DataFrame, columns: tuple[str, ...] = _PAYLOAD
+                      ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Clean events and their counts from one per-event aggregate.
 
-    Returns ``(clean, counts, events)``; ``events`` is the per-event
-    aggregate both derive from.  With ``persist=True`` it is persisted
-    (memory, spilling to disk) so that the two outputs — and every metric
-    computed from ``clean`` — reuse one shuffle; the caller unpersists it.
+    Returns ``(clean, counts, events)``; ``events`` is the aggregate that
+    both derive from.
     """
-    events = per_event(tag_rules(spread_small_input(raw)), columns)
-    if persist:
-        events = events.persist()
+    events = per_event(tag_rules(raw), columns)
     return clean_from_per_event(events, columns), counts_from_per_event(events), events
 
 
-def clean_events(raw: DataFrame) -> DataFrame:
-    """Rules D1–D5: the clean event table (event_id unique)."""
-    return clean_from_per_event(per_event(tag_rules(spread_small_input(raw))))
+def clean_events(raw: DataFrame, columns: tuple[str, ...] = _PAYLOAD) -> DataFrame:
+    """Rules D1–D5: ``event_id`` (unique) and the named clean columns.
+
+    Only these columns go through the dedup shuffle; a metric passes what it
+    reads (``metrics.READS``).
+    """
+    unknown = set(columns) - set(_PAYLOAD)
+    if unknown:
+        raise ValueError(f"not clean-event columns: {sorted(unknown)}")
+    return clean_from_per_event(per_event(tag_rules(raw), tuple(columns)), tuple(columns))
 
 
 def clean_counts(raw: DataFrame) -> DataFrame:
     """Rule accounting only (one row)."""
-    return counts_from_per_event(per_event(tag_rules(spread_small_input(raw)), ()))
+    return counts_from_per_event(per_event(tag_rules(raw), ()))

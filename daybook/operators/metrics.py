@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions.expressions import round_half_even_sql, safe_ratio_sql
+from daybook.functions.expressions import round_half_even_sql, safe_ratio_sql, sql_text
 from daybook.schema import (
     ANOMALY_Z,
     FUNNEL_STEPS,
@@ -34,8 +34,15 @@ from daybook.schema import (
 )
 
 
-def _quoted(values) -> str:
-    return ", ".join(f"'{v}'" for v in values)
+# What each metric reads of the clean events, besides event_id.
+READS = {
+    "dau": ("user_id", "date"),
+    "funnel_daily": ("event_type", "amount", "date"),
+    "revenue_daily": ("event_type", "amount", "date"),
+    "top_countries": ("event_type", "amount", "country"),
+    "retention_d1": ("user_id", "date"),
+    "date_range": ("date",),
+}
 
 
 def _run(query: str, **frames: DataFrame) -> DataFrame:
@@ -43,7 +50,8 @@ def _run(query: str, **frames: DataFrame) -> DataFrame:
     return spark.sql(query, **frames)
 
 
-_REVENUE = f"event_type IN ({_quoted(REVENUE_EVENT_TYPES)})"
+# The one definition of a revenue row.
+REVENUE = f"event_type IN ({', '.join(map(sql_text, REVENUE_EVENT_TYPES))})"
 
 # Each metric is a SQL template over named inputs.  The DataFrame functions
 # below run a template with ``spark.sql(template, name=df)`` (the default
@@ -56,8 +64,8 @@ def daily_facts_sql(clean: str = "{clean}") -> str:
                     for etype, name in FUNNEL_STEPS)
     # pandas sums an all-missing group to 0.0; Spark would give null.
     return (f"SELECT date, count(1) AS events, {steps}"
-            f"count_if({_REVENUE}) AS revenue_events, "
-            f"coalesce(sum(CASE WHEN {_REVENUE} THEN amount END), 0D) AS net_revenue "
+            f"count_if({REVENUE}) AS revenue_events, "
+            f"coalesce(sum(CASE WHEN {REVENUE} THEN amount END), 0D) AS net_revenue "
             f"FROM {clean} GROUP BY date")
 
 
@@ -82,7 +90,7 @@ def revenue_sql(facts: str = "{facts}") -> str:
 
 def country_totals_sql(clean: str = "{clean}") -> str:
     return (f"SELECT country, coalesce(sum(amount), 0D) AS total FROM {clean} "
-            f"WHERE {_REVENUE} GROUP BY country")
+            f"WHERE {REVENUE} GROUP BY country")
 
 
 def top_countries_sql(n: int = TOP_N, totals: str = "{totals}") -> str:
