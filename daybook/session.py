@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -34,11 +36,6 @@ def get_session(master: str | None = None, app_name: str = "daybook",
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    if master and master.startswith("local"):
-        # One machine, small inputs: let AQE keep several small partitions
-        # so every core works.  Clusters keep the 64 MB default.
-        builder = (builder.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
-                   .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k"))
     spark = builder.getOrCreate()
     use_utc(spark)
     return spark
@@ -73,10 +70,17 @@ def checkpoint_root(spark: SparkSession, allow_local: bool = True) -> str:
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(e.g. an object-store prefix) visible to every executor")
         root = _LOCAL_ROOTS[sc.applicationId] = tempfile.mkdtemp(prefix="daybook-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def delete_folder(spark: SparkSession, uri: str) -> None:
+    """Remove a folder on any Hadoop file system; nothing happens if it is gone."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def local_path(uri: str) -> str | None:
     """Filesystem path for a ``file:`` URI or bare path; None for remote stores."""
     if uri.startswith("file:"):

@@ -3,16 +3,13 @@
 Rule D4 keeps the *first-seen* copy of an event, so the scan must carry the
 input order.  Spark has no row order of its own: files are split and the
 splits packed into tasks largest-first.  The order is therefore attached at
-the scan as ``ord = struct(file, split start, position)``, where ``file``
-sorts like the path; it sorts exactly like "file by file, top to bottom"
-however the files are split.
+the scan as ``ord = struct(file path, split start, position)``; it sorts
+exactly like "file by file, top to bottom" however the files are split.
 """
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.schema import RAW_EVENT_SCHEMA
@@ -20,59 +17,22 @@ from daybook.schema import RAW_EVENT_SCHEMA
 ORD = "ord"
 
 
-# Inputs with more files than this keep each row's file path in the order
-# key; up to it, a path-ordered file rank is broadcast instead.  The rank
-# table holds one short row per file, so this bounds the broadcast (~12 MB).
-MAX_RANKED_FILES = 100_000
-
-
-def literal_path(uri: str) -> str:
-    """A path from ``inputFiles()`` (URL-encoded) as ``load()`` accepts it
-    (a glob pattern): decoded, with glob characters escaped."""
-    path = unquote(uri)
-    return "".join("\\" + c if c in "[]{}*?" else c for c in path)
-
-
-def with_file_order(df: DataFrame, row_index: bool = False,
-                    paths: str | list[str] | None = None) -> DataFrame:
+def with_file_order(df: DataFrame, row_index: bool = False) -> DataFrame:
     """Attach ``ord`` = struct(file, block, row) from the scan's ``_metadata``.
 
     Parquet exposes a per-file ``row_index``.  Text formats do not; there the
     split start plus ``monotonically_increasing_id`` (increasing within each
     task, and a split is read by one task top to bottom) orders the rows.
 
-    ``file`` sorts like the file path.  It is a constant for one file and a
-    broadcast rank for up to ``MAX_RANKED_FILES`` files, so the key that
-    travels through the dedup shuffle is three longs; beyond that bound it
-    is the path itself.  The files are listed from ``paths`` (the reader's
-    own arguments) with ``binaryFile``, which lists exactly as the scan
-    does and never reads file contents; only a one-row count reaches the
-    driver.
+    ``file`` is the file's path, whatever the number of files; files follow
+    each other in the lexical order of their paths (``part-100000`` comes
+    before ``part-99999``).
     """
     block = F.lit(0).cast("long") if row_index else F.col("_metadata.file_block_start")
     row = F.col("_metadata.row_index") if row_index else F.monotonically_increasing_id()
-    columns = df.columns
-    spark = df.sparkSession
-    if paths is None:                   # any file-based DataFrame: its own file list
-        paths = [literal_path(f) for f in df.inputFiles()]
-    listing = (spark.read.format("binaryFile").load(paths)
-               .select(F.col("_metadata.file_path").alias("_file")))
-    n_files = listing.count()
-    scan = df.select("*", F.col("_metadata.file_path").alias("_file"),
-                     block.alias("_block"), row.alias("_row"))
-    if n_files <= 1:
-        key = F.lit(0).cast("long")
-    elif n_files > MAX_RANKED_FILES:
-        key = F.col("_file")
-    else:
-        ranks = listing.select(
-            "_file", F.row_number().over(Window.orderBy("_file")).cast("long").alias("_rank"))
-        # Left join: a row is never lost, whatever the listing returns.
-        scan = scan.join(F.broadcast(ranks), "_file", "left")
-        key = F.col("_rank")
-    order = F.struct(key.alias("file"), F.col("_block").alias("block"),
-                     F.col("_row").alias("row"))
-    return scan.select(order.alias(ORD), *columns)
+    order = F.struct(F.col("_metadata.file_path").alias("file"), block.alias("block"),
+                     row.alias("row"))
+    return df.select(order.alias(ORD), *df.columns)
 
 
 def read_events_csv(spark: SparkSession, path: str | list[str],
@@ -84,8 +44,6 @@ def read_events_csv(spark: SparkSession, path: str | list[str],
     text such as ``NA`` is kept literally (it is a country code).  Leading
     and trailing blanks are kept, as the country rule depends on them.  A
     header that does not name the expected columns in order is an error.
-    Attaching the order key lists the input files once (a small job at
-    read time, see ``with_file_order``).
     """
     reader = (spark.read.schema(RAW_EVENT_SCHEMA)
               .option("header", True)
@@ -95,7 +53,7 @@ def read_events_csv(spark: SparkSession, path: str | list[str],
               .option("mode", "FAILFAST" if failfast else "PERMISSIVE")
               .option("ignoreLeadingWhiteSpace", False)
               .option("ignoreTrailingWhiteSpace", False))
-    return with_file_order(reader.csv(path), paths=path)
+    return with_file_order(reader.csv(path))
 
 
 def read_events_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -103,7 +61,7 @@ def read_events_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame
     df = spark.read.parquet(*([path] if isinstance(path, str) else path))
     if ORD in df.columns:
         return df
-    return with_file_order(df, row_index=True, paths=path)
+    return with_file_order(df, row_index=True)
 
 
 def read_events(spark: SparkSession, path: str | list[str], fmt: str | None = None) -> DataFrame:
