@@ -6,6 +6,11 @@ distributed aggregate returning a small DataFrame.
 
 from __future__ import annotations
 
+import math
+import uuid
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,10 +18,13 @@ from pyspark.sql import types as T
 from daybook.functions.expressions import (
     amounts_close,
     money,
-    parse_utc_timestamp,
+    parse_utc_timestamp_sql,
     round_half_even,
+    round_half_even_sql,
+    utc_date_sql,
 )
 from daybook.schema import AMOUNT_ATOL, AMOUNT_RTOL, SENTINEL_YEAR, VALID_EVENT_TYPES
+from daybook.session import checkpoint_root, delete_folder
 
 
 def _pct(part: Column, whole: Column) -> Column:
@@ -30,13 +38,15 @@ def _pct(part: Column, whole: Column) -> Column:
 def event_type_distribution(raw: DataFrame) -> DataFrame:
     """(event_type, events, pct): value counts including nulls, largest first.
 
-    The per-type counts are partially aggregated map-side; the share uses a
-    grand total over the handful of resulting rows.
+    The per-type counts are partially aggregated map-side.  The type is raw
+    text, so there may be many; the grand total is a scalar subquery, and the
+    counts stay spread.
     """
-    counts = raw.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
-    total = F.sum("events").over(Window.partitionBy())
-    return (counts.select("event_type", "events", _pct(F.col("events"), total).alias("pct"))
-            .orderBy(F.desc("events"), F.asc_nulls_last("event_type")))
+    pct = round_half_even_sql("events * 100D / (SELECT sum(events) FROM c)", 2)
+    return raw.sparkSession.sql(
+        "WITH c AS (SELECT event_type, count(1) AS events FROM {raw} GROUP BY event_type) "
+        f"SELECT event_type, events, {pct} AS pct FROM c "
+        "ORDER BY events DESC, event_type ASC NULLS LAST", raw=raw)
 
 
 # ---------------------------------------------------------------------------
@@ -48,24 +58,24 @@ def dirty_profile(raw: DataFrame) -> DataFrame:
 
     sentinel_ts: year ≥ 2099; unparseable_ts: missing or not a timestamp;
     empty_country: missing or ''; unknown_type: outside the allowlist (or
-    missing); duplicate_ids: rows − distinct event ids.
+    missing); unique_ids: distinct event ids; duplicate_ids: rows − those.
     """
-    ts = parse_utc_timestamp("ts", raw.schema["ts"].dataType)
+    ts = parse_utc_timestamp_sql("ts", raw.schema["ts"].dataType)
     good_type = F.coalesce(F.col("event_type").isin(*VALID_EVENT_TYPES), F.lit(False))
-    agg = raw.agg(
+    agg = raw.select("event_id", "country", "event_type", F.expr(utc_date_sql(ts)).alias("day")).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.year(ts) >= SENTINEL_YEAR).alias("sentinel_ts"),
-        F.count_if(ts.isNull()).alias("unparseable_ts"),
+        F.count_if(F.year(F.col("day")) >= SENTINEL_YEAR).alias("sentinel_ts"),
+        F.count_if(F.col("day").isNull()).alias("unparseable_ts"),
         F.count_if(F.col("country").isNull() | (F.col("country") == "")).alias("empty_country"),
         F.count_if(~good_type).alias("unknown_type"),
-        F.count_distinct("event_id").alias("_ids"),
+        F.count_distinct("event_id").alias("unique_ids"),
     )
     counts = ["sentinel_ts", "unparseable_ts", "empty_country", "unknown_type"]
-    dup = (F.col("rows") - F.col("_ids")).alias("duplicate_ids")
+    dup = (F.col("rows") - F.col("unique_ids")).alias("duplicate_ids")
     return agg.select(
-        "rows", *counts, dup,
+        "rows", *counts, "unique_ids", dup,
         *[_pct(F.col(c), F.col("rows")).alias(f"{c}_pct") for c in counts],
-        _pct(F.col("rows") - F.col("_ids"), F.col("rows")).alias("duplicate_ids_pct"),
+        _pct(F.col("rows") - F.col("unique_ids"), F.col("rows")).alias("duplicate_ids_pct"),
     )
 
 
@@ -73,105 +83,80 @@ def dirty_profile(raw: DataFrame) -> DataFrame:
 # Q3 — purchase-amount statistics (exact median)
 # ---------------------------------------------------------------------------
 
-# Rows below which the last candidate range is ranked directly, and buckets
-# per refinement pass.  Both bound what any single task or the driver sees.
-_MEDIAN_FINAL_ROWS = 200_000
-_MEDIAN_BUCKETS = 1024
+def value_counts(df: DataFrame, col: str) -> tuple[DataFrame, str]:
+    """Distinct values with their counts, range-partitioned and stored.
 
+    The one pass over ``df``: columns ``v`` (null for null and NaN), ``c`` and
+    ``part``, where the values of a part lie between those of its neighbours.
+    Also the folder in the shared checkpoint directory.
+    """
+    spark = df.sparkSession
+    v = F.col(col).cast(T.DoubleType())
+    counts = (df.select(F.when(~F.isnan(v), v).alias("v"))
+              .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
+    parts = counts.repartitionByRange("v").withColumn("part", F.spark_partition_id())
+    folder = f"{checkpoint_root(spark)}/daybook/value_counts/{uuid.uuid4().hex}"
+    parts.write.parquet(folder)
+    return spark.read.schema(parts.schema).parquet(folder), folder
 
-def exact_median(df: DataFrame, col: str) -> float | None:
+
+def median_of_counts(counts: DataFrame) -> float | None:
     """Exact median (mean of the two middle values for an even count).
 
-    Distributed selection instead of Spark's ``median`` aggregate, whose
-    final merge holds every distinct value in one task.  Each pass counts
-    the candidate range in equal-width value buckets (a partial aggregate:
-    at most ``_MEDIAN_BUCKETS`` rows reach the driver), keeps the bucket(s)
-    holding the middle rank(s), and narrows the range to their observed
-    min/max.  Ties collapse: a range whose min equals its max is done.  Once
-    the range holds few rows, its distinct values are ranked with a window.
+    Only the totals of the range parts reach the driver.  They tell which
+    part holds a middle rank; cumulative counts within such a part, a
+    window over one part's distinct values, give the value.
     """
-    v = F.col(col)
-    values = df.select(v.cast(T.DoubleType()).alias("v")).where(
-        F.col("v").isNotNull() & ~F.isnan(F.col("v")))
-    stats = values.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
-                       F.max("v").alias("hi")).first()
-    n = stats["n"]
+    counts = counts.where(F.col("v").isNotNull())
+    totals = counts.groupBy("part").agg(F.sum("c").alias("c"), F.min("v").alias("lo")).collect()
+    totals.sort(key=lambda r: r["lo"])
+    n = sum(r["c"] for r in totals)
     if not n:
         return None
-    ranks = sorted({(n - 1) // 2, n // 2})
-    picked = _select_ranks(values, ranks, stats["lo"], stats["hi"], 0, n)
-    return sum(picked) / len(picked)
-
+    before, picked = 0, {}
+    for r in totals:
+        own = [k for k in {(n - 1) // 2, n // 2} if before <= k < before + r["c"]]
+        if own:
+            upto = F.sum("c").over(Window.partitionBy("part").orderBy("v"))
+            ranked = counts.where(F.col("part") == r["part"]).select(
+                "v", (upto - F.col("c") + before).alias("start"), (upto + before).alias("stop"))
+            hit = [(F.col("start") <= k) & (F.col("stop") > k) for k in own]
+            for row in ranked.where(reduce(or_, hit)).collect():
+                picked.update((k, row["v"]) for k in own if row["start"] <= k < row["stop"])
+        before += r["c"]
+    low, high = picked[(n - 1) // 2], picked[n // 2]
+    # halves first only where the sum would overflow
+    return (low + high) / 2 if math.isfinite(low + high) or low != low else low / 2 + high / 2
 
-def _select_ranks(values: DataFrame, ks: list[int], lo: float, hi: float, below: int,
-                  count: int) -> list[float]:
-    """Values at the adjacent 0-based ranks ``ks``.
 
-    [lo, hi] holds ``count`` rows including both ranks; ``below`` rows are
-    smaller than ``lo``.  Each pass keeps the (at most two neighbouring)
-    buckets that hold the ranks.
-    """
-    while True:
-        if lo == hi:
-            return [lo for _ in ks]
-        in_range = values.where((F.col("v") >= lo) & (F.col("v") <= hi))
-        if count <= _MEDIAN_FINAL_ROWS:
-            return _rank_directly(in_range, [k - below for k in ks])
-        width = (hi - lo) / _MEDIAN_BUCKETS
-        bucket = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)),
-                         F.lit(_MEDIAN_BUCKETS - 1)).cast("int")
-        hist = (in_range.groupBy(bucket.alias("b"))
-                .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("mn"),
-                     F.max("v").alias("mx"))
-                .orderBy("b").collect())
-        seen, keep = below, []
-        for r in hist:
-            if seen + r["c"] > ks[0] and seen <= ks[-1]:
-                keep.append((r, seen))
-            seen += r["c"]
-        new_lo, new_hi = keep[0][0]["mn"], keep[-1][0]["mx"]
-        if (new_lo, new_hi) == (lo, hi):          # no progress possible
-            return _rank_directly(in_range, [k - below for k in ks])
-        lo, hi, below = new_lo, new_hi, keep[0][1]
-        count = sum(r["c"] for r, _ in keep)
-
-
-def _rank_directly(in_range: DataFrame, ks: list[int]) -> list[float]:
-    """Values at 0-based ranks ``ks`` of a small candidate range, in one job.
-
-    Distinct values with cumulative counts: ties collapse before the
-    (single-partition) window, which therefore sees at most
-    ``_MEDIAN_FINAL_ROWS`` rows.
-    """
-    vc = in_range.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    upto = F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = vc.select("v", (upto - F.col("c")).alias("start"), upto.alias("end"))
-    hit = None
-    for k in ks:
-        cond = (F.col("start") <= k) & (F.col("end") > k)
-        hit = cond if hit is None else hit | cond
-    rows = ranked.where(hit).collect()
-    return [next(r["v"] for r in rows if r["start"] <= k < r["end"]) for k in ks]
+def exact_median(df: DataFrame, col: str) -> float | None:
+    """Exact median of a numeric column; nulls and NaN are left out."""
+    counts, folder = value_counts(df, col)
+    try:
+        return median_of_counts(counts)
+    finally:
+        delete_folder(df.sparkSession, folder)
 
 
 def purchase_amount_stats(raw: DataFrame, amount_col: str = "amount",
                           type_col: str = "event_type") -> DataFrame:
     """One row (purchases, min, median, mean, max) over raw purchase rows.
 
-    min/max/median are data values; mean is reported to cents.  The exact
-    median is selected when this is called (a few small jobs, see
-    ``exact_median``); the returned DataFrame computes the rest lazily.
+    min/max/median are data values; mean is reported to cents.  One pass over
+    the events counts the distinct amounts when this is called; everything
+    else, the median too, reads those counts.
     """
-    purchases = raw.where(F.col(type_col) == "purchase").select(
-        F.col(amount_col).cast(T.DoubleType()).alias("amount"))
-    median = exact_median(purchases, "amount")
-    return purchases.agg(
-        F.count(F.lit(1)).alias("purchases"),
-        F.min("amount").alias("min_amount"),
-        F.lit(median).cast(T.DoubleType()).alias("median_amount"),
-        money(F.avg("amount")).alias("mean_amount"),
-        F.max("amount").alias("max_amount"),
-    )
+    spark = raw.sparkSession
+    counts, folder = value_counts(raw.where(F.col(type_col) == "purchase"), amount_col)
+    try:
+        total = F.sum(F.col("v") * F.col("c")) / F.sum(F.when(F.col("v").isNotNull(), F.col("c")))
+        row = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.min("v").alias("lo"),
+                         money(total).alias("mean"), F.max("v").alias("hi")).first()
+        stats = (row["n"], row["lo"], median_of_counts(counts), row["mean"], row["hi"])
+    finally:
+        delete_folder(spark, folder)
+    return spark.createDataFrame([stats], "purchases bigint, min_amount double, median_amount double, "
+                                          "mean_amount double, max_amount double")
 
 
 # ---------------------------------------------------------------------------
@@ -182,100 +167,105 @@ LINKED = "linked"
 NO_PURCHASE = "no_purchase"
 AMOUNT_MISMATCH = "amount_mismatch"
 BAD_TIME = "bad_time"
-STATUSES = (LINKED, NO_PURCHASE, AMOUNT_MISMATCH, BAD_TIME)
+TOO_LATE = "too_late"
+STATUSES = (LINKED, NO_PURCHASE, AMOUNT_MISMATCH, BAD_TIME, TOO_LATE)
 
+# A refund comes at most this long after its purchase.
+MAX_REFUND_DAYS = 30
 
-# Class id of the "this session has a purchase" marker key; magnitude
-# classes of doubles stay within ±1026.
-_SESSION_MARKER = 4096
+# Amounts within the tolerance differ by at most _AMOUNT_STEP on the scale of
+# ``_scaled``; buckets are wider, so few amounts fall near two of them.
+_AMOUNT_STEP = 1.1 * AMOUNT_RTOL
+_AMOUNT_BUCKET = 10 * AMOUNT_RTOL
 
 
-def _magnitude_class(x: Column) -> Column:
-    """0 for |x| < 1, else ±(1 + floor(log2 |x|)) by sign: one class per octave."""
-    ax = F.abs(x)
-    return (F.when(ax < 1, F.lit(0))
-            .otherwise(F.signum(x).cast("int") * (F.floor(F.log2(ax)).cast("int") + 1)))
+def _scaled(x: Column) -> Column:
+    """A scale on which the isclose tolerance is the same length everywhere.
 
+    atol + rtol |x| = rtol (atol / rtol + |x|), which is the step of
+    sign(x) log(1 + |x| rtol / atol).
+    """
+    return F.signum(x) * F.log1p(F.abs(x) * F.lit(AMOUNT_RTOL / AMOUNT_ATOL))
 
-def _class_width(cls: Column) -> Column:
-    """Bucket width of a class: above the tolerance of any amount in it.
 
-    |p| < 2^|cls| in class ``cls``, so tol(p) = atol + rtol·|p| stays below
-    atol + rtol·2^|cls|; the extra factor 4 absorbs rounding in log2 at
-    octave edges.
-    """
-    return F.lit(AMOUNT_ATOL) + F.lit(AMOUNT_RTOL) * F.pow(F.lit(2.0), F.abs(cls) + 2)
+def _bucket(scaled: Column) -> Column:
+    return F.floor(scaled / F.lit(_AMOUNT_BUCKET))
 
 
-def refund_links(raw: DataFrame) -> DataFrame:
+def refund_links(raw: DataFrame, max_days: int = MAX_REFUND_DAYS) -> DataFrame:
     """Classify every refund against the purchases it could belong to.
 
     A refund is ``linked`` when some purchase of the same user and session
     has amount ≈ −refund (numpy.isclose, atol 1e-4, rtol 1e-5) and an
-    earlier timestamp; ``bad_time`` when amounts match but no such purchase
+    earlier timestamp, by ``max_days`` days at most; ``too_late`` when such
+    purchases are all older; ``bad_time`` when amounts match but no purchase
     is earlier; ``amount_mismatch`` when the user/session has purchases but
-    none with the amount; ``no_purchase`` otherwise.  Rows whose timestamp
-    is unparseable or in the sentinel year are left out; non-finite amounts
-    count as missing.  Identical refund rows are classified once and carry
-    their multiplicity in ``copies``.
+    none with the amount; ``no_purchase`` otherwise, as for refunds without
+    a user or session.  Rows whose timestamp is unparseable or in the
+    sentinel year are left out; non-finite amounts count as missing.
+    Identical refund rows are classified once and carry their multiplicity
+    in ``copies``.
 
     No refund is paired with every purchase of its session.  Purchases are
-    collapsed to distinct (user, session, amount) with their earliest time
-    and keyed by (magnitude class, bucket) with a bucket wider than the
-    tolerance anywhere in the class; a matching amount is always in a
-    neighbouring class and bucket, so each refund probes 3 × 3 keys — a
-    range join written as one equi-join, with candidates bounded by the
-    amount resolution, and exact after the final isclose test.  One more
-    marker key per session answers "has any purchase" in the same join.
+    collapsed per (user, session, amount) to their first time, and per
+    window of ``max_days`` to their first and last.  A refund looks up its
+    amount's bucket, and the next one if the tolerance reaches it, in three
+    windows: any time, its own and the one before.  Inside its own window
+    only the first purchase matters, in the one before only the last.  A
+    hot session spreads over its amounts and windows; a key that is hot
+    still has one purchase row, so it is a plain skewed join side.
     """
-    ts = parse_utc_timestamp("ts", raw.schema["ts"].dataType)
+    ts = parse_utc_timestamp_sql("ts", raw.schema["ts"].dataType)
     amount = F.col("amount").cast(T.DoubleType())
     finite = F.when(~F.isnan(amount) & (F.abs(amount) < F.lit(float("inf"))), amount)
     events = (raw.select("event_id", "user_id", "session_id", "event_type",
-                         finite.alias("amount"), ts.alias("ts"))
-              .where(F.col("ts").isNotNull() & (F.year("ts") < SENTINEL_YEAR)))
-    marker = F.struct(F.lit(_SESSION_MARKER).alias("cls"), F.lit(0).cast("long").alias("bkt"))
-
-    # Purchases: one amount key and one session marker each, pre-aggregated.
-    p_cls = _magnitude_class(F.col("amount"))
-    p_key = F.when(F.col("amount").isNotNull(), F.struct(
-        p_cls.alias("cls"), F.floor(F.col("amount") / _class_width(p_cls)).alias("bkt")))
-    # (`inline` turns a null key into a null row, dropped by the filter; a
-    # lambda `filter` on the array would leave generated code.)
-    keyed = (events.where(F.col("event_type") == "purchase")
-             .select("user_id", "session_id", "amount", "ts", F.inline(F.array(p_key, marker)))
-             .where(F.col("cls").isNotNull())
-             .groupBy("user_id", "session_id", "cls", "bkt",
-                      F.when(F.col("cls") != _SESSION_MARKER, F.col("amount")).alias("p_amount"))
-             .agg(F.min("ts").alias("p_first_ts")))
-
-    # Refunds: distinct rows with multiplicity, then 9 amount probes + marker.
-    key = ["event_id", "user_id", "session_id", "amount", "ts"]
+                         finite.alias("amount"), F.expr(ts).alias("ts"))
+              .where(F.col("ts").isNotNull() & (F.expr(f"year({utc_date_sql('ts')})") < SENTINEL_YEAR)))
+    pair = ["user_id", "session_id"]
+    keyed = F.col("user_id").isNotNull() & F.col("session_id").isNotNull()
+    span = max_days * 86_400_000_000
+    window = F.floor(F.unix_micros("ts") / F.lit(span))
+
+    purchases = events.where((F.col("event_type") == "purchase") & keyed)
+    sessions = purchases.select(*pair).distinct().withColumn("has_purchase", F.lit(True))
+    # window null: any time
+    filed = (purchases.where(F.col("amount").isNotNull())
+             .select(*pair, F.col("amount").alias("p_amount"), _bucket(_scaled(F.col("amount"))).alias("bucket"),
+                     F.explode(F.array(F.lit(-1), window)).alias("win"), "ts")
+             .groupBy(*pair, "bucket", "win", "p_amount")
+             .agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")))
+
+    key = ["event_id", *pair, "amount", "ts"]
     refunds = (events.where(F.col("event_type") == "refund")
                .groupBy(*key).agg(F.count(F.lit(1)).alias("copies")))
-    target = -F.col("amount")
-    r_cls = _magnitude_class(target)
-    probes = [F.struct((r_cls + dc).alias("cls"),
-                       (F.floor(target / _class_width(r_cls + dc)) + db).alias("bkt"))
-              for dc in (-1, 0, 1) for db in (-1, 0, 1)]
-    probed = (refunds.select(*key, "copies", F.inline(F.array(
-                  *[F.when(F.col("amount").isNotNull(), p) for p in probes], marker)))
-              .where(F.col("cls").isNotNull()))
-
-    is_marker = F.col("cls") == _SESSION_MARKER
-    close = ~is_marker & amounts_close(F.col("amount"), -F.col("p_amount"))
-    per_refund = (probed.join(keyed, ["user_id", "session_id", "cls", "bkt"], "left")
-                  .groupBy(*key, "copies")
-                  .agg(F.count_if(is_marker & F.col("p_first_ts").isNotNull()).alias("_has"),
-                       F.min(F.when(close, F.col("p_first_ts"))).alias("match_first_ts")))
-    status = (F.when(F.col("_has") == 0, F.lit(NO_PURCHASE))
+    target = _scaled(-F.col("amount"))
+    buckets = F.array_distinct(F.array(_bucket(target - _AMOUNT_STEP), _bucket(target + _AMOUNT_STEP)))
+    probes = (refunds.where(keyed & F.col("amount").isNotNull())
+              .select(*key, window.alias("own"), F.explode(buckets).alias("bucket"))
+              .select(*key, "own", "bucket", F.explode(F.array(F.lit(-1), F.col("own"), F.col("own") - 1)).alias("win")))
+    within = (F.when(F.col("win") == F.col("own"), F.col("first_ts") < F.col("ts"))
+              .when(F.col("win") == F.col("own") - 1,
+                    F.unix_micros("last_ts") >= F.unix_micros("ts") - F.lit(span)))
+    found = (probes.join(filed, [*pair, "bucket", "win"])
+             .where(amounts_close(F.col("amount"), -F.col("p_amount")))
+             .groupBy(*key)
+             .agg(F.min("first_ts").alias("match_first_ts"),
+                  F.max(F.coalesce(within, F.lit(False)) & (F.col("win") != -1)).alias("in_time")))
+    status = (F.when(F.col("has_purchase").isNull(), F.lit(NO_PURCHASE))
               .when(F.col("match_first_ts").isNull(), F.lit(AMOUNT_MISMATCH))
-              .when(F.col("match_first_ts") < F.col("ts"), F.lit(LINKED))
+              .when(F.col("in_time"), F.lit(LINKED))
+              .when(F.col("match_first_ts") < F.col("ts"), F.lit(TOO_LATE))
               .otherwise(F.lit(BAD_TIME)))
-    return per_refund.select(*key, "copies", status.alias("status"))
+    # refunds without a key or amount have nothing to find and skip the joins
+    open_refunds = refunds.where(keyed)
+    same = [open_refunds[c].eqNullSafe(found[c]) if c == "event_id" else open_refunds[c] == found[c] for c in key]
+    classified = (open_refunds.join(found, reduce(and_, same), "left")
+                  .select(*[open_refunds[c] for c in key], "copies", "match_first_ts", "in_time")
+                  .join(sessions, pair, "left").select(*key, "copies", status.alias("status")))
+    return classified.unionByName(refunds.where(~keyed).withColumn("status", F.lit(NO_PURCHASE)))
 
 
-def refund_integrity(raw: DataFrame) -> DataFrame:
+def refund_integrity(raw: DataFrame, max_days: int = MAX_REFUND_DAYS) -> DataFrame:
     """(status, refunds): how many refunds fall in each class."""
-    return (refund_links(raw).groupBy("status")
+    return (refund_links(raw, max_days).groupBy("status")
             .agg(F.sum("copies").cast("long").alias("refunds")))
