@@ -15,34 +15,33 @@ Plan shape::
                                    └─ retention: Exchange(user_id) window min → groupBy(cohort)
 
 Only the first exchange is as large as the input, and it carries just the
-five columns the metrics read (an input with fewer splits than cores is
-spread round-robin before it).  The second is partially aggregated per task
-(one row per day/country/user-day per task).  Everything after the rollup
-is small; each section reads only its own partition, and the document is
+five columns the metrics read.  The second is partially aggregated per task
+(one row per day/country/user-day per task).  After the rollup, the user-day
+part is users x days and is read by DAU and retention; the other parts are
+day- or country-sized.  Each section reads only its own partition, and the document is
 one SQL statement — the metric templates as CTEs — run on the executors.
 """
 
 from __future__ import annotations
 
 import json
-import os
-import shutil
 import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from daybook.functions.expressions import sql_text
 from daybook.operators import metrics as M
-from daybook.operators.clean import per_event, spread_small_input, tag_rules
+from daybook.operators.clean import per_event, tag_rules
 from daybook.schema import (
     ANOMALY_Z,
     FUNNEL_STEPS,
     RETENTION_DAY_OFFSET,
-    REVENUE_EVENT_TYPES,
+    RULES,
     TOP_N,
 )
-from daybook.session import checkpoint_root, local_path
+from daybook.session import checkpoint_root, delete_folder
 from daybook.sources.sinks import write_report_json, write_tables
 
 # Version of the stored rollup's layout and meaning; part of every snapshot
@@ -135,6 +134,51 @@ _DOCUMENT_SELECT = "SELECT concat('{{', array_join(array(" + ",\n".join([
 ]) + "), ','), '}}') AS report"
 
 
+# Fields of each section's entries in the document: the entry's name (null
+# where it has none) and its numbers.
+_ENTRIES = {
+    "dau": ("date", ("dau",)),
+    "funnel": ("date", ("pv", "signup", "purchase", "pv_to_signup", "signup_to_purchase")),
+    "revenue_daily": ("date", ("net_revenue",)),
+    "top_countries": ("country", ("net_revenue",)),
+    "anomalies": ("date", ("net_revenue", "z")),
+    "retention_d1": ("cohort_date", ("users", "retained", "rate")),
+}
+_COUNTS = ("raw_rows", "valid_rows", "dropped_rows", *(f"breakdown.{r}" for r in RULES))
+
+
+def _document_schema() -> str:
+    lists = ", ".join(f"{name}: array<struct<{key}: string, " + ", ".join(f"{f}: double" for f in fields) + ">>"
+                      for name, (key, fields) in _ENTRIES.items())
+    breakdown = ", ".join(f"{r}: double" for r in RULES)
+    return ("struct<range: struct<start: string, `end`: string>, counts: struct<raw_rows: double, valid_rows: double, "
+            f"dropped_rows: double, breakdown: struct<{breakdown}>>, {lists}>")
+
+
+def document_values(document: DataFrame) -> DataFrame:
+    """``section, position, key, field, value`` for every value in the parsed document.
+
+    Positions count a section's entries from 0 in the document's order.
+    ``range`` has its dates as keys and no value.
+    """
+    doc = document.select(F.from_json("report", _document_schema()).alias("d"))
+
+    def single(section: str, names, key, value):
+        rows = F.array(*[F.struct(F.lit(section).alias("section"), F.lit(0).alias("position"),
+                                  key(n).cast("string").alias("key"), F.lit(n).alias("field"),
+                                  value(n).cast("double").alias("value")) for n in names])
+        return doc.select(F.inline(rows))
+
+    out = single("range", ("start", "end"), lambda n: F.col("d.range")[n], lambda n: F.lit(None))
+    out = out.unionByName(single("counts", _COUNTS, lambda n: F.lit(None), lambda n: F.col(f"d.counts.{n}")))
+    for section, (key, fields) in _ENTRIES.items():
+        each = doc.select(F.posexplode(f"d.{section}").alias("position", "e"))
+        rows = F.array(*[F.struct(F.lit(f).alias("field"), F.col("e")[f].alias("value")) for f in fields])
+        out = out.unionByName(each.select(F.lit(section).alias("section"), "position", F.col("e")[key].alias("key"),
+                                          F.inline(rows)))
+    return out
+
+
 @dataclass
 class Report:
     """The report over its stored rollup table.
@@ -201,14 +245,13 @@ class Report:
         return self.counts.first()
 
     def release(self) -> None:
-        """Remove this report's scratch rollup (local folders only; on an
-        object store, expire ``<checkpoint dir>/daybook/rollups`` instead)."""
-        path = local_path(self._scratch) if self._scratch else None
-        if path and os.path.isdir(path):
-            shutil.rmtree(path, ignore_errors=True)
+        """Remove this report's scratch rollup, wherever it is stored."""
+        if self._scratch:
+            delete_folder(self.rollup.sparkSession, self._scratch)
         self._scratch = None
 
-_REVENUE = f"event_type IN ({', '.join(sql_text(t) for t in REVENUE_EVENT_TYPES)})"
+
+
 
 # GROUPING SETS plan as one Expand (codegen'd) under one partial aggregate.
 # Groups that no section reads — invalid events (null date/country),
@@ -232,7 +275,7 @@ FROM (
   SELECT event_id, first.user_id AS user_id, first.date AS date,
          first.event_type AS event_type, first.amount AS amount, first.country AS country,
          first IS NOT NULL AS valid,
-         coalesce(first.{_REVENUE}, false) AS revenue,
+         coalesce(first.{M.REVENUE}, false) AS revenue,
          n_ok, n_ts, n_etype, n_missing_id
   FROM {{events}}
 )
@@ -253,7 +296,7 @@ def report_rollup(raw: DataFrame) -> DataFrame:
     does): Spark 4.1 does not match a *cached* Expand plan when one query
     reads it twice, which would silently rescan the events.
     """
-    events = per_event(tag_rules(spread_small_input(raw)), METRIC_COLUMNS)
+    events = per_event(tag_rules(raw), METRIC_COLUMNS)
     return raw.sparkSession.sql(_ROLLUP_SQL, events=events)
 
 

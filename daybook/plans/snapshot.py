@@ -19,6 +19,7 @@ list is gathered into one task.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
@@ -26,28 +27,21 @@ from pyspark.sql import functions as F
 
 from daybook.plans.report import ROLLUP_FORMAT, Report, build_report, report_from_rollup
 from daybook.schema import ANOMALY_Z, RETENTION_DAY_OFFSET, TOP_N
-from daybook.session import checkpoint_root
-from daybook.sources.files import literal_path
+from daybook.session import checkpoint_root, delete_folder
 
 MARKER = "COMPLETE"
 
 
-def source_fingerprint(raw: DataFrame, paths: str | list[str] | None = None) -> str:
+def source_fingerprint(raw: DataFrame, paths: str | list[str]) -> str:
     """Fingerprint of ``raw``: its files and its plan.
 
-    The files are listed with ``binaryFile`` from ``paths`` — the paths
-    ``raw`` was read from — or, without them, from ``raw.inputFiles()``; a
-    one-row order-independent hash aggregate is all that reaches the driver.
-    ``semanticHash`` identifies the query over the files (the same files
-    read through another filter or projection are another source); it is
-    stable across sessions.
+    The files are listed with ``binaryFile`` from ``paths``, the paths that
+    ``raw`` was read from; a one-row order-independent hash aggregate is all
+    that reaches the driver.  ``semanticHash`` identifies the query over the
+    files (the same files read through another filter or projection are
+    another source); it is stable across sessions.
     """
-    spark = raw.sparkSession
-    if paths is None:
-        paths = [literal_path(f) for f in raw.inputFiles()]
-        if not paths:
-            raise ValueError("the events DataFrame does not read any files")
-    listing = spark.read.format("binaryFile").load(paths)
+    listing = raw.sparkSession.read.format("binaryFile").load(paths)
     row = listing.agg(
         F.count(F.lit(1)).alias("n"),
         F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("h"),
@@ -59,41 +53,66 @@ def source_fingerprint(raw: DataFrame, paths: str | list[str] | None = None) ->
     return hashlib.sha256(text.encode()).hexdigest()[:32]
 
 
-def marker_present(spark, base: str) -> bool:
-    """True once ``write_marker`` has completed for ``base``."""
+def read_marker(spark, base: str) -> str | None:
+    """The folder that ``write_marker`` named for ``base``, if it has."""
     try:
-        return spark.read.text(f"{base}/{MARKER}").limit(1).count() == 1
+        row = spark.read.text(f"{base}/{MARKER}").first()
     except AnalysisException:
-        return False
+        return None
+    return row[0] if row else None
 
 
-def write_marker(spark, base: str) -> None:
-    """Mark ``base`` complete; written last, after the data it vouches for."""
-    spark.createDataFrame([(base,)], "base string").write.mode("overwrite").text(
+def write_marker(spark, base: str, folder: str) -> None:
+    """Name ``folder`` as the complete data of ``base``; written after the data."""
+    spark.createDataFrame([(folder,)], "folder string").write.mode("overwrite").text(
         f"{base}/{MARKER}")
 
 
-def snapshot_report(raw: DataFrame, root: str | None = None, top_n: int = TOP_N,
-                    threshold: float = ANOMALY_Z, offset_days: int = RETENTION_DAY_OFFSET,
-                    paths: str | list[str] | None = None) -> tuple[Report, bool]:
+def snapshot_report(raw: DataFrame, paths: str | list[str], root: str | None = None,
+                    top_n: int = TOP_N, threshold: float = ANOMALY_Z,
+                    offset_days: int = RETENTION_DAY_OFFSET) -> tuple[Report, bool]:
     """The report for ``raw``, reusing a stored snapshot when inputs match.
 
     Returns ``(report, reused)``.  ``paths`` are the paths ``raw`` was read
     from (see ``source_fingerprint``).  ``root`` defaults to
     ``<spark.checkpoint.dir>/daybook/report_snapshots``.  What is stored is
     the report's rollup table (counts, days, countries, user-days); the
-    sections are re-derived from it, which costs no event scan.  The marker
-    file is written last, so a half-written snapshot is never read back.
+    sections are re-derived from it, which costs no event scan.
+
+    Every build writes a folder of its own and then names it in the marker,
+    so builders never overwrite what a reader may hold; ``expire_snapshots``
+    removes what no marker names.
     """
     spark = raw.sparkSession
     root = (root or f"{checkpoint_root(spark)}/daybook/report_snapshots").rstrip("/")
-    key = f"v{ROLLUP_FORMAT}-{source_fingerprint(raw, paths)}"
-    base = f"{root}/{key}"
-    reused = marker_present(spark, base)
+    base = f"{root}/v{ROLLUP_FORMAT}-{source_fingerprint(raw, paths)}"
+    folder = read_marker(spark, base)
+    reused = folder is not None
     if not reused:
-        build_report(raw, top_n=top_n, threshold=threshold, offset_days=offset_days,
-                     store=f"{base}/rollup")
-        write_marker(spark, base)
-    report = report_from_rollup(spark.read.parquet(f"{base}/rollup"), top_n, threshold,
-                                offset_days)
+        folder = f"{base}/{uuid.uuid4().hex}"
+        build_report(raw, top_n=top_n, threshold=threshold, offset_days=offset_days, store=folder)
+        write_marker(spark, base, folder)
+    report = report_from_rollup(spark.read.parquet(folder), top_n, threshold, offset_days)
     return report, reused
+
+
+def expire_snapshots(spark, root: str, keep: int = 1) -> list[str]:
+    """Removes all but the ``keep`` newest snapshots under ``root``; returns what went.
+
+    Also removes builds that a kept snapshot's marker doesn't name.  The
+    listing holds one row per snapshot, not per data file.
+    """
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    bases = sorted(((s.getModificationTime(), s.getPath().toString()) for s in fs.listStatus(path)
+                    if s.isDirectory()), reverse=True)
+    gone = [b for _, b in bases[keep:]]
+    for _, base in bases[:keep]:
+        named = read_marker(spark, base)
+        builds = [s.getPath().toString() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(base))
+                  if s.isDirectory() and s.getPath().getName() != MARKER]
+        gone += [b for b in builds if named is None or b.rsplit("/", 1)[1] != named.rsplit("/", 1)[1]]
+    for folder in gone:
+        delete_folder(spark, folder)
+    return gone
