@@ -7,6 +7,7 @@ except where a limit is the feature (top-N countries).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 from daybook.operators import clean as C
 from daybook.operators import metrics as M
 from daybook.operators import quality as Q
-from daybook.plans.report import build_report
+from daybook.plans.report import build_report, document_values
 from daybook.plans.snapshot import (
-    marker_present,
+    read_marker,
     snapshot_report,
     source_fingerprint,
     write_marker,
@@ -51,8 +52,9 @@ def _f1(spark: SparkSession, sf: str) -> DataFrame:
     return dirty_events(spark, sf)
 
 
-def _clean(spark: SparkSession, sf: str) -> DataFrame:
-    return C.clean_events(_f1(spark, sf))
+def _clean(spark: SparkSession, sf: str, metric: str) -> DataFrame:
+    """The clean columns that a metric reads."""
+    return C.clean_events(_f1(spark, sf), M.READS[metric])
 
 
 # ---------------------------------------------------------------------------
@@ -85,7 +87,7 @@ def q_d5_zero_amount(spark, sf):
 
 
 def q_clean_events(spark, sf):
-    c = _clean(spark, sf)
+    c = C.clean_events(_f1(spark, sf))
     return c.select(*[(_ntz(x) if x == "ts" else F.col(x)) for x in c.columns])
 
 
@@ -98,7 +100,7 @@ def q_clean_counts(spark, sf):
 
 
 def q_date_range(spark, sf):
-    return M.date_range(_clean(spark, sf))
+    return M.date_range(_clean(spark, sf, "date_range"))
 
 
 # ---------------------------------------------------------------------------
@@ -106,20 +108,20 @@ def q_date_range(spark, sf):
 # ---------------------------------------------------------------------------
 
 def q_dau(spark, sf):
-    return M.dau(_clean(spark, sf))
+    return M.dau(_clean(spark, sf, "dau"))
 
 
 def q_funnel_daily(spark, sf):
-    return M.funnel_daily(_clean(spark, sf))
+    return M.funnel_daily(_clean(spark, sf, "funnel_daily"))
 
 
 def q_revenue_daily(spark, sf):
-    r = M.revenue_daily(_clean(spark, sf))
+    r = M.revenue_daily(_clean(spark, sf, "revenue_daily"))
     return r.select("date", F.round("net_revenue", 2).alias("net_revenue"))
 
 
 def q_top_countries(spark, sf):
-    return M.top_countries(_clean(spark, sf))
+    return M.top_countries(_clean(spark, sf, "top_countries"))
 
 
 def q_revenue_anomalies(spark, sf):
@@ -127,8 +129,13 @@ def q_revenue_anomalies(spark, sf):
     return M.anomalies(order_revenue_daily(spark, sf))
 
 
+def q_clean_revenue_anomalies(spark, sf):
+    """Clean events → daily revenue → z-scores; a low threshold, so that rows come out."""
+    return M.anomalies(M.revenue_daily(_clean(spark, sf, "revenue_daily")), threshold=1.0)
+
+
 def q_retention_d1(spark, sf):
-    return M.retention_d1(_clean(spark, sf))
+    return M.retention_d1(_clean(spark, sf, "retention_d1"))
 
 
 def q_retention_d1_orders(spark, sf):
@@ -173,16 +180,31 @@ def q_refund_integrity(spark, sf):
 # ---------------------------------------------------------------------------
 
 def q_report_document(spark, sf):
-    return build_report(_f1(spark, sf)).document()
+    report = build_report(_f1(spark, sf))
+    return report.document()
 
 
 def q_report_snapshot(spark, sf):
-    report, _ = snapshot_report(_f1(spark, sf), paths=_f1_tables(sf))
+    report, _ = snapshot_report(_f1(spark, sf), _f1_tables(sf))
     return report.document()
 
 
+def q_report_sections(spark, sf):
+    """Every value of the parsed document with its section, place and field."""
+    return document_values(q_report_document(spark, sf))
+
+
+def q_report_snapshot_sections(spark, sf):
+    """The same through a snapshot that is read back."""
+    snapshot_report(_f1(spark, sf), _f1_tables(sf))
+    report, reused = snapshot_report(_f1(spark, sf), _f1_tables(sf))
+    if not reused:
+        raise RuntimeError("the snapshot just written was not found")
+    return document_values(report.document())
+
+
 # Version of the CSV fixture's format (write_events_csv); part of its key.
-_CSV_FORMAT = 1
+_CSV_FORMAT = 2
 
 
 def _f1_csv(spark, sf) -> str:
@@ -194,10 +216,13 @@ def _f1_csv(spark, sf) -> str:
     f1 = _f1(spark, sf)
     key = source_fingerprint(f1, _f1_tables(sf))
     base = f"{checkpoint_root(spark)}/daybook/fixtures/f1_csv_v{_CSV_FORMAT}_{key}"
-    if not marker_present(spark, base):
-        write_events_csv(f1.drop("ord"), f"{base}/data")
-        write_marker(spark, base)
-    return f"{base}/data"
+    folder = read_marker(spark, base)
+    if folder is None:
+        folder = f"{base}/{uuid.uuid4().hex}"
+        # in input order, so that files and lines follow it, too
+        write_events_csv(f1.repartitionByRange("ord").sortWithinPartitions("ord").drop("ord"), folder)
+        write_marker(spark, base, folder)
+    return folder
 
 
 def q_csv_clean_counts(spark, sf):
@@ -209,6 +234,16 @@ def q_csv_clean_events(spark, sf):
     return c.select(*[(_ntz(x) if x == "ts" else F.col(x)) for x in c.columns])
 
 
+def q_csv_split_clean_events(spark, sf):
+    """The same over files that are read in many splits, in a session of its own."""
+    folder = _f1_csv(spark, sf)
+    split = spark.newSession()
+    use_utc(split)
+    split.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    c = C.clean_events(read_events_csv(split, folder))
+    return c.select(*[(_ntz(x) if x == "ts" else F.col(x)) for x in c.columns])
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "d1_valid_ts": q_d1_valid_ts,
     "d2_country_norm": q_d2_country_norm,
@@ -223,6 +258,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "revenue_daily": q_revenue_daily,
     "top_countries": q_top_countries,
     "revenue_anomalies": q_revenue_anomalies,
+    "clean_revenue_anomalies": q_clean_revenue_anomalies,
     "retention_d1": q_retention_d1,
     "retention_d1_orders": q_retention_d1_orders,
     "dq_event_types": q_dq_event_types,
@@ -232,8 +268,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "refund_integrity": q_refund_integrity,
     "csv_clean_counts": q_csv_clean_counts,
     "csv_clean_events": q_csv_clean_events,
+    "csv_split_clean_events": q_csv_split_clean_events,
     "report_document": q_report_document,
     "report_snapshot": q_report_snapshot,
+    "report_sections": q_report_sections,
+    "report_snapshot_sections": q_report_snapshot_sections,
 }
 
 
@@ -275,6 +314,7 @@ f1 AS (
          e.user_id AS user_id,
          CASE WHEN e.event_id % 200 = 0 THEN '2099-01-01 00:00:00'
               WHEN e.event_id % 200 = 50 THEN 'not-a-date'
+              WHEN e.event_id % 200 = 100 THEN strftime(e.ts, '%H:%M:%S')
               ELSE strftime(e.ts, '%Y-%m-%d %H:%M:%S') END AS ts,
          CASE WHEN e.event_type = 'view' THEN 'page_view'
               WHEN e.event_type = 'error' THEN 'refund'
@@ -286,10 +326,10 @@ f1 AS (
               ELSE n.n_name END AS country,
          CASE e.event_id % 3 WHEN 0 THEN 'ios' WHEN 1 THEN 'android' ELSE 'web' END AS device,
          e.user_id * 1000 + e.event_id % 1000 AS session_id
-  FROM events e JOIN nation n ON n.n_nationkey = e.user_id % 25
+  FROM events e LEFT JOIN nation n ON n.n_nationkey = e.user_id % 25
 ),
 parsed AS (
-  SELECT *, try_cast(ts AS TIMESTAMP) AS t FROM f1
+  SELECT *, CASE WHEN ts LIKE '____-%' THEN try_cast(ts AS TIMESTAMP) END AS t FROM f1
 ),
 tagged AS (
   SELECT ord, event_id, user_id, t AS ts, CAST(t AS DATE) AS date, event_type,
@@ -312,14 +352,17 @@ clean AS (
 
 _F2 = """
 p AS (
-  SELECT event_id, user_id, user_id * 1000 + event_id % 1000 AS session_id,
+  SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 7 ELSE user_id END AS user_id,
+         CASE WHEN event_id % 3 = 0 THEN 7 ELSE user_id * 1000 + event_id % 1000 END AS session_id,
          ts, 'purchase' AS event_type, value AS amount
   FROM events WHERE event_type = 'purchase'
 ),
 r AS (
   SELECT event_id + 10000000 AS event_id, user_id,
-         CASE WHEN event_id % 70 = 0 THEN session_id + 1 ELSE session_id END AS session_id,
+         CASE WHEN event_id % 65 = 0 THEN NULL WHEN event_id % 70 = 0 THEN session_id + 1
+              ELSE session_id END AS session_id,
          CASE WHEN event_id % 50 = 0 THEN ts - INTERVAL 2 HOUR
+              WHEN event_id % 55 = 0 THEN ts + INTERVAL 45 DAY
               ELSE ts + (1 + event_id % 700) * INTERVAL 1 HOUR END AS ts,
          'refund' AS event_type,
          CASE WHEN event_id % 30 = 0 THEN -amount - 1 ELSE -amount END AS amount
@@ -333,21 +376,23 @@ ref AS (
   FROM ok WHERE event_type = 'refund'
   GROUP BY event_id, user_id, session_id, amount, ts
 ),
+met AS (
+  SELECT ref.event_id, bool_or(pur.ts < ref.ts) AS earlier,
+         bool_or(pur.ts < ref.ts AND pur.ts >= ref.ts - INTERVAL 30 DAY) AS in_time
+  FROM ref JOIN pur ON pur.user_id = ref.user_id AND pur.session_id = ref.session_id
+   AND abs(ref.amount + pur.amount) <= 1e-4 + 1e-5 * abs(pur.amount)
+  GROUP BY ref.event_id
+),
 links AS (
   SELECT ref.*,
     CASE
       WHEN NOT EXISTS (SELECT 1 FROM pur WHERE pur.user_id = ref.user_id
                        AND pur.session_id = ref.session_id) THEN 'no_purchase'
-      WHEN NOT EXISTS (SELECT 1 FROM pur WHERE pur.user_id = ref.user_id
-                       AND pur.session_id = ref.session_id
-                       AND abs(ref.amount + pur.amount) <= 1e-4 + 1e-5 * abs(pur.amount))
-        THEN 'amount_mismatch'
-      WHEN EXISTS (SELECT 1 FROM pur WHERE pur.user_id = ref.user_id
-                   AND pur.session_id = ref.session_id
-                   AND abs(ref.amount + pur.amount) <= 1e-4 + 1e-5 * abs(pur.amount)
-                   AND pur.ts < ref.ts) THEN 'linked'
+      WHEN met.event_id IS NULL THEN 'amount_mismatch'
+      WHEN met.in_time THEN 'linked'
+      WHEN met.earlier THEN 'too_late'
       ELSE 'bad_time' END AS status
-  FROM ref
+  FROM ref LEFT JOIN met ON met.event_id = ref.event_id
 )"""
 
 _COUNTS = """
@@ -376,6 +421,51 @@ SELECT cohort_date, users, retained,
        CASE WHEN users > 0 THEN round_even(CAST(retained AS DOUBLE) / users, 4) ELSE 0.0 END AS rate
 FROM agg WHERE cohort_date < (SELECT max(date) FROM pairs)"""
 
+_REVENUE_Z = """
+rev AS (SELECT date, sum(amount) AS net_revenue FROM clean
+        WHERE event_type IN ('purchase', 'refund') GROUP BY date),
+zs AS (SELECT date, net_revenue, count(*) OVER () AS n, stddev_pop(net_revenue) OVER () AS sd,
+              (net_revenue - avg(net_revenue) OVER ()) / nullif(stddev_pop(net_revenue) OVER (), 0) AS z FROM rev)"""
+
+
+def _entries(section: str, source: str, order: str, key: str, fields: dict[str, str]) -> str:
+    """Long rows of one list section, numbered in the document's order."""
+    numbered = f"(SELECT *, row_number() OVER (ORDER BY {order}) - 1 AS position FROM ({source}))"
+    return "\n  UNION ALL ".join(
+        f"SELECT '{section}' AS section, CAST(position AS INTEGER) AS position, CAST({key} AS VARCHAR) AS key, "
+        f"'{name}' AS field, CAST({value} AS DOUBLE) AS value FROM {numbered}" for name, value in fields.items())
+
+
+def _ratio(num: str, den: str) -> str:
+    return f"CASE WHEN {den} > 0 THEN round_even(CAST({num} AS DOUBLE) / {den}, 4) ELSE 0.0 END"
+
+
+_SECTIONS = f"""{_REVENUE_Z},
+k AS ({_COUNTS}),
+pairs AS (SELECT DISTINCT user_id, date FROM clean),
+cohorts AS (SELECT user_id, date, min(date) OVER (PARTITION BY user_id) AS cohort_date FROM pairs),
+ret AS (SELECT cohort_date, count(*) FILTER (WHERE date = cohort_date) AS users,
+               count(*) FILTER (WHERE date = cohort_date + 1) AS retained FROM cohorts GROUP BY cohort_date),
+fun AS (SELECT date, count(*) FILTER (WHERE event_type = 'page_view') AS pv,
+               count(*) FILTER (WHERE event_type = 'signup') AS signup,
+               count(*) FILTER (WHERE event_type = 'purchase') AS purchase
+        FROM clean WHERE event_type IN ('page_view', 'signup', 'purchase') GROUP BY date)
+  SELECT 'range' AS section, 0 AS position, CAST(min(date) AS VARCHAR) AS key, 'start' AS field,
+         CAST(NULL AS DOUBLE) AS value FROM clean
+  UNION ALL SELECT 'range', 0, CAST(max(date) AS VARCHAR), 'end', NULL FROM clean
+  UNION ALL SELECT 'counts', 0, NULL, 'raw_rows', CAST(raw_rows AS DOUBLE) FROM k
+  UNION ALL SELECT 'counts', 0, NULL, 'valid_rows', CAST(valid_rows AS DOUBLE) FROM k
+  UNION ALL SELECT 'counts', 0, NULL, 'dropped_rows', CAST(dropped_rows AS DOUBLE) FROM k
+  UNION ALL SELECT 'counts', 0, NULL, 'breakdown.invalid_ts', CAST(invalid_ts AS DOUBLE) FROM k
+  UNION ALL SELECT 'counts', 0, NULL, 'breakdown.invalid_etype', CAST(invalid_etype AS DOUBLE) FROM k
+  UNION ALL SELECT 'counts', 0, NULL, 'breakdown.duplicate_event_id', CAST(duplicate_event_id AS DOUBLE) FROM k
+  UNION ALL {_entries("dau", "SELECT date, count(*) AS dau FROM pairs WHERE user_id IS NOT NULL GROUP BY date", "date", "date", {"dau": "dau"})}
+  UNION ALL {_entries("funnel", "SELECT * FROM fun", "date", "date", {"pv": "pv", "signup": "signup", "purchase": "purchase", "pv_to_signup": _ratio("signup", "pv"), "signup_to_purchase": _ratio("purchase", "signup")})}
+  UNION ALL {_entries("revenue_daily", "SELECT * FROM rev", "date", "date", {"net_revenue": "round(net_revenue, 2)"})}
+  UNION ALL {_entries("top_countries", "SELECT country, sum(amount) AS total FROM clean WHERE event_type IN ('purchase', 'refund') GROUP BY country ORDER BY total DESC, country LIMIT 10", "total DESC, country", "country", {"net_revenue": "round(total, 2)"})}
+  UNION ALL {_entries("anomalies", "SELECT * FROM zs WHERE n >= 2 AND sd > 0 AND z > 3", "round_even(z, 4) DESC, date", "date", {"net_revenue": "round(net_revenue, 2)", "z": "round_even(z, 4)"})}
+  UNION ALL {_entries("retention_d1", "SELECT * FROM ret WHERE cohort_date < (SELECT max(date) FROM pairs)", "cohort_date", "cohort_date", {"users": "users", "retained": "retained", "rate": _ratio("retained", "users")})}"""
+
 _ORACLE: dict[str, str] = {
     "d1_valid_ts": f"WITH {_F1} SELECT ord, event_id, ts, date FROM tagged "
                    "WHERE coalesce(rule, '') <> 'invalid_ts'",
@@ -418,6 +508,8 @@ _ORACLE: dict[str, str] = {
       SELECT date, round(net_revenue, 2) AS net_revenue,
              round_even((net_revenue - mu) / sd, 4) AS z
       FROM rev, st WHERE n >= 2 AND sd > 0 AND (net_revenue - mu) / sd > 3""",
+    "clean_revenue_anomalies": f"WITH {_F1}, {_REVENUE_Z} SELECT date, round(net_revenue, 2) AS net_revenue, "
+                               "round_even(z, 4) AS z FROM zs WHERE n >= 2 AND sd > 0 AND z > 1",
     "retention_d1": f"WITH {_F1}, pairs AS (SELECT DISTINCT user_id, date FROM clean), {_RETENTION}",
     "retention_d1_orders": "WITH pairs AS (SELECT DISTINCT o_custkey AS user_id, "
                            "CAST(o_orderdate AS DATE) AS date FROM orders), " + _RETENTION,
@@ -427,18 +519,20 @@ _ORACLE: dict[str, str] = {
     "dq_dirty_profile": f"""WITH {_F1},
       a AS (
         SELECT count(*) AS rows,
-               count(*) FILTER (WHERE year(try_cast(ts AS TIMESTAMP)) >= 2099) AS sentinel_ts,
-               count(*) FILTER (WHERE try_cast(ts AS TIMESTAMP) IS NULL) AS unparseable_ts,
+               count(*) FILTER (WHERE year(t) >= 2099) AS sentinel_ts,
+               count(*) FILTER (WHERE t IS NULL) AS unparseable_ts,
                count(*) FILTER (WHERE country IS NULL OR country = '') AS empty_country,
                count(*) FILTER (WHERE NOT coalesce(event_type IN
                  ('page_view', 'signup', 'purchase', 'refund'), false)) AS unknown_type,
+               count(DISTINCT event_id) AS unique_ids,
                count(*) - count(DISTINCT event_id) AS duplicate_ids
-        FROM f1
+        FROM parsed
       )
       SELECT CAST(rows AS BIGINT) AS rows, CAST(sentinel_ts AS BIGINT) AS sentinel_ts,
              CAST(unparseable_ts AS BIGINT) AS unparseable_ts,
              CAST(empty_country AS BIGINT) AS empty_country,
              CAST(unknown_type AS BIGINT) AS unknown_type,
+             CAST(unique_ids AS BIGINT) AS unique_ids,
              CAST(duplicate_ids AS BIGINT) AS duplicate_ids,
              round_even(CAST(sentinel_ts AS DOUBLE) * 100 / rows, 2) AS sentinel_ts_pct,
              round_even(CAST(unparseable_ts AS DOUBLE) * 100 / rows, 2) AS unparseable_ts_pct,
@@ -460,6 +554,9 @@ _ORACLE: dict[str, str] = {
                         "FROM links GROUP BY status",
     "csv_clean_counts": f"WITH {_F1} {_COUNTS}",
     "csv_clean_events": f"WITH {_F1} {_CLEAN_ROWS}",
+    "csv_split_clean_events": f"WITH {_F1} {_CLEAN_ROWS}",
+    "report_sections": f"WITH {_F1}, {_SECTIONS}",
+    "report_snapshot_sections": f"WITH {_F1}, {_SECTIONS}",
 }
 
 
