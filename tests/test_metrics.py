@@ -1,193 +1,135 @@
-"""Metrics M1–M5 as contracts on tiny clean frames."""
+"""Metrics M1–M5 on small logs, against sums done by hand or by numpy."""
 
 from __future__ import annotations
 
-import math
+import datetime as dt
+import random
+from collections import defaultdict
 
+import numpy as np
 import pytest
 
-from conftest import at, day
 from daybook.operators import metrics as M
-
-
-def _rev(df):
-    return {r["date"]: r["net_revenue"] for r in M.revenue_daily(df).collect()}
-
-
-# --- M3: daily net revenue ------------------------------------------------------
-
-def test_single_purchase(make_clean):
-    assert _rev(make_clean([{"event_type": "purchase", "amount": 100.0}])) == {day("2023-01-01"): 100.0}
-
-
-def test_refunds_net_against_purchases(make_clean):
-    df = make_clean([{"event_type": "purchase", "amount": 150.0},
-                     {"event_type": "refund", "amount": -50.0}])
-    assert _rev(df)[day("2023-01-01")] == pytest.approx(100.0)
-
-
-def test_full_refund_is_zero(make_clean):
-    df = make_clean([{"event_type": "purchase", "amount": 80.0},
-                     {"event_type": "refund", "amount": -80.0}])
-    assert _rev(df)[day("2023-01-01")] == pytest.approx(0.0)
-
-
-def test_non_revenue_rows_ignored(make_clean):
-    df = make_clean([{"event_type": "purchase", "amount": 75.0},
-                     {"event_type": "page_view", "amount": 0.0},
-                     {"event_type": "signup", "amount": 0.0}])
-    assert _rev(df) == {day("2023-01-01"): 75.0}
-
-
-def test_days_are_independent_and_sparse(make_clean):
-    df = make_clean([{"event_type": "purchase", "amount": 10.0, "ts": at("2023-01-01 10:00")},
-                     {"event_type": "page_view", "ts": at("2023-01-02 10:00")},
-                     {"event_type": "refund", "amount": -5.0, "ts": at("2023-01-03 10:00")}])
-    assert _rev(df) == {day("2023-01-01"): 10.0, day("2023-01-03"): -5.0}
-
-
-def test_no_revenue_rows_gives_empty(make_clean):
-    df = make_clean([{"event_type": "page_view"}, {"event_type": "signup"}])
-    out = M.revenue_daily(df)
-    assert out.count() == 0 and out.columns == ["date", "net_revenue"]
-
-
-def test_all_missing_amounts_sum_to_zero(make_clean):
-    df = make_clean([{"event_type": "purchase", "amount": None}])
-    assert _rev(df) == {day("2023-01-01"): 0.0}
-
-
-# --- M4: top countries ----------------------------------------------------------
-
-def _top(df, n=10):
-    return [(r["rank"], r["country"], r["net_revenue"]) for r in
-            M.top_countries(df, n).orderBy("rank").collect()]
-
-
-def test_ranked_by_revenue(make_clean):
-    df = make_clean([{"event_type": "purchase", "amount": 300.0, "country": "BR"},
-                     {"event_type": "purchase", "amount": 100.0, "country": "US"},
-                     {"event_type": "purchase", "amount": 200.0, "country": "MX"}])
-    assert [c for _, c, _ in _top(df)] == ["BR", "MX", "US"]
-
-
-def test_refund_reduces_country(make_clean):
-    df = make_clean([{"event_type": "purchase", "amount": 500.0, "country": "DE"},
-                     {"event_type": "refund", "amount": -200.0, "country": "DE"}])
-    assert _top(df) == [(1, "DE", 300.0)]
-
-
-def test_unk_competes(make_clean):
-    df = make_clean([{"event_type": "purchase", "amount": 50.0, "country": "UNK"}])
-    assert _top(df)[0][1] == "UNK"
-
-
-def test_limit_and_ties_by_name(make_clean):
-    rows = [{"event_type": "purchase", "amount": 10.0, "country": c} for c in "FEDCBA"]
-    rows.append({"event_type": "purchase", "amount": 99.0, "country": "Z"})
-    assert [c for _, c, _ in _top(make_clean(rows), 5)] == ["Z", "A", "B", "C", "D"]
-
-
-def test_non_monetary_only_gives_empty(make_clean):
-    assert _top(make_clean([{"event_type": "page_view"}, {"event_type": "signup"}])) == []
-
-
-def test_rounded_to_cents(make_clean):
-    df = make_clean([{"event_type": "purchase", "amount": 100.004, "country": "BR"},
-                     {"event_type": "purchase", "amount": 0.001, "country": "BR"}])
-    assert _top(df) == [(1, "BR", 100.01)]
-
-
-# --- M5: anomalies ---------------------------------------------------------------
-
-def _series(spark, values):
-    import datetime as dt
-    rows = [(dt.date(2023, 1, 1) + dt.timedelta(days=i), float(v)) for i, v in enumerate(values)]
-    return spark.createDataFrame(rows, "date date, net_revenue double")
-
-
-def _anoms(spark, values):
-    return M.order_anomalies(M.anomalies(_series(spark, values))).collect()
-
-
-def test_spike_detected(spark):
-    got = _anoms(spark, [500.0] * 29 + [10_000.0])
-    assert len(got) == 1 and got[0]["net_revenue"] == 10_000.0
-
-
-def test_uniform_series_no_anomaly(spark):
-    assert _anoms(spark, [500.0] * 30) == []
-
-
-def test_ramp_no_anomaly(spark):
-    assert _anoms(spark, range(30)) == []
-
-
-def test_z_value(spark):
-    got = _anoms(spark, [0.0] * 19 + [100.0])
-    assert got[0]["z"] == pytest.approx(95 / math.sqrt(475), abs=1e-4)
-    assert got[0]["z"] == 4.3589
-
-
-def test_too_few_days(spark):
-    assert _anoms(spark, [1000.0]) == []
-    assert _anoms(spark, []) == []
-
-
-def test_only_upper_tail(spark):
-    assert _anoms(spark, [100.0] * 19 + [-10_000.0]) == []
-
-
-def test_multiple_sorted_by_z(spark):
-    got = _anoms(spark, [0.0] * 60 + [100.0, 120.0])
-    assert len(got) == 2 and got[0]["z"] > got[1]["z"]
-    assert got[0]["net_revenue"] == 120.0
-
-
-# --- M1: DAU ---------------------------------------------------------------------
-
-def test_dau_counts_distinct_users(make_clean):
-    df = make_clean([{"user_id": 1}] * 5 + [{"user_id": 2}, {"user_id": 1, "ts": at("2023-01-02 09:00")}])
-    got = {r["date"]: r["dau"] for r in M.dau(df).collect()}
-    assert got == {day("2023-01-01"): 2, day("2023-01-02"): 1}
-
-
-def test_dau_any_event_type(make_clean):
-    df = make_clean([{"user_id": 1, "event_type": "refund", "amount": -1.0},
-                     {"user_id": 2, "event_type": "signup"}])
-    assert M.dau(df).first()["dau"] == 2
-
-
-# --- M2: funnel --------------------------------------------------------------------
-
-def _funnel(df):
-    return {r["date"]: r.asDict() for r in M.funnel_daily(df).collect()}
-
-
-def test_funnel_rates(make_clean):
-    rows = ([{"event_type": "page_view"}] * 10 + [{"event_type": "signup"}] * 5
-            + [{"event_type": "purchase", "amount": 1.0}] * 2)
-    r = _funnel(make_clean(rows))[day("2023-01-01")]
-    assert (r["pv"], r["signup"], r["purchase"]) == (10, 5, 2)
-    assert (r["pv_to_signup"], r["signup_to_purchase"]) == (0.5, 0.4)
-
-
-def test_zero_denominators(make_clean):
-    r = _funnel(make_clean([{"event_type": "signup"}]))[day("2023-01-01")]
-    assert r["pv_to_signup"] == 0.0
-    r = _funnel(make_clean([{"event_type": "page_view"}]))[day("2023-01-01")]
-    assert r["signup_to_purchase"] == 0.0
-
-
-def test_refund_only_day_not_in_funnel(make_clean):
-    df = make_clean([{"event_type": "page_view", "ts": at("2023-01-01 01:00")},
-                     {"event_type": "refund", "amount": -3.0, "ts": at("2023-01-02 01:00")}])
-    assert set(_funnel(df)) == {day("2023-01-01")}
-
-
-def test_rates_half_even_and_uncapped(make_clean):
-    rows = [{"event_type": "page_view"}] * 3 + [{"event_type": "signup"}] * 7
-    r = _funnel(make_clean(rows))[day("2023-01-01")]
-    assert r["pv_to_signup"] == 2.3333
-    rows = [{"event_type": "page_view"}] * 800 + [{"event_type": "signup"}] * 1
-    assert _funnel(make_clean(rows))[day("2023-01-01")]["pv_to_signup"] == 0.0012  # 0.00125 → even
+from daybook.schema import TOP_N
+
+
+def by_date(df, *names):
+    rows = {str(r["date"]): tuple(r[n] for n in names) for r in df.collect()}
+    return {d: v[0] if len(names) == 1 else v for d, v in rows.items()}
+
+
+def test_daily_users_are_distinct_and_need_an_id(log):
+    df = log("""
+        2021-03-04 u1 page_view
+        2021-03-04 u1 refund -3
+        2021-03-04 u2 signup
+        2021-03-06 u2 page_view
+        2021-03-06 -  page_view
+        2021-03-07 -  page_view
+    """)
+    assert by_date(M.dau(df), "dau") == {"2021-03-04": 2, "2021-03-06": 1}
+    assert by_date(M.dau(pairs=M.user_days(df)), "dau") == by_date(M.dau(df), "dau")
+
+
+def test_funnel_counts_and_ratios(log):
+    df = log("""
+        2021-03-04 u1 page_view
+        2021-03-04 u2 page_view
+        2021-03-04 u3 page_view
+        2021-03-04 u1 signup
+        2021-03-04 u2 signup
+        2021-03-04 u1 purchase 4
+        2021-03-05 u1 purchase 4
+        2021-03-06 u1 refund -4
+        2021-03-07 u9 signup
+    """)
+    assert by_date(M.funnel_daily(df), "pv", "signup", "purchase", "pv_to_signup", "signup_to_purchase") == {
+        "2021-03-04": (3, 2, 1, 0.6667, 0.5),
+        "2021-03-05": (0, 0, 1, 0.0, 0.0),
+        "2021-03-07": (0, 1, 0, 0.0, 0.0),
+    }
+
+
+def test_ratios_round_half_to_even(log):
+    # 1/32 = 0.03125 and 3/32 = 0.09375 end in an exact half at four places
+    for signups, rate in ((1, 0.0312), (3, 0.0938)):
+        df = log("2021-03-04 u1 page_view\n" * 32 + "2021-03-04 u1 signup\n" * signups)
+        assert by_date(M.funnel_daily(df), "pv_to_signup") == {"2021-03-04": rate}
+
+
+def test_revenue_nets_and_skips_days_without_money(log):
+    df = log("""
+        2021-03-04 u1 purchase 12.5
+        2021-03-04 u2 purchase 0.25
+        2021-03-04 u1 refund -2.75
+        2021-03-05 u1 page_view
+        2021-03-06 u1 refund -8
+        2021-03-07 u1 purchase -
+        2021-03-08 u1 purchase 9
+        2021-03-08 u1 refund -9
+    """)
+    assert by_date(M.revenue_daily(df), "net_revenue") == {
+        "2021-03-04": 10.0, "2021-03-06": -8.0, "2021-03-07": 0.0, "2021-03-08": 0.0}
+    none = M.revenue_daily(log("2021-03-04 u1 page_view"))
+    assert none.columns == ["date", "net_revenue"] and none.count() == 0
+
+
+def test_money_is_the_same_rows_in_every_metric(log):
+    """Days' and countries' totals cover the same purchases and refunds."""
+    rnd = random.Random(8)
+    lines, want = [], defaultdict(float)
+    for _ in range(300):
+        kind = rnd.choice(["purchase", "refund", "page_view"])
+        amount = rnd.randrange(-400, 400) / 4
+        country = rnd.choice("SE NO DK FI IS EE LV LT PL DE NL BE FR".split())
+        lines.append(f"2021-03-{rnd.randrange(1, 28):02d} u{rnd.randrange(9)} {kind} {amount} {country}")
+        if kind != "page_view":
+            want[country] += amount
+    df = log("\n".join(lines))
+    top = M.top_countries(df).orderBy("rank").collect()
+    best = sorted(want.items(), key=lambda kv: (-kv[1], kv[0]))[:TOP_N]
+    assert [(r["country"], r["net_revenue"]) for r in top] == best
+    assert [r["rank"] for r in top] == list(range(1, TOP_N + 1))
+    assert sum(by_date(M.revenue_daily(df), "net_revenue").values()) == sum(want.values())
+    assert [r["country"] for r in M.top_countries(df, n=2).orderBy("rank").collect()] == [c for c, _ in best[:2]]
+
+
+def test_equal_countries_go_by_name(log):
+    df = log("""
+        2021-03-04 u1 purchase 5 NO
+        2021-03-04 u1 purchase 5 DK
+        2021-03-04 u1 purchase 5.004 SE
+        2021-03-04 u1 page_view 99 IS
+    """)
+    rows = M.top_countries(df).orderBy("rank").collect()
+    assert [(r["country"], r["net_revenue"]) for r in rows] == [("SE", 5.0), ("DK", 5.0), ("NO", 5.0)]
+
+
+def series(spark, values):
+    start = dt.date(2021, 3, 4)
+    return spark.createDataFrame([(start + dt.timedelta(days=i), float(v)) for i, v in enumerate(values)],
+                                 "date date, net_revenue double")
+
+
+@pytest.mark.parametrize("values", [
+    [], [41.0], [6.0, 6.0, 6.0],                                # nothing to compare, or no spread
+    [3, 5, 4, 6, 5, 4, 3, 5, 4, 6, 5, 4, 77],                   # one far above
+    [3, 5, 4, 6, 5, 4, 3, 5, 4, 6, 5, 4, -77],                  # far below is no anomaly
+    [0] * 9 + [10],                                             # exactly three deviations: not above
+])
+def test_anomalies_are_days_above_three_deviations(spark, values):
+    got = M.order_anomalies(M.anomalies(series(spark, values))).collect()
+    v = np.array(values, float)
+    z = (v - v.mean()) / v.std() if len(v) > 1 and v.std() else np.zeros(len(v))
+    assert [(r["net_revenue"], r["z"]) for r in got] == [(v[i], round(z[i], 4)) for i in np.flatnonzero(z > 3 + 1e-12)]
+
+
+def test_anomalies_come_highest_first(spark):
+    low = M.order_anomalies(M.anomalies(series(spark, [1, 1, 1, 1, 1, 9, 1, 11, 9]), threshold=1.0)).collect()
+    assert [r["net_revenue"] for r in low] == [11.0, 9.0, 9.0] and low[1]["date"] < low[2]["date"]
+
+
+def test_date_range(log):
+    df = log("2021-03-09 u1 refund -1\n2021-03-04 u1 page_view")
+    row = M.date_range(df).first()
+    assert (str(row["start"]), str(row["end"])) == ("2021-03-04", "2021-03-09")

@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF001, SF01
+from daybook.operators import metrics as M
 from daybook.operators import quality as Q
 from daybook.plans.report import report_rollup
 from daybook.sources.files import read_events_csv
@@ -19,7 +20,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E._QUERIES))
 def test_no_cross_joins(spark, name):
     plan = _plan(E.queries()[name](spark, SF001))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
@@ -51,14 +52,38 @@ def test_large_input_combines_map_side_before_one_event_shuffle(spark, many_spli
     assert plan.count("Expand") == 1
 
 
-def test_small_input_is_spread_but_keeps_the_map_side_combine(spark):
-    raw = dirty_events(spark, SF001)
-    assert raw.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
-    plan = _plan(report_rollup(raw))
+@pytest.mark.parametrize("metric", sorted(M.READS))
+def test_metrics_shuffle_only_what_they_read(spark, metric):
+    plan = _plan(E.queries()[metric](spark, SF001))
+    (payload,) = set(re.findall(r"partial_min\(CASE WHEN isnull\(rule#\d+\) THEN struct\(([^)]*)\)", plan))
+    fields = re.findall(r"(\w+), \1#", payload)
+    assert set(fields) == {"ord", *M.READS[metric]}
+
+
+def test_one_shuffle_more_or_less_whatever_the_splits(spark):
+    """The plan has no branch on the input's size: few splits, same two exchanges."""
+    plan = _plan(report_rollup(dirty_events(spark, SF001)))
     exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)", plan)
-    # the spread (event_id, ord), the dedup (event_id), the rollup groups
-    assert len(exchanges) == 3 and sum(e.startswith("event_id") for e in exchanges) == 2
-    assert "partial_min" in plan
+    assert len(exchanges) == 2 and sum(e.startswith("event_id") for e in exchanges) == 1
+
+
+STORING = {"report_document", "report_snapshot", "report_sections", "report_snapshot_sections", "dq_purchase_stats"}
+
+
+@pytest.mark.parametrize("name", sorted(set(E._QUERIES) - STORING - {n for n in E._QUERIES if n.startswith("csv")}))
+def test_building_a_plan_starts_no_job(spark, name):
+    """Only queries that store a rollup, counts or the CSV copy run anything while being built."""
+    spark.read.parquet(f"{SF001}/events.parquet").schema       # file listing is warm
+    sc = spark.sparkContext
+    sc.setJobGroup(f"plan-{name}", "planning")
+    try:
+        E.queries()[name](spark, SF001)
+        jobs = [j for j in sc.statusTracker().getJobIdsForGroup(f"plan-{name}")
+                if any((s := sc.statusTracker().getStageInfo(i)) and s.numTasks and s.name and "parquet" not in s.name
+                       for i in sc.statusTracker().getJobInfo(j).stageIds)]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs == []
 
 
 def test_scans_read_only_needed_columns(spark):

@@ -97,8 +97,8 @@ def test_csv_round_trip_preserves_values_and_first_seen_order(spark, tmp_path):
         assert csv.rdd.getNumPartitions() > 4
         got = C.clean_events(csv)
         counts = C.clean_counts(csv).first()
-        assert (counts["raw_rows"], counts["valid_rows"]) == (10_000, 7_844)
-        assert counts["breakdown"].asDict() == {"invalid_ts": 100, "invalid_etype": 1991,
+        assert (counts["raw_rows"], counts["valid_rows"]) == (10_000, 7_803)
+        assert counts["breakdown"].asDict() == {"invalid_ts": 150, "invalid_etype": 1982,
                                                 "duplicate_event_id": 65}
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     finally:
@@ -120,14 +120,14 @@ def test_snapshot_reused_until_inputs_change(spark, make_raw, tmp_path):
     write_events_csv(make_raw([{"event_type": "purchase", "amount": 5.0},
                                {"event_id": 2}]).drop("ord").coalesce(1), src)
     root = str(tmp_path / "snap")
-    first, reused = snapshot_report(read_events_csv(spark, src), root=root)
+    first, reused = snapshot_report(read_events_csv(spark, src), src, root=root)
     assert not reused and first.to_dict()["counts"]["raw_rows"] == 2
-    again, reused = snapshot_report(read_events_csv(spark, src), root=root)
+    again, reused = snapshot_report(read_events_csv(spark, src), src, root=root)
     assert reused and again.to_dict() == first.to_dict()
     time.sleep(1.1)
     write_events_csv(make_raw([{"event_type": "purchase", "amount": 7.0}] * 3)
                      .drop("ord").coalesce(1), src)
-    fresh, reused = snapshot_report(read_events_csv(spark, src), root=root)
+    fresh, reused = snapshot_report(read_events_csv(spark, src), src, root=root)
     assert not reused and fresh.to_dict()["counts"]["raw_rows"] == 3
 
 
@@ -135,8 +135,8 @@ def test_snapshot_key_covers_the_plan(spark, make_raw, tmp_path):
     src = str(tmp_path / "src")
     write_events_csv(make_raw([{}, {"event_id": 2}]).drop("ord").coalesce(1), src)
     root = str(tmp_path / "snap")
-    snapshot_report(read_events_csv(spark, src), root=root)
-    other, reused = snapshot_report(read_events_csv(spark, src).where("event_id = 1"), root=root)
+    snapshot_report(read_events_csv(spark, src), src, root=root)
+    other, reused = snapshot_report(read_events_csv(spark, src).where("event_id = 501"), src, root=root)
     assert not reused and other.to_dict()["counts"]["raw_rows"] == 1
 
 
@@ -152,18 +152,40 @@ def test_snapshot_with_unusual_path_characters(spark, make_raw, tmp_path):
     src = str(tmp_path / "my events 100%")
     write_events_csv(make_raw([{}, {"event_id": 2}]).drop("ord").coalesce(1), src)
     root = str(tmp_path / "snap")
-    first, reused = snapshot_report(read_events_csv(spark, src), root=root)
-    again, reused_again = snapshot_report(read_events_csv(spark, src), root=root)
+    first, reused = snapshot_report(read_events_csv(spark, src), src, root=root)
+    again, reused_again = snapshot_report(read_events_csv(spark, src), src, root=root)
     assert (reused, reused_again) == (False, True)
     assert again.to_dict()["counts"]["raw_rows"] == 2
 
 
-def test_snapshot_fingerprint_from_paths_matches_input_files(spark, make_raw, tmp_path):
-    from daybook.plans.snapshot import source_fingerprint
-    src = str(tmp_path / "src")
-    write_events_csv(make_raw([{}, {"event_id": 2}]).drop("ord").repartition(2), src)
-    raw = read_events_csv(spark, src)
-    assert source_fingerprint(raw, src) == source_fingerprint(raw)
+def test_snapshots_never_share_a_folder_and_expire(spark, make_raw, tmp_path):
+    from daybook.plans.snapshot import expire_snapshots, read_marker
+    root, folders = str(tmp_path / "snap"), []
+    for i in range(2):
+        src = str(tmp_path / f"src{i}")
+        write_events_csv(make_raw([{}] * (i + 1)).drop("ord"), src)
+        report, _ = snapshot_report(read_events_csv(spark, src), src, root=root)
+        folders.append(report.rollup.inputFiles()[0].rsplit("/set=", 1)[0])
+        time.sleep(1.1)
+    stray = f"{folders[1].rsplit('/', 1)[0]}/unfinished".removeprefix("file:").replace("//", "/")
+    os.makedirs(stray)
+    assert folders[0] != folders[1]
+    gone = expire_snapshots(spark, root, keep=1)
+    assert len(gone) == 2 and not os.path.exists(stray)
+    assert read_marker(spark, folders[1].rsplit("/", 1)[0]).endswith(folders[1].rsplit("/", 1)[1])
+    assert read_marker(spark, folders[0].rsplit("/", 1)[0]) is None
+
+
+def test_report_in_a_session_of_another_zone(spark, make_raw):
+    was = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        report = build_report(make_raw([{"ts": "2021-03-04 02:30:00+00:00"}, {"ts": "2021-03-05T03:59:59"}]))
+        doc = report.to_dict()
+        report.release()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", was)
+    assert [d["date"] for d in doc["dau"]] == ["2021-03-04", "2021-03-05"]
 
 
 def test_sections_come_in_the_reference_order(f1_report):
