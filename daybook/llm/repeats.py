@@ -13,14 +13,18 @@ windows with one anchor form a run; its span is the text the run covers.
 2. Equal spans around equal grams repeat in all windows.  This resolves the
    inside of copies with one row per anchor.
 3. What is left are runs that lie across the edge of a repeat: their gram
-   occurs elsewhere, their span doesn't.  Their windows, with those of one
-   run of each other span of the gram, are suffixes to be sorted.  A suffix
-   is its two leading tokens, the fingerprints of the window's halves.
-   Sampled splitters (Spark's range partitioning) deal the suffixes by their
-   tokens into buckets; each bucket is sorted locally by a multikey
-   quicksort, and equal neighbours are repeats.  The splitters order ties by
-   place, so a very frequent window spreads over buckets, and the buckets' first
-   and last suffixes are compared across boundaries.
+   occurs elsewhere, their span doesn't.  They, and one run of each other span
+   of the gram, are cut at fixed distances from the anchor into blocks of
+   ``BLOCK_WINDOWS`` windows.  A block whose core, the bytes common to all its
+   windows, occurs once has no repeated window; equal block spans repeat
+   in all of theirs.
+4. The windows of the blocks still open are suffixes to be sorted.  A suffix is
+   its two leading tokens, the fingerprints of the window's halves.  Sampled
+   splitters (Spark's range partitioning) deal the suffixes by their tokens
+   into buckets; each bucket is sorted locally by a multikey quicksort, and
+   equal neighbours are repeats.  The splitters order ties by place, so a very
+   frequent window spreads over buckets, and the buckets' first and last
+   suffixes are compared across boundaries.
 
 Texts are known by a 128-bit hash of their content: copies share all
 intermediate rows, and their common cover is found once.
@@ -38,10 +42,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Scratch, text_column, utf8
+from daybook.llm.common import Scratch, text_column, text_key, utf8
 
 LENGTH = 400
 GRAM = 64
+BLOCK_WINDOWS = 16
 
 _BLOCK = 1 << 20
 _ODD = 0x9E3779B97F4A7C15                       # odd multiplier of the polynomial hash
@@ -100,7 +105,8 @@ def _window_minima(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchor_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
-    """Runs of windows with one anchor: text, first and last window, gram and span hashes.
+    """Runs of windows with one anchor: text, first and last window, the anchor's
+    distance from the first, gram and span hashes.
 
     Blocks bound the memory for long texts; a run that a block's end cuts is
     two runs, which step 3 resolves.
@@ -125,15 +131,15 @@ def anchor_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
         a = anchor[new]
         shape = _mix((a - new).astype(np.uint64) << np.uint64(32) | (last - new).astype(np.uint64))
         span = _mix(hashes.of(new, last + length) ^ shape)
-        out.append((of, begin + new - offsets[of], begin + last - offsets[of], grams[a], span))
+        out.append((of, begin + new - offsets[of], begin + last - offsets[of], a - new, grams[a], span))
     if not out:
-        return [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2
+        return [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)] * 2
     return [np.concatenate(c) for c in zip(*out)]
 
 
-def _parts(batch: pa.RecordBatch):
+def _parts(batch: pa.RecordBatch, column: str = "text"):
     """The batch in parts of about a block of text."""
-    _, off = utf8(batch.column("text"))
+    _, off = utf8(batch.column(column))
     at = 0
     while at < batch.num_rows:
         to = max(at + 1, int(np.searchsorted(off, off[at] + _BLOCK, "right")) - 1)
@@ -147,23 +153,22 @@ def _long(x: np.ndarray) -> pa.Array:
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, text`` and the text's 128-bit key."""
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), text_column(text_col))
-            .withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit(1), F.col("text"))}))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_column(text_col)).withColumns(text_key())
 
 
 def _runs(keyed: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in _parts(batch):
-                of, first, last, grams, span = anchor_runs(*utf8(part.column("text")), length, gram)
+                of, first, last, lead, grams, span = anchor_runs(*utf8(part.column("text")), length, gram)
                 rows = pa.array(of)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("k1").take(rows), part.column("k2").take(rows), pa.array(first.astype(np.int32)),
-                     pa.array(last.astype(np.int32)), _long(grams), _long(span)],
-                    ["k1", "k2", "first", "last", "gram", "span"])
+                    [part.column("k1").take(rows), part.column("k2").take(rows),
+                     *(pa.array(x.astype(np.int32)) for x in (first, last, lead)), _long(grams), _long(span)],
+                    ["k1", "k2", "first", "last", "lead", "gram", "span"])
 
     return keyed.select("k1", "k2", "text").mapInArrow(
-        run, "k1 bigint, k2 bigint, first int, last int, gram bigint, span bigint")
+        run, "k1 bigint, k2 bigint, first int, last int, lead int, gram bigint, span bigint")
 
 
 def _packed_text(keyed: DataFrame, *columns: str) -> DataFrame:
@@ -182,46 +187,98 @@ def _packed_text(keyed: DataFrame, *columns: str) -> DataFrame:
     return keyed.select(*columns, "text").mapInArrow(run, schema)
 
 
-def _suffixes(open_runs: DataFrame, keyed: DataFrame, length: int) -> DataFrame:
-    """``t1, t2, k1, k2, at, wanted``: the windows of the runs that are still open.
+def _excerpts(open_runs: DataFrame, keyed: DataFrame, length: int) -> DataFrame:
+    """``run, lead, n, wanted, excerpt``: the span texts of the open runs.
 
     A text's runs travel as one list, no longer than the text; one of its
     copies is enough.
     """
     one = keyed.groupBy("k1", "k2").agg(F.min(F.coalesce("doc_id", F.lit(0))).alias("pick"))
-    per_text = (open_runs.groupBy("k1", "k2").agg(F.sort_array(F.collect_set(F.struct("first", "last", "wanted"))).alias("runs"))
+    per_text = (open_runs.groupBy("k1", "k2").agg(F.collect_set(F.struct("run", "first", "last", "lead", "wanted")).alias("runs"))
                 .join(one, ["k1", "k2"]))
     texts = _packed_text(keyed.withColumn("pick", F.coalesce("doc_id", F.lit(0))), "k1", "k2", "pick")
-    half = length // 2
 
     def run(batches):
         unpress = zstandard.ZstdDecompressor()
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                data = np.frombuffer(unpress.decompress(row.column("z")[0].as_py()), np.uint8)
-                runs = row.column("runs").flatten().flatten()
-                first, last = (r.to_numpy(zero_copy_only=False).astype(np.int64) for r in runs[:2])
-                wanted = runs[2].to_numpy(zero_copy_only=False)
-                # a block of consecutive runs at a time
-                at = 0
-                while at < len(first):
-                    to = max(at + 1, int(np.searchsorted(last, first[at] + _BLOCK)))
-                    base, n = first[at], last[at:to] - first[at:to] + 1
-                    stop = np.cumsum(n)
-                    p = np.arange(stop[-1]) + np.repeat(first[at:to] - (stop - n), n) - base
-                    part = data[base:last[to - 1] + length]
-                    hashes = _hashes(_BLOCK + length)
-                    hashes.load(part)
-                    t1, t2 = hashes.of(p, p + half), hashes.of(p + half, p + length)
-                    k1, k2 = (np.full(len(p), row.column(k)[0].as_py(), np.int64) for k in ("k1", "k2"))
-                    yield pa.RecordBatch.from_arrays(
-                        [_long(t1), _long(t2), pa.array(k1), pa.array(k2), pa.array((p + base).astype(np.int32)),
-                         pa.array(np.repeat(wanted[at:to].astype(bool), n))], ["t1", "t2", "k1", "k2", "at", "wanted"])
-                    at = to
-
-    return texts.join(per_text, ["k1", "k2", "pick"]).select("k1", "k2", "z", "runs").mapInArrow(
-        run, "t1 bigint, t2 bigint, k1 bigint, k2 bigint, at int, wanted boolean")
+            for z, runs in zip(batch.column("z"), batch.column("runs")):
+                text = unpress.decompress(z.as_py())
+                own = runs.values.flatten()
+                first, last = own[1].to_pylist(), own[2].to_pylist()
+                n = pa.array([b - a + 1 for a, b in zip(first, last)], pa.int32())
+                cut = pa.array([text[a:b + length] for a, b in zip(first, last)], pa.binary())
+                yield pa.RecordBatch.from_arrays([own[0], own[3], n, own[4], cut],
+                                                 ["run", "lead", "n", "wanted", "excerpt"])
+
+    return texts.join(per_text, ["k1", "k2", "pick"]).select("z", "runs").mapInArrow(
+        run, "run bigint, lead int, n int, wanted boolean, excerpt binary")
+
+
+def _repeat(values: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each value n times, and the number of each repetition."""
+    return np.repeat(values, n), np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+
+
+def _blocks(excerpts: DataFrame, length: int) -> DataFrame:
+    """``run, block, wanted, core, span``: the runs' blocks; span null for a part of a block.
+
+    A window lies ``lead - i`` bytes before its run's anchor, i counting from
+    the run's first window; blocks are multiples of that distance.
+    """
+    width = BLOCK_WINDOWS
+
+    def run(batches):
+        hashes = _hashes(_BLOCK + 2 * length)
+        for batch in batches:
+            for part in _parts(batch, "excerpt"):
+                data, off = utf8(part.column("excerpt"))
+                hashes.load(data)
+                lead, n = (part.column(c).to_numpy().astype(np.int64) for c in ("lead", "n"))
+                low = lead - n + 1                        # the distances low..lead are in the run
+                at, k = _repeat(np.arange(len(n)), lead // width - low // width + 1)
+                block = low[at] // width + k
+                anchor = off[at] + lead[at]
+                core_start = anchor - block * width
+                core = hashes.of(core_start, core_start - width + 1 + length)
+                whole = (block * width >= low[at]) & (block * width + width - 1 <= lead[at])
+                inner = np.where(whole, core_start, off[at] + width - 1)     # any place for parts
+                span = hashes.of(inner - width + 1, np.minimum(inner + length, len(data)))
+                rows = pa.array(at)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("run").take(rows), pa.array(block.astype(np.int32)), part.column("wanted").take(rows),
+                     _long(core), pa.array(span.view(np.int64), mask=~whole)], ["run", "block", "wanted", "core", "span"])
+
+    return excerpts.mapInArrow(run, "run bigint, block int, wanted boolean, core bigint, span bigint")
+
+
+def _suffixes(excerpts: DataFrame, open_blocks: DataFrame, length: int) -> DataFrame:
+    """``t1, t2, place, wanted``: the windows of the open blocks; place is run * 2**10 + window."""
+    half, width = length // 2, BLOCK_WINDOWS
+    chosen = open_blocks.groupBy("run").agg(F.collect_set("block").alias("blocks"))
+
+    def run(batches):
+        hashes = _hashes(_BLOCK + 2 * length)
+        for batch in batches:
+            for part in _parts(batch, "excerpt"):
+                data, off = utf8(part.column("excerpt"))
+                hashes.load(data)
+                lists = part.column("blocks")
+                count = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+                block = lists.flatten().to_numpy().astype(np.int64)
+                of = np.repeat(np.arange(len(count)), count)
+                lead, n = (part.column(c).to_numpy().astype(np.int64) for c in ("lead", "n"))
+                near = np.maximum(block * width, (lead - n + 1)[of])
+                far = np.minimum(block * width + width - 1, lead[of])
+                at, k = _repeat(np.arange(len(block)), far - near + 1)
+                window = lead[of[at]] - far[at] + k
+                p = off[of[at]] + window
+                runs = part.column("run").to_numpy()[of[at]]
+                yield pa.RecordBatch.from_arrays(
+                    [_long(hashes.of(p, p + half)), _long(hashes.of(p + half, p + length)),
+                     pa.array(runs * 1024 + window), part.column("wanted").take(pa.array(of[at]))],
+                    ["t1", "t2", "place", "wanted"])
+
+    return excerpts.join(chosen, "run").mapInArrow(run, "t1 bigint, t2 bigint, place bigint, wanted boolean")
 
 
 def multikey_order(*keys: np.ndarray) -> np.ndarray:
@@ -254,28 +311,28 @@ def _neighbours(batches):
     ends = np.zeros(len(order), bool)
     ends[[0, -1]] = True
     for pick, edge in ((repeated & wanted & ~ends, False), (ends, True)):
-        rows = bucket.take(pa.array(order[pick])).select(["t1", "t2", "k1", "k2", "at", "wanted"]).combine_chunks()
-        flags = [pa.array(np.full(rows.num_rows, edge)), pa.array(repeated[pick])]
-        out = rows.append_column("edge", flags[0]).append_column("repeated", flags[1])
-        yield from out.to_batches()
+        rows = bucket.take(pa.array(order[pick])).combine_chunks()
+        yield from (rows.append_column("edge", pa.array(np.full(rows.num_rows, edge)))
+                    .append_column("repeated", pa.array(repeated[pick])).to_batches())
 
 
 def _sorted_repeats(suffixes: DataFrame, scratch: Scratch, bucket_rows: int) -> DataFrame:
-    """``k1, k2, at`` of the wanted windows that occur again."""
-    n = suffixes.count()
-    buckets = max(1, -(-n // bucket_rows))
-    dealt = suffixes.repartitionByRange(buckets, "t1", "t2", "k1", "k2", "at")
+    """``place`` of the wanted windows that occur again."""
+    buckets = max(1, -(-suffixes.count() // bucket_rows))
+    dealt = suffixes.select("t1", "t2", "place", "wanted").repartitionByRange(buckets, "t1", "t2", "place")
     found = scratch.table(dealt.mapInArrow(
-        _neighbours, "t1 bigint, t2 bigint, k1 bigint, k2 bigint, at int, wanted boolean, edge boolean, repeated boolean"))
+        _neighbours, "t1 bigint, t2 bigint, place bigint, wanted boolean, edge boolean, repeated boolean"))
     edges = found.where("edge")
     met = edges.groupBy("t1", "t2").agg(F.count("*").alias("n")).where("n > 1").select("t1", "t2", F.lit(True).alias("met"))
     across = edges.where("wanted").join(met, ["t1", "t2"], "left").where(F.col("repeated") | F.col("met"))
-    return found.where("NOT edge").select("k1", "k2", "at").unionByName(across.select("k1", "k2", "at"))
+    return found.where("NOT edge").select("place").unionByName(across.select("place"))
 
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket_rows: int = 1_000_000,
                     id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None) -> DataFrame:
     """``k1, k2, ranges``: per text key, the byte ranges [start, stop) that repeat, unmerged."""
+    if not gram <= length - BLOCK_WINDOWS + 1 or length - gram >= 1024:
+        raise ValueError("a gram must fit into a block's core, and a run into 1024 windows")
     scratch = scratch or Scratch(docs.sparkSession, "repeats")
     keyed = _keyed(docs, id_col, text_col)
     runs = scratch.table(_runs(keyed, length, gram))
@@ -288,17 +345,45 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buc
     lone = spans.where("n = 1").select("gram").distinct().select("gram", F.lit(True).alias("has_lone"))
     known = (met.join(spans, ["gram", "span"]).join(lone, "gram", "left")
              .withColumn("chosen", F.col("chosen") == mark))
-    known = scratch.table(known.select("k1", "k2", "first", "last", "n",
+    # the numbers of runs stay as they are written
+    known = scratch.table(known.select("k1", "k2", "first", "last", "lead", "n", F.monotonically_increasing_id().alias("run"),
                                        (F.col("varied") & F.col("has_lone") & F.col("chosen")).alias("open")))
+    scratch.drop(met)
     inside = known.where("n > 1").select("k1", "k2", F.col("first").alias("start"), (F.col("last") + length).alias("stop"))
-    open_runs = known.where("open").select("k1", "k2", "first", "last", (F.col("n") == 1).alias("wanted"))
-    suffixes = scratch.table(_suffixes(open_runs, keyed, length))
-    at_edges = _sorted_repeats(suffixes, scratch, bucket_rows).select(
-        "k1", "k2", F.col("at").alias("start"), (F.col("at") + length).alias("stop"))
-    return (inside.unionByName(at_edges).groupBy("k1", "k2")
+    open_runs = known.where("open").withColumn("wanted", F.col("n") == 1)
+    excerpts = scratch.table(_excerpts(open_runs, keyed, length))
+    resolved, open_blocks = _resolve_blocks(scratch.table(_blocks(excerpts, length)))
+    suffixes = scratch.table(_suffixes(excerpts, open_blocks, length))
+    places = _sorted_repeats(suffixes, scratch, bucket_rows)
+    own = open_runs.select("run", "k1", "k2", "first", "lead")
+    block_stop = F.col("first") + F.col("lead") - F.col("block") * BLOCK_WINDOWS + length
+    in_blocks = resolved.join(own, "run").select(
+        "k1", "k2", (block_stop - length - BLOCK_WINDOWS + 1).alias("start"), block_stop.alias("stop"))
+    window = F.col("first") + F.col("place").bitwiseAND(1023).cast("int")
+    at_edges = places.withColumn("run", F.shiftright("place", 10)).join(own, "run").select(
+        "k1", "k2", window.alias("start"), (window + length).alias("stop"))
+    return (inside.unionByName(in_blocks).unionByName(at_edges).groupBy("k1", "k2")
             .agg(F.collect_set(F.struct("start", "stop")).alias("ranges")))
 
 
+def _resolve_blocks(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``run, block`` of the wanted blocks that repeat whole, and of those to be sorted.
+
+    Sorted are blocks whose core occurs again but not their span, and one
+    block of each other span around such a core.
+    """
+    place = F.xxhash64("run", "block")
+    cores = blocks.groupBy("core").agg(F.count("*").alias("n_core")).where("n_core > 1")
+    spans = (blocks.where("span IS NOT NULL").groupBy("core", "span")
+             .agg(F.count("*").alias("n_span"), F.min(place).alias("chosen")))
+    known = (blocks.join(cores, "core").join(spans, ["core", "span"], "left")
+             .withColumn("unmet", F.coalesce(F.col("n_span") == 1, F.lit(True))))
+    asked = known.where("wanted AND unmet").select("core").distinct()
+    resolved = known.where("wanted AND NOT unmet").select("run", "block")
+    open_blocks = known.where(F.col("unmet") | (F.col("chosen") == place)).join(asked, "core").select("run", "block")
+    return resolved, open_blocks
+
+
 def merge_ranges(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of bytes covered by any range."""
     order = np.argsort(start, kind="stable")
@@ -317,8 +402,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buck
     """
     ranges = repeated_ranges(docs, length, gram, bucket_rows, id_col, text_col)
     carried = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(None).cast("struct<none: boolean>")
-    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_column(text_col), carried.alias("carried"))
-    keyed = keyed.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit(1), F.col("text"))})
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_column(text_col),
+                        carried.alias("carried")).withColumns(text_key())
     texts = _packed_text(keyed, "k1", "k2", "doc_id", "carried")
     joined = texts.join(ranges, ["k1", "k2"], "left").select("doc_id", "z", "ranges", "carried")
     kind = joined.schema["carried"].dataType.simpleString()
