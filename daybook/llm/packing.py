@@ -210,7 +210,7 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
         whole = int(n_from[capacity - k + 1])
         middle = int(total_to[capacity - k] - total_to[k - 1])
         best = max(best, whole - (-middle // capacity))
-    for k in (capacity // p for p in range(2, 21)):        # a bin holds p lengths of k and over
+    for k in (capacity // p for p in range(2, min(20, capacity) + 1)):        # a bin holds p lengths of k and over
         units = capacity // k
         big = size > capacity // 2
         value = np.where(big, units - (capacity - size) // k, size // k)
