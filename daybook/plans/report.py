@@ -321,7 +321,9 @@ def build_report(raw: DataFrame, top_n: int = TOP_N, threshold: float = ANOMALY_
     rollup = report_rollup(raw)
     # Partitioned by `set`: each section then reads only its own folder —
     # the day, country and counts sections never touch the user-day rows.
-    rollup.write.mode("overwrite").partitionBy("set").parquet(store)
+    # Rebalanced by it, a set is a few files of the advisory size instead of
+    # one from every task, and a large set (user-days) is split.
+    (rollup.hint("rebalance", "set").write.mode("overwrite").partitionBy("set").parquet(store))
     # The schema is known: no footer-reading job to infer it again.
     stored = spark.read.schema(rollup.schema).parquet(store)
     report = report_from_rollup(stored, top_n, threshold, offset_days)
