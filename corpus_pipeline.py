@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Scratch, table, text_key
+from daybook.llm.common import Scratch, share_package, table, text_key
 from daybook.llm.lines import remove_boilerplate
 from daybook.llm.packing import pack_documents
 from daybook.llm.repeats import remove_repeats
@@ -75,6 +75,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to ``documents``; each one's rows are written and read again."""
+    share_package(spark)
     scratch = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents").select(*COLUMNS)
     for _, stage in STAGES[:-1]:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,19 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+def share_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver did.
+
+    For local runs from any folder; on a cluster the package is installed or
+    shipped, and a path that doesn't exist there is ignored.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -2,34 +2,50 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import functions as F
 
 from daybook.llm import embedding_dedup, lines
-from daybook.llm.common import table
+from daybook.llm.common import share_package, table
+
+
+def _query(run):
+    """A registered query: (spark, sf_dir) -> DataFrame."""
+    @wraps(run)
+    def query(spark, sf_dir):
+        share_package(spark)
+        return run(spark, sf_dir)
+    return query
 
 
+@_query
 def op1_license_scan(spark, sf_dir):
     from daybook.llm.licenses import scan_licenses
 
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+@_query
 def op2_line_dedup(spark, sf_dir):
     return lines.remove_boilerplate(table(spark, sf_dir, "documents")).drop("carried")
 
 
+@_query
 def op3_nearest_neighbours(spark, sf_dir):
     from daybook.llm.neighbours import nearest_neighbours
 
     return nearest_neighbours(table(spark, sf_dir, "embeddings"))
 
 
+@_query
 def op4_simhash_near_dedup(spark, sf_dir):
     from daybook.llm.simhash import simhash_groups
 
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+@_query
 def op5_suffix_array_dedup(spark, sf_dir):
     from daybook.llm.repeats import remove_repeats
 
@@ -37,22 +53,26 @@ def op5_suffix_array_dedup(spark, sf_dir):
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@_query
 def op6_toxicity(spark, sf_dir):
     from daybook.llm.toxicity import score_toxicity
 
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("carried")
 
 
+@_query
 def op7_embedding_near_dedup(spark, sf_dir):
     return embedding_dedup.embedding_groups(table(spark, sf_dir, "embeddings"))
 
 
+@_query
 def op8_best_fit_packing(spark, sf_dir):
     from daybook.llm.packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+@_query
 def op9_byte_bpe(spark, sf_dir):
     from daybook.llm.bpe import decode_documents, encode_documents
 
@@ -61,6 +81,7 @@ def op9_byte_bpe(spark, sf_dir):
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@_query
 def op10_chat_format(spark, sf_dir):
     from daybook.llm.chat import TOOLS, as_tool_dialogue, format_chats
 
