@@ -2,9 +2,9 @@
 
 Learning.  Labels are read from rows whose crc32(doc_id) mod 3 is not 1.  The
 model is fitted on a bounded sample of them (``max_examples``, by hash of
-the id): terms are the words and word beginnings that mark a toxic text, chosen
-by log-likelihood ratio; each example is its TF-IDF vector over these terms.  The
-inverse document frequencies count all documents.
+the id): terms are words, word beginnings and repeated beginnings that mark a
+toxic text, chosen by log-likelihood ratio; each example is its TF-IDF vector
+over these terms.  The inverse document frequencies count all documents.
 
 Search.  The examples' inverted index is cut into blocks of examples; a term
 stores its largest weight in each block.  For a text the block bounds are
@@ -39,10 +39,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import text_column
+from daybook.llm.common import Scratch, text_column
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-STEM = 4                            # bytes of a word's beginning
+STEMS = (4, 6)
+OFTEN = ((2, b"+2"), (3, b"+3"), (5, b"+5"))
 THRESHOLD = 0.7
 
 
@@ -50,16 +51,53 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def term_counts(text: bytes, known=None) -> Counter:
-    """Words, and their beginnings in upper case, with their counts; only known ones if given."""
+def _marked(stems: Counter) -> Counter:
+    return Counter({w + mark: 1 for w, n in stems.items() for least, mark in OFTEN if n >= least})
+
+
+def term_counts(text: bytes) -> Counter:
+    """Terms with their counts.
+
+    Terms are the words, their beginnings of STEMS bytes in upper case, and
+    for each count in OFTEN a beginning that stands at least so often.
+    """
     words = Counter(WORD.findall(text.lower()))
-    stems = Counter()
+    stems: Counter = Counter()
     for w, n in words.items():
-        if len(w) > STEM:
-            stems[w[:STEM].upper()] += n
-    if known is None:
-        return words + stems
-    return Counter({w: c[w] for c in (words, stems) for w in c.keys() & known})
+        for size in STEMS:
+            if len(w) > size:
+                stems[w[:size].upper()] += n
+    return words + stems + _marked(stems)
+
+
+class TermReader:
+    """``term_counts`` for known terms only; words that give none are looked at once.
+
+    The table of such words starts over beyond ``remember`` entries.
+    """
+
+    def __init__(self, known, remember: int = 300_000):
+        self._known, self._remember = set(known), remember
+        marks = tuple(mark for _, mark in OFTEN)
+        self._stems = {w[:-len(m)] for w in self._known for m in marks if w.endswith(m)} | self._known
+        self._plain: set[bytes] = set()
+
+    def __call__(self, text: bytes) -> Counter:
+        words = Counter(WORD.findall(text.lower()))
+        if len(self._plain) > self._remember:
+            self._plain.clear()
+        found, stems = Counter(), Counter()
+        for w in words.keys() - self._plain:
+            own = [s for size in STEMS if len(w) > size and (s := w[:size].upper()) in self._stems]
+            for s in own:
+                stems[s] += words[w]
+            if w in self._known:
+                found[w] = words[w]
+            elif not own:
+                self._plain.add(w)
+        for more in (stems, _marked(stems)):
+            found.update({w: n for w, n in more.items() if w in self._known})
+        return found
 
 
 @dataclass(frozen=True)
@@ -69,34 +107,31 @@ class Limits:
     max_examples: int = 20_000     # labelled rows in the sample
     max_terms: int = 20_000
     min_ratio: float = 20.0        # log-likelihood ratio of a term
-    min_lift: float = 3.0          # toxic share of its texts against the whole
+    min_lift: float = 5.0          # toxic share of its texts against the whole
     k: int = 25
     block: int = 64
     evidence: int = 3
 
 
-def choose_terms(bags: list[set], toxic: np.ndarray, limits: Limits) -> list[bytes]:
-    """Words that mark toxic texts, strongest first."""
-    n1, n = int(toxic.sum()), len(toxic)
+def choose_terms(counts: DataFrame, whole: str, toxic: str, n: int, n1: int, limits: Limits) -> list[bytes]:
+    """Terms that mark toxic texts, strongest first, from their counts of texts.
+
+    ``whole`` and ``toxic`` name the columns with how many texts and toxic
+    texts hold the term; n and n1 are how many texts there are.
+    """
     n0 = n - n1
     if not n1 or not n0:
         return []
-    all_df, toxic_df = Counter(), Counter()
-    for bag, is_toxic in zip(bags, toxic):
-        all_df.update(bag)
-        if is_toxic:
-            toxic_df.update(bag)
-    words = [w for w, c in toxic_df.items() if c * n >= limits.min_lift * n1 * all_df[w] and c > 1]
-    a = np.array([toxic_df[w] for w in words], float)
-    df = np.array([all_df[w] for w in words], float)
+    df, a = F.col(whole).cast("double"), F.col(toxic).cast("double")
 
     def part(observed, expected):
-        return observed * np.log(np.where(observed > 0, observed, 1) / np.maximum(expected, 1e-12))
+        return F.when(observed > 0, observed * F.log(observed / expected)).otherwise(0.0)
 
     ratio = 2 * (part(a, df * n1 / n) + part(df - a, df * n0 / n)
                  + part(n1 - a, (n - df) * n1 / n) + part(n0 - df + a, (n - df) * n0 / n))
-    ranked = sorted((-r, w) for r, w in zip(ratio.tolist(), words) if r >= limits.min_ratio)
-    return [w for _, w in ranked[:limits.max_terms]]
+    marks = counts.where((a > 1) & (a * n >= limits.min_lift * n1 * df)).withColumn("ratio", ratio)
+    best = marks.where(F.col("ratio") >= limits.min_ratio).orderBy(F.desc("ratio"), "term").limit(limits.max_terms)
+    return [bytes(r["term"]) for r in best.select("term").collect()]
 
 
 class Index:
@@ -182,40 +217,33 @@ def monotone_fit(votes: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 class Model:
-    def __init__(self, ids, toxic, texts: list[bytes], limits: Limits):
+    """Index and calibration, from the examples' term counts and corpus-wide document frequencies.
+
+    ``terms`` are the terms of the whole sample, of its first half and of the
+    other; ``second`` tells the halves apart.
+    """
+
+    def __init__(self, ids, toxic, second, counts: list[Counter], terms: list[list[bytes]], df: dict[bytes, int],
+                 n_documents: int, limits: Limits):
         self.limits = limits
-        self._ids, self._toxic = np.array(ids, np.int64), np.array(toxic, bool)
-        self._counts = [term_counts(t) for t in texts]
-        bags = [set(c) for c in self._counts]
-        half = np.array([i % 2 == 0 for i in range(len(ids))], bool)
-        self._terms = [choose_terms([b for b, p in zip(bags, part) if p], self._toxic[part], limits)
-                       for part in (np.ones(len(ids), bool), half, ~half)]
-        self._half = half
-
-    @property
-    def terms(self) -> list[bytes]:
-        """All terms whose document frequency is needed."""
-        return sorted({w for ws in self._terms for w in ws})
-
-    def fit(self, df: dict[bytes, int], n_documents: int) -> None:
-        """Builds the index and the calibration from corpus-wide document frequencies."""
-        def index(terms, part):
-            idf = {w: math.log(1 + n_documents / (1 + df.get(w, 0))) for w in terms}
+        ids, toxic, second = np.array(ids, np.int64), np.array(toxic, bool), np.array(second, bool)
+
+        def index(own_terms, part):
+            idf = {w: math.log(1 + n_documents / (1 + df.get(w, 0))) for w in own_terms}
             rows = np.flatnonzero(part)
-            return Index(self._ids[rows], self._toxic[rows], [self._counts[i] for i in rows], idf, self.limits)
+            return Index(ids[rows], toxic[rows], [counts[i] for i in rows], idf, limits)
 
-        self.index = index(self._terms[0], np.ones(len(self._ids), bool))
-        votes = np.empty(len(self._ids))
-        for terms, own in ((self._terms[1], self._half), (self._terms[2], ~self._half)):
-            other = index(terms, own)
+        votes = np.empty(len(ids))
+        for own_terms, own in ((terms[1], ~second), (terms[2], second)):
+            other = index(own_terms, own)
             for i in np.flatnonzero(~own):
-                votes[i] = other.vote(other.vector(self._counts[i]))[0]
-        self.levels, self.probability = (monotone_fit(votes, self._toxic.astype(float)) if len(votes)
+                votes[i] = other.vote(other.vector(counts[i]))[0]
+        self.levels, self.probability = (monotone_fit(votes, toxic.astype(float)) if len(votes)
                                          else (np.array([-1.0]), np.array([0.0])))
-        del self._counts, self._terms, self._half
+        self.index = index(terms[0], np.ones(len(ids), bool))
 
-    def score(self, text: bytes) -> tuple[float, list[dict]]:
-        words = term_counts(text, self.index.term.keys())
+    def score(self, words: Counter) -> tuple[float, list[dict]]:
+        """Probability and evidence from a text's counts of known terms."""
         vote, rows, cosines = self.index.vote(self.index.vector(words))
         at = max(0, int(np.searchsorted(self.levels, vote, "right")) - 1)
         show = self.limits.evidence
@@ -229,11 +257,11 @@ def _document_frequencies(docs: DataFrame, terms: list[bytes], text_col: str) ->
     known = {w: i for i, w in enumerate(terms)}
 
     def count(batches):
-        df, n = np.zeros(len(known) + 1, np.int64), 0
+        df, n, read = np.zeros(len(known) + 1, np.int64), 0, TermReader(known)
         for batch in batches:
             n += batch.num_rows
             for text in batch.column(0).cast(pa.binary()).to_pylist():
-                for w in term_counts(text, known.keys()):
+                for w in read(text):
                     df[known[w]] += 1
         df[-1] = n                                    # the last entry counts documents
         some = np.flatnonzero(df)
@@ -245,20 +273,75 @@ def _document_frequencies(docs: DataFrame, terms: list[bytes], text_col: str) ->
     return {w: df.get(i, 0) for w, i in known.items()}, df.get(len(terms), 0)
 
 
+def _term_table(sample: DataFrame) -> DataFrame:
+    """``term`` and in how many texts it is: all, toxic, and the same for each half."""
+    def spell(batches):
+        for batch in batches:
+            bags = [set(term_counts(t)) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            rows = pa.array(np.repeat(np.arange(len(bags)), [len(b) for b in bags]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([w for b in bags for w in b], pa.binary()), batch.column("toxic").take(rows),
+                 batch.column("second").take(rows)], ["term", "toxic", "second"])
+
+    toxic, second = F.col("toxic") == 1, F.col("second")
+    each = sample.select("text", "toxic", "second").mapInArrow(spell, "term binary, toxic int, second boolean")
+    return each.groupBy("term").agg(
+        F.count("*").alias("n"), F.count_if(toxic).alias("t"), F.count_if(~second).alias("n_first"),
+        F.count_if(toxic & ~second).alias("t_first"), F.count_if(second).alias("n_second"),
+        F.count_if(toxic & second).alias("t_second")).where("t > 1")
+
+
+def _example_counts(sample: DataFrame, known: list[bytes]) -> pa.Table:
+    """The examples with the numbers and counts of their known terms; at most a bounded sample's rows."""
+    number = {w: i for i, w in enumerate(known)}
+
+    def count(batches):
+        read = TermReader(number)
+        for batch in batches:
+            found = [read(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("doc_id", "toxic", "second")),
+                 pa.array([[number[w] for w in f] for f in found], pa.list_(pa.int32())),
+                 pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))],
+                ["doc_id", "toxic", "second", "terms", "counts"])
+
+    rows = sample.select("doc_id", "toxic", "second", "text").mapInArrow(
+        count, "doc_id bigint, toxic int, second boolean, terms array<int>, counts array<int>")
+    return rows.orderBy("doc_id", "terms", "counts").toArrow()
+
+
 def fit_model(docs: DataFrame, labels: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id",
               text_col: str = "text", label_col: str = "toxic") -> Model:
-    """Fits on the sample; its ids, at most ``max_examples``, are found from the labels alone."""
+    """Fits on the sample; its ids, at most ``max_examples``, are found from the labels alone.
+
+    The driver sees the chosen terms, their document frequencies and the
+    sample's counts of them, all bounded by ``limits``; texts stay on the
+    executors.
+    """
+    scratch = Scratch(docs.sparkSession, "toxicity")
     seen = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("toxic"))
             .where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out("doc_id"))
             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     chosen = seen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limits.max_examples)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_column(text_col))
-    sample = (texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["text"])
-              .select("doc_id", "toxic", F.col("text").cast("binary").alias("text"))
-              .orderBy("doc_id", "text").limit(limits.max_examples).toArrow())
-    model = Model(*[sample.column(c).to_pylist() for c in ("doc_id", "toxic", "text")], limits)
-    model.fit(*_document_frequencies(docs, model.terms, text_col))
-    return model
+    second = F.pmod(F.xxhash64(F.lit(7), F.col("doc_id")), F.lit(2)) == 1
+    # one example per text and label, so that copies don't vote together
+    sample = scratch.table(texts.join(F.broadcast(chosen), "doc_id").groupBy("text", "toxic")
+                           .agg(F.min("doc_id").alias("doc_id")).withColumn("second", second))
+    sizes = sample.groupBy("second").agg(F.count("*").alias("n"), F.count_if(F.col("toxic") == 1).alias("t")).collect()
+    n, t = ({r["second"]: r[c] for r in sizes} for c in ("n", "t"))
+    table = scratch.table(_term_table(sample))
+    terms = [choose_terms(table, *columns, *size, limits) for columns, size in (
+        (("n", "t"), (sum(n.values()), sum(t.values()))),
+        (("n_first", "t_first"), (n.get(False, 0), t.get(False, 0))),
+        (("n_second", "t_second"), (n.get(True, 0), t.get(True, 0))))]
+    known = sorted({w for ws in terms for w in ws})
+    examples = _example_counts(sample, known)
+    counts = [Counter({known[i]: c for i, c in zip(*row)})
+              for row in zip(examples.column("terms").to_pylist(), examples.column("counts").to_pylist())]
+    scratch.drop(sample, table)
+    return Model(*[examples.column(c).to_pylist() for c in ("doc_id", "toxic", "second")], counts, terms,
+                 *_document_frequencies(docs, known, text_col), limits)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, limits: Limits = Limits(), threshold: float = THRESHOLD,
@@ -277,8 +360,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, limits: Limits = Limits()
 
     def score(batches):
         fitted = model.value
+        read = TermReader(fitted.index.term)
         for batch in batches:
-            found = [fitted.score(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            found = [fitted.score(read(t)) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             scores = np.array([s for s, _ in found])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64()),
