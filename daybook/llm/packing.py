@@ -26,6 +26,7 @@ import os
 import re
 import zlib
 from collections.abc import Callable
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -196,8 +197,8 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     The largest sum over two families of dual-feasible functions.  One
     leaves out lengths below k, counts those above capacity - k as a whole
     bin and keeps the others' share; with k = 0 it is total length over
-    capacity.  The other counts, for each k, a length above capacity / 2 as
-    whole less what lengths of k fit beside it, in units of k.
+    capacity.  The other counts in units of k, rounding a length above
+    capacity / 2 up by what is lost beside it and other lengths down.
     """
     if not len(lengths):
         return 0
@@ -210,7 +211,7 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
         whole = int(n_from[capacity - k + 1])
         middle = int(total_to[capacity - k] - total_to[k - 1])
         best = max(best, whole - (-middle // capacity))
-    for k in (capacity // p for p in range(2, min(20, capacity) + 1)):        # a bin holds p lengths of k and over
+    for k in (capacity // p for p in range(2, min(20, capacity) + 1)):
         units = capacity // k
         big = size > capacity // 2
         value = np.where(big, units - (capacity - size) // k, size // k)
@@ -240,8 +241,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = 40_000,
     scratch = Scratch(spark, "packing")
     schema = PIECES + ", grp int, bin bigint, offset bigint, gap bigint, again boolean"
     pool, done, pool_bins = scratch.table(pieces), [], None
-    kept_rows = None
-    for number in range(64):
+    for number in count():               # ends, as each round but the last saves a bin
         n = pool.count()
         if not n:
             break
@@ -257,10 +257,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = 40_000,
             report({"groups": groups, "rows": n, **total.asDict()})
         if pool_bins is not None and total["bins"] >= pool_bins:
             break                                        # the exchange saved nothing: keep the last packing
-        if kept_rows is not None:
+        if done:
             done[-1] = done[-1].where(~F.col("again"))
-        kept_rows = packed.withColumn("round", F.lit(number))
-        done.append(kept_rows)
+        done.append(packed.withColumn("round", F.lit(number)))
         if groups == 1 or not total["again"]:
             break
         pool = packed.where("again").select(*pieces.columns)
