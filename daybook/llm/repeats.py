@@ -337,12 +337,14 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buc
     keyed = _keyed(docs, id_col, text_col)
     runs = scratch.table(_runs(keyed, length, gram))
     grams = runs.groupBy("gram").agg(F.count("*").alias("n"), F.min("span").alias("lo"), F.max("span").alias("hi"))
-    often = grams.where("n > 1").select("gram", (F.col("lo") != F.col("hi")).alias("varied"))
+    # what is joined back is stored first: between two plain tables, Spark
+    # splits the tasks of a frequent gram, which it can't above an aggregate
+    often = scratch.table(grams.where("n > 1").select("gram", (F.col("lo") != F.col("hi")).alias("varied")))
     met = scratch.table(runs.join(often, "gram"))
     scratch.drop(runs)
     mark = F.xxhash64("k1", "k2", "first")
-    spans = met.groupBy("gram", "span").agg(F.count("*").alias("n"), F.min(mark).alias("chosen"))
-    lone = spans.where("n = 1").select("gram").distinct().select("gram", F.lit(True).alias("has_lone"))
+    spans = scratch.table(met.groupBy("gram", "span").agg(F.count("*").alias("n"), F.min(mark).alias("chosen")))
+    lone = scratch.table(spans.where("n = 1").select("gram").distinct().select("gram", F.lit(True).alias("has_lone")))
     known = (met.join(spans, ["gram", "span"]).join(lone, "gram", "left")
              .withColumn("chosen", F.col("chosen") == mark))
     # the numbers of runs stay as they are written
@@ -352,7 +354,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buc
     inside = known.where("n > 1").select("k1", "k2", F.col("first").alias("start"), (F.col("last") + length).alias("stop"))
     open_runs = known.where("open").withColumn("wanted", F.col("n") == 1)
     excerpts = scratch.table(_excerpts(open_runs, keyed, length))
-    resolved, open_blocks = _resolve_blocks(scratch.table(_blocks(excerpts, length)))
+    resolved, open_blocks = _resolve_blocks(scratch.table(_blocks(excerpts, length)), scratch)
     suffixes = scratch.table(_suffixes(excerpts, open_blocks, length))
     places = _sorted_repeats(suffixes, scratch, bucket_rows)
     own = open_runs.select("run", "k1", "k2", "first", "lead")
@@ -366,19 +368,19 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buc
             .agg(F.collect_set(F.struct("start", "stop")).alias("ranges")))
 
 
-def _resolve_blocks(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _resolve_blocks(blocks: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """``run, block`` of the wanted blocks that repeat whole, and of those to be sorted.
 
     Sorted are blocks whose core occurs again but not their span, and one
     block of each other span around such a core.
     """
     place = F.xxhash64("run", "block")
-    cores = blocks.groupBy("core").agg(F.count("*").alias("n_core")).where("n_core > 1")
-    spans = (blocks.where("span IS NOT NULL").groupBy("core", "span")
-             .agg(F.count("*").alias("n_span"), F.min(place).alias("chosen")))
-    known = (blocks.join(cores, "core").join(spans, ["core", "span"], "left")
-             .withColumn("unmet", F.coalesce(F.col("n_span") == 1, F.lit(True))))
-    asked = known.where("wanted AND unmet").select("core").distinct()
+    cores = scratch.table(blocks.groupBy("core").agg(F.count("*").alias("n_core")).where("n_core > 1"))
+    spans = scratch.table(blocks.where("span IS NOT NULL").groupBy("core", "span")
+                          .agg(F.count("*").alias("n_span"), F.min(place).alias("chosen")))
+    known = scratch.table(blocks.join(cores, "core").join(spans, ["core", "span"], "left")
+                          .withColumn("unmet", F.coalesce(F.col("n_span") == 1, F.lit(True))))
+    asked = scratch.table(known.where("wanted AND unmet").select("core").distinct())
     resolved = known.where("wanted AND NOT unmet").select("run", "block")
     open_blocks = known.where(F.col("unmet") | (F.col("chosen") == place)).join(asked, "core").select("run", "block")
     return resolved, open_blocks
