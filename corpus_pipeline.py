@@ -20,24 +20,26 @@ from daybook.llm.simhash import simhash_groups
 from daybook.llm.toxicity import score_toxicity
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# What operators pass through; the text comes from them and gives n_chars.
+CARRIED = ("doc_id", "lang", "source")
 
 
 def _documents(rows: DataFrame, text) -> DataFrame:
     """The documents' columns back from ``carried``, with a new text and its length."""
-    carried = [F.col(f"carried.{c}").alias(c) for c in COLUMNS if c not in ("text", "n_chars")]
+    carried = [F.col(f"carried.{c}").alias(c) for c in CARRIED]
     out = rows.select(text.alias("text"), *carried)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the toxicity operator predicts toxic; null texts come back empty."""
-    scored = score_toxicity(docs, table(spark, sf_dir, "labels"), carry=tuple(COLUMNS))
-    return _documents(scored.where("predicted = 0"), F.coalesce("carried.text", F.lit("")))
+    scored = score_toxicity(docs, table(spark, sf_dir, "labels"), carry=CARRIED, with_text=True)
+    return _documents(scored.where("predicted = 0"), F.col("text"))
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out lines that stand on many sites; every document stays."""
-    return _documents(remove_boilerplate(docs, carry=tuple(COLUMNS)), F.col("text"))
+    return _documents(remove_boilerplate(docs, carry=CARRIED), F.col("text"))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +54,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts byte strings that occur again, at character boundaries; every document stays."""
-    cut = remove_repeats(docs, whole_characters=True, carry=tuple(COLUMNS))
+    cut = remove_repeats(docs, whole_characters=True, carry=CARRIED)
     return _documents(cut, F.decode("kept", "UTF-8"))
 
 

@@ -55,7 +55,7 @@ class WordBPE:
     characters (an entry counts 64 more); results don't depend on it.
     """
 
-    def __init__(self, path: str, remember: int = 70_000_000):
+    def __init__(self, path: str, remember: int = 20_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"       # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 

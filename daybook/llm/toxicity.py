@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Scratch, text_column
+from daybook.llm.common import Scratch, slices, text_column
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 STEMS = (4, 6)
@@ -345,11 +345,13 @@ def fit_model(docs: DataFrame, labels: DataFrame, limits: Limits = Limits(), id_
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, limits: Limits = Limits(), threshold: float = THRESHOLD,
-                   id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (),
+                   with_text: bool = False) -> DataFrame:
     """``doc_id, held_out, score, predicted, evidence`` for every document.
 
     ``evidence`` holds the nearest examples with their cosine and label.
-    ``carry`` names columns of ``docs`` to return as the struct ``carried``.
+    ``carry`` names columns of ``docs`` to return as the struct ``carried``;
+    ``with_text`` returns the ``text``, too.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit_model(docs, labels, limits, id_col, text_col))
     carried = F.struct(*carry) if carry else F.lit(None).cast("struct<none: boolean>")
@@ -362,12 +364,17 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, limits: Limits = Limits()
         fitted = model.value
         read = TermReader(fitted.index.term)
         for batch in batches:
-            found = [fitted.score(read(t)) for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            scores = np.array([s for s, _ in found])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64()),
-                 pa.array((scores >= threshold).astype(np.int32)), pa.array([e for _, e in found], shown),
-                 batch.column("carried")], ["doc_id", "held_out", "score", "predicted", "evidence", "carried"])
+            for part in slices(batch, "text", 8 << 20):
+                found = [fitted.score(read(t)) for t in part.column("text").cast(pa.binary()).to_pylist()]
+                scores = np.array([s for s, _ in found])
+                columns = {
+                    "doc_id": part.column("doc_id"), "held_out": part.column("held_out"),
+                    "score": pa.array(scores, pa.float64()), "predicted": pa.array((scores >= threshold).astype(np.int32)),
+                    "evidence": pa.array([e for _, e in found], shown), "carried": part.column("carried")}
+                if with_text:
+                    columns["text"] = part.column("text")
+                yield pa.RecordBatch.from_pydict(columns)
 
     return rows.mapInArrow(score, "doc_id bigint, held_out boolean, score double, predicted int, "
-                                  f"evidence array<struct<doc_id: bigint, cosine: double, toxic: int>>, carried {kind}")
+                                  f"evidence array<struct<doc_id: bigint, cosine: double, toxic: int>>, carried {kind}"
+                                  + (", text string" if with_text else ""))
