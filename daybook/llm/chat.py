@@ -223,16 +223,16 @@ def as_tool_dialogue(conversations: DataFrame) -> DataFrame:
 
     An assistant's turn is a call whose tool and arguments come from its
     place and text, a user's turn after the first answers the turn before,
-    and calls need the call before them.  Every tenth conversation logs pairs
-    of calls in the wrong order; some need each other.
+    and calls need the call before them.  Texts are arguments as they are; one
+    that its tool's schema doesn't admit is reported among the faults.  Every
+    tenth conversation logs pairs of calls in the wrong order; some need each other.
     """
     t, c = F.col("turn"), F.col("conv_id")
     is_call, is_result = F.col("role") == "assistant", (F.col("role") == "user") & (t > 0)
     call = lambda turn: F.concat_ws(":", c.cast("string"), turn.cast("string"))
     words = F.size(F.split("text", " "))
-    start = F.substring("text", 1, 60)
     tool = F.element_at(F.array(*[F.lit(n) for n in sorted(TOOLS)]), (F.pmod(t, F.lit(3)) + 1).cast("int"))
-    arguments = F.when(tool == "search", F.to_json(F.struct(start.alias("query"), words.alias("limit")))) \
+    arguments = F.when(tool == "search", F.to_json(F.struct(F.col("text").alias("query"), words.alias("limit")))) \
         .when(tool == "summarise", F.to_json(F.struct(words.alias("words"), F.col("text")))) \
         .otherwise(F.to_json(F.struct(F.substring("text", 1, 2).alias("to"), F.col("text"))))
     early = (F.pmod(c, F.lit(10)) == 3) & (F.pmod(t, F.lit(4)) == 1)

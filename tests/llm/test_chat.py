@@ -110,3 +110,16 @@ def test_derived_dialogue(spark):
             turn = int(r.call_id.split(":")[1])
             reply = source.get((r.conv_id, turn + 1))
             assert json.loads(r.json).get("result") == (reply.text if reply and reply.role == "user" else None)
+
+
+def test_derived_arguments_hold_the_whole_text(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    source = {(r.conv_id, r.turn): r.text for r in df.where("role = 'assistant'").collect()}
+    found = [r for r in chat.format_chats(chat.as_tool_dialogue(df), chat.TOOLS).collect() if r.kind == "call"]
+    assert len(found) == len(source)
+    for r in found:
+        call = json.loads(r.json)
+        text = call["arguments"]["query" if call["name"] == "search" else "text"]
+        assert text == source[r.conv_id, int(r.call_id.split(":")[1])]
+        if call["name"] == "search":
+            assert ("$.query: too long" in r.faults) == (len(text) > 60)
