@@ -20,8 +20,9 @@ All steps are aggregates and joins by identifier, so a conversation of any
 length stays spread; records carry their place instead of being gathered.
 
 Defined results: null text is an empty content; a call or result with a null
-conversation or id links with nothing; ids used twice in a conversation keep
-the first call and the first result by (turn, content) and count the rest;
+conversation or id links with nothing and has a record of its own; of an id used
+twice in a conversation the first call and the first result by (turn, content)
+link, and each later one is a record with the status ``duplicate``;
 dependencies on unknown ids or on itself are reported and otherwise ignored;
 repeated plain messages stay; an empty table gives no records.
 """
@@ -32,6 +33,7 @@ import json
 from collections.abc import Mapping
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,45 +106,47 @@ def _record(kind, role, text, call_id, tool, arguments, result, schemas) -> tupl
 
 
 def _places(calls: DataFrame, scratch: Scratch) -> DataFrame:
-    """``conv_id, call_id, place, cyclic`` for calls whose place isn't their turn."""
+    """``conv_id, row, place, cyclic`` for calls whose place isn't their turn.
+
+    ``first`` marks the calls that an id stands for; every call may need them.
+    """
     place = F.struct(F.col("turn").alias("turn"), F.lit(0).alias("step"))
-    now = scratch.table(calls.where("conv_id IS NOT NULL AND call_id IS NOT NULL")
-                        .select("conv_id", "call_id", place.alias("place"), "after"))
-    known = now.select("conv_id", F.col("call_id").alias("needs"))
-    needs = scratch.table(now.select("conv_id", "call_id", F.explode("after").alias("needs"))
-                          .where("needs <> call_id").distinct().join(known, ["conv_id", "needs"]))
-    start = now.select("conv_id", "call_id", "place")
+    known = calls.where("first").select("conv_id", F.col("call_id").alias("id"), F.col("row").alias("needs"))
+    needs = scratch.table(calls.select("conv_id", "call_id", "row", F.explode("after").alias("id"))
+                          .where("NOT id <=> call_id").join(known, ["conv_id", "id"])
+                          .select("conv_id", "row", "needs").distinct())
+    start = scratch.table(calls.where("conv_id IS NOT NULL").select("conv_id", "row", place.alias("place")))
     # only calls that move are written from round to round
     moved, rounds = None, 0
     while True:
         places = start
         if moved is not None:
-            places = (start.join(moved.select("conv_id", "call_id", F.col("place").alias("later"), "cyclic"), ["conv_id", "call_id"], "left")
-                      .select("conv_id", "call_id", F.coalesce("later", "place").alias("place"),
+            places = (start.join(moved.select("conv_id", "row", F.col("place").alias("later"), "cyclic"), ["conv_id", "row"], "left")
+                      .select("conv_id", "row", F.coalesce("later", "place").alias("place"),
                               F.coalesce("cyclic", F.lit(False)).alias("cyclic")))
         else:
             places = start.withColumn("cyclic", F.lit(False))
-        above = (needs.join(places.select("conv_id", F.col("call_id").alias("needs"), F.col("place").alias("p"), "cyclic"),
+        above = (needs.join(places.select("conv_id", F.col("row").alias("needs"), F.col("place").alias("p"), "cyclic"),
                             ["conv_id", "needs"])
-                 .groupBy("conv_id", "call_id")
+                 .groupBy("conv_id", "row")
                  .agg(F.max(F.when(~F.col("cyclic"), F.struct(F.col("p.turn").alias("turn"), (F.col("p.step") + 1).alias("step")))).alias("least"),
                       F.max("cyclic").alias("after_cycle")))
         # calls that need a call on a cycle have no place either
         lost = F.col("after_cycle") & ~F.col("cyclic")
         raised = F.coalesce(F.col("least") > F.col("place"), F.lit(False)) & ~F.col("cyclic")
-        step = (places.join(above, ["conv_id", "call_id"]).where(raised | lost)
-                .select("conv_id", "call_id", F.when(lost, F.col("place")).otherwise(F.col("least")).alias("place"),
+        step = (places.join(above, ["conv_id", "row"]).where(raised | lost)
+                .select("conv_id", "row", F.when(lost, F.col("place")).otherwise(F.col("least")).alias("place"),
                         (F.col("cyclic") | lost).alias("cyclic"), F.lit(True).alias("moving")))
         if moved is not None:
-            still = moved.select("conv_id", "call_id", "place", "cyclic").withColumn("moving", F.lit(False))
-            step = (still.unionByName(step).groupBy("conv_id", "call_id")
+            still = moved.select("conv_id", "row", "place", "cyclic").withColumn("moving", F.lit(False))
+            step = (still.unionByName(step).groupBy("conv_id", "row")
                     .agg(F.max("place").alias("place"), F.max("cyclic").alias("cyclic"), F.max("moving").alias("moving")))
         rounds += 1
         step = scratch.table(step)
         per_conv = step.groupBy("conv_id").agg(F.count("*").alias("ever"))
         stuck = F.col("moving") & (F.col("ever") < rounds)
         step = scratch.table(step.join(per_conv, "conv_id").select(
-            "conv_id", "call_id", "place", (F.col("cyclic") | stuck).alias("cyclic"), "moving"))
+            "conv_id", "row", "place", (F.col("cyclic") | stuck).alias("cyclic"), "moving"))
         moved = step
         if not moved.where("moving").limit(1).count():
             return moved
@@ -152,9 +156,12 @@ def format_chats(messages: DataFrame, schemas: Mapping[str, Mapping]) -> DataFra
     """``conv_id, turn, step, kind, call_id, status, n_calls, n_results, faults, json``: one row per record.
 
     Ordered by (turn, step) a conversation's records are in topological
-    order.  ``status`` of a call is ``linked`` or ``unanswered``, followed by
-    ``,cyclic`` if its dependencies have no order; of a result without a call
-    ``orphan``; of a plain message ``plain``.
+    order.  ``status`` of a call is ``linked``, ``unanswered`` or, if an earlier
+    one has its id, ``duplicate``, followed by ``,cyclic`` if its dependencies have
+    no order; of a result without a call ``orphan``, of one after an id's first
+    ``duplicate``; of a plain message ``plain``.  ``call_id`` is the id that a record
+    stands for, so it is null in duplicates, whose id is in ``json``; ``n_calls`` and
+    ``n_results`` count an id's rows at its first record and are 0 in duplicates.
     """
     scratch = Scratch(messages.sparkSession, "chat")
     schemas = dict(schemas)
@@ -164,31 +171,44 @@ def format_chats(messages: DataFrame, schemas: Mapping[str, Mapping]) -> DataFra
         F.coalesce("after", F.array().cast("array<string>")).alias("after"))
     is_call, is_result = F.col("tool").isNotNull(), F.col("role") == "tool"
     by = ["conv_id", "call_id"]
-    calls = (rows.where(is_call).groupBy(*by)
-             .agg(F.min(F.struct("turn", "tool", "arguments", "after")).alias("c"), F.count("*").alias("n_calls"))
-             .select(*by, "c.*", "n_calls"))
-    results = (rows.where(~is_call & is_result).groupBy(*by)
-               .agg(F.min(F.struct("turn", "text")).alias("r"), F.count("*").alias("n_results"))
-               .select(*by, F.col("r.turn").alias("result_turn"), F.col("r.text").alias("result"), "n_results"))
-    calls = scratch.table(calls)
-    places = _places(calls, scratch).select(*by, "place", "cyclic")
-    linked = calls.drop("after").join(results, by, "full").join(places, by, "left")
+    # a stored number tells rows apart that are equal in all columns
+    links = scratch.table(rows.where(is_call | is_result).withColumn("row", F.monotonically_increasing_id()))
+    named = links.where("conv_id IS NOT NULL AND call_id IS NOT NULL")
+    of_calls, of_results = links.where(is_call), links.where(~is_call)
+    first_calls = scratch.table(named.where(is_call).groupBy(*by).agg(
+        F.min(F.struct("turn", "tool", "arguments", "after", "row"))["row"].alias("row"), F.count("*").alias("n_calls")))
+    first_results = scratch.table(named.where(~is_call).groupBy(*by).agg(
+        F.min(F.struct("turn", "text", "row"))["row"].alias("row"), F.count("*").alias("n_results")))
+    # joined by row, so that an id of many rows stays spread; rows without a match are no id's first
+    calls = scratch.table(of_calls.join(first_calls.select("row", "n_calls"), "row", "left").select(
+        *by, "row", "turn", "tool", "arguments", "after", "n_calls", F.col("n_calls").isNotNull().alias("first")))
+    results = scratch.table(of_results.join(first_results.select("row", "n_results"), "row", "left").select(
+        *by, F.col("turn").alias("result_turn"), F.col("text").alias("result"), "n_results"))
+    places = _places(calls, scratch).select("row", "place", "cyclic")
+    lone = F.col("conv_id").isNull() | F.col("call_id").isNull()
+    again = {"n_calls": F.lit(0), "n_results": F.lit(0), "duplicate": ~lone}
+    linked = (calls.where("first").drop("after", "first").join(results.where("n_results IS NOT NULL"), by, "full")
+              .withColumn("duplicate", F.lit(False)))
+    rest = (calls.where("NOT first").drop("after", "first").withColumns(again | {"n_calls": F.when(lone, 1).otherwise(0)})
+            .unionByName(results.where("n_results IS NULL")
+                         .withColumns(again | {"n_results": F.when(lone, 1).otherwise(0)}), allowMissingColumns=True))
+    linked = linked.unionByName(rest, allowMissingColumns=True).join(places, "row", "left")
     kind = F.when(F.col("tool").isNotNull(), "call").otherwise("result")
     cyclic = F.coalesce("cyclic", F.lit(False))
-    status = (F.when(F.col("tool").isNull(), "orphan")
-              .otherwise(F.concat(F.when(F.col("result").isNull(), "unanswered").otherwise("linked"),
-                                  F.when(cyclic, ",cyclic").otherwise(""))))
+    status = F.concat(F.when(F.col("duplicate"), "duplicate").when(F.col("tool").isNull(), "orphan")
+                      .when(F.col("result").isNull(), "unanswered").otherwise("linked"),
+                      F.when(cyclic, ",cyclic").otherwise(""))
     turn = F.coalesce("turn", "result_turn")
     records = linked.select(
         "conv_id", F.when(cyclic | F.col("place").isNull(), turn).otherwise(F.col("place.turn")).alias("turn"),
         F.when(cyclic | F.col("place").isNull(), F.lit(0)).otherwise(F.col("place.step")).alias("step"),
-        kind.alias("kind"), F.lit("").alias("role"), F.lit("").alias("text"), "call_id", "tool", "arguments", "result",
+        kind.alias("kind"), F.lit("").alias("role"), F.lit("").alias("text"), "call_id", "tool", "arguments", "result", "duplicate",
         status.alias("status"), F.coalesce("n_calls", F.lit(0)).cast("long").alias("n_calls"),
         F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"))
     plain = rows.where(~is_call & ~F.coalesce(is_result, F.lit(False))).select(
         "conv_id", "turn", F.lit(0).alias("step"), F.lit("message").alias("kind"), "role", "text",
         F.lit(None).cast("string").alias("call_id"), F.lit(None).cast("string").alias("tool"),
-        F.lit(None).cast("string").alias("arguments"), F.lit(None).cast("string").alias("result"),
+        F.lit(None).cast("string").alias("arguments"), F.lit(None).cast("string").alias("result"), F.lit(False).alias("duplicate"),
         F.lit("plain").alias("status"), F.lit(0).cast("long").alias("n_calls"), F.lit(0).cast("long").alias("n_results"))
 
     names = ["conv_id", "turn", "step", "kind", "call_id", "status", "n_calls", "n_results"]
@@ -197,8 +217,9 @@ def format_chats(messages: DataFrame, schemas: Mapping[str, Mapping]) -> DataFra
         for batch in batches:
             fields = [batch.column(c).to_pylist() for c in ("kind", "role", "text", "call_id", "tool", "arguments", "result")]
             done = [_record(*values, schemas) for values in zip(*fields)]
+            ids = pc.if_else(batch.column("duplicate"), pa.scalar(None, pa.string()), batch.column("call_id"))
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in names], pa.array([f for _, f in done], pa.list_(pa.string())),
+                [*[ids if c == "call_id" else batch.column(c) for c in names], pa.array([f for _, f in done], pa.list_(pa.string())),
                  pa.array([j for j, _ in done], pa.string())], [*names, "faults", "json"])
 
     return records.unionByName(plain).mapInArrow(
@@ -229,7 +250,7 @@ def as_tool_dialogue(conversations: DataFrame) -> DataFrame:
     """
     t, c = F.col("turn"), F.col("conv_id")
     is_call, is_result = F.col("role") == "assistant", (F.col("role") == "user") & (t > 0)
-    call = lambda turn: F.concat_ws(":", c.cast("string"), turn.cast("string"))
+    call = lambda turn: F.concat(c.cast("string"), F.lit(":"), turn.cast("string"))
     words = F.size(F.split("text", " "))
     tool = F.element_at(F.array(*[F.lit(n) for n in sorted(TOOLS)]), (F.pmod(t, F.lit(3)) + 1).cast("int"))
     arguments = F.when(tool == "search", F.to_json(F.struct(F.col("text").alias("query"), words.alias("limit")))) \

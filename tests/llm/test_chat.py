@@ -123,3 +123,41 @@ def test_derived_arguments_hold_the_whole_text(spark):
         assert text == source[r.conv_id, int(r.call_id.split(":")[1])]
         if call["name"] == "search":
             assert ("$.query: too long" in r.faults) == (len(text) > 60)
+
+
+def test_every_row_has_its_record(spark):
+    rows = [plain(1, 0, "user", "go"), call(1, 1, "d", '{"a":1}'), result(1, 9, "d", "r0")]
+    rows += [call(1, 2 + i % 3, "d", f'{{"a":{i // 2}}}') for i in range(20)]          # with equal rows
+    rows += [result(1, 9 + i % 2, "d", f"r{i // 2}") for i in range(20)]
+    rows += [call(1, 5, None, f'{{"a":{i}}}') for i in range(10)] + [result(1, 6, None, f"n{i}") for i in range(10)]
+    rows += [call(None, 5, "d", f'{{"a":{i}}}') for i in range(10)] + [result(None, 6, "d", f"c{i}") for i in range(10)]
+    found = chat.format_chats(frame(spark, rows), SCHEMAS).collect()
+    assert len(found) == len(rows) - 1                                                 # one linked pair
+    values = [json.loads(r.json) for r in found]
+    assert sorted(v["arguments"]["a"] for v in values if "arguments" in v) == sorted(
+        json.loads(r[6])["a"] for r in rows if r[6])
+    assert sorted(v.get("result", v.get("content")) for v in values if "result" in v or v["role"] == "tool") == sorted(
+        r[3] for r in rows if r[2] == "tool")
+    status = [r.status for r in found]
+    assert {s: status.count(s) for s in status} == {"plain": 1, "linked": 1, "duplicate": 40, "unanswered": 20, "orphan": 20}
+    for r, v in zip(found, values):
+        if r.status == "duplicate":
+            assert (r.conv_id, r.call_id, v["id"], r.n_calls, r.n_results) == (1, None, "d", 0, 0)
+    assert sum(r.n_calls for r in found) == 41 and sum(r.n_results for r in found) == 41
+
+
+def test_duplicates_follow_what_they_need(spark):
+    found = chat.format_chats(frame(spark, [
+        call(1, 1, "a"), call(1, 2, "a", after=["b"]), call(1, 3, None, after=["b", "a"]), call(1, 4, "b"), call(1, 5, "b", after=["b"]),
+        call(2, 1, "p", after=["p2"]), call(2, 2, "p2", after=["p"]), call(2, 3, "p", after=["p2"])]), SCHEMAS).collect()
+    assert sorted((r.turn, r.step, r.status) for r in found if r.conv_id == 1) == [
+        (1, 0, "unanswered"), (4, 0, "unanswered"), (4, 1, "duplicate"), (4, 1, "unanswered"), (5, 0, "duplicate")]
+    assert sorted(r.status for r in found if r.conv_id == 2) == ["duplicate,cyclic", "unanswered,cyclic", "unanswered,cyclic"]
+
+
+def test_derived_dialogue_without_conversations(spark):
+    df = spark.createDataFrame([(None, 1, "assistant", f"text {i}") for i in range(9)] + [(4, None, "assistant", f"none {i}") for i in range(3)],
+                               "conv_id bigint, turn bigint, role string, text string")
+    found = [json.loads(r.json) for r in chat.format_chats(chat.as_tool_dialogue(df), chat.TOOLS).collect()]
+    assert len(found) == 12
+    assert sorted(v["arguments"]["text"] if "arguments" in v else v["content"] for v in found) == sorted(r.text for r in df.collect())
