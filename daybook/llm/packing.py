@@ -97,12 +97,11 @@ class WordBPE:
 
     def ids(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words."""
-        if new := [w for w in words if w not in self._words]:
-            known = len(self._words)
-            self._learn(new)
-            if len(self._words) != known + len(new):      # the table started over
-                self._learn([w for w in words if w not in self._words])
-        return list(map(self._words.__getitem__, words))
+        own = list(map(self._words.get, words))
+        if new := [w for w, known in zip(words, own) if known is None]:
+            self._learn(new)                  # the table may start over: ``own`` keeps what it held
+            own = [self._words[w] if known is None else known for w, known in zip(words, own)]
+        return own
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids, each text's followed by ``end_id``, and their n + 1 offsets."""

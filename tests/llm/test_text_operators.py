@@ -179,6 +179,15 @@ def test_word_ids(words, plain_tokenizer, texts):
         assert ids[at[i]:at[i + 1]].tolist() == plain_tokenizer.encode(t, add_special_tokens=False).ids + [1]
 
 
+def test_full_table_of_words_changes_nothing(plain_tokenizer):
+    small = packing.WordBPE(public_tokenizers.path(packing.TOKENIZER), remember=500)
+    many = " ".join(f"word{i}, x{i * 7}" for i in range(200))
+    for texts in (["one two"], [f"one {many} two"], ["three one", many + " four"], ["one two"], [""]):
+        ids, at = small.encode(pa.array(texts), 1)
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [
+            plain_tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 12), min_size=1, max_size=7))
 def test_bounds_and_best_fit(lengths):
