@@ -107,7 +107,7 @@ class Limits:
     max_examples: int = 20_000     # labelled rows in the sample
     max_terms: int = 20_000
     min_ratio: float = 20.0        # log-likelihood ratio of a term
-    min_lift: float = 5.0          # toxic share of its texts against the whole
+    min_odds: float = 3.0          # odds of toxic among its texts against those among the others
     k: int = 25
     block: int = 64
     evidence: int = 3
@@ -116,6 +116,8 @@ class Limits:
 def choose_terms(counts: DataFrame, whole: str, toxic: str, n: int, n1: int, limits: Limits) -> list[bytes]:
     """Terms that mark toxic texts, strongest first, from their counts of texts.
 
+    A term marks them by its odds ratio, which doesn't depend on the share of toxic
+    texts, and by a log-likelihood ratio that is no chance.
     ``whole`` and ``toxic`` name the columns with how many texts and toxic
     texts hold the term; n and n1 are how many texts there are.
     """
@@ -129,7 +131,8 @@ def choose_terms(counts: DataFrame, whole: str, toxic: str, n: int, n1: int, lim
 
     ratio = 2 * (part(a, df * n1 / n) + part(df - a, df * n0 / n)
                  + part(n1 - a, (n - df) * n1 / n) + part(n0 - df + a, (n - df) * n0 / n))
-    marks = counts.where((a > 1) & (a * n >= limits.min_lift * n1 * df)).withColumn("ratio", ratio)
+    odds = a * (n0 - df + a) > limits.min_odds * (df - a) * (n1 - a)
+    marks = counts.where((a > 1) & odds).withColumn("ratio", ratio)
     best = marks.where(F.col("ratio") >= limits.min_ratio).orderBy(F.desc("ratio"), "term").limit(limits.max_terms)
     return [bytes(r["term"]) for r in best.select("term").collect()]
 

@@ -201,6 +201,26 @@ def test_toxicity_scores(spark):
     assert all(e.toxic == 1 and e.cosine <= 1 + 1e-9 for e in by_id[602].evidence)
 
 
+@pytest.mark.parametrize("percent", [20, 50, 80])
+def test_toxicity_at_every_base_rate(spark, percent):
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(600):
+        words = rng.choice([f"w{j}" for j in range(200)], 40).tolist()
+        toxic = i % 100 * 7 % 100 < percent
+        if toxic:
+            words[:5] = rng.choice(["vile", "foul", "rotten"], 5).tolist()
+        elif i % 9 == 0:
+            words[0] = "foul"                      # a term needn't be pure
+        rows.append((i, " ".join(words), 1, int(toxic)))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, quality int, toxic int")
+    found = toxicity.score_toxicity(table.select("doc_id", "text"), table.drop("text")).collect()
+    toxic = {r[0]: r[3] for r in rows}
+    held = [(toxic[r.doc_id], r.predicted) for r in found if r.held_out]
+    assert len(held) > 150 and sum(t == p for t, p in held) >= 0.95 * len(held)
+    assert all(r.evidence for r in found if toxic[r.doc_id])
+
+
 def test_held_out_labels_are_not_read(spark):
     docs, labels = toxic_corpus(spark, 200)
     turned = labels.selectExpr("doc_id", "quality", "IF(crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 3 = 1, 1 - toxic, toxic) AS toxic")
