@@ -136,6 +136,30 @@ def test_recall_on_the_sample_table(spark):
     assert len(found) == total and hits >= 0.9 * total
 
 
+def test_recall_with_production_parameters(spark):
+    """Brute force over the given embeddings and half as many near copies of one of them."""
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    rows = df.orderBy("vec_id").collect()
+    x = np.array([r.embedding for r in rows], float)
+    rng, n = np.random.default_rng(3), len(rows) // 2
+    x = np.vstack([x, x[0] + rng.normal(size=(n, x.shape[1])) * 1e-3 * np.linalg.norm(x[0]) / np.sqrt(x.shape[1])])
+    x = x.astype(np.float32).astype(float)
+    ids = [r.vec_id for r in rows]
+    ids += range(max(ids) + 1, max(ids) + 1 + n)
+    whole = spark.createDataFrame(list(zip(ids, x.tolist())), df.schema).repartition(4)
+    own = {}
+    for r in neighbours.nearest_neighbours(whole).collect():
+        own.setdefault(r.query_id, []).append(r.score)
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    hits = total = 0
+    for at, i in enumerate(ids):
+        if i % 50 == 0:
+            s = u @ u[at]
+            s[at] = -2
+            total, hits = total + 5, hits + sum(v >= np.sort(s)[-5] - 1e-12 for v in own[i])
+    assert hits >= 0.9 * total
+
+
 def test_search_of_odd_tables(spark):
     assert neighbours.nearest_neighbours(table(spark, [])).count() == 0
     found = neighbours.nearest_neighbours(table(spark, [[1.0, 0.0], [1.0, 0.0], [1.0, 0.0], [0.0, 1.0]], ids=[50, 3, 3, None]))
