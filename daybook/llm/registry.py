@@ -88,6 +88,18 @@ def op10_chat_format(spark, sf_dir):
     return format_chats(as_tool_dialogue(table(spark, sf_dir, "conversations")), TOOLS)
 
 
+@_query
+def op13_periodic_runs(spark, sf_dir):
+    from daybook.llm.periodic import longest_run, periodic_runs, run_lines
+
+    found = periodic_runs(table(spark, sf_dir, "documents"), plant=True).withColumn("top", longest_run())
+    top = {c: F.col(f"top.{c}") for c in ("start", "length", "period")}
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[c.alias(name) for name, c in top.items()],
+        F.expr("top.length * 1000 div top.period").alias("exponent_milli"),
+        F.sha2(run_lines(), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_line_dedup": op2_line_dedup,
@@ -99,6 +111,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_chat_format": op10_chat_format,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
