@@ -6,7 +6,7 @@ from functools import wraps
 
 from pyspark.sql import functions as F
 
-from daybook.llm import embedding_dedup, lines
+from daybook.llm import divergence, embedding_dedup, lines
 from daybook.llm.common import share_package, table
 
 
@@ -88,6 +88,18 @@ def op10_chat_format(spark, sf_dir):
     return format_chats(as_tool_dialogue(table(spark, sf_dir, "conversations")), TOOLS)
 
 
+@_query
+def op11_source_divergence(spark, sf_dir):
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op12_quality_classifier(spark, sf_dir):
+    from daybook.llm.quality import score_quality
+
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_query
 def op13_periodic_runs(spark, sf_dir):
     from daybook.llm.periodic import longest_run, periodic_runs, run_lines
@@ -111,10 +123,13 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_chat_format": op10_chat_format,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_quality_classifier": op12_quality_classifier,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
     "op2_line_dedup": lines.ORACLE,
     "op7_embedding_near_dedup": embedding_dedup.ORACLE,
+    "op11_source_divergence": divergence.ORACLE,
 }
