@@ -170,6 +170,12 @@ def q_refund_links(spark, sf):
     return links.select(*[(_ntz(x) if x == "ts" else F.col(x)) for x in links.columns])
 
 
+def q_refund_witnesses(spark, sf):
+    use_utc(spark)
+    found = Q.refund_witnesses(refund_events(spark, sf))
+    return found.select(*[(_ntz(x) if x.endswith("ts") else F.col(x)) for x in found.columns])
+
+
 def q_refund_integrity(spark, sf):
     use_utc(spark)
     return Q.refund_integrity(refund_events(spark, sf))
@@ -265,6 +271,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_dirty_profile": q_dq_dirty_profile,
     "dq_purchase_stats": q_dq_purchase_stats,
     "refund_links": q_refund_links,
+    "refund_witnesses": q_refund_witnesses,
     "refund_integrity": q_refund_integrity,
     "csv_clean_counts": q_csv_clean_counts,
     "csv_clean_events": q_csv_clean_events,
@@ -550,6 +557,18 @@ _ORACLE: dict[str, str] = {
       FROM v""",
     "refund_links": f"WITH {_F2} SELECT event_id, user_id, session_id, amount, ts, "
                     "CAST(copies AS BIGINT) AS copies, status FROM links",
+    "refund_witnesses": f"""WITH {_F2},
+      w AS (
+        SELECT ref.event_id, pur.event_id AS purchase_id, pur.ts AS purchase_ts, pur.amount AS purchase_amount,
+               row_number() OVER (PARTITION BY ref.event_id ORDER BY pur.ts DESC, pur.event_id) AS rn
+        FROM ref JOIN pur ON pur.user_id = ref.user_id AND pur.session_id = ref.session_id
+         AND abs(ref.amount + pur.amount) <= 1e-4 + 1e-5 * abs(pur.amount)
+         AND pur.ts < ref.ts AND pur.ts >= ref.ts - INTERVAL 30 DAY
+      )
+      SELECT ref.event_id, user_id, session_id, amount, ref.ts, CAST(copies AS BIGINT) AS copies,
+             purchase_id, purchase_ts, purchase_amount,
+             CAST(floor(epoch_us(ref.ts - purchase_ts) / 1000000) AS BIGINT) AS lag_seconds
+      FROM ref LEFT JOIN w ON w.event_id = ref.event_id AND rn = 1""",
     "refund_integrity": f"WITH {_F2} SELECT status, CAST(sum(copies) AS BIGINT) AS refunds "
                         "FROM links GROUP BY status",
     "csv_clean_counts": f"WITH {_F1} {_COUNTS}",

@@ -23,6 +23,7 @@ from daybook.functions.expressions import (
     round_half_even_sql,
     utc_date_sql,
 )
+from daybook.operators.asof import latest_before
 from daybook.schema import AMOUNT_ATOL, AMOUNT_RTOL, SENTINEL_YEAR, VALID_EVENT_TYPES
 from daybook.session import checkpoint_root, delete_folder
 
@@ -192,6 +193,16 @@ def _bucket(scaled: Column) -> Column:
     return F.floor(scaled / F.lit(_AMOUNT_BUCKET))
 
 
+def _dated_events(raw: DataFrame) -> DataFrame:
+    """The columns that refund checks read, of rows with a timestamp before the sentinel year."""
+    ts = parse_utc_timestamp_sql("ts", raw.schema["ts"].dataType)
+    amount = F.col("amount").cast(T.DoubleType())
+    finite = F.when(~F.isnan(amount) & (F.abs(amount) < F.lit(float("inf"))), amount)
+    return (raw.select("event_id", "user_id", "session_id", "event_type",
+                       finite.alias("amount"), F.expr(ts).alias("ts"))
+            .where(F.col("ts").isNotNull() & (F.expr(f"year({utc_date_sql('ts')})") < SENTINEL_YEAR)))
+
+
 def refund_links(raw: DataFrame, max_days: int = MAX_REFUND_DAYS) -> DataFrame:
     """Classify every refund against the purchases it could belong to.
 
@@ -215,12 +226,7 @@ def refund_links(raw: DataFrame, max_days: int = MAX_REFUND_DAYS) -> DataFrame:
     hot session spreads over its amounts and windows; a key that is hot
     still has one purchase row, so it is a plain skewed join side.
     """
-    ts = parse_utc_timestamp_sql("ts", raw.schema["ts"].dataType)
-    amount = F.col("amount").cast(T.DoubleType())
-    finite = F.when(~F.isnan(amount) & (F.abs(amount) < F.lit(float("inf"))), amount)
-    events = (raw.select("event_id", "user_id", "session_id", "event_type",
-                         finite.alias("amount"), F.expr(ts).alias("ts"))
-              .where(F.col("ts").isNotNull() & (F.expr(f"year({utc_date_sql('ts')})") < SENTINEL_YEAR)))
+    events = _dated_events(raw)
     pair = ["user_id", "session_id"]
     keyed = F.col("user_id").isNotNull() & F.col("session_id").isNotNull()
     span = max_days * 86_400_000_000
@@ -269,3 +275,51 @@ def refund_integrity(raw: DataFrame, max_days: int = MAX_REFUND_DAYS) -> DataFra
     """(status, refunds): how many refunds fall in each class."""
     return (refund_links(raw, max_days).groupBy("status")
             .agg(F.sum("copies").cast("long").alias("refunds")))
+
+
+def refund_witnesses(raw: DataFrame, max_days: int = MAX_REFUND_DAYS, parts: int | None = None,
+                     stored: list[str] | None = None) -> DataFrame:
+    """Which purchase each refund belongs to: its latest earlier one within ``max_days`` days.
+
+    One row per distinct refund row, with its multiplicity ``copies``:
+    ``purchase_id``, ``purchase_ts`` and ``purchase_amount`` of the latest
+    purchase of the same user and session whose amount is isclose to -refund and
+    whose time is earlier, by ``max_days`` days at most (equal times: the smaller
+    id), and ``lag_seconds`` between them; null where there is none, which is
+    every refund that ``refund_links`` doesn't call ``linked``.  Rows are read as
+    there.
+
+    A refund first meets the distinct amounts of its session near its own, then
+    looks up each of them by time (``asof.latest_before``), so it is never
+    paired with a session's purchases, and a session with one amount spreads
+    over its times.  Amounts are money: few distinct ones are within a tolerance.
+    ``parts`` and ``stored`` are those of ``latest_before``.
+    """
+    events = _dated_events(raw)
+    pair = ["user_id", "session_id"]
+    keyed = reduce(and_, [F.col(c).isNotNull() for c in [*pair, "amount"]])
+    purchases = (events.where((F.col("event_type") == "purchase") & keyed)
+                 .select(*pair, F.col("amount").alias("p_amount"), "ts", "event_id"))
+    key = ["event_id", *pair, "amount", "ts"]
+    refunds = (events.where(F.col("event_type") == "refund")
+               .groupBy(*key).agg(F.count(F.lit(1)).alias("copies")))
+
+    amounts = purchases.select(*pair, _bucket(_scaled(F.col("p_amount"))).alias("bucket"), "p_amount").distinct()
+    target = _scaled(-F.col("amount"))
+    buckets = F.array_distinct(F.array(_bucket(target - _AMOUNT_STEP), _bucket(target + _AMOUNT_STEP)))
+    probes = (refunds.where(keyed).select("*", F.explode(buckets).alias("bucket"))
+              .join(amounts, [*pair, "bucket"]).where(amounts_close(F.col("amount"), -F.col("p_amount")))
+              .select(*key, "copies", "p_amount"))
+    recent = F.unix_micros("purchase_ts") >= F.unix_micros("ts") - F.lit(max_days * 86_400_000_000)
+    found = latest_before(probes, purchases, [*pair, "p_amount"], "ts", "event_id",
+                          {"event_id": "purchase_id", "ts": "purchase_ts"}, recent, parts, stored)
+    none = [F.lit(None).cast(found.schema[c].dataType).alias(c) for c in ("p_amount", "purchase_id", "purchase_ts")]
+    # every refund once more, so that those without a probe stay
+    both = found.unionByName(refunds.select("*", *none))
+    order = F.when(F.col("purchase_ts").isNotNull(), F.struct(
+        F.col("purchase_ts"), F.col("purchase_id").isNotNull(), -F.col("purchase_id").cast("decimal(20, 0)"), F.col("p_amount")))
+    best = both.groupBy(*key).agg(F.max("copies").alias("copies"),
+                                  F.max_by(F.struct("purchase_id", "purchase_ts", "p_amount"), order).alias("w"))
+    lag = F.floor((F.unix_micros("w.purchase_ts") - F.unix_micros("ts")) / F.lit(-1_000_000))
+    return best.select(*key, "copies", "w.purchase_id", "w.purchase_ts", F.col("w.p_amount").alias("purchase_amount"),
+                       lag.alias("lag_seconds"))
