@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from daybook.operators import clean as C
 from daybook.operators import metrics as M
 from daybook.operators import quality as Q
+from daybook.operators import quantiles as K
 from daybook.plans.report import build_report, document_values
 from daybook.plans.snapshot import (
     read_marker,
@@ -164,6 +165,38 @@ def q_dq_purchase_stats(spark, sf):
     return Q.purchase_amount_stats(_events(spark, sf), amount_col="value")
 
 
+# The quantiles of the sketch query, and how many rank errors (99 % each) its gate allows.
+_PROBABILITIES = (0.01, 0.25, 0.5, 0.75, 0.99)
+_SLACK = 3
+
+
+def q_dq_purchase_quantiles(spark, sf):
+    """Daily sketches of purchase amounts, and all days' merged from them, held against true ranks.
+
+    A group of at most K amounts is exact, so its values are returned, too.
+    """
+    bought = _events(spark, sf).where("event_type = 'purchase'").select(F.to_date("ts").alias("day"), "value")
+    days = K.build_sketches(bought, "value", ["day"])
+    per_day = K.sketch_quantiles(days, _PROBABILITIES, ["day"])
+    whole = K.sketch_quantiles(K.merge_sketches(days), _PROBABILITIES)
+    per_day = K.rank_distances(bought, "value", per_day, ["day"])
+    whole = K.rank_distances(bought, "value", whole).select(F.lit(None).cast("date").alias("day"), "*")
+    found = per_day.unionByName(whole)
+    return found.select("day", "p", F.col("n").alias("purchases"), F.when(F.col("n") <= K.K, F.col("value")).alias("value"),
+                        (F.col("distance") <= _SLACK * K.rank_error()).alias("within"))
+
+
+def q_dq_purchase_sketch(spark, sf):
+    """The one-pass form of dq_purchase_stats; the median's rank is held against the data."""
+    raw = _events(spark, sf)
+    row = Q.purchase_amount_sketch(raw, amount_col="value")
+    found = row.select(F.col("purchases").alias("n"), F.lit(0.5).alias("p"), F.col("median_amount").alias("value"),
+                       "purchases", "min_amount", "mean_amount", "max_amount")
+    checked = K.rank_distances(raw.where("event_type = 'purchase'"), "value", found)
+    return checked.select("purchases", "min_amount", "mean_amount", "max_amount",
+                          (F.col("distance") <= _SLACK * K.rank_error()).alias("median_within"))
+
+
 def q_refund_links(spark, sf):
     use_utc(spark)
     links = Q.refund_links(refund_events(spark, sf))
@@ -270,6 +303,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_event_types": q_dq_event_types,
     "dq_dirty_profile": q_dq_dirty_profile,
     "dq_purchase_stats": q_dq_purchase_stats,
+    "dq_purchase_quantiles": q_dq_purchase_quantiles,
+    "dq_purchase_sketch": q_dq_purchase_sketch,
     "refund_links": q_refund_links,
     "refund_witnesses": q_refund_witnesses,
     "refund_integrity": q_refund_integrity,
@@ -555,6 +590,19 @@ _ORACLE: dict[str, str] = {
              (SELECT avg(value) FROM ranked WHERE rk IN ((n - 1) // 2, n // 2)) AS median_amount,
              round(avg(value), 2) AS mean_amount, max(value) AS max_amount
       FROM v""",
+    "dq_purchase_quantiles": f"""WITH
+      v AS (SELECT CAST(ts AS DATE) AS day, value FROM events
+            WHERE event_type = 'purchase' AND value IS NOT NULL AND NOT isnan(value)),
+      g AS (SELECT day, value FROM v UNION ALL SELECT NULL, value FROM v),
+      r AS (SELECT day, value, row_number() OVER (PARTITION BY day ORDER BY value) AS rk,
+                   count(*) OVER (PARTITION BY day) AS n FROM g),
+      q AS (SELECT unnest([{", ".join(map(str, _PROBABILITIES))}]) AS p)
+      SELECT day, CAST(p AS DOUBLE) AS p, CAST(n AS BIGINT) AS purchases,
+             CASE WHEN n <= {K.K} THEN value END AS value, true AS within
+      FROM r, q WHERE rk = greatest(1, ceil(p * n - 1e-9))""",
+    "dq_purchase_sketch": """SELECT CAST(count(*) AS BIGINT) AS purchases, min(value) AS min_amount,
+        round(avg(value), 2) AS mean_amount, max(value) AS max_amount, true AS median_within
+      FROM events WHERE event_type = 'purchase'""",
     "refund_links": f"WITH {_F2} SELECT event_id, user_id, session_id, amount, ts, "
                     "CAST(copies AS BIGINT) AS copies, status FROM links",
     "refund_witnesses": f"""WITH {_F2},
