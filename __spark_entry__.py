@@ -17,12 +17,13 @@ from daybook.operators import clean as C
 from daybook.operators import metrics as M
 from daybook.operators import quality as Q
 from daybook.operators import quantiles as K
+from daybook.plans.incremental import ReportHistory, list_files
 from daybook.plans.report import build_report, document_values
 from daybook.plans.snapshot import (
+    publish,
     read_marker,
     snapshot_report,
     source_fingerprint,
-    write_marker,
 )
 from daybook.session import checkpoint_root, use_utc
 from daybook.sources.files import read_events_csv
@@ -242,25 +243,44 @@ def q_report_snapshot_sections(spark, sf):
     return document_values(report.document())
 
 
+def q_report_incremental_sections(spark, sf):
+    """The report over F1's CSV files as they arrive, the last in order first.
+
+    Each step reads its new files only; earlier copies of known events come with
+    later steps, so first copies change places.
+    """
+    files = sorted(r["path"] for r in list_files(spark, _f1_csv(spark, sf, files=4)).collect())
+    history = ReportHistory(spark, f"{checkpoint_root(spark)}/daybook/histories/{uuid.uuid4().hex}")
+    known = len(files)
+    for first in (len(files) // 2, 1, 0):
+        report, done = history.update(files[first:])
+        if done.files_read != known - first:
+            raise RuntimeError(f"{done.files_read} files read, {known - first} are new")
+        known = first
+    return document_values(report.document())
+
+
 # Version of the CSV fixture's format (write_events_csv); part of its key.
 _CSV_FORMAT = 2
 
 
-def _f1_csv(spark, sf) -> str:
+def _f1_csv(spark, sf, files: int | None = None) -> str:
     """F1 as header CSV (S6) in the shared folder, written once per input.
 
-    The folder is named by the input fingerprint (files and plan); a marker
-    written last makes a half-written copy invisible.
+    The folder is named by the input fingerprint (files and plan) and the
+    number of ``files``, if given; a half-written copy stays invisible until it
+    is published.
     """
     f1 = _f1(spark, sf)
     key = source_fingerprint(f1, _f1_tables(sf))
-    base = f"{checkpoint_root(spark)}/daybook/fixtures/f1_csv_v{_CSV_FORMAT}_{key}"
+    base = f"{checkpoint_root(spark)}/daybook/fixtures/f1_csv_v{_CSV_FORMAT}_{files or 'any'}_{key}"
     folder = read_marker(spark, base)
     if folder is None:
         folder = f"{base}/{uuid.uuid4().hex}"
         # in input order, so that files and lines follow it, too
-        write_events_csv(f1.repartitionByRange("ord").sortWithinPartitions("ord").drop("ord"), folder)
-        write_marker(spark, base, folder)
+        dealt = f1.repartitionByRange(files, "ord") if files else f1.repartitionByRange("ord")
+        write_events_csv(dealt.sortWithinPartitions("ord").drop("ord"), folder)
+        folder = publish(spark, base, folder)
     return folder
 
 
@@ -315,6 +335,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_snapshot": q_report_snapshot,
     "report_sections": q_report_sections,
     "report_snapshot_sections": q_report_snapshot_sections,
+    "report_incremental_sections": q_report_incremental_sections,
 }
 
 
@@ -624,6 +645,7 @@ _ORACLE: dict[str, str] = {
     "csv_split_clean_events": f"WITH {_F1} {_CLEAN_ROWS}",
     "report_sections": f"WITH {_F1}, {_SECTIONS}",
     "report_snapshot_sections": f"WITH {_F1}, {_SECTIONS}",
+    "report_incremental_sections": f"WITH {_F1}, {_SECTIONS}",
 }
 
 

@@ -44,12 +44,12 @@ def main(argv: list[str] | None = None) -> int:
     from daybook.plans.report import build_report
     from daybook.session import get_session
     from daybook.sources.files import read_events
-    from daybook.sources.sinks import save_report
+    from daybook.sources.sinks import save_document
 
     spark = get_session(args.master)
     try:
         report = build_report(read_events(spark, args.events, args.format))
-        doc = report.to_dict()
+        save_document(report.document(), args.out)
         if args.tables:
             report.write_tables(args.tables)
         report.release()
@@ -66,7 +66,6 @@ def main(argv: list[str] | None = None) -> int:
             raise
         log.error("malformed input: %s", str(exc).splitlines()[0])
         return 1
-    save_report(doc, args.out)
     log.info("report written to %s", args.out)
     return 0
 

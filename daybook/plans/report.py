@@ -296,8 +296,22 @@ def report_rollup(raw: DataFrame) -> DataFrame:
     does): Spark 4.1 does not match a *cached* Expand plan when one query
     reads it twice, which would silently rescan the events.
     """
-    events = per_event(tag_rules(raw), METRIC_COLUMNS)
-    return raw.sparkSession.sql(_ROLLUP_SQL, events=events)
+    return rollup_of_events(per_event(tag_rules(raw), METRIC_COLUMNS))
+
+
+def rollup_of_events(events: DataFrame) -> DataFrame:
+    """The rollup of a per-event table (``clean.per_event`` with ``METRIC_COLUMNS``)."""
+    return events.sparkSession.sql(_ROLLUP_SQL, events=events)
+
+
+def build_problem(report: Report) -> str | None:
+    """What stands against a report over its counts: no clean event, or missing ids."""
+    row = report.counts_row()
+    if row is None or not row["valid_rows"]:
+        return "No valid rows: the cleaning rules drop every event, so there is nothing to report"
+    if row["null_id_rows"]:
+        return f"{row['null_id_rows']} rows miss an event_id, user_id or session_id"
+    return None
 
 
 def build_report(raw: DataFrame, top_n: int = TOP_N, threshold: float = ANOMALY_Z,
@@ -329,12 +343,7 @@ def build_report(raw: DataFrame, top_n: int = TOP_N, threshold: float = ANOMALY_
     report = report_from_rollup(stored, top_n, threshold, offset_days)
     report._scratch = scratch
     if check:
-        row = report.counts_row()
-        problem = None
-        if row is None or not row["valid_rows"]:
-            problem = "No valid rows remain after cleaning — cannot build report."
-        elif row["null_id_rows"]:
-            problem = f"{row['null_id_rows']} rows miss an event_id, user_id or session_id"
+        problem = build_problem(report)
         if problem:
             report.release()
             raise ValueError(problem)

@@ -21,15 +21,15 @@ from __future__ import annotations
 import hashlib
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.plans.report import ROLLUP_FORMAT, Report, build_report, report_from_rollup
 from daybook.schema import ANOMALY_Z, RETENTION_DAY_OFFSET, TOP_N
 from daybook.session import checkpoint_root, delete_folder
+from daybook.sources.commit import put_if_absent, read_text
 
-MARKER = "COMPLETE"
+MARKER = "COMMIT"
 
 
 def source_fingerprint(raw: DataFrame, paths: str | list[str]) -> str:
@@ -54,18 +54,22 @@ def source_fingerprint(raw: DataFrame, paths: str | list[str]) -> str:
 
 
 def read_marker(spark, base: str) -> str | None:
-    """The folder that ``write_marker`` named for ``base``, if it has."""
-    try:
-        row = spark.read.text(f"{base}/{MARKER}").first()
-    except AnalysisException:
-        return None
-    return row[0] if row else None
+    """The folder that is in force for ``base``, if there is one."""
+    return read_text(spark, f"{base}/{MARKER}")
 
 
-def write_marker(spark, base: str, folder: str) -> None:
-    """Name ``folder`` as the complete data of ``base``; written after the data."""
-    spark.createDataFrame([(folder,)], "folder string").write.mode("overwrite").text(
-        f"{base}/{MARKER}")
+def publish(spark, base: str, folder: str) -> str:
+    """Puts ``folder`` into force for ``base``; returns the folder that is.
+
+    Of several builders one wins.  The others drop what they built and use the
+    winner's, so a folder in force is never replaced and no reader sees a gap.
+    """
+    if not put_if_absent(spark, f"{base}/{MARKER}", folder):
+        winner = read_marker(spark, base)
+        if winner != folder:
+            delete_folder(spark, folder)
+        return winner
+    return folder
 
 
 def snapshot_report(raw: DataFrame, paths: str | list[str], root: str | None = None,
@@ -79,9 +83,9 @@ def snapshot_report(raw: DataFrame, paths: str | list[str], root: str | None = N
     the report's rollup table (counts, days, countries, user-days); the
     sections are re-derived from it, which costs no event scan.
 
-    Every build writes a folder of its own and then names it in the marker,
-    so builders never overwrite what a reader may hold; ``expire_snapshots``
-    removes what no marker names.
+    Every build writes a folder of its own and then publishes it, so builders
+    never overwrite what a reader may hold; ``expire_snapshots`` removes what
+    no marker names.
     """
     spark = raw.sparkSession
     root = (root or f"{checkpoint_root(spark)}/daybook/report_snapshots").rstrip("/")
@@ -91,7 +95,7 @@ def snapshot_report(raw: DataFrame, paths: str | list[str], root: str | None = N
     if not reused:
         folder = f"{base}/{uuid.uuid4().hex}"
         build_report(raw, top_n=top_n, threshold=threshold, offset_days=offset_days, store=folder)
-        write_marker(spark, base, folder)
+        folder = publish(spark, base, folder)
     report = report_from_rollup(spark.read.parquet(folder), top_n, threshold, offset_days)
     return report, reused
 
@@ -111,7 +115,7 @@ def expire_snapshots(spark, root: str, keep: int = 1) -> list[str]:
     for _, base in bases[:keep]:
         named = read_marker(spark, base)
         builds = [s.getPath().toString() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(base))
-                  if s.isDirectory() and s.getPath().getName() != MARKER]
+                  if s.isDirectory()]
         gone += [b for b in builds if named is None or b.rsplit("/", 1)[1] != named.rsplit("/", 1)[1]]
     for folder in gone:
         delete_folder(spark, folder)

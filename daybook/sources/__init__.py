@@ -6,13 +6,13 @@ from daybook.sources.files import (
     read_events_parquet,
     with_file_order,
 )
-from daybook.sources.sinks import save_report, write_events_csv, write_report_json
+from daybook.sources.sinks import save_document, write_events_csv, write_report_json
 
 __all__ = [
     "read_events",
     "read_events_csv",
     "read_events_parquet",
-    "save_report",
+    "save_document",
     "with_file_order",
     "write_events_csv",
     "write_report_json",

@@ -67,7 +67,8 @@ def test_one_shuffle_more_or_less_whatever_the_splits(spark):
     assert len(exchanges) == 2 and sum(e.startswith("event_id") for e in exchanges) == 1
 
 
-STORING = {"report_document", "report_snapshot", "report_sections", "report_snapshot_sections", "dq_purchase_stats"}
+STORING = {"report_document", "report_snapshot", "report_sections", "report_snapshot_sections",
+           "report_incremental_sections", "dq_purchase_stats", "refund_witnesses"}
 
 
 @pytest.mark.parametrize("name", sorted(set(E._QUERIES) - STORING - {n for n in E._QUERIES if n.startswith("csv")}))

@@ -16,7 +16,7 @@ from daybook.plans.report import build_report
 from daybook.plans.snapshot import snapshot_report
 from daybook.sources.files import read_events_csv
 from daybook.sources.fixtures import dirty_events
-from daybook.sources.sinks import save_report, write_events_csv, write_report_json
+from daybook.sources.sinks import save_document, write_events_csv, write_report_json
 
 SECTIONS = ["range", "counts", "dau", "funnel", "revenue_daily", "top_countries",
             "anomalies", "retention_d1"]
@@ -67,7 +67,7 @@ def test_document_matches_individual_operators(spark, f1_report):
 
 def test_report_sinks(spark, f1_report, tmp_path):
     report, doc = f1_report
-    save_report(doc, str(tmp_path / "out" / "report.json"))
+    save_document(report.document(), str(tmp_path / "out" / "report.json"))
     assert json.loads((tmp_path / "out" / "report.json").read_text()) == doc
     write_report_json(report.document(), str(tmp_path / "doc"))
     assert json.loads(spark.read.text(str(tmp_path / "doc")).first()[0]) == doc
