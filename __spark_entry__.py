@@ -26,7 +26,7 @@ from daybook.plans.snapshot import (
     source_fingerprint,
 )
 from daybook.session import checkpoint_root, use_utc
-from daybook.sources.files import read_events_csv
+from daybook.sources.files import quarantine, read_events, read_events_csv
 from daybook.sources.fixtures import (
     dirty_events,
     order_activity,
@@ -260,30 +260,89 @@ def q_report_incremental_sections(spark, sf):
     return document_values(report.document())
 
 
-# Version of the CSV fixture's format (write_events_csv); part of its key.
-_CSV_FORMAT = 2
+# Version of the stored inputs' formats; part of their keys.
+_CSV_FORMAT = 3
 
 
-def _f1_csv(spark, sf, files: int | None = None) -> str:
-    """F1 as header CSV (S6) in the shared folder, written once per input.
+def _stored_input(spark, sf, name: str, write: Callable[[DataFrame, str], None]) -> str:
+    """A folder made from F1 by ``write`` in the shared folder, once per input.
 
-    The folder is named by the input fingerprint (files and plan) and the
-    number of ``files``, if given; a half-written copy stays invisible until it
-    is published.
+    It is named by the input fingerprint (files and plan); a half-written one
+    stays invisible until it is published.
     """
     f1 = _f1(spark, sf)
     key = source_fingerprint(f1, _f1_tables(sf))
-    base = f"{checkpoint_root(spark)}/daybook/fixtures/f1_csv_v{_CSV_FORMAT}_{files or 'any'}_{key}"
+    base = f"{checkpoint_root(spark)}/daybook/fixtures/{name}_v{_CSV_FORMAT}_{key}"
     folder = read_marker(spark, base)
     if folder is None:
         folder = f"{base}/{uuid.uuid4().hex}"
-        # in input order, so that files and lines follow it, too
-        dealt = f1.repartitionByRange(files, "ord") if files else f1.repartitionByRange("ord")
-        write_events_csv(dealt.sortWithinPartitions("ord").drop("ord"), folder)
+        write(f1, folder)
         folder = publish(spark, base, folder)
     return folder
 
 
+def _in_order(f1: DataFrame, files: int | None = None) -> DataFrame:
+    """Rows dealt over files in input order, so that files and lines follow it."""
+    dealt = f1.repartitionByRange(files, "ord") if files else f1.repartitionByRange("ord")
+    return dealt.sortWithinPartitions("ord").drop("ord")
+
+
+def _f1_csv(spark, sf, files: int | None = None) -> str:
+    """F1 as header CSV (S6), in ``files`` files if given."""
+    return _stored_input(spark, sf, f"f1_csv_{files or 'any'}", lambda f1, folder: write_events_csv(_in_order(f1, files), folder))
+
+
+def _f1_tokens(f1: DataFrame) -> DataFrame:
+    """F1 with missing amounts spelt out, and a country that is spelt like them."""
+    amount, country = F.col("amount").cast("string"), F.col("country")
+    return (f1.withColumn("amount", F.when(F.col("ord") % 13 == 0, "NA").when(F.col("ord") % 17 == 0, "null").otherwise(amount))
+            .withColumn("country", F.when(F.col("ord") % 19 == 0, "NA").otherwise(country)))
+
+
+def q_csv_null_tokens_events(spark, sf):
+    folder = _stored_input(spark, sf, "f1_tokens", lambda f1, to: write_events_csv(_in_order(_f1_tokens(f1)), to))
+    c = C.clean_events(read_events_csv(spark, folder))
+    return c.select(*[(_ntz(x) if x == "ts" else F.col(x)) for x in c.columns])
+
+
+def _write_broken_lines(f1: DataFrame, folder: str) -> None:
+    """F1 as CSV lines, some with a wrong number, some with a field too few or too many."""
+    n = F.col("ord")
+    fields = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in f1.columns if c != "ord"}
+    fields["amount"] = F.when(n % 23 == 0, F.concat(F.lit("x"), fields["amount"])).otherwise(fields["amount"])
+    fields["session_id"] = F.when(n % 29 == 0, F.lit("oops")).otherwise(fields["session_id"])
+    names = list(fields)
+    line = (F.when(n % 31 == 0, F.concat_ws(",", *[fields[c] for c in names[:5]]))
+            .when(n % 37 == 0, F.concat_ws(",", *fields.values(), F.lit("more"))).otherwise(F.concat_ws(",", *fields.values())))
+    lines = f1.select("ord", line.alias(",".join(names)))
+    # one column whose name is the header; a separator that doesn't occur
+    (_in_order(lines).write.option("header", True).option("sep", "\u0001").option("quote", "\u0000")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder))
+
+
+def _broken_csv(spark, sf) -> DataFrame:
+    return read_events_csv(spark, _stored_input(spark, sf, "f1_broken", _write_broken_lines), failfast=False)
+
+
+def q_csv_quarantine_counts(spark, sf):
+    counts = C.clean_counts(_broken_csv(spark, sf))
+    return counts.select("raw_rows", "valid_rows", "dropped_rows", "malformed_rows", "breakdown.*")
+
+
+def q_csv_quarantine_rows(spark, sf):
+    rows = quarantine(_broken_csv(spark, sf))
+    return rows.select(F.split("line", ",")[0].cast("long").alias("event_id"), "malformed")
+
+
+def q_union_in_order_events(spark, sf):
+    """Every third event once more with other values, as CSV, listed before the parquet input: its copies come first."""
+    first = _stored_input(spark, sf, "f1_thirds", lambda f1, to: write_events_csv(_in_order(
+        f1.where("ord % 3 = 0").withColumn("user_id", F.col("user_id") + 1).withColumn("country", F.lit(" zz"))), to))
+    whole = _stored_input(spark, sf, "f1_parquet", lambda f1, to: _in_order(f1, 3).write.parquet(f"{to}/a.parquet"))
+    c = C.clean_events(read_events(spark, [first, f"{whole}/a.parquet"]))
+    return c.select(*[(_ntz(x) if x == "ts" else F.col(x)) for x in c.columns])
+
+
 def q_csv_clean_counts(spark, sf):
     return _flat_counts(C.clean_counts(read_events_csv(spark, _f1_csv(spark, sf))))
 
@@ -331,6 +390,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_clean_counts": q_csv_clean_counts,
     "csv_clean_events": q_csv_clean_events,
     "csv_split_clean_events": q_csv_split_clean_events,
+    "csv_null_tokens_events": q_csv_null_tokens_events,
+    "csv_quarantine_counts": q_csv_quarantine_counts,
+    "csv_quarantine_rows": q_csv_quarantine_rows,
+    "union_in_order_events": q_union_in_order_events,
     "report_document": q_report_document,
     "report_snapshot": q_report_snapshot,
     "report_sections": q_report_sections,
@@ -470,6 +533,10 @@ FROM tagged"""
 
 _CLEAN_ROWS = "SELECT event_id, user_id, ts, date, event_type, amount, country, device, session_id FROM clean"
 
+# The first thing that doesn't fit in a broken line.
+_BROKEN = """CASE WHEN ord % 31 = 0 OR ord % 37 = 0 THEN 'columns' WHEN ord % 23 = 0 THEN 'amount'
+                  WHEN ord % 29 = 0 THEN 'session_id' END"""
+
 _RETENTION = """
 c AS (
   SELECT user_id, date, min(date) OVER (PARTITION BY user_id) AS cohort_date FROM pairs
@@ -643,6 +710,33 @@ _ORACLE: dict[str, str] = {
     "csv_clean_counts": f"WITH {_F1} {_COUNTS}",
     "csv_clean_events": f"WITH {_F1} {_CLEAN_ROWS}",
     "csv_split_clean_events": f"WITH {_F1} {_CLEAN_ROWS}",
+    "csv_null_tokens_events": f"""WITH {_F1}
+      SELECT event_id, user_id, ts, date, event_type,
+             CASE WHEN event_type IN ('purchase', 'refund') AND (ord % 13 = 0 OR ord % 17 = 0) THEN NULL ELSE amount END AS amount,
+             CASE WHEN ord % 19 = 0 THEN 'NA' ELSE country END AS country, device, session_id
+      FROM firsts WHERE rn = 1""",
+    "csv_quarantine_counts": f"""WITH {_F1},
+      s AS (SELECT *, ({_BROKEN}) IS NOT NULL AS apart FROM tagged),
+      v AS (SELECT count(DISTINCT event_id) AS n FROM s WHERE rule IS NULL AND NOT apart)
+      SELECT CAST(count(*) AS BIGINT) AS raw_rows, CAST((SELECT n FROM v) AS BIGINT) AS valid_rows,
+             CAST(count(*) FILTER (WHERE NOT apart) - (SELECT n FROM v) AS BIGINT) AS dropped_rows,
+             CAST(count(*) FILTER (WHERE apart) AS BIGINT) AS malformed_rows,
+             CAST(count(*) FILTER (WHERE NOT apart AND rule = 'invalid_ts') AS BIGINT) AS invalid_ts,
+             CAST(count(*) FILTER (WHERE NOT apart AND rule = 'invalid_etype') AS BIGINT) AS invalid_etype,
+             CAST(count(*) FILTER (WHERE NOT apart AND rule IS NULL) - (SELECT n FROM v) AS BIGINT) AS duplicate_event_id
+      FROM s""",
+    "csv_quarantine_rows": f"""WITH {_F1}
+      SELECT event_id, {_BROKEN} AS malformed FROM tagged WHERE ({_BROKEN}) IS NOT NULL""",
+    "union_in_order_events": f"""WITH {_F1},
+      u AS (
+        SELECT 0 AS src, ord, event_id, user_id + 1 AS user_id, ts, date, event_type, amount, 'ZZ' AS country, device, session_id
+        FROM tagged WHERE rule IS NULL AND ord % 3 = 0
+        UNION ALL
+        SELECT 1, ord, event_id, user_id, ts, date, event_type, amount, country, device, session_id
+        FROM tagged WHERE rule IS NULL
+      ),
+      f AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY src, ord) AS rn FROM u)
+      SELECT event_id, user_id, ts, date, event_type, amount, country, device, session_id FROM f WHERE rn = 1""",
     "report_sections": f"WITH {_F1}, {_SECTIONS}",
     "report_snapshot_sections": f"WITH {_F1}, {_SECTIONS}",
     "report_incremental_sections": f"WITH {_F1}, {_SECTIONS}",

@@ -38,6 +38,7 @@ from daybook.schema import (
     RULE_DUPLICATE,
     RULE_INVALID_ETYPE,
     RULE_INVALID_TS,
+    RULE_MALFORMED,
     SENTINEL_YEAR,
     VALID_EVENT_TYPES,
 )
@@ -73,11 +74,13 @@ def tag_rules(raw: DataFrame) -> DataFrame:
     (``invalid_ts`` before ``invalid_etype``; attribution is sequential).
     NaN amounts become null (pandas' missing value, skipped by sums); a null
     ``event_type`` is not in the allowlist (``coalesce`` because
-    ``x IN (...)`` is null for a null x).
+    ``x IN (...)`` is null for a null x).  Rows that a scan kept apart as
+    malformed (a column ``malformed`` that isn't null) are dropped before all else.
     """
     ts = parse_utc_timestamp_sql("ts", raw.schema["ts"].dataType)
     day = utc_date_sql("_ts")
-    rule = (f"CASE WHEN _ts IS NULL OR year({day}) >= {SENTINEL_YEAR} "
+    apart = f"WHEN {RULE_MALFORMED} IS NOT NULL THEN {sql_text(RULE_MALFORMED)} " if RULE_MALFORMED in raw.columns else ""
+    rule = (f"CASE {apart}WHEN _ts IS NULL OR year({day}) >= {SENTINEL_YEAR} "
             f"THEN {sql_text(RULE_INVALID_TS)} "
             f"WHEN NOT coalesce(event_type IN ({_in(VALID_EVENT_TYPES)}), false) "
             f"THEN {sql_text(RULE_INVALID_ETYPE)} END")
@@ -97,7 +100,7 @@ def tag_rules(raw: DataFrame) -> DataFrame:
     )
 
 
-def per_event(tagged: DataFrame, columns: tuple[str, ...] = _PAYLOAD) -> DataFrame:
+def per_event(tagged: DataFrame, columns: tuple[str, ...] = _PAYLOAD, malformed: bool = False) -> DataFrame:
     """One row per ``event_id``: the first surviving copy and copy counts.
 
     ``first`` is a struct of ``columns`` (null when no copy survived D1/D3);
@@ -105,14 +108,18 @@ def per_event(tagged: DataFrame, columns: tuple[str, ...] = _PAYLOAD) -> DataFra
     D1 and failed D3, ``n_missing_id`` those without a user or session id
     (integers the reference's loader requires; counting them also makes the
     CSV reader parse — and FAILFAST-check — ``session_id``, which no metric
-    reads).  Only ``columns`` travel through the shuffle.
+    reads).  Only ``columns`` travel through the shuffle.  ``malformed``
+    adds ``n_malformed``, the copies that a scan kept apart.
     """
     counts = [
         F.expr(f"count_if({RULE} IS NULL)").alias("n_ok"),
         F.expr(f"count_if({RULE} = {sql_text(RULE_INVALID_TS)})").alias("n_ts"),
         F.expr(f"count_if({RULE} = {sql_text(RULE_INVALID_ETYPE)})").alias("n_etype"),
-        F.expr("count_if(user_id IS NULL OR session_id IS NULL)").alias("n_missing_id"),
+        F.expr(f"count_if((user_id IS NULL OR session_id IS NULL) AND NOT {RULE} <=> {sql_text(RULE_MALFORMED)})")
+         .alias("n_missing_id"),
     ]
+    if malformed:
+        counts.append(F.expr(f"count_if({RULE} = {sql_text(RULE_MALFORMED)})").alias("n_malformed"))
     if columns:
         payload = ", ".join([ORD, *columns])
         return tagged.groupBy("event_id").agg(
@@ -123,7 +130,7 @@ def per_event(tagged: DataFrame, columns: tuple[str, ...] = _PAYLOAD) -> DataFra
     agg = tagged.groupBy("event_id").agg(
         F.expr(f"min(CASE WHEN {RULE} IS NULL THEN {ORD} END)").alias("_first_ord"), *counts)
     first = F.when(F.col("_first_ord").isNotNull(), F.struct(F.col("_first_ord").alias(ORD)))
-    return agg.select("event_id", first.alias(FIRST), "n_ok", "n_ts", "n_etype", "n_missing_id")
+    return agg.withColumn(FIRST, first).drop("_first_ord")
 
 
 def clean_from_per_event(events: DataFrame, columns: tuple[str, ...] = _PAYLOAD) -> DataFrame:
@@ -138,9 +145,12 @@ def counts_from_per_event(events: DataFrame) -> DataFrame:
     raw_rows, valid_rows, dropped_rows = raw − valid, null_id_rows (rows
     whose event_id, user_id or session_id is missing — a load error in the
     reference),
-    and ``breakdown`` with one count per rule.
+    and ``breakdown`` with one count per rule.  Where malformed rows were kept
+    apart, ``malformed_rows`` counts them: raw = valid + dropped + malformed.
     """
     n_copies = F.col("n_ok") + F.col("n_ts") + F.col("n_etype")
+    apart = "n_malformed" in events.columns
+    n_malformed = F.coalesce(F.sum("n_malformed"), F.lit(0)).cast("long") if apart else F.lit(0).cast("long")
     agg = events.agg(
         F.coalesce(F.sum(n_copies), F.lit(0)).cast("long").alias("raw_rows"),
         # an id is valid when a copy survived D1/D3 (n_ok > 0, i.e. `first`
@@ -153,9 +163,10 @@ def counts_from_per_event(events: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("event_id").isNull(), n_copies)
                          .otherwise(F.col("n_missing_id"))), F.lit(0))
          .cast("long").alias("null_id_rows"),
+        n_malformed.alias("malformed_rows"),
     )
     return agg.select(
-        "raw_rows",
+        (F.col("raw_rows") + F.col("malformed_rows")).alias("raw_rows"),
         "valid_rows",
         (F.col("raw_rows") - F.col("valid_rows")).alias("dropped_rows"),
         F.struct(
@@ -164,6 +175,7 @@ def counts_from_per_event(events: DataFrame) -> DataFrame:
             (F.col("survivors") - F.col("valid_rows")).alias(RULE_DUPLICATE),
         ).alias("breakdown"),
         "null_id_rows",
+        *(["malformed_rows"] if apart else []),
     )
 
 
@@ -174,7 +186,7 @@ def clean_with_counts(raw: DataFrame, columns: tuple[str, ...] = _PAYLOAD
     Returns ``(clean, counts, events)``; ``events`` is the aggregate that
     both derive from.
     """
-    events = per_event(tag_rules(raw), columns)
+    events = per_event(tag_rules(raw), columns, RULE_MALFORMED in raw.columns)
     return clean_from_per_event(events, columns), counts_from_per_event(events), events
 
 
@@ -192,4 +204,4 @@ def clean_events(raw: DataFrame, columns: tuple[str, ...] = _PAYLOAD) -> DataFra
 
 def clean_counts(raw: DataFrame) -> DataFrame:
     """Rule accounting only (one row)."""
-    return counts_from_per_event(per_event(tag_rules(raw), ()))
+    return counts_from_per_event(per_event(tag_rules(raw), (), RULE_MALFORMED in raw.columns))

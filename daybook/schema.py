@@ -27,6 +27,9 @@ RETENTION_DAY_OFFSET = 1
 # with numpy's default rtol.
 AMOUNT_ATOL = 1e-4
 AMOUNT_RTOL = 1e-5
+# Texts that stand for a missing number in a CSV field.
+MISSING_NUMBER = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+                  "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 # Breakdown keys of the drop accounting, in rule order.
 RULE_INVALID_TS = "invalid_ts"
 RULE_INVALID_ETYPE = "invalid_etype"
@@ -34,6 +37,9 @@ RULE_DUPLICATE = "duplicate_event_id"
 RULES = (RULE_INVALID_TS, RULE_INVALID_ETYPE, RULE_DUPLICATE)
 # ---------------------------------------------------------------------------
 
+# A row whose text doesn't fit the schema, where such rows are kept apart.
+RULE_MALFORMED = "malformed"
+
 # Characters Python's str.strip() removes (all Unicode whitespace), built by
 # rule rather than listed.
 WHITESPACE = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())
@@ -65,4 +71,7 @@ CLEAN_EVENT_SCHEMA = T.StructType([
     T.StructField("session_id", T.LongType()),
 ])
 
+# The raw columns that hold numbers, and what stands for a missing value in each.
+NULL_TOKENS = {f.name: MISSING_NUMBER for f in RAW_EVENT_SCHEMA.fields if isinstance(f.dataType, T.NumericType)}
+
 CLEAN_COLUMNS = tuple(f.name for f in CLEAN_EVENT_SCHEMA.fields)

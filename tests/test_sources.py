@@ -9,7 +9,13 @@ import pytest
 from conftest import SF01
 from daybook.__main__ import main
 from daybook.operators import clean as C
-from daybook.sources.files import read_events, read_events_csv, read_events_parquet
+from daybook.sources.files import (
+    quarantine,
+    read_events,
+    read_events_csv,
+    read_events_parquet,
+    union_in_order,
+)
 from daybook.sources.fixtures import dirty_events
 from daybook.sources.sinks import write_events_csv
 
@@ -154,3 +160,96 @@ def test_malformed_session_id_fails_the_report(spark, tmp_path):
                     "2,5,2023-01-01 00:00:00,page_view,0.0,US,web,oops\n")
     with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
         build_report(read_events_csv(spark, str(path)))
+
+
+HEADER = "event_id,user_id,ts,event_type,amount,country,device,session_id\n"
+
+
+def csv_file(path, *lines):
+    path.write_text(HEADER + "".join(f"{line}\n" for line in lines))
+    return str(path)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_missing_numbers_by_column(spark, tmp_path, ansi):
+    path = csv_file(tmp_path / "e.csv", "1,5,2023-01-01 00:00:00,purchase,NA,NA,web,1",
+                    "2,5,2023-01-01 00:00:00,purchase,null,null,web,1", '3,5,2023-01-01 00:00:00,purchase,"",x,web,1',
+                    "4,5,2023-01-01 00:00:00,purchase,-1e3,x,web,1", "5,5,2023-01-01 00:00:00,purchase,nan,x,web,1")
+    was = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        rows = {r.event_id: r for r in read_events_csv(spark, path).collect()}
+        assert [rows[i].country for i in (1, 2)] == ["NA", "null"]
+        assert [rows[i].amount for i in (1, 2, 3, 4)] == [None, None, None, -1000.0]
+        assert {r.event_id: r.amount for r in C.clean_events(read_events_csv(spark, path)).collect()}[5] is None
+        # only what a column names is missing there; all else is an error, whatever the session does with casts
+        with pytest.raises(Exception, match="MALFORMED event field amount: null"):
+            read_events_csv(spark, path, null_tokens={"amount": ("NA",)}).collect()
+        some = read_events_csv(spark, path, null_tokens={"amount": ("NA", "null", "nan"), "country": ("NA", "x")})
+        assert {r.event_id: r.country for r in some.collect()} == {1: None, 2: "null", 3: None, 4: None, 5: None}
+        bad = csv_file(tmp_path / "bad.csv", "NA,5,2023-01-01 00:00:00,purchase,x,US,web,1")
+        assert read_events_csv(spark, bad).select("event_id", "country").first().event_id is None
+        with pytest.raises(Exception, match="MALFORMED event field amount: x"):
+            read_events_csv(spark, bad).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", was)
+
+
+def test_malformed_rows_are_kept_apart_and_counted(spark, tmp_path):
+    path = csv_file(tmp_path / "e.csv", "1,5,2023-01-01 00:00:00,page_view,0.0,US,web,1", "2,5,2023-01-01 00:00:00,signup,x9,US,web,1",
+                    "3,5,2023-01-01 00:00:00,purchase,1.5", "4,5,2023-01-01 00:00:00,purchase,1.5,US,web,1,77",
+                    "q,5,2023-01-01 00:00:00,purchase,1.5,US,web,1", "1,5,2023-01-01 00:00:00,signup,0.0,US,web,oops",
+                    "1,5,2023-01-01 00:00:00,signup,0.0,US,web,1", "6,5,2099-01-01 00:00:00,signup,0.0,US,web,1",
+                    "7,5,2023-01-01 00:00:00,click,0.0,US,web,NA")
+    raw = read_events_csv(spark, path, failfast=False)
+    counts = C.clean_counts(raw).first()
+    assert (counts.raw_rows, counts.valid_rows, counts.dropped_rows, counts.malformed_rows) == (9, 1, 3, 5)
+    assert tuple(counts.breakdown) == (1, 1, 1) and counts.null_id_rows == 1
+    assert counts.raw_rows == counts.valid_rows + counts.dropped_rows + counts.malformed_rows
+    apart = quarantine(raw).orderBy("ord").collect()
+    assert [(r.malformed, r.line.split(",")[0]) for r in apart] == \
+        [("amount", "2"), ("columns", "3"), ("columns", "4"), ("event_id", "q"), ("session_id", "1")]
+    assert apart[2].line == "4,5,2023-01-01 00:00:00,purchase,1.5,US,web,1,77"
+    assert [r.event_type for r in C.clean_events(raw).collect()] == ["page_view"]
+    # the reason doesn't depend on which columns a query reads
+    assert raw.select("country", "malformed").where("malformed = 'columns'").count() == 2
+    clean, both, _ = C.clean_with_counts(raw)
+    assert clean.count() == 1 and both.first().malformed_rows == 5
+
+
+def test_list_order_decides_first_copies(spark, make_raw, tmp_path):
+    """Paths sort the other way round than the list; formats are mixed."""
+    a, b = str(tmp_path / "a.parquet"), str(tmp_path / "b_csv")
+    make_raw([{"event_id": 1, "country": "A"}, {"event_id": 2, "country": "A"}]).drop("ord").write.parquet(a)
+    write_events_csv(make_raw([{"event_id": 2, "country": "B"}, {"event_id": 3, "country": "B"}]).drop("ord"), b)
+
+    def countries(paths):
+        return {r.event_id: r.country for r in C.clean_events(read_events(spark, paths)).collect()}
+
+    assert countries([b, a]) == {1: "A", 2: "B", 3: "B"}
+    assert countries([a, b]) == {1: "A", 2: "A", 3: "B"}
+    assert countries([b, a, b]) == countries([b, a])
+    assert C.clean_counts(read_events(spark, [b, a, b])).first().raw_rows == 6
+    with pytest.raises(ValueError, match="no path"):
+        read_events(spark, [])
+
+
+def test_inputs_of_other_types_become_raw_events(spark, make_raw):
+    """Timestamps become text in UTC whatever the session's zone; an input's own order is kept."""
+    typed = spark.sql("SELECT 10L - id AS ord, id AS event_id, 5 AS user_id, timestamp'2021-03-04 23:30:00Z' AS ts, 'signup' AS event_type, "
+                      "CAST(id AS FLOAT) AS amount, 'SE' AS country, 'ios' AS device, 7L AS session_id, 'x' AS other FROM range(3)")
+    plain = spark.sql("SELECT 1 AS ord, 9L AS event_id, 5 AS user_id, timestamp_ntz'2021-03-04 23:30:00.25' AS ts, 'signup' AS event_type, "
+                      "1D AS amount, 'SE' AS country, 'ios' AS device, 7L AS session_id")
+    was = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        rows = union_in_order([typed, plain]).orderBy("ord").collect()
+        assert [r.event_id for r in rows] == [2, 1, 0, 9]
+        assert [r.ts for r in rows[2:]] == ["2021-03-04 23:30:00.000000Z", "2021-03-04 23:30:00.250000Z"]
+        assert {str(r.date) for r in C.clean_events(union_in_order([typed, plain])).collect()} == {"2021-03-04"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", was)
+    with pytest.raises(ValueError, match="no column amount"):
+        union_in_order([plain.drop("amount")])
+    with pytest.raises(ValueError, match="ord"):
+        union_in_order([plain.drop("ord")])
