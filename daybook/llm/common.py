@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import uuid
+from collections.abc import Callable, Hashable
 from pathlib import Path
 
 import numpy as np
@@ -59,6 +62,28 @@ def share_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+_HELD: dict[Hashable, object] = {}
+
+
+def held(operator: str, key: Hashable = None, make: Callable[[], object] | None = None) -> object:
+    """What this Python worker keeps between tasks of ``operator``, made on first use.
+
+    Workers are reused by later stages and other operators.  A worker keeps
+    tables of one operator at a time: its first task for another one drops
+    them and gives the memory back to the system.
+    """
+    if any(name != operator for name, _ in _HELD):
+        _HELD.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+    if (operator, key) not in _HELD:
+        _HELD[operator, key] = make() if make else None
+    return _HELD[operator, key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Scratch, slices, text_column
+from daybook.llm.common import Scratch, held, slices, text_column
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -60,7 +60,6 @@ class WordBPE:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True     # their strings are ordinary text
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)   # ids that end a piece
         self._ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -120,14 +119,9 @@ class WordBPE:
         return out, np.concatenate(([0], stop[stops + np.arange(len(stops))]))
 
 
-_LOADED: dict[str, WordBPE] = {}
-
-
 def _vocabulary(path: str) -> WordBPE:
     """This worker's tokenizer, kept between tasks."""
-    if path not in _LOADED:
-        _LOADED[path] = WordBPE(path)
-    return _LOADED[path]
+    return held("packing", path, lambda: WordBPE(path))
 
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -238,14 +232,15 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = 40_000,
     """
     spark = pieces.sparkSession
     scratch = Scratch(spark, "packing")
-    schema = PIECES + ", grp int, bin bigint, offset bigint, gap bigint, again boolean"
-    pool, done, pool_bins = scratch.table(pieces), [], None
+    schema = PIECES + ", row bigint, grp int, bin bigint, offset bigint, gap bigint, again boolean"
+    # the rows' stored numbers deal them, so that rows without or with one id spread over the groups
+    pool, done, pool_bins = scratch.table(pieces.withColumn("row", F.monotonically_increasing_id())), [], None
     for number in count():               # ends, as each round but the last saves a bin
         n = pool.count()
         if not n:
             break
         groups = -(-n // group_rows)
-        dealt = pool.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", F.lit(number)), F.lit(groups)).cast("int"))
+        dealt = pool.withColumn("grp", F.pmod(F.xxhash64("row", F.lit(number)), F.lit(groups)).cast("int"))
         packed = scratch.table(dealt.groupBy("grp").applyInPandas(
             lambda rows: _pack_group(rows, capacity), schema))
         seen = packed.groupBy("grp").agg(F.countDistinct("bin").alias("bins"), F.max("gap").alias("gap"),
@@ -261,7 +256,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = 40_000,
         done.append(packed.withColumn("round", F.lit(number)))
         if groups == 1 or not total["again"]:
             break
-        pool = packed.where("again").select(*pieces.columns)
+        pool = packed.where("again").select(*pieces.columns, "row")
         pool_bins = total["again"]
     if not done:
         return pieces.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})

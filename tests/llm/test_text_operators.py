@@ -110,6 +110,14 @@ def test_boilerplate_lines(spark, awkward, nothing):
     assert lines.remove_boilerplate(nothing).count() == 0
 
 
+def test_few_sources_lose_nothing(spark):
+    """A line counts as boilerplate from 16 sites on, an absolute number: a table with fewer keeps every line."""
+    docs = spark.createDataFrame([(i, "Home\nown", f"site{i % 15}") for i in range(90)], "doc_id long, text string, source string")
+    assert {r.text for r in lines.remove_boilerplate(docs).collect()} == {"Home\nown"}
+    more = docs.unionByName(spark.createDataFrame([(99, "Home", "site15")], docs.schema))
+    assert sum("Home" in r.text for r in lines.remove_boilerplate(more).collect()) == 1
+
+
 # --- byte-level BPE -------------------------------------------------------
 
 @pytest.fixture(scope="module")
@@ -166,9 +174,28 @@ def words():
 
 @pytest.fixture(scope="module")
 def plain_tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
+
+
+def test_special_strings_keep_their_ids(words, plain_tokenizer):
+    """As the tokenizer alone gives them: without the ids it would add, but with those found in a text."""
+    texts = ["<|endoftext|>", "end<|endoftext|>of text", "a <|startoftext|><|endoftext|>, b", "<|ENDOFTEXT|> <|endoftext |>"]
+    ids, at = words.encode(pa.array(texts), 1)
+    own = [ids[a:b].tolist() for a, b in zip(at, at[1:])]
+    assert own == [plain_tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    assert own[0] == [49407, 1] and 49406 in own[2] and 49407 not in own[3]
+
+
+def test_pieces_without_ids_spread_over_groups(spark):
+    """One null id, or one repeated row, for all pieces: groups stay about as large as asked."""
+    for doc_id in ("CAST(NULL AS BIGINT)", "7L"):
+        pieces = spark.range(3_000).selectExpr(f"{doc_id} AS doc_id", "0 AS piece", "0L AS start", "900L AS length", "5L AS ids_crc32")
+        rounds, sizes = [], {}
+        found = packing.pack(pieces, group_rows=100, report=rounds.append).toPandas()
+        for s in found.sequence_id:
+            sizes[s >> 32] = sizes.get(s >> 32, 0) + 1
+        assert rounds[0]["groups"] == 30 and len(sizes) >= 30 and max(sizes.values()) < 200
+        assert len(found) == 3_000 and found.groupby("sequence_id").length.sum().max() <= 4096
 
 
 @settings(max_examples=150, deadline=None)
