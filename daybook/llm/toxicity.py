@@ -17,8 +17,8 @@ probability by a monotone fit over cross-fitted votes of the sample: each
 half is voted on by terms and examples of the other half.  Texts without any
 term are a level of their own.
 
-Neither labels nor language, source or id enter a text's score.  Scoring is one
-map; the sample, terms and index are bounded by parameters, so they may
+Neither labels nor language, source or id enter a text's score, and of a text
+that is an example itself, nor does its own label.  Scoring is one map; the sample, terms and index are bounded by parameters, so they may
 travel with the tasks.
 
 Defined results: null or empty text has no terms and gets that level's score;
@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Scratch, slices, text_column
+from daybook.llm.common import Scratch, held, slices, text_column
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 STEMS = (4, 6)
@@ -140,7 +140,8 @@ def choose_terms(counts: DataFrame, whole: str, toxic: str, n: int, n1: int, lim
 class Index:
     """Block-max inverted index over labelled examples with at least one term."""
 
-    def __init__(self, ids: np.ndarray, toxic: np.ndarray, counts: list[Counter], idf: dict[bytes, float], limits: Limits):
+    def __init__(self, ids: np.ndarray, toxic: np.ndarray, counts: list[Counter], idf: dict[bytes, float], limits: Limits,
+                 own: np.ndarray | None = None):
         self.limits, self.idf = limits, idf
         self.term = {w: i for i, w in enumerate(idf)}
         order = np.argsort(ids, kind="stable")
@@ -148,6 +149,9 @@ class Index:
         vectors = [(i, v) for i, v in vectors if v]
         self.ids = np.array([ids[i] for i, _ in vectors], np.int64)
         self.toxic = np.array([toxic[i] for i, _ in vectors], float)
+        self.own: dict[int, list[int]] = {}              # rows by the hash of their text
+        for row, (i, _) in enumerate(vectors if own is not None else ()):
+            self.own.setdefault(int(own[i]), []).append(row)
         postings: dict[int, list] = {}
         for row, (_, vector) in enumerate(vectors):
             for t, w in vector:
@@ -168,8 +172,12 @@ class Index:
         norm = math.sqrt(sum(w * w for _, w in raw))
         return sorted((t, w / norm) for t, w in raw) if norm else []
 
-    def nearest(self, vector: list[tuple[int, float]]) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and cosines of the k nearest examples, nearest first; only cosines above zero."""
+    def nearest(self, vector: list[tuple[int, float]], own: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and cosines of the k nearest examples, nearest first; only cosines above zero.
+
+        Examples whose text hashes to ``own`` are left out.
+        """
+        left_out = self.own.get(own, [])
         known = [(t, w) for t, w in vector if t in self.rows]
         if not known:
             return np.zeros(0, np.int64), np.zeros(0)
@@ -186,6 +194,9 @@ class Index:
                 lo, hi = self.starts[t][b], self.starts[t][b + 1]
                 if lo < hi:
                     scores[self.rows[t][lo:hi] - b * size] += w * self.weights[t][lo:hi]
+            for row in left_out:
+                if row // size == b:
+                    scores[row - b * size] = 0
             here = np.flatnonzero(scores)
             rows = np.concatenate((rows, here + b * size))
             cosines = np.concatenate((cosines, scores[here]))
@@ -196,9 +207,9 @@ class Index:
         best = np.lexsort((rows, -cosines))[:k]
         return rows[best], cosines[best]
 
-    def vote(self, vector: list[tuple[int, float]]) -> tuple[float, np.ndarray, np.ndarray]:
+    def vote(self, vector: list[tuple[int, float]], own: int | None = None) -> tuple[float, np.ndarray, np.ndarray]:
         """Distance-weighted share of toxic neighbours (below zero: no neighbour), rows, cosines."""
-        rows, cosines = self.nearest(vector)
+        rows, cosines = self.nearest(vector, own)
         if not len(rows):
             return -1.0, rows, cosines
         weight = 1 / (1.05 - np.minimum(cosines, 1.0))
@@ -226,28 +237,31 @@ class Model:
     other; ``second`` tells the halves apart.
     """
 
-    def __init__(self, ids, toxic, second, counts: list[Counter], terms: list[list[bytes]], df: dict[bytes, int],
+    def __init__(self, ids, toxic, second, own, counts: list[Counter], terms: list[list[bytes]], df: dict[bytes, int],
                  n_documents: int, limits: Limits):
         self.limits = limits
-        ids, toxic, second = np.array(ids, np.int64), np.array(toxic, bool), np.array(second, bool)
+        ids, toxic, second, own = np.array(ids, np.int64), np.array(toxic, bool), np.array(second, bool), np.array(own, np.int64)
 
         def index(own_terms, part):
             idf = {w: math.log(1 + n_documents / (1 + df.get(w, 0))) for w in own_terms}
             rows = np.flatnonzero(part)
-            return Index(ids[rows], toxic[rows], [counts[i] for i in rows], idf, limits)
+            return Index(ids[rows], toxic[rows], [counts[i] for i in rows], idf, limits, own[rows])
 
         votes = np.empty(len(ids))
-        for own_terms, own in ((terms[1], ~second), (terms[2], second)):
-            other = index(own_terms, own)
-            for i in np.flatnonzero(~own):
+        for own_terms, half in ((terms[1], ~second), (terms[2], second)):
+            other = index(own_terms, half)
+            for i in np.flatnonzero(~half):
                 votes[i] = other.vote(other.vector(counts[i]))[0]
         self.levels, self.probability = (monotone_fit(votes, toxic.astype(float)) if len(votes)
                                          else (np.array([-1.0]), np.array([0.0])))
         self.index = index(terms[0], np.ones(len(ids), bool))
 
-    def score(self, words: Counter) -> tuple[float, list[dict]]:
-        """Probability and evidence from a text's counts of known terms."""
-        vote, rows, cosines = self.index.vote(self.index.vector(words))
+    def score(self, words: Counter, own: int | None = None) -> tuple[float, list[dict]]:
+        """Probability and evidence from a text's counts of known terms; ``own`` is the text's hash.
+
+        A text that is an example itself is judged by the others, as in the calibration.
+        """
+        vote, rows, cosines = self.index.vote(self.index.vector(words), own)
         at = max(0, int(np.searchsorted(self.levels, vote, "right")) - 1)
         show = self.limits.evidence
         return float(self.probability[at]), [
@@ -260,6 +274,7 @@ def _document_frequencies(docs: DataFrame, terms: list[bytes], text_col: str) ->
     known = {w: i for i, w in enumerate(terms)}
 
     def count(batches):
+        held("toxicity")
         df, n, read = np.zeros(len(known) + 1, np.int64), 0, TermReader(known)
         for batch in batches:
             n += batch.num_rows
@@ -279,6 +294,7 @@ def _document_frequencies(docs: DataFrame, terms: list[bytes], text_col: str) ->
 def _term_table(sample: DataFrame) -> DataFrame:
     """``term`` and in how many texts it is: all, toxic, and the same for each half."""
     def spell(batches):
+        held("toxicity")
         for batch in batches:
             bags = [set(term_counts(t)) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             rows = pa.array(np.repeat(np.arange(len(bags)), [len(b) for b in bags]))
@@ -303,13 +319,13 @@ def _example_counts(sample: DataFrame, known: list[bytes]) -> pa.Table:
         for batch in batches:
             found = [read(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "toxic", "second")),
+                [*(batch.column(c) for c in ("doc_id", "toxic", "second", "own")),
                  pa.array([[number[w] for w in f] for f in found], pa.list_(pa.int32())),
                  pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))],
-                ["doc_id", "toxic", "second", "terms", "counts"])
+                ["doc_id", "toxic", "second", "own", "terms", "counts"])
 
-    rows = sample.select("doc_id", "toxic", "second", "text").mapInArrow(
-        count, "doc_id bigint, toxic int, second boolean, terms array<int>, counts array<int>")
+    rows = sample.select("doc_id", "toxic", "second", F.xxhash64("text").alias("own"), "text").mapInArrow(
+        count, "doc_id bigint, toxic int, second boolean, own bigint, terms array<int>, counts array<int>")
     return rows.orderBy("doc_id", "terms", "counts").toArrow()
 
 
@@ -343,7 +359,7 @@ def fit_model(docs: DataFrame, labels: DataFrame, limits: Limits = Limits(), id_
     counts = [Counter({known[i]: c for i, c in zip(*row)})
               for row in zip(examples.column("terms").to_pylist(), examples.column("counts").to_pylist())]
     scratch.drop(sample, table)
-    return Model(*[examples.column(c).to_pylist() for c in ("doc_id", "toxic", "second")], counts, terms,
+    return Model(*[examples.column(c).to_pylist() for c in ("doc_id", "toxic", "second", "own")], counts, terms,
                  *_document_frequencies(docs, known, text_col), limits)
 
 
@@ -359,16 +375,18 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, limits: Limits = Limits()
     model = docs.sparkSession.sparkContext.broadcast(fit_model(docs, labels, limits, id_col, text_col))
     carried = F.struct(*carry) if carry else F.lit(None).cast("struct<none: boolean>")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_column(text_col), carried.alias("carried"))
-    rows = rows.withColumn("held_out", held_out("doc_id"))
+    rows = rows.withColumns({"held_out": held_out("doc_id"), "own": F.xxhash64("text")})
     kind = rows.schema["carried"].dataType.simpleString()
     shown = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
 
     def score(batches):
+        held("toxicity")
         fitted = model.value
         read = TermReader(fitted.index.term)
         for batch in batches:
             for part in slices(batch, "text", 8 << 20):
-                found = [fitted.score(read(t)) for t in part.column("text").cast(pa.binary()).to_pylist()]
+                found = [fitted.score(read(t), own) for t, own in zip(part.column("text").cast(pa.binary()).to_pylist(),
+                                                                        part.column("own").to_pylist())]
                 scores = np.array([s for s, _ in found])
                 columns = {
                     "doc_id": part.column("doc_id"), "held_out": part.column("held_out"),
