@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.common import Scratch
-from daybook.llm.vectors import cosines, keyed_vectors
+from daybook.llm.vectors import cosines, keyed_vectors, scaled
 
 INDEX = ("shard int, dim int, n int, vectors binary, ids binary, id_offsets binary, levels binary, "
          "level_sizes binary, nodes binary, neighbours binary")
@@ -108,8 +108,8 @@ class Graph:
         self.x = np.frombuffer(row["vectors"], np.float64).reshape(row["n"], row["dim"])
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.id_offsets = np.frombuffer(row["id_offsets"], np.int64)
-        norm = np.sqrt(np.einsum("ij,ij->i", self.x, self.x))
-        self.unit = self.x / norm[:, None]
+        x = scaled(self.x)
+        self.unit = x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
         flat, at, self.links = np.frombuffer(row["neighbours"], np.int32), 0, []
         for count, width in zip(np.frombuffer(row["nodes"], np.int32).tolist(),
                                 np.frombuffer(row["level_sizes"], np.int32).tolist()):
@@ -147,7 +147,8 @@ class Graph:
 
     def search(self, q: np.ndarray, k: int, ef: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of about the k nearest entries, nearest first."""
-        unit = q / np.sqrt(q @ q)
+        unit = scaled(q[None])[0]
+        unit = unit / np.sqrt(unit @ unit)
         best = [(float(self.unit[0] @ unit), 0)]
         for links in self.links[:0:-1]:
             best = [max(self._walk(unit, best, links, 1))]
@@ -167,7 +168,8 @@ class Graph:
 def _pack(group: pd.DataFrame, width: int, ef: int) -> pd.DataFrame:
     group = group.sort_values(["k1", "k2"], ignore_index=True)
     x = np.stack(group["vec"].to_numpy())
-    unit = x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+    unit = scaled(x)
+    unit = unit / np.sqrt(np.einsum("ij,ij->i", unit, unit))[:, None]
     flat = {k: v.tobytes() for k, v in build_index(unit, width, ef).items()}
     ids = group["ids"].to_numpy()
     return pd.DataFrame([{"shard": group["shard"][0], "dim": x.shape[1], "n": len(x), "vectors": x.tobytes(),
@@ -182,7 +184,8 @@ def build_shards(vectors: DataFrame, k: int, shard_rows: int, width: int, ef: in
     among a query's k answers.  The limit applies before the shuffle, too.
     """
     order = Window.partitionBy("k1", "k2").orderBy("vec_id")
-    few = (vectors.where("k1 IS NOT NULL AND vec_id IS NOT NULL").withColumn("nth", F.dense_rank().over(order))
+    few = (vectors.where("k1 IS NOT NULL AND vec_id IS NOT NULL").dropDuplicates(["vec_id", "k1", "k2"])
+           .withColumn("nth", F.row_number().over(order))
            .where(F.col("nth") <= k + 1))
     entries = scratch.table(few.groupBy("k1", "k2").agg(F.sort_array(F.collect_set("vec_id")).alias("ids"),
                                                         F.first("vec").alias("vec")))

@@ -27,7 +27,19 @@ def matrix(column: pa.ListArray) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Each row times a power of two that brings its largest component near one."""
+    if not x.size:
+        return x
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+
+
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Cosine of each row of ``a`` with the same row of ``b``, in double precision."""
+    """Cosine of each row of ``a`` with the same row of ``b``, in double precision.
+
+    Rows are scaled by a power of two first, which is exact, so that squares of very
+    large or small components neither overflow nor vanish.
+    """
+    a, b = scaled(a), scaled(b)
     dot = np.einsum("ij,ij->i", a, b)
     return dot / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))

@@ -180,3 +180,22 @@ def test_levels_are_navigable():
                 reached.add(n)
                 todo.append(n)
     assert len(reached) >= 0.98 * len(x)
+
+
+def test_extreme_components(spark):
+    """Cosines don't change with a vector's size, however large or small its doubles are."""
+    base = [(1.0, 1.0, 0.0), (1.0, 0.95, 0.05), (-1.0, 2.0, 0.5), (0.0, 0.0, 3.0)]
+    rows = [(i * 10 + j, [c * f for c in v]) for j, v in enumerate(base) for i, f in enumerate((1.0, 1e200, 1e-200, 1e300, 1e-300))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    groups = {r.vec_id: r.component_id for r in embedding_dedup.embedding_groups(df).collect()}
+    assert all(groups[i * 10 + j] == (0, 0, 2, 3)[j] for j in range(4) for i in range(5))
+    found = neighbours.nearest_neighbours(df, F.col("vec_id") >= 0).collect()
+    assert len(found) == 100 and all(0 <= abs(r.score) <= 1 + 1e-9 for r in found)
+    assert all(r.score == pytest.approx(1.0) and r.vec_id % 10 == r.query_id % 10 for r in found if r["rank"] <= 4)
+
+
+def test_one_vector_in_very_many_rows(spark):
+    df = spark.range(4_000).selectExpr("7L AS vec_id", "array(1D, 2D) AS embedding").unionByName(
+        spark.createDataFrame([(8, [2.0, 1.0])], "vec_id long, embedding array<double>"))
+    rows = neighbours.nearest_neighbours(df, F.col("vec_id") >= 0).collect()
+    assert sorted((r.query_id, r.vec_id) for r in rows) == [(7, 8), (8, 7)]
