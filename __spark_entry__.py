@@ -17,6 +17,7 @@ from daybook.operators import clean as C
 from daybook.operators import metrics as M
 from daybook.operators import quality as Q
 from daybook.operators import quantiles as K
+from daybook.operators.staged import stage_events
 from daybook.plans.incremental import ReportHistory, list_files
 from daybook.plans.report import build_report, document_values
 from daybook.plans.snapshot import (
@@ -292,6 +293,21 @@ def _f1_csv(spark, sf, files: int | None = None) -> str:
     return _stored_input(spark, sf, f"f1_csv_{files or 'any'}", lambda f1, folder: write_events_csv(_in_order(f1, files), folder))
 
 
+def q_csv_staged_clean_events(spark, sf):
+    """First copies by hash aggregate and join, from a staged copy; many splits, in a session of its own."""
+    folder = _f1_csv(spark, sf)
+    split = spark.newSession()
+    use_utc(split)
+    split.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    c = stage_events(read_events_csv(split, folder)).clean()
+    return c.select(*[(_ntz(x) if x == "ts" else F.col(x)) for x in c.columns])
+
+
+def q_csv_staged_clean_counts(spark, sf):
+    counts = stage_events(_broken_csv(spark, sf), ()).counts()
+    return counts.select("raw_rows", "valid_rows", "dropped_rows", "malformed_rows", "breakdown.*")
+
+
 def _f1_tokens(f1: DataFrame) -> DataFrame:
     """F1 with missing amounts spelt out, and a country that is spelt like them."""
     amount, country = F.col("amount").cast("string"), F.col("country")
@@ -390,6 +406,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_clean_counts": q_csv_clean_counts,
     "csv_clean_events": q_csv_clean_events,
     "csv_split_clean_events": q_csv_split_clean_events,
+    "csv_staged_clean_events": q_csv_staged_clean_events,
+    "csv_staged_clean_counts": q_csv_staged_clean_counts,
     "csv_null_tokens_events": q_csv_null_tokens_events,
     "csv_quarantine_counts": q_csv_quarantine_counts,
     "csv_quarantine_rows": q_csv_quarantine_rows,
@@ -537,6 +555,17 @@ _CLEAN_ROWS = "SELECT event_id, user_id, ts, date, event_type, amount, country,
 _BROKEN = """CASE WHEN ord % 31 = 0 OR ord % 37 = 0 THEN 'columns' WHEN ord % 23 = 0 THEN 'amount'
                   WHEN ord % 29 = 0 THEN 'session_id' END"""
 
+_BROKEN_COUNTS = f"""
+      s AS (SELECT *, ({_BROKEN}) IS NOT NULL AS apart FROM tagged),
+      v AS (SELECT count(DISTINCT event_id) AS n FROM s WHERE rule IS NULL AND NOT apart)
+      SELECT CAST(count(*) AS BIGINT) AS raw_rows, CAST((SELECT n FROM v) AS BIGINT) AS valid_rows,
+             CAST(count(*) FILTER (WHERE NOT apart) - (SELECT n FROM v) AS BIGINT) AS dropped_rows,
+             CAST(count(*) FILTER (WHERE apart) AS BIGINT) AS malformed_rows,
+             CAST(count(*) FILTER (WHERE NOT apart AND rule = 'invalid_ts') AS BIGINT) AS invalid_ts,
+             CAST(count(*) FILTER (WHERE NOT apart AND rule = 'invalid_etype') AS BIGINT) AS invalid_etype,
+             CAST(count(*) FILTER (WHERE NOT apart AND rule IS NULL) - (SELECT n FROM v) AS BIGINT) AS duplicate_event_id
+      FROM s"""
+
 _RETENTION = """
 c AS (
   SELECT user_id, date, min(date) OVER (PARTITION BY user_id) AS cohort_date FROM pairs
@@ -710,21 +739,14 @@ _ORACLE: dict[str, str] = {
     "csv_clean_counts": f"WITH {_F1} {_COUNTS}",
     "csv_clean_events": f"WITH {_F1} {_CLEAN_ROWS}",
     "csv_split_clean_events": f"WITH {_F1} {_CLEAN_ROWS}",
+    "csv_staged_clean_events": f"WITH {_F1} {_CLEAN_ROWS}",
+    "csv_staged_clean_counts": f"WITH {_F1}, {_BROKEN_COUNTS}",
     "csv_null_tokens_events": f"""WITH {_F1}
       SELECT event_id, user_id, ts, date, event_type,
              CASE WHEN event_type IN ('purchase', 'refund') AND (ord % 13 = 0 OR ord % 17 = 0) THEN NULL ELSE amount END AS amount,
              CASE WHEN ord % 19 = 0 THEN 'NA' ELSE country END AS country, device, session_id
       FROM firsts WHERE rn = 1""",
-    "csv_quarantine_counts": f"""WITH {_F1},
-      s AS (SELECT *, ({_BROKEN}) IS NOT NULL AS apart FROM tagged),
-      v AS (SELECT count(DISTINCT event_id) AS n FROM s WHERE rule IS NULL AND NOT apart)
-      SELECT CAST(count(*) AS BIGINT) AS raw_rows, CAST((SELECT n FROM v) AS BIGINT) AS valid_rows,
-             CAST(count(*) FILTER (WHERE NOT apart) - (SELECT n FROM v) AS BIGINT) AS dropped_rows,
-             CAST(count(*) FILTER (WHERE apart) AS BIGINT) AS malformed_rows,
-             CAST(count(*) FILTER (WHERE NOT apart AND rule = 'invalid_ts') AS BIGINT) AS invalid_ts,
-             CAST(count(*) FILTER (WHERE NOT apart AND rule = 'invalid_etype') AS BIGINT) AS invalid_etype,
-             CAST(count(*) FILTER (WHERE NOT apart AND rule IS NULL) - (SELECT n FROM v) AS BIGINT) AS duplicate_event_id
-      FROM s""",
+    "csv_quarantine_counts": f"WITH {_F1}, {_BROKEN_COUNTS}",
     "csv_quarantine_rows": f"""WITH {_F1}
       SELECT event_id, {_BROKEN} AS malformed FROM tagged WHERE ({_BROKEN}) IS NOT NULL""",
     "union_in_order_events": f"""WITH {_F1},

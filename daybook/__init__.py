@@ -19,17 +19,22 @@ from daybook.operators.quality import (
     dirty_profile,
     event_type_distribution,
     exact_median,
+    purchase_amount_sketch,
     purchase_amount_stats,
     refund_integrity,
     refund_links,
+    refund_witnesses,
 )
+from daybook.operators.staged import stage_events
+from daybook.plans.incremental import ReportHistory
 from daybook.plans.report import Report, build_report
 from daybook.plans.snapshot import snapshot_report
 from daybook.session import checkpoint_root, get_session, use_utc
-from daybook.sources.files import read_events, read_events_csv, read_events_parquet
+from daybook.sources.files import quarantine, read_events, read_events_csv, read_events_parquet
 
 __all__ = [
     "Report",
+    "ReportHistory",
     "anomalies",
     "build_report",
     "checkpoint_root",
@@ -43,15 +48,19 @@ __all__ = [
     "exact_median",
     "funnel_daily",
     "get_session",
+    "purchase_amount_sketch",
     "purchase_amount_stats",
+    "quarantine",
     "read_events",
     "read_events_csv",
     "read_events_parquet",
     "refund_integrity",
     "refund_links",
+    "refund_witnesses",
     "retention_d1",
     "revenue_daily",
     "snapshot_report",
+    "stage_events",
     "tag_rules",
     "top_countries",
     "use_utc",

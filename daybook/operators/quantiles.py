@@ -23,7 +23,6 @@ from pyspark.sql import types as T
 # Values a sketch keeps per level.
 K = 1024
 SKETCH = "sketch"
-_ONE = "__group"
 
 
 def rank_error(k: int = K) -> float:
@@ -63,22 +62,24 @@ def quantiles(df: DataFrame, col: str, probabilities: Sequence[float], by: Seque
 
 
 def rank_distances(df: DataFrame, col: str, found: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """``found`` with ``distance``: how far each value's true rank in its group is from p.
+    """``found`` (rows with ``p`` and ``value``) and ``distance``: how far each value's true rank in its group is from p.
 
     The true rank of a value is the range between the shares of smaller
-    values and of values up to it.  ``found`` has at most one row per group and p, and
-    is what the events are joined with; the counts are combined map-side.
+    values and of values up to it.  ``found`` is read once, as sketches may
+    answer differently when computed again; its rows, at most one per group and p,
+    meet the events as one array a group, and the counts combine map-side.
+    Rows of groups without events are left out.
     """
-    # by groups as one array, so that each event meets its group once
-    keys = [*by] or [_ONE]
-    near = found if by else found.withColumn(_ONE, F.lit(0))
-    asked = near.groupBy(*keys).agg(F.collect_list(F.struct("p", "value")).alias("asked"))
-    values = df.select(*by, _number(col).alias("v")).where("v IS NOT NULL")
-    values = values if by else values.withColumn(_ONE, F.lit(0))
-    counts = (values.join(asked, keys).select(*keys, "v", F.explode("asked").alias("a"))
-              .groupBy(*keys, F.col("a.p").alias("p"), F.col("a.value").alias("value"))
-              .agg(F.avg((F.col("v") < F.col("a.value")).cast("int")).alias("below"),
-                   F.avg((F.col("v") <= F.col("a.value")).cast("int")).alias("upto")))
-    away = F.greatest(F.lit(0.0), F.col("below") - F.col("p"), F.col("p") - F.col("upto"))
-    joined = near.join(counts, [*keys, "p", "value"], "left").select(*near.columns, away.alias("distance"))
-    return joined if by else joined.drop(_ONE)
+    rest = [c for c in found.columns if c not in by]
+    listed = F.collect_list(F.struct(*rest))
+    values = df.select(*by, _number(col).alias("_v")).where("_v IS NOT NULL")
+    if by:
+        asked = found.groupBy(*by).agg(listed.alias("_asked"))
+        met = values.join(asked, [*by]).select(*by, "_v", F.inline("_asked"))
+    else:
+        met = df.sparkSession.sql("SELECT _v, inline((SELECT _asked FROM {asked})) FROM {values}",
+                                  asked=found.agg(listed.alias("_asked")), values=values)
+    counts = met.groupBy(*by, *rest).agg(F.avg((F.col("_v") < F.col("value")).cast("int")).alias("_below"),
+                                         F.avg((F.col("_v") <= F.col("value")).cast("int")).alias("_upto"))
+    away = F.greatest(F.lit(0.0), F.col("_below") - F.col("p"), F.col("p") - F.col("_upto"))
+    return counts.select(*found.columns, away.alias("distance"))

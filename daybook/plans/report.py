@@ -34,10 +34,14 @@ from pyspark.sql import functions as F
 from daybook.functions.expressions import sql_text
 from daybook.operators import metrics as M
 from daybook.operators.clean import per_event, tag_rules
+from daybook.operators.staged import StagedEvents, stage_events
 from daybook.schema import (
     ANOMALY_Z,
     FUNNEL_STEPS,
     RETENTION_DAY_OFFSET,
+    RULE_DUPLICATE,
+    RULE_INVALID_ETYPE,
+    RULE_INVALID_TS,
     RULES,
     TOP_N,
 )
@@ -304,6 +308,34 @@ def rollup_of_events(events: DataFrame) -> DataFrame:
     return events.sparkSession.sql(_ROLLUP_SQL, events=events)
 
 
+# The same rollup from clean events and their counts: every group is of valid rows,
+# and the row of all events is the drop accounting.
+_CLEAN_ROLLUP_SQL = f"""
+SELECT CASE WHEN grouping(country) = 0 THEN 'country'
+            WHEN grouping(user_id) = 0 THEN 'user_day'
+            ELSE 'day' END AS `set`,
+  date, country, user_id,
+  CAST(NULL AS BIGINT) AS raw_rows, count(1) AS valid_rows, CAST(NULL AS BIGINT) AS invalid_ts,
+  CAST(NULL AS BIGINT) AS invalid_etype, CAST(NULL AS BIGINT) AS survivors, CAST(NULL AS BIGINT) AS null_id_rows,
+  {", ".join(f"count_if(event_type = {sql_text(t)}) AS {n}" for t, n in FUNNEL_STEPS)},
+  count_if({M.REVENUE}) AS revenue_events,
+  coalesce(sum(CASE WHEN {M.REVENUE} THEN amount END), 0D) AS net_revenue
+FROM {{clean}}
+GROUP BY GROUPING SETS ((date), (country), (user_id, date))
+UNION ALL
+SELECT 'all', CAST(NULL AS DATE), CAST(NULL AS STRING), CAST(NULL AS BIGINT),
+  raw_rows - malformed_rows, valid_rows, breakdown.{RULE_INVALID_TS}, breakdown.{RULE_INVALID_ETYPE},
+  valid_rows + breakdown.{RULE_DUPLICATE}, null_id_rows,
+  {", ".join("0" for _ in FUNNEL_STEPS)}, 0, 0D
+FROM {{counts}} WHERE raw_rows > malformed_rows
+"""
+
+
+def rollup_of_staged(staged: StagedEvents) -> DataFrame:
+    """The rollup of a staged copy of the events (``staged.stage_events`` with ``METRIC_COLUMNS``)."""
+    return staged.rows.sparkSession.sql(_CLEAN_ROLLUP_SQL, clean=staged.clean(METRIC_COLUMNS), counts=staged.counts())
+
+
 def build_problem(report: Report) -> str | None:
     """What stands against a report over its counts: no clean event, or missing ids."""
     row = report.counts_row()
@@ -332,12 +364,14 @@ def build_report(raw: DataFrame, top_n: int = TOP_N, threshold: float = ANOMALY_
     scratch = None
     if store is None:
         store = scratch = f"{checkpoint_root(spark)}/daybook/rollups/{uuid.uuid4().hex}"
-    rollup = report_rollup(raw)
+    staged = stage_events(raw, METRIC_COLUMNS)
+    rollup = rollup_of_staged(staged)
     # Partitioned by `set`: each section then reads only its own folder —
     # the day, country and counts sections never touch the user-day rows.
     # Rebalanced by it, a set is a few files of the advisory size instead of
     # one from every task, and a large set (user-days) is split.
     (rollup.hint("rebalance", "set").write.mode("overwrite").partitionBy("set").parquet(store))
+    staged.release()
     # The schema is known: no footer-reading job to infer it again.
     stored = spark.read.schema(rollup.schema).parquet(store)
     report = report_from_rollup(stored, top_n, threshold, offset_days)

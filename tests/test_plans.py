@@ -68,7 +68,7 @@ def test_one_shuffle_more_or_less_whatever_the_splits(spark):
 
 
 STORING = {"report_document", "report_snapshot", "report_sections", "report_snapshot_sections",
-           "report_incremental_sections", "dq_purchase_stats", "refund_witnesses"}
+           "report_incremental_sections", "dq_purchase_stats", "refund_witnesses", "union_in_order_events"}
 
 
 @pytest.mark.parametrize("name", sorted(set(E._QUERIES) - STORING - {n for n in E._QUERIES if n.startswith("csv")}))
