@@ -5,11 +5,11 @@ Messages are plain, a tool call (``call_id``, ``tool``, ``arguments`` as JSON,
 
 * Calls and results are hash-joined by conversation and identifier.
 * Records are ordered topologically.  A call's place starts as its turn and is
-  raised above the places of the calls it needs until nothing moves; places
-  are pairs (turn, step) that rise along every dependency.  A call on a
-  dependency cycle, or after one, never settles: a conversation whose calls
-  still move after as many rounds as it has moved calls has a cycle, and
-  its moving calls are marked and keep their turn.
+  raised above the places of the calls it needs; places are pairs (turn, step)
+  that rise along every dependency.  Dependency paths are doubled, so a
+  chain takes as many rounds as its length has binary digits.  A call on a
+  dependency cycle, or after one, has a path longer than its conversation has
+  calls; it is marked and keeps its turn.
 * Arguments are validated against the tool's schema, a JSON Schema subset:
   type, properties, required, additionalProperties, items, enum, minimum,
   maximum, minLength, maxLength.
@@ -30,7 +30,8 @@ repeated plain messages stay; an empty table gives no records.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -105,51 +106,48 @@ def _record(kind, role, text, call_id, tool, arguments, result, schemas) -> tupl
     return canonical(out), faults
 
 
-def _places(calls: DataFrame, scratch: Scratch) -> DataFrame:
-    """``conv_id, row, place, cyclic`` for calls whose place isn't their turn.
+def _places(calls: DataFrame, scratch: Scratch, report: Callable[[int], None] | None = None) -> DataFrame:
+    """``row, place, cyclic`` for calls that need others or are needed.
 
-    ``first`` marks the calls that an id stands for; every call may need them.
+    A call's place is the latest turn among the calls it needs, directly or
+    through others, or its own, and the most needs in a row that lead there
+    from a call of that turn; ``cyclic`` calls, which lead to a cycle, have none.
+
+    Paths are doubled: round k knows the best place over paths of fewer than
+    2^k needs and, as edges, which calls are exactly 2^k needs away, so the rounds
+    are the logarithm of the longest chain.  A path as long as its conversation
+    has calls has gone round a cycle.  ``first`` marks the calls that an id
+    stands for; every call may need them.  ``report`` gets the number of rounds.
     """
-    place = F.struct(F.col("turn").alias("turn"), F.lit(0).alias("step"))
     known = calls.where("first").select("conv_id", F.col("call_id").alias("id"), F.col("row").alias("needs"))
-    needs = scratch.table(calls.select("conv_id", "call_id", "row", F.explode("after").alias("id"))
+    edges = scratch.table(calls.select("conv_id", "call_id", "row", F.explode("after").alias("id"))
                           .where("NOT id <=> call_id").join(known, ["conv_id", "id"])
                           .select("conv_id", "row", "needs").distinct())
-    start = scratch.table(calls.where("conv_id IS NOT NULL").select("conv_id", "row", place.alias("place")))
-    # only calls that move are written from round to round
-    moved, rounds = None, 0
-    while True:
-        places = start
-        if moved is not None:
-            places = (start.join(moved.select("conv_id", "row", F.col("place").alias("later"), "cyclic"), ["conv_id", "row"], "left")
-                      .select("conv_id", "row", F.coalesce("later", "place").alias("place"),
-                              F.coalesce("cyclic", F.lit(False)).alias("cyclic")))
-        else:
-            places = start.withColumn("cyclic", F.lit(False))
-        above = (needs.join(places.select("conv_id", F.col("row").alias("needs"), F.col("place").alias("p"), "cyclic"),
-                            ["conv_id", "needs"])
-                 .groupBy("conv_id", "row")
-                 .agg(F.max(F.when(~F.col("cyclic"), F.struct(F.col("p.turn").alias("turn"), (F.col("p.step") + 1).alias("step")))).alias("least"),
-                      F.max("cyclic").alias("after_cycle")))
-        # calls that need a call on a cycle have no place either
-        lost = F.col("after_cycle") & ~F.col("cyclic")
-        raised = F.coalesce(F.col("least") > F.col("place"), F.lit(False)) & ~F.col("cyclic")
-        step = (places.join(above, ["conv_id", "row"]).where(raised | lost)
-                .select("conv_id", "row", F.when(lost, F.col("place")).otherwise(F.col("least")).alias("place"),
-                        (F.col("cyclic") | lost).alias("cyclic"), F.lit(True).alias("moving")))
-        if moved is not None:
-            still = moved.select("conv_id", "row", "place", "cyclic").withColumn("moving", F.lit(False))
-            step = (still.unionByName(step).groupBy("conv_id", "row")
-                    .agg(F.max("place").alias("place"), F.max("cyclic").alias("cyclic"), F.max("moving").alias("moving")))
+    met = edges.select("row").unionByName(edges.select(F.col("needs").alias("row"))).distinct()
+    own = F.struct(F.col("turn").alias("turn"), F.lit(0).alias("step"))
+    best = scratch.table(calls.join(met, "row").select("conv_id", "row", own.alias("place")))
+    sizes = scratch.table(best.groupBy("conv_id").agg(F.count("*").alias("n")))
+    turning, rounds = [], 0
+    while not edges.isEmpty():
+        far = F.struct(F.col("p.turn").alias("turn"), (F.col("p.step") + (1 << rounds)).alias("step"))
+        above = (edges.join(best.select(F.col("row").alias("needs"), F.col("place").alias("p")), "needs")
+                 .groupBy("row").agg(F.max(far).alias("above")))
+        raised = scratch.table(best.join(above, "row", "left").select(
+            "conv_id", "row", F.greatest("place", F.coalesce("above", "place")).alias("place")))
+        further = (edges.withColumnRenamed("needs", "half").join(edges.select(F.col("row").alias("half"), "needs"), "half")
+                   .select("conv_id", "row", "needs").distinct())
         rounds += 1
-        step = scratch.table(step)
-        per_conv = step.groupBy("conv_id").agg(F.count("*").alias("ever"))
-        stuck = F.col("moving") & (F.col("ever") < rounds)
-        step = scratch.table(step.join(per_conv, "conv_id").select(
-            "conv_id", "row", "place", (F.col("cyclic") | stuck).alias("cyclic"), "moving"))
-        moved = step
-        if not moved.where("moving").limit(1).count():
-            return moved
+        doubled = scratch.table(further.join(sizes, "conv_id"))
+        turning.append(scratch.table(doubled.where(F.col("n") <= 1 << rounds).select("row").distinct()))
+        rest = scratch.table(doubled.where(F.col("n") > 1 << rounds).drop("n"))
+        scratch.drop(best, edges, doubled)
+        best, edges = raised, rest
+    if report:
+        report(rounds)
+    if not turning:
+        return best.select("row", "place", F.lit(False).alias("cyclic"))
+    lost = reduce(DataFrame.unionByName, turning).distinct().withColumn("cyclic", F.lit(True))
+    return best.join(lost, "row", "left").select("row", "place", F.coalesce("cyclic", F.lit(False)).alias("cyclic"))
 
 
 def format_chats(messages: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame:
@@ -184,7 +182,7 @@ def format_chats(messages: DataFrame, schemas: Mapping[str, Mapping]) -> DataFra
         *by, "row", "turn", "tool", "arguments", "after", "n_calls", F.col("n_calls").isNotNull().alias("first")))
     results = scratch.table(of_results.join(first_results.select("row", "n_results"), "row", "left").select(
         *by, F.col("turn").alias("result_turn"), F.col("text").alias("result"), "n_results"))
-    places = _places(calls, scratch).select("row", "place", "cyclic")
+    places = _places(calls, scratch)
     lone = F.col("conv_id").isNull() | F.col("call_id").isNull()
     again = {"n_calls": F.lit(0), "n_results": F.lit(0), "duplicate": ~lone}
     linked = (calls.where("first").drop("after", "first").join(results.where("n_results IS NOT NULL"), by, "full")

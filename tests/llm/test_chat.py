@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from daybook.llm import chat
+from daybook.llm import chat, common
 
 MESSAGES = ("conv_id bigint, turn bigint, role string, text string, call_id string, tool string, arguments string, "
             "after array<string>, place string, json string")
@@ -70,6 +71,44 @@ def test_topological_order(spark):
         "p": "unanswered,cyclic", "q": "unanswered,cyclic", "r": "unanswered,cyclic", "s": "unanswered"}
 
 
+def plain_places(calls):
+    """{id: (turn, step)} of (turn, id, needs); None where a cycle is needed."""
+    turn, needs = {i: t for t, i, _ in calls}, {i: [n for n in a if n != i] for _, i, a in calls}
+    needs = {i: [n for n in a if n in turn] for i, a in needs.items()}
+    place, left = {}, dict(needs)
+    while ready := [i for i, a in left.items() if all(n in place for n in a)]:
+        for i in ready:
+            place[i] = max([(turn[i], 0), *((place[n][0], place[n][1] + 1) for n in left.pop(i))])
+    return place | dict.fromkeys(left)
+
+
+def placed(spark, calls):
+    rounds = []
+    df = spark.createDataFrame([(1, i, t, list(a), r, True) for r, (t, i, a) in enumerate(calls)],
+                               "conv_id long, call_id string, turn long, after array<string>, row long, first boolean")
+    scratch = common.Scratch(spark, "test")
+    found = {r.row: None if r.cyclic else tuple(r.place) for r in chat._places(df, scratch, rounds.append).collect()}
+    return {i: found.get(r, (t, 0)) for r, (t, i, _) in enumerate(calls)}, rounds[0]
+
+
+def test_long_chain_in_few_rounds(spark):
+    """A thousand calls, each of which needs the next."""
+    calls = [(n, f"c{n}", [f"c{n + 1}"]) for n in range(1000)]
+    found, rounds = placed(spark, calls)
+    assert found == plain_places(calls) and rounds <= 12
+    assert found["c0"] == (999, 999) and found["c999"] == (999, 0)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_places_equal_a_plain_sorter(spark, seed):
+    """Random needs forwards and backwards, with cycles from the second seed on, and calls of one turn."""
+    rng = random.Random(seed)
+    calls = [(rng.randrange(20), f"c{n}", [f"c{rng.randrange(n + 1, 62) if seed < 1 else rng.randrange(62)}"
+                                           for _ in range(rng.choice([0, 0, 1, 1, 2]))]) for n in range(60)]
+    found, rounds = placed(spark, calls)
+    assert found == plain_places(calls) and rounds <= 7
+
+
 def test_empty(spark):
     assert chat.format_chats(frame(spark, []), SCHEMAS).count() == 0
 
