@@ -10,9 +10,9 @@ parquet, narrow and columnar, and read twice:
    aggregate, combined map-side.  Only events with several surviving copies
    are kept: ``repeated``, with their first copy's place.
 2. A surviving row stays unless its event is in ``repeated`` with another
-   place.  ``repeated`` is a stored table, so the planner knows its size: if
-   it is small, it is broadcast and the rows aren't shuffled at all; else
-   they meet it in a shuffled hash join.  An event with very many copies is
+   place.  ``repeated`` is a stored table of a known size: up to the session's
+   limit it is broadcast and the rows aren't shuffled at all; beyond, they
+   meet it in a shuffled hash join.  An event with very many copies is
    one row of ``repeated`` either way.
 
 The staged copy also cuts the lineage: text is parsed once, and losing an
@@ -77,7 +77,7 @@ class StagedEvents:
         if unknown := set(columns) - set(self.columns):
             raise ValueError(f"not staged: {sorted(unknown)}")
         kept = self.rows.where(F.col(RULE).isNull()).select("event_id", "place", *columns)
-        again = self.repeated.select(F.col("event_id").alias("_id"), "first").hint("shuffle_hash")
+        again = _join_side(self.repeated.select(F.col("event_id").alias("_id"), "first"))
         return (kept.join(again, F.col("event_id").eqNullSafe(F.col("_id")), "left")
                 .where(F.col("first").isNull() | (F.col("place") == F.col("first"))).select("event_id", *columns))
 
@@ -100,6 +100,13 @@ class StagedEvents:
         delete_folder(self.rows.sparkSession, self.folder)
 
 
+def _join_side(stored: DataFrame) -> DataFrame:
+    """A stored table as a join side that needs no sort: broadcast up to the session's limit, else hashed after a shuffle."""
+    size = int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    limit = stored.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return F.broadcast(stored) if size <= limit else stored.hint("shuffle_hash")
+
+
 def _stored(df: DataFrame, folder: str) -> DataFrame:
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
@@ -114,7 +121,7 @@ def _with_place(staged: DataFrame, head: list[str], folder: str) -> DataFrame:
     if n > 1 << FILE_BITS:
         raise ValueError(f"{n} files are more than 2^{FILE_BITS}")
     inside = _limited("(_block + _row)", PLACE_BITS, "a place in a file")
-    joined = staged.join(files.hint("shuffle_hash"), head)
+    joined = staged.join(_join_side(files), head)
     return joined.withColumn("place", F.expr(f"shiftleft(_number, {PLACE_BITS}) + {inside}")).drop(*head, "_number", "_block", "_row")
 
 

@@ -99,6 +99,7 @@ def test_no_sort_of_events(spark, tmp_path):
     for plan in (small, large, copies):
         assert "Sort" not in plan.replace("SortMerge", "")
     assert "ShuffledHashJoin" in large and "HashAggregate" in copies
+    assert "BroadcastHashJoin" in small and "Exchange hashpartitioning" not in small
 
 
 def test_report_of_staged_events_equals_the_one_pass_report(spark):
