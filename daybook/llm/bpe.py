@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import slices, text_column
+from daybook.llm.common import held, slices, text_column
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -121,14 +121,9 @@ class ByteBPE:
         return character[stop - lengths], character[stop - 1] + 1
 
 
-_LOADED: dict[tuple, ByteBPE] = {}
-
-
 def _vocabulary(path: str, pattern: str) -> ByteBPE:
     """This worker's vocabulary, kept between tasks."""
-    if (path, pattern) not in _LOADED:
-        _LOADED[path, pattern] = ByteBPE(path, pattern)
-    return _LOADED[path, pattern]
+    return held("bpe", (path, pattern), lambda: ByteBPE(path, pattern))
 
 
 def encode_documents(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN,

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Scratch, slices, text_column, text_key
+from daybook.llm.common import Scratch, held, slices, text_column, text_key
 
 MIN_SITES = 16
 _UNNAMED = "\x00"
@@ -80,6 +80,7 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int =
     kind = marked.schema["carried"].dataType.simpleString()
 
     def take_out(batches):
+        held("lines")
         for batch in batches:
             for part in slices(batch, "text", 8 << 20):
                 kept, n_lines, n_gone = [], [], []

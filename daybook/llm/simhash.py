@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Scratch, slices, text_column, text_key
+from daybook.llm.common import Scratch, held, slices, text_column, text_key
 from daybook.llm.components import connected_components
 
 BITS = 64
@@ -70,6 +70,7 @@ def fingerprint_documents(docs: DataFrame, width: int = 4, seed: int = 42,
     names = ["doc_id", "k1", "k2"]
 
     def run(batches):
+        held("simhash")
         for batch in batches:
             for part in slices(batch, "text", 4 << 20):
                 texts = part.column("text").cast(pa.binary()).to_pylist()
