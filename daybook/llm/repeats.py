@@ -26,8 +26,9 @@ windows with one anchor form a run; its span is the text the run covers.
    frequent window spreads over buckets, and the buckets' first and last
    suffixes are compared across boundaries.
 
-Texts are known by a 128-bit hash of their content: copies share all
-intermediate rows, and their common cover is found once.
+Texts are known by a 128-bit hash of their content: once frequent grams are
+known, copies are one entry with their number as a weight, and their common
+cover is found once.
 
 Defined results: null or empty text has no bytes, nothing removed and an empty
 rest; texts shorter than ``length`` stay whole; of repeated rows of at least
@@ -42,13 +43,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Scratch, text_column, text_key, utf8
+from daybook.llm.common import Scratch, held, text_column, text_key, utf8
 
 LENGTH = 400
 GRAM = 64
 BLOCK_WINDOWS = 16
 
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 _ODD = 0x9E3779B97F4A7C15                       # odd multiplier of the polynomial hash
 _MASK = (1 << 64) - 1
 
@@ -85,13 +86,8 @@ class _Hashes:
         return _mix((self._sum[stop] - self._sum[start]) * self._inverse[start])
 
 
-_LOADED: dict[int, _Hashes] = {}
-
-
 def _hashes(size: int) -> _Hashes:
-    if size not in _LOADED:
-        _LOADED[size] = _Hashes(size)
-    return _LOADED[size]
+    return held("repeats", size, lambda: _Hashes(size))
 
 
 def _window_minima(keys: np.ndarray, width: int) -> np.ndarray:
@@ -340,10 +336,12 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buc
     # what is joined back is stored first: between two plain tables, Spark
     # splits the tasks of a frequent gram, which it can't above an aggregate
     often = scratch.table(grams.where("n > 1").select("gram", (F.col("lo") != F.col("hi")).alias("varied")))
-    met = scratch.table(runs.join(often, "gram"))
+    # copies of a text are one from here on, with their number as a weight
+    met = scratch.table(runs.join(often, "gram").groupBy("k1", "k2", "first").agg(
+        *[F.min(c).alias(c) for c in ("last", "lead", "gram", "span", "varied")], F.count("*").alias("copies")))
     scratch.drop(runs)
     mark = F.xxhash64("k1", "k2", "first")
-    spans = scratch.table(met.groupBy("gram", "span").agg(F.count("*").alias("n"), F.min(mark).alias("chosen")))
+    spans = scratch.table(met.groupBy("gram", "span").agg(F.sum("copies").alias("n"), F.min(mark).alias("chosen")))
     lone = scratch.table(spans.where("n = 1").select("gram").distinct().select("gram", F.lit(True).alias("has_lone")))
     known = (met.join(spans, ["gram", "span"]).join(lone, "gram", "left")
              .withColumn("chosen", F.col("chosen") == mark))

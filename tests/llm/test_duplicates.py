@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -117,6 +118,22 @@ def plain_repeats(texts, length):
     return out
 
 
+def test_many_copies_of_a_partly_shared_text(spark):
+    """Copies are one entry after the first join; their cover and that of the others stay exact."""
+    rng = random.Random(12)
+
+    def text(n):
+        return " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(3000)}" for _ in range(n))
+
+    shared, own, tail = text(300), [text(150) for _ in range(4)], text(90)
+    hot = own[0] + shared + own[1]
+    texts = [hot] * 400 + [own[2] + shared[:900] + own[3], tail + shared[500:1400], tail, own[1][:390]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in repeats.remove_repeats(docs).collect()}
+    assert found == dict(enumerate(plain_repeats([t.encode() for t in texts], 400)))
+    assert found[0][3] == b"" and found[403][1] == 0
+
+
 @pytest.mark.parametrize("table", ["awkward", "sample", "nothing"])
 def test_repeats_removed(request, table):
     docs = request.getfixturevalue(table)
@@ -201,6 +218,30 @@ def test_toxicity_scores(spark):
     assert all(e.toxic == 1 and e.cosine <= 1 + 1e-9 for e in by_id[602].evidence)
 
 
+def test_scores_equal_a_plain_computation(spark):
+    """Votes over all examples but the text itself, by full cosines; then the fitted levels."""
+    docs, labels = toxic_corpus(spark, 300)
+    limits = toxicity.Limits(k=7, block=16)
+    model = toxicity.fit_model(docs, labels, limits)
+    index, texts = model.index, {r.doc_id: r.text or "" for r in docs.collect() if r.doc_id is not None}
+    own_text = {i: texts[i] for i in index.ids.tolist()}
+    rows = {r.doc_id: r for r in toxicity.score_toxicity(docs, labels, limits).collect() if r.doc_id is not None}
+    vectors = [dict(index.vector(toxicity.term_counts(own_text[i].encode()))) for i in index.ids.tolist()]
+    assert any(texts[i] == own_text[j] for i in texts for j in own_text)
+    for doc_id, text in texts.items():
+        q = dict(index.vector(toxicity.term_counts(text.encode())))
+        near = sorted(((-sum(w * q.get(t, 0) for t, w in v.items()), i, int(t)) for i, t, v in
+                       zip(index.ids.tolist(), index.toxic, vectors) if own_text[i] != text))[:limits.k]
+        near = [n for n in near if n[0] < 0]
+        weights = [1 / (1.05 - min(-c, 1)) for c, _, _ in near]
+        vote = sum(w * t for w, (_, _, t) in zip(weights, near)) / sum(weights) if near else -1.0
+        at = max(0, int(np.searchsorted(model.levels, vote + 1e-12, "right")) - 1)
+        below = max(0, int(np.searchsorted(model.levels, vote - 1e-12, "right")) - 1)
+        assert any(rows[doc_id].score == pytest.approx(float(model.probability[k])) for k in (at, below))
+        shown = [e.doc_id for e in rows[doc_id].evidence]
+        assert all(own_text[i] != text for i in shown) and len(shown) == min(3, len(near))
+
+
 @pytest.mark.parametrize("percent", [20, 50, 80])
 def test_toxicity_at_every_base_rate(spark, percent):
     rng = np.random.default_rng(2)
