@@ -2,11 +2,13 @@
 
 Plan shape::
 
-    raw scan ─ tag (narrow, codegen) ─ partial agg ─ Exchange(event_id) ─ first copy per event
-      └─ Expand into grouping sets {(), day, country, user-day} ─ partial agg ─ Exchange ─ final agg
+    raw scan ─ tag (narrow, codegen) ─ parquet: the staged events, parsed once (lineage cut here)
+      ├─ place, rule ─ partial min(place) ─ Exchange(event_id) ─ events with several copies ─ parquet
+      └─ first copies (join with those) ─ Expand into grouping sets {day, country, user-day}
+           ─ partial agg ─ Exchange ─ final agg, and the row of counts
            = the rollup: 1 counts row + 1 row per day + per country + per user-day,
              written once as parquet under spark.checkpoint.dir, partitioned by
-             set (lineage cut here)
+             set (lineage cut here, and the staged events removed)
 
     rollup table ─┬─ set=all:      counts
                   ├─ set=day:      range, funnel, revenue, anomalies (day-sized)
@@ -14,8 +16,8 @@ Plan shape::
                   └─ set=user_day ─┬─ dau: groupBy(date) partial count
                                    └─ retention: Exchange(user_id) window min → groupBy(cohort)
 
-Only the first exchange is as large as the input, and it carries just the
-five columns the metrics read.  The second is partially aggregated per task
+Nothing event-sized is sorted (``operators.staged``).  The dedup's exchange
+carries an id, a place and a count; the rollup's is partially aggregated per task
 (one row per day/country/user-day per task).  After the rollup, the user-day
 part is users x days and is read by DAU and retention; the other parts are
 day- or country-sized.  Each section reads only its own partition, and the document is
@@ -288,7 +290,7 @@ GROUP BY GROUPING SETS ((), (date), (country), (user_id, date))
 
 
 def report_rollup(raw: DataFrame) -> DataFrame:
-    """Everything the report needs from the events, in one pass.
+    """Everything the report needs from the events, in one lazy pass; ``build_report`` stages them instead.
 
     raw → tag → Exchange(event_id) → per-event first copy → Expand into the
     grouping sets (), (date), (country), (user_id, date) → partial aggregate
@@ -351,9 +353,9 @@ def build_report(raw: DataFrame, top_n: int = TOP_N, threshold: float = ANOMALY_
                  store: str | None = None) -> Report:
     """Clean ``raw`` and compute every report section.
 
-    The rollup (see ``report_rollup``) is the only job that touches the
-    events.  It is written once as a parquet table in the shared checkpoint
-    folder — or at ``store`` — and every section is derived from that table:
+    The events are staged (``staged.stage_events``) and their rollup is written
+    once as a parquet table in the shared checkpoint folder — or at ``store``; the
+    staged copy is then removed, and every section is derived from the rollup:
     the lineage is cut (an executor lost later costs a re-read, not a
     rescan), and later plans stay small.
 
