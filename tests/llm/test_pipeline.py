@@ -82,3 +82,27 @@ def test_run_equals_the_stages(spark, stages):
     _, done = stages["best_fit_packing"]
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert sorted(map(tuple, rows.select(columns).collect())) == sorted(map(tuple, done.select(columns).collect()))
+
+
+def test_stages_on_awkward_rows(spark, awkward, tmp_path):
+    """Nulls in any column, empty and long texts, repeated rows, and extra columns whose names occur in the operators."""
+    docs, before = awkward, awkward.count()
+    for name, stage in P.STAGES:
+        path = str(tmp_path / name)
+        stage(spark, docs, SF001).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if name != P.STAGES[-1][0]:
+            assert docs.columns == P.COLUMNS and 0 < docs.count() <= before
+            assert docs.where("text IS NULL OR n_chars <> length(text)").count() == 0
+            before = docs.count()
+    pieces = docs.toPandas()
+    assert pieces.groupby("sequence_id").length.sum().max() <= 4096 and len(pieces) >= before
+
+
+def test_stages_on_an_empty_table(spark, nothing, tmp_path):
+    docs = nothing
+    for name, stage in P.STAGES:
+        path = str(tmp_path / name)
+        stage(spark, docs, SF001).write.parquet(path)
+        docs = spark.read.parquet(path)
+        assert docs.count() == 0
