@@ -141,10 +141,11 @@ def _reach(splits: list[float], threshold: float) -> list[int]:
 def _compare_all(classes: DataFrame, dim: int, threshold: float, block_rows: int, scratch: Scratch) -> DataFrame:
     """``node, links, root`` rows of all block pairs, for classes of one vector length."""
     axes = principal_axes(classes, dim)
-    # shares of the largest component: no overflow in the norm
+    # shares of the largest component: no overflow in the norm; it is no part of a lambda, so it is found once a vector
     largest = F.array_max(F.transform("vec", F.abs))
-    unit = F.aggregate("vec", F.lit(0.0), lambda s, v: s + (v / largest) * (v / largest), lambda s: F.sqrt(s))
-    first = F.aggregate(F.zip_with(F.transform("vec", lambda v: v / largest), F.array(*[F.lit(float(v)) for v in axes[:, 0]]), lambda v, w: v * w),
+    shares = F.zip_with("vec", F.array_repeat(largest, F.size("vec")), lambda v, m: v / m)
+    unit = F.aggregate(shares, F.lit(0.0), lambda s, v: s + v * v, lambda s: F.sqrt(s))
+    first = F.aggregate(F.zip_with(shares, F.array(*[F.lit(float(v)) for v in axes[:, 0]]), lambda v, w: v * w),
                         F.lit(0.0), lambda s, v: s + v)
     # ties, which scaled copies are, spread by a jitter far below the slack of _reach
     jitter = F.pmod(F.xxhash64("node"), F.lit(1000)) * 1e-9
