@@ -110,3 +110,13 @@ def test_small_sections_read_only_their_rollup_partition(spark):
             assert filters and all(f"= {part})" in f for f in filters), (name, filters)
     finally:
         report.release()
+
+
+def test_stored_files_grow_with_the_rows(spark):
+    """A least number of files, and more of them rather than larger ones."""
+    few = E._in_order(spark.range(9).selectExpr("id AS ord", "id AS n"), 3)
+    assert few.rdd.getNumPartitions() == 3
+    many = E._in_order(spark.range(1_000_000).selectExpr("999999 - id AS ord", "999999 - id AS n"), 3)
+    files = many.rdd.mapPartitions(lambda rows: [[r.n for r in rows]]).collect()
+    assert len(files) >= 10 and max(map(len, files)) < 150_000
+    assert [n for own in files for n in own] == list(range(1_000_000))
