@@ -25,7 +25,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from itertools import count
 
 import numpy as np
@@ -48,11 +48,55 @@ CAPACITY = 4096
 _CORE_AND_MARKS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)").fullmatch
 
 
+class _Remembered:
+    """Ids of strings met lately, each encoded once while it is known.
+
+    Two halves of ``limit`` / 2 bytes: a full newer half becomes the older one,
+    whose place it takes, and what is met again moves to the newer one.  So what is
+    frequent stays, and what was met once goes.
+    """
+
+    ENTRY = 200                                 # bytes of an entry besides its characters, about
+
+    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], limit: int):
+        self._encode, self._half, self._size = encode, limit // 2, 0
+        self._new: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+
+    def __len__(self) -> int:
+        return len(self._new) + len(self._old)
+
+    def _keep(self, key: str, ids: bytes) -> None:
+        if self._size >= self._half:
+            self._old, self._new, self._size = self._new, {}, 0
+        self._new[key] = ids
+        self._size += len(key) + self.ENTRY
+
+    def look_up(self, keys: set[str]) -> dict[str, bytes]:
+        """All keys' ids, whatever the table keeps of them."""
+        found = {k: ids for k in keys if (ids := self._new.get(k)) is not None}
+        if len(found) == len(keys):
+            return found
+        unmet = []
+        for k in keys.difference(found):
+            ids = self._old.get(k)
+            if ids is None:
+                unmet.append(k)
+            else:
+                found[k] = ids
+                self._keep(k, ids)
+        for k, ids in zip(unmet, self._encode(unmet) if unmet else ()):
+            found[k] = ids
+            self._keep(k, ids)
+        return found
+
+
 class WordBPE:
-    """Ids of white-space separated words, each distinct word encoded once.
+    """Ids of white-space separated words.
 
-    The tables of words and of their parts start over beyond ``remember``
-    characters (an entry counts 64 more); results don't depend on it.
+    Letters followed by marks are put together from the ids of both; those
+    pieces, lower-cased, and all other words are remembered in at most about
+    ``remember`` bytes.  Results don't depend on it.
     """
 
     def __init__(self, path: str, remember: int = 70_000_000):
@@ -63,44 +107,27 @@ class WordBPE:
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)   # ids that end a piece
         self._ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self._words: dict[str, bytes] = {}
-        self._parts: dict[str, bytes] = {}
-        self._size, self._remember = 0, remember
+        self._parts = _Remembered(self._encode_parts, remember * 3 // 4)
+        self._others = _Remembered(self._encode_words, remember // 4)
 
-    def _learn_parts(self, parts: set[str]) -> None:
+    def _encode_parts(self, parts: list[str]) -> Iterable[bytes]:
         """Parts are single pieces of the tokenizer: their ids end at an end of word."""
-        new = list(parts.difference(self._parts))
-        if new:
-            ids = np.array(self._tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
-            for part, own in zip(new, np.split(ids, np.flatnonzero(self._ends[ids]) + 1)):
-                self._parts[part] = own.tobytes()
-
-    def _learn(self, new: list[str]) -> None:
-        size = sum(map(len, new)) + 64 * len(new)
-        if self._size + size > self._remember:
-            self._words.clear()
-            self._parts.clear()
-            self._size = 0
-        self._size += size
-        split, rest = [], []
-        for w in new:
-            if m := _CORE_AND_MARKS(w):
-                split.append((w, m[1].lower(), m[2]))
-            else:
-                rest.append(w)
-        self._learn_parts({p for _, core, marks in split for p in (core, marks) if p})
-        for w, core, marks in split:
-            self._words[w] = self._parts[core] + self._parts[marks] if marks else self._parts[core]
-        for w, e in zip(rest, self._tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self._words[w] = np.array(e.ids, "<u4").tobytes()
+        ids = np.array(self._tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, "<u4")
+        raw = ids.tobytes()
+        stops = (4 * np.flatnonzero(self._ends[ids]) + 4).tolist()
+        return (raw[a:b] for a, b in zip([0, *stops], stops))
+
+    def _encode_words(self, words: list[str]) -> Iterable[bytes]:
+        return (np.array(e.ids, "<u4").tobytes()
+                for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False))
 
     def ids(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words."""
-        own = list(map(self._words.get, words))
-        if new := [w for w, known in zip(words, own) if known is None]:
-            self._learn(new)                  # the table may start over: ``own`` keeps what it held
-            own = [self._words[w] if known is None else known for w, known in zip(words, own)]
-        return own
+        split = [(m[1].lower(), m[2]) if (m := _CORE_AND_MARKS(w)) else None for w in words]
+        parts = self._parts.look_up({p for pair in split if pair for p in pair if p})
+        parts[""] = b""
+        others = self._others.look_up({w for w, pair in zip(words, split) if not pair})
+        return [parts[pair[0]] + parts[pair[1]] if pair else others[w] for w, pair in zip(words, split)]
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids, each text's followed by ``end_id``, and their n + 1 offsets."""
@@ -135,7 +162,7 @@ def cut_documents(docs: DataFrame, path: str | None = None, end_id: int = END_ID
     def cut(batches):
         bpe = _vocabulary(path)
         for batch in batches:
-            for part in slices(batch, "text", 8 << 20):
+            for part in slices(batch, "text", 4 << 20):
                 ids, at = bpe.encode(part.column("text"), end_id)
                 n_pieces = -(-np.diff(at) // capacity)
                 doc = np.repeat(np.arange(len(n_pieces)), n_pieces)

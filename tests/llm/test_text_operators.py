@@ -215,6 +215,18 @@ def test_full_table_of_words_changes_nothing(plain_tokenizer):
             plain_tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
 
 
+def test_words_once_met_make_room(plain_tokenizer):
+    """What is remembered stays within its limit, and what comes again stays in it."""
+    small = packing.WordBPE(public_tokenizers.path(packing.TOKENIZER), remember=400_000)
+    for i in range(40):
+        letters = ["often", *("q" + "".join(chr(97 + int(d)) for d in str(i * 1000 + k)) for k in range(1000))]
+        text = " ".join(letters + [f"Often, {i}x{k}" for k in range(50)])
+        ids, _ = small.encode(pa.array([text]), 1)
+        assert ids.tolist() == plain_tokenizer.encode(text, add_special_tokens=False).ids + [1]
+    assert "often" in small._parts._new or "often" in small._parts._old
+    assert (len(small._parts) + len(small._others)) * packing._Remembered.ENTRY <= 400_000
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 12), min_size=1, max_size=7))
 def test_bounds_and_best_fit(lengths):
