@@ -23,9 +23,8 @@ an empty table gives no sequences; other columns are ignored.
 from __future__ import annotations
 
 import os
-import re
 import zlib
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from itertools import count
 
 import numpy as np
@@ -43,9 +42,51 @@ END_ID = 1
 CAPACITY = 4096
 
 
-# Latin-1 letters followed by ASCII punctuation other than the apostrophe:
-# the tokenizer always cuts between the two.
-_CORE_AND_MARKS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)").fullmatch
+# Words of Latin-1 letters followed by ASCII punctuation other than the
+# apostrophe: the tokenizer always cuts between the two.
+_LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº")
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+
+
+_ENCODED = 8_000                     # words that the tokenizer gets at once, as it holds much for each
+
+
+def _gather(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` one after the other."""
+    stop = np.cumsum(length)
+    place = np.repeat(start - (stop - length), length)
+    place += np.arange(len(place))
+    return flat[place]
+
+
+class _Entries:
+    """Distinct words and their ids, as columns: word i has ids[at[i]:at[i + 1]]."""
+
+    def __init__(self, words: pa.Array, ids: np.ndarray, length: np.ndarray):
+        self.words, self.ids, self.at = words, ids, np.concatenate(([0], np.cumsum(length)))
+
+    @staticmethod
+    def none() -> _Entries:
+        return _Entries(pa.array([], pa.string()), np.zeros(0, np.uint32), np.zeros(0, np.int64))
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def __contains__(self, word: str) -> bool:
+        return pc.index(self.words, word).as_py() >= 0
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Where the words stand, -1 for others."""
+        return pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy(zero_copy_only=False)
+
+    def take(self, rows: np.ndarray) -> _Entries:
+        length = np.diff(self.at)[rows]
+        return _Entries(self.words.take(pa.array(rows)), _gather(self.ids, self.at[rows], length), length)
+
+    def and_all(self, *more: _Entries) -> _Entries:
+        tables = (self, *more)
+        return _Entries(pa.concat_arrays([t.words for t in tables]), np.concatenate([t.ids for t in tables]),
+                        np.concatenate([np.diff(t.at) for t in tables]))
 
 
 class _Remembered:
@@ -53,42 +94,44 @@ class _Remembered:
 
     Two halves of ``limit`` / 2 bytes: a full newer half becomes the older one,
     whose place it takes, and what is met again moves to the newer one.  So what is
-    frequent stays, and what was met once goes.
+    frequent stays, and what was met once goes.  Both are columns, no objects per
+    word: a text's distinct words are searched all at once.
     """
 
-    ENTRY = 200                                 # bytes of an entry besides its characters, about
+    ENTRY = 100                     # bytes of an entry besides its characters, about, with what a search of it takes
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], limit: int):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int):
         self._encode, self._half, self._size = encode, limit // 2, 0
-        self._new: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
+        self._new, self._old = _Entries.none(), _Entries.none()
 
     def __len__(self) -> int:
         return len(self._new) + len(self._old)
 
-    def _keep(self, key: str, ids: bytes) -> None:
-        if self._size >= self._half:
-            self._old, self._new, self._size = self._new, {}, 0
-        self._new[key] = ids
-        self._size += len(key) + self.ENTRY
-
-    def look_up(self, keys: set[str]) -> dict[str, bytes]:
-        """All keys' ids, whatever the table keeps of them."""
-        found = {k: ids for k in keys if (ids := self._new.get(k)) is not None}
-        if len(found) == len(keys):
-            return found
-        unmet = []
-        for k in keys.difference(found):
-            ids = self._old.get(k)
-            if ids is None:
-                unmet.append(k)
-            else:
-                found[k] = ids
-                self._keep(k, ids)
-        for k, ids in zip(unmet, self._encode(unmet) if unmet else ()):
-            found[k] = ids
-            self._keep(k, ids)
-        return found
+    def _keep(self, more: _Entries) -> None:
+        size = np.cumsum(pc.binary_length(more.words).to_numpy(zero_copy_only=False).astype(np.int64) + self.ENTRY)
+        if self._size + size[-1] > self._half:
+            self._old, self._new, self._size = self._new, _Entries.none(), 0
+            size = size[size <= self._half]
+            more = more.take(np.arange(len(size)))
+        if len(size):
+            self._new, self._size = self._new.and_all(more), self._size + int(size[-1])
+
+    def look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All words' ids, whatever the table keeps of them: ids, and each word's start and number there."""
+        words = words.cast(pa.string())
+        at = self._new.places(words).astype(np.int64)
+        other = np.flatnonzero(at < 0)
+        if not len(other):
+            return self._new.ids, self._new.at[at], np.diff(self._new.at)[at]
+        again = self._old.places(words.take(pa.array(other)))
+        unmet = words.take(pa.array(other[again < 0]))
+        more = self._old.take(again[again >= 0])
+        fresh = [unmet.slice(i, _ENCODED) for i in range(0, len(unmet), _ENCODED)]
+        more = more.and_all(*[_Entries(words, *self._encode(words.to_pylist())) for words in fresh])
+        every = self._new.and_all(more)
+        at[np.concatenate((other[again >= 0], other[again < 0]))] = len(self._new) + np.arange(len(more))
+        self._keep(more)
+        return every.ids, every.at[at], np.diff(every.at)[at]
 
 
 class WordBPE:
@@ -110,40 +153,45 @@ class WordBPE:
         self._parts = _Remembered(self._encode_parts, remember * 3 // 4)
         self._others = _Remembered(self._encode_words, remember // 4)
 
-    def _encode_parts(self, parts: list[str]) -> Iterable[bytes]:
+    def _encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Parts are single pieces of the tokenizer: their ids end at an end of word."""
-        ids = np.array(self._tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, "<u4")
-        raw = ids.tobytes()
-        stops = (4 * np.flatnonzero(self._ends[ids]) + 4).tolist()
-        return (raw[a:b] for a, b in zip([0, *stops], stops))
-
-    def _encode_words(self, words: list[str]) -> Iterable[bytes]:
-        return (np.array(e.ids, "<u4").tobytes()
-                for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False))
-
-    def ids(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words."""
-        split = [(m[1].lower(), m[2]) if (m := _CORE_AND_MARKS(w)) else None for w in words]
-        parts = self._parts.look_up({p for pair in split if pair for p in pair if p})
-        parts[""] = b""
-        others = self._others.look_up({w for w, pair in zip(words, split) if not pair})
-        return [parts[pair[0]] + parts[pair[1]] if pair else others[w] for w, pair in zip(words, split)]
+        ids = np.array(self._tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, np.uint32)
+        return ids, np.diff(np.flatnonzero(self._ends[ids]), prepend=-1)
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        length = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter((i for own in ids for i in own), np.uint32, int(length.sum())), length
+
+    def ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, and each one's number of ids."""
+        core, rest = pc.ascii_rtrim(words, _MARKS), pc.utf8_ltrim(words, _LETTERS)
+        n_core, n_rest, n = (pc.binary_length(x).to_numpy(zero_copy_only=False) for x in (core, rest, words))
+        plain = (n_core > 0) & (n_core + n_rest == n)        # what isn't letters is marks
+        split, marked, whole = (np.flatnonzero(x) for x in (plain, plain & (n_rest > 0), ~plain))
+        coded = pa.concat_arrays([pc.utf8_lower(core.take(pa.array(split))), rest.take(pa.array(marked))]).dictionary_encode()
+        ids, start, length = self._parts.look_up(coded.dictionary)
+        others, others_start, others_length = self._others.look_up(words.take(pa.array(whole)))
+        # two stretches a word: letters and marks, or the whole word and nothing
+        starts, lengths = np.zeros((len(words), 2), np.int64), np.zeros((len(words), 2), np.int64)
+        part = coded.indices.to_numpy(zero_copy_only=False)
+        for side, at, own in ((0, split, part[:len(split)]), (1, marked, part[len(split):])):
+            starts[at, side], lengths[at, side] = start[own], length[own]
+        starts[whole, 0], lengths[whole, 0] = others_start + len(ids), others_length
+        return _gather(np.concatenate((ids, others)), starts.ravel(), lengths.ravel()), lengths.sum(axis=1)
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids, each text's followed by ``end_id``, and their n + 1 offsets."""
         words = pc.ascii_split_whitespace(texts)
         coded = words.flatten().dictionary_encode()
-        known = self.ids(coded.dictionary.to_pylist())
-        known.append(np.array([end_id], "<u4").tobytes())
-        flat = np.frombuffer(b"".join(known), "<u4")
-        length = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        known, length = self.ids(coded.dictionary)
+        flat, length = np.append(known, np.uint32(end_id)), np.append(length, 1)
         start = np.cumsum(length) - length
         stops = np.asarray(words.offsets, dtype=np.int64)[1:] - words.offsets[0].as_py()
-        index = np.insert(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), stops, len(known) - 1)
+        index = np.insert(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), stops, len(length) - 1)
         n = length[index]
         stop = np.cumsum(n)
-        out = flat[np.repeat(start[index] - (stop - n), n) + np.arange(stop[-1] if len(stop) else 0)]
-        return out, np.concatenate(([0], stop[stops + np.arange(len(stops))]))
+        return _gather(flat, start[index], n), np.concatenate(([0], stop[stops + np.arange(len(stops))]))
 
 
 def _vocabulary(path: str) -> WordBPE:
@@ -162,7 +210,7 @@ def cut_documents(docs: DataFrame, path: str | None = None, end_id: int = END_ID
     def cut(batches):
         bpe = _vocabulary(path)
         for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
+            for part in slices(batch, "text", 2 << 20):
                 ids, at = bpe.encode(part.column("text"), end_id)
                 n_pieces = -(-np.diff(at) // capacity)
                 doc = np.repeat(np.arange(len(n_pieces)), n_pieces)

@@ -227,6 +227,22 @@ def test_words_once_met_make_room(plain_tokenizer):
     assert (len(small._parts) + len(small._others)) * packing._Remembered.ENTRY <= 400_000
 
 
+def test_words_are_columns_and_encoded_in_bounded_numbers(plain_tokenizer):
+    bpe = packing.WordBPE(public_tokenizers.path(packing.TOKENIZER))
+    words = ["w" + "".join(chr(97 + int(d)) for d in str(i)) for i in range(30_000)]
+    texts = [" ".join(words), "Éa, É. !! 7up don't " + " ".join(w.upper() + ".," for w in words[::-7])]
+    asked, encode = [], bpe._parts._encode
+    bpe._parts._encode = lambda parts: asked.append(len(parts)) or encode(parts)
+    for _ in range(2):
+        ids, at = bpe.encode(pa.array(texts), 1)
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [
+            plain_tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    assert sum(asked) == 30_000 + 5 and max(asked) <= 8_000       # é, éa and three marks besides
+    held = bpe._parts._new
+    assert len(held) == sum(asked)
+    assert held.words.nbytes + held.ids.nbytes + held.at.nbytes < 60 * len(held)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 12), min_size=1, max_size=7))
 def test_bounds_and_best_fit(lengths):
